@@ -1,0 +1,58 @@
+"""The whole chain over the benchmark tables: bronze -> silver -> gold -> export."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+from functools import cached_property
+
+from pyspark.sql import DataFrame, SparkSession
+
+from . import marts, staging, standins
+from .export import export_projection
+
+CALENDAR_END = "2026-12-01"
+
+
+@dataclass
+class MacroPipeline:
+    """Lazy frames of every layer; nothing runs until a query acts on one."""
+
+    spark: SparkSession
+    sf_dir: str
+    calendar_end: str = CALENDAR_END
+
+    def table(self, name: str) -> DataFrame:
+        return standins.read_table(self.spark, self.sf_dir, name)
+
+    @cached_property
+    def bronze(self) -> dict[str, DataFrame]:
+        return standins.bronze_tables(self.spark, self.sf_dir)
+
+    @cached_property
+    def stg_cpi(self) -> DataFrame:
+        return staging.stg_cpi(self.bronze["bronze_cpi_raw"])
+
+    @cached_property
+    def stg_fx(self) -> DataFrame:
+        return staging.stg_fx(self.bronze["bronze_fx_raw"])
+
+    @cached_property
+    def stg_trade(self) -> DataFrame:
+        return staging.stg_trade(self.bronze["bronze_trade_raw"])
+
+    @cached_property
+    def dim_calendar(self) -> DataFrame:
+        return marts.dim_calendar(self.spark, marts.FACT_START, self.calendar_end)
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return marts.fct_macro_monthly(self.stg_cpi, self.stg_fx, self.stg_trade, self.dim_calendar)
+
+    @cached_property
+    def fact_one_pass(self) -> DataFrame:
+        return marts.fct_macro_monthly_one_pass(self.stg_cpi, self.stg_fx, self.stg_trade,
+                                                self.dim_calendar)
+
+    @cached_property
+    def export(self) -> DataFrame:
+        return export_projection(self.fact)
