@@ -55,3 +55,390 @@ def macro_fact_one_pass(spark, sf_dir):
 def export_projection(spark, sf_dir):
     """The 17-column serving projection of the fact."""
     return MacroPipeline(spark, sf_dir).export
+
+
+# ---------------------------------------------------------------- parsing, spine, reshape
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from ..functions.dates import (COMPACT_MONTH, abbr_of_text, month_name, month_text,  # noqa: E402
+                               parse_month, year_of_text)
+from ..functions.numeric import exact_sum, lenient_double, round_to, strict_double  # noqa: E402
+from ..operators import aggregates as A  # noqa: E402
+from ..operators import quality as Q  # noqa: E402
+from ..operators import snapshots as S  # noqa: E402
+from ..operators.reshape import union_all, unpivot_columns  # noqa: E402
+from ..operators.timeseries import dim_calendar_of, month_spine_of  # noqa: E402
+from . import audit, extras, signals, standins  # noqa: E402
+
+# Stand-in parameters: the benchmark months run 1995-2001, so year bounds
+# that the dashboard sets at 2010/2020 are set inside that range here.
+STANDIN_SINCE_YEAR = 2000
+STANDIN_HISTORY_FROM = 1999
+
+
+@query
+def month_parse(spark, sf_dir):
+    """Month text -> date, year, abbreviation, name; orders per month (K1-K6)."""
+    orders = standins.read_table(spark, sf_dir, "orders")
+    counts = (orders.select(month_text("o_orderdate", COMPACT_MONTH).alias("month_text"))
+              .groupBy("month_text").agg(F.count(F.lit(1)).alias("order_count")))
+    d = parse_month("month_text", COMPACT_MONTH)
+    return counts.select("month_text", d.alias("period_date"),
+                         year_of_text("month_text").alias("period_year"),
+                         F.month(d).alias("period_month"),
+                         abbr_of_text("month_text").alias("period_month_abbr"),
+                         month_name(d).alias("month_name"), "order_count")
+
+
+@query
+def date_spine(spark, sf_dir):
+    """Calendar over the months the orders span."""
+    orders = standins.read_table(spark, sf_dir, "orders")
+    return dim_calendar_of(month_spine_of(orders, "o_orderdate"))
+
+
+@query
+def unpivot_wide(spark, sf_dir):
+    """Wide monthly measures -> (month, measure, value) rows."""
+    li = standins.read_table(spark, sf_dir, "lineitem")
+    wide = (li.groupBy(month_text("l_shipdate", COMPACT_MONTH).alias("rate_month"))
+            .agg(exact_sum("l_quantity", 2).alias("quantity"),
+                 exact_sum("l_extendedprice", 2).alias("extendedprice"),
+                 exact_sum("l_discount", 2).alias("discount"),
+                 exact_sum("l_tax", 2).alias("tax")))
+    return unpivot_columns(wide, ["rate_month"], "measure", "value")
+
+
+def _value_text(events):
+    return (F.when(F.col("event_type") == "error", F.lit("na"))
+            .when(F.col("event_type") == "signup", F.lit(""))
+            .otherwise(F.col("value").cast("string")))
+
+
+@query
+def json_flatten(spark, sf_dir):
+    """JSON text -> struct fields, grouped."""
+    ev = standins.read_table(spark, sf_dir, "events")
+    parsed = ev.select("event_type", F.from_json("props", "k BIGINT").alias("p"))
+    return (parsed.groupBy("event_type")
+            .agg(F.count(F.lit(1)).alias("events"), F.sum("p.k").alias("sum_k"),
+                 F.min("p.k").alias("min_k"), F.max("p.k").alias("max_k")))
+
+
+@query
+def lenient_cast(spark, sf_dir):
+    """Coercing number parse, then drop rows without a value."""
+    ev = standins.read_table(spark, sf_dir, "events")
+    parsed = ev.select("event_id", "event_type", lenient_double(_value_text(ev)).alias("value"))
+    return parsed.dropna(subset=["value"])
+
+
+@query
+def strict_cast(spark, sf_dir):
+    """Parse with '' and 'na' as null marks; other bad text fails (K8)."""
+    ev = standins.read_table(spark, sf_dir, "events")
+    return ev.select("event_id", "event_type", strict_double(_value_text(ev)).alias("value"))
+
+
+# ---------------------------------------------------------------- latest rows, top-k
+
+@query
+def latest_inflation(spark, sf_dir):
+    """Latest month with inflation (M1, I4)."""
+    return signals.latest_with(MacroPipeline(spark, sf_dir).export, "cpi_yoy_pct")
+
+
+@query
+def latest_fx(spark, sf_dir):
+    """Latest month with a USD rate (M2)."""
+    return signals.latest_with(MacroPipeline(spark, sf_dir).export, "usd_sgd")
+
+
+@query
+def latest_trade(spark, sf_dir):
+    """Latest month with imports (M3)."""
+    return signals.latest_with(MacroPipeline(spark, sf_dir).export, "imports_sgd_bn")
+
+
+@query
+def latest_n(spark, sf_dir):
+    """Latest 6 complete months of the fact."""
+    return audit.latest_complete(MacroPipeline(spark, sf_dir).fact)
+
+
+@query
+def top_k(spark, sf_dir):
+    """Top 5 parts by revenue with their names."""
+    li = standins.read_table(spark, sf_dir, "lineitem")
+    part = standins.read_table(spark, sf_dir, "part")
+    rev = li.select("l_partkey", (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("rev"))
+    top = A.top_k(rev, ["l_partkey"], "rev", 5, name="revenue", digits=2)
+    return top.join(part.select(F.col("p_partkey").alias("l_partkey"), "p_name"), "l_partkey", "left")
+
+
+@query
+def top_imports(spark, sf_dir):
+    """Top 5 import lines by summed value."""
+    return audit.top_trade_categories(MacroPipeline(spark, sf_dir).bronze["bronze_trade_raw"], "imports")
+
+
+@query
+def top_exports(spark, sf_dir):
+    """Top 5 export lines by summed value."""
+    return audit.top_trade_categories(MacroPipeline(spark, sf_dir).bronze["bronze_trade_raw"], "exports")
+
+
+# ---------------------------------------------------------------- dashboard signals
+
+@query
+def annual_scorecard(spark, sf_dir):
+    """Yearly inflation, rate, imports, regime and action, latest 12 years (M4)."""
+    return signals.annual_scorecard(MacroPipeline(spark, sf_dir).export)
+
+
+@query
+def annual_analysis(spark, sf_dir):
+    """The analysis page's variant of the scorecard (M4)."""
+    return signals.annual_scorecard(MacroPipeline(spark, sf_dir).export,
+                                    inflation_name="avg_cpi_yoy", imports_name="total_imports_sgd_bn")
+
+
+@query
+def sourcing_signal(spark, sf_dir):
+    """Budgets and the USD/CNY sourcing signal (M5)."""
+    return signals.sourcing_case(MacroPipeline(spark, sf_dir).export, STANDIN_SINCE_YEAR)
+
+
+@query
+def scatter_regime(spark, sf_dir):
+    """Rate against inflation with the band label (M9)."""
+    return signals.scatter_regime(MacroPipeline(spark, sf_dir).export)
+
+
+@query
+def inflation_history(spark, sf_dir):
+    """Monthly inflation percent from a start year (M6 inflation_only)."""
+    return signals.inflation_history(MacroPipeline(spark, sf_dir).export, STANDIN_HISTORY_FROM)
+
+
+@query
+def cpi_history(spark, sf_dir):
+    """Monthly inflation percent, full history (M6 cpi_history)."""
+    return signals.inflation_history(MacroPipeline(spark, sf_dir).export, None, name="cpi_yoy")
+
+
+@query
+def fx_rate_history(spark, sf_dir):
+    """USD rate from a start year (M7 fx_only)."""
+    return signals.fx_rate_history(MacroPipeline(spark, sf_dir).export, STANDIN_HISTORY_FROM)
+
+
+@query
+def fx_history(spark, sf_dir):
+    """USD, CNY and cross rate (M7 fx_history)."""
+    return signals.fx_history(MacroPipeline(spark, sf_dir).export)
+
+
+@query
+def trade_history(spark, sf_dir):
+    """Monthly imports (M8 trade_history)."""
+    return signals.trade_history(MacroPipeline(spark, sf_dir).export)
+
+
+@query
+def log_series(spark, sf_dir):
+    """ln of monthly imports (M8 log_imports, K12)."""
+    return signals.log_imports(MacroPipeline(spark, sf_dir).export)
+
+
+# ---------------------------------------------------------------- audits
+
+@query
+def balance_status(spark, sf_dir):
+    """Surplus/deficit of the latest 6 months with exports."""
+    return audit.balance_check(MacroPipeline(spark, sf_dir).fact)
+
+
+@query
+def yearly_averages(spark, sf_dir):
+    """Yearly means over complete months, latest 10 years."""
+    return audit.yearly_averages(MacroPipeline(spark, sf_dir).fact)
+
+
+@query
+def table_profile(spark, sf_dir):
+    """Rows, categories, month range, nulls per bronze table."""
+    b = MacroPipeline(spark, sf_dir).bronze
+    return audit.bronze_profiles(b["bronze_cpi_raw"], b["bronze_fx_raw"], b["bronze_trade_raw"])
+
+
+@query
+def gold_coverage(spark, sf_dir):
+    """Row count, date range and filled counts of the fact."""
+    return audit.gold_coverage(MacroPipeline(spark, sf_dir).fact)
+
+
+@query
+def silver_cpi_sample(spark, sf_dir):
+    """Latest 6 headline CPI rows."""
+    p = MacroPipeline(spark, sf_dir)
+    return audit.silver_samples(p.stg_cpi, p.stg_fx, p.stg_trade)["cpi"]
+
+
+@query
+def silver_fx_sample(spark, sf_dir):
+    """Latest 6 USD rows."""
+    p = MacroPipeline(spark, sf_dir)
+    return audit.silver_samples(p.stg_cpi, p.stg_fx, p.stg_trade)["fx"]
+
+
+@query
+def silver_trade_sample(spark, sf_dir):
+    """Latest 8 total lines."""
+    p = MacroPipeline(spark, sf_dir)
+    return audit.silver_samples(p.stg_cpi, p.stg_fx, p.stg_trade)["trade"]
+
+
+@query
+def distinct_pairs(spark, sf_dir):
+    """Distinct (trade type, commodity) in bronze."""
+    return audit.category_catalogue(MacroPipeline(spark, sf_dir).bronze["bronze_trade_raw"])
+
+
+@query
+def count_by_key(spark, sf_dir):
+    """Bronze trade rows per trade type."""
+    return audit.rows_by_trade_type(MacroPipeline(spark, sf_dir).bronze["bronze_trade_raw"])
+
+
+# ---------------------------------------------------------------- data tests, layer counts
+
+def _models(p: MacroPipeline):
+    return {"stg_cpi": p.stg_cpi, "stg_fx": p.stg_fx, "stg_trade": p.stg_trade,
+            "fct_sg_macro_monthly": p.fact, "dim_calendar": p.dim_calendar}
+
+
+@query
+def quality_report(spark, sf_dir):
+    """The fifteen declared tests as a report frame (O1-O3)."""
+    return Q.run_checks(_models(MacroPipeline(spark, sf_dir)))
+
+
+@query
+def quality_extra(spark, sf_dir):
+    """Composite-grain, calendar and rate checks named in the docs."""
+    return Q.run_checks(_models(MacroPipeline(spark, sf_dir)), Q.EXTRA_CHECKS)
+
+
+def _layer_counts(p: MacroPipeline):
+    tables = [("Bronze", "bronze_cpi_raw", p.bronze["bronze_cpi_raw"]),
+              ("Bronze", "bronze_fx_raw", p.bronze["bronze_fx_raw"]),
+              ("Bronze", "bronze_trade_raw", p.bronze["bronze_trade_raw"]),
+              ("Silver", "stg_cpi", p.stg_cpi), ("Silver", "stg_fx", p.stg_fx),
+              ("Silver", "stg_trade", p.stg_trade), ("Gold", "fct_sg_macro_monthly", p.fact)]
+    return union_all(*[df.agg(F.count(F.lit(1)).alias("row_count"))
+                       .select(F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "row_count")
+                       for layer, name, df in tables])
+
+
+@query
+def layer_counts(spark, sf_dir):
+    """Measured rows per table and layer (M10 rows_by_source, A10, J2)."""
+    return _layer_counts(MacroPipeline(spark, sf_dir))
+
+
+@query
+def medallion_layers(spark, sf_dir):
+    """Measured rows per layer (M10 medallion_layers)."""
+    return (_layer_counts(MacroPipeline(spark, sf_dir)).groupBy("layer")
+            .agg(F.sum("row_count").alias("total_rows")))
+
+
+@query
+def test_summary(spark, sf_dir):
+    """Tests passing and pass rate from the report (M10 data_quality_score)."""
+    report = Q.run_checks(_models(MacroPipeline(spark, sf_dir)))
+    return report.agg(F.count(F.lit(1)).alias("tests"),
+                      F.count_if(F.col("status") == "PASS").alias("passing"),
+                      F.count_distinct("model").alias("models_tested")).select(
+        "tests", "passing", "models_tested",
+        round_to(F.col("passing") * 100.0 / F.col("tests"), 1).alias("pass_rate"))
+
+
+# ---------------------------------------------------------------- load history
+
+RUN_TS_EARLIER = standins.RUN_TS.replace(year=2025, month=12, day=1)
+
+
+def _cpi_loads(spark, sf_dir):
+    orders = standins.read_table(spark, sf_dir, "orders")
+    earlier = standins.cpi_bronze(orders, RUN_TS_EARLIER)
+    later = standins.cpi_bronze(orders.where(F.col("o_orderstatus") == "F"), standins.RUN_TS)
+    return orders, earlier, later
+
+
+@query
+def latest_snapshot(spark, sf_dir):
+    """Two load days in bronze -> the latest load per (category, month) (T4, B1)."""
+    _, earlier, later = _cpi_loads(spark, sf_dir)
+    return S.latest_snapshot(earlier.unionByName(later), ["cpi_category", "time_period"])
+
+
+@query
+def replace_period(spark, sf_dir):
+    """Stored rows before 1998-01, incoming rows from it on."""
+    _, earlier, later = _cpi_loads(spark, sf_dir)
+    period = F.to_date("time_period", "yyyy MMM")
+    return S.replace_from(earlier, later, period, "1998-01-01")
+
+
+@query
+def incremental_months(spark, sf_dir):
+    """Stored months plus incoming months after the stored maximum."""
+    orders = standins.read_table(spark, sf_dir, "orders")
+    stored = standins.cpi_bronze(orders.where(F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp")),
+                                 RUN_TS_EARLIER)
+    incoming = standins.cpi_bronze(orders, standins.RUN_TS)
+
+    def dated(df):
+        return df.select("*", F.to_date("time_period", "yyyy MMM").alias("period_date"))
+    return S.incremental_append(dated(stored), dated(incoming), "period_date")
+
+
+# ---------------------------------------------------------------- doc-only analyses
+
+@query
+def annual_summary(spark, sf_dir):
+    """Yearly average rate and CPI, total balance."""
+    return extras.annual_summary(MacroPipeline(spark, sf_dir).fact)
+
+
+@query
+def annual_balance(spark, sf_dir):
+    """Yearly exports, imports and balance."""
+    return extras.annual_balance(MacroPipeline(spark, sf_dir).fact)
+
+
+BREAKDOWN = {"1-URGENT": "urgent", "2-HIGH": "high", "3-MEDIUM": "medium",
+             "4-NOT SPECIFIED": "not_specified", "5-LOW": "low", "All Items": "all_items"}
+
+
+@query
+def category_breakdown(spark, sf_dir):
+    """Year-on-year change per category, side by side per month."""
+    return extras.category_breakdown(MacroPipeline(spark, sf_dir).stg_cpi, BREAKDOWN)
+
+
+@query
+def rate_correlation(spark, sf_dir):
+    """Correlation of each currency's rate with headline inflation."""
+    p = MacroPipeline(spark, sf_dir)
+    return extras.rate_correlation(p.stg_fx, p.stg_cpi)
+
+
+@query
+def freshness(spark, sf_dir):
+    """Days since the latest event per type, stale above 35 days."""
+    ev = standins.read_table(spark, sf_dir, "events")
+    return extras.freshness(ev, "ts", "2024-03-05", keys=("event_type",))
