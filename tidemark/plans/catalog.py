@@ -24,19 +24,19 @@ def query(fn):
 @query
 def monthly_mom_yoy(spark, sf_dir):
     """stg_cpi: month change and year-on-year percent per category (L1, H1, H2)."""
-    return MacroPipeline(spark, sf_dir).stg_cpi
+    return MacroPipeline(spark, sf_dir, shared=False).stg_cpi
 
 
 @query
 def inverse_rate(spark, sf_dir):
     """stg_fx: positive rates of the key currencies with the inverse rate (L2)."""
-    return MacroPipeline(spark, sf_dir).stg_fx
+    return MacroPipeline(spark, sf_dir, shared=False).stg_fx
 
 
 @query
 def totals_union(spark, sf_dir):
     """stg_trade: the import total line and all export lines."""
-    return MacroPipeline(spark, sf_dir).stg_trade
+    return MacroPipeline(spark, sf_dir, shared=False).stg_trade
 
 
 @query
@@ -63,7 +63,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from ..functions.dates import (COMPACT_MONTH, abbr_of_text, month_name, month_text,  # noqa: E402
                                parse_month, year_of_text)
-from ..functions.numeric import exact_sum, lenient_double, round_to, strict_double  # noqa: E402
+from ..functions.numeric import lenient_double, round_to, strict_double, unit_sum  # noqa: E402
 from ..operators import aggregates as A  # noqa: E402
 from ..operators import quality as Q  # noqa: E402
 from ..operators import snapshots as S  # noqa: E402
@@ -103,10 +103,10 @@ def unpivot_wide(spark, sf_dir):
     """Wide monthly measures -> (month, measure, value) rows."""
     li = standins.read_table(spark, sf_dir, "lineitem")
     wide = (li.groupBy(month_text("l_shipdate", COMPACT_MONTH).alias("rate_month"))
-            .agg(exact_sum("l_quantity", 2).alias("quantity"),
-                 exact_sum("l_extendedprice", 2).alias("extendedprice"),
-                 exact_sum("l_discount", 2).alias("discount"),
-                 exact_sum("l_tax", 2).alias("tax")))
+            .agg(unit_sum("l_quantity", 2).alias("quantity"),
+                 unit_sum("l_extendedprice", 2).alias("extendedprice"),
+                 unit_sum("l_discount", 2).alias("discount"),
+                 unit_sum("l_tax", 2).alias("tax")))
     return unpivot_columns(wide, ["rate_month"], "measure", "value")
 
 
@@ -173,20 +173,21 @@ def top_k(spark, sf_dir):
     li = standins.read_table(spark, sf_dir, "lineitem")
     part = standins.read_table(spark, sf_dir, "part")
     rev = li.select("l_partkey", (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("rev"))
-    top = A.top_k(rev, ["l_partkey"], "rev", 5, name="revenue", digits=2)
+    # price (2 decimals) x (1 - discount) (2 decimals) has at most 4 decimals
+    top = A.top_k(rev, ["l_partkey"], "rev", 5, name="revenue", digits=2, value_scale=4)
     return top.join(part.select(F.col("p_partkey").alias("l_partkey"), "p_name"), "l_partkey", "left")
 
 
 @query
 def top_imports(spark, sf_dir):
     """Top 5 import lines by summed value."""
-    return audit.top_trade_categories(MacroPipeline(spark, sf_dir).bronze["bronze_trade_raw"], "imports")
+    return audit.top_trade_categories(MacroPipeline(spark, sf_dir, shared=False).bronze["bronze_trade_raw"], "imports")
 
 
 @query
 def top_exports(spark, sf_dir):
     """Top 5 export lines by summed value."""
-    return audit.top_trade_categories(MacroPipeline(spark, sf_dir).bronze["bronze_trade_raw"], "exports")
+    return audit.top_trade_categories(MacroPipeline(spark, sf_dir, shared=False).bronze["bronze_trade_raw"], "exports")
 
 
 # ---------------------------------------------------------------- dashboard signals
@@ -269,7 +270,7 @@ def yearly_averages(spark, sf_dir):
 @query
 def table_profile(spark, sf_dir):
     """Rows, categories, month range, nulls per bronze table."""
-    b = MacroPipeline(spark, sf_dir).bronze
+    b = MacroPipeline(spark, sf_dir, shared=False).bronze
     return audit.bronze_profiles(b["bronze_cpi_raw"], b["bronze_fx_raw"], b["bronze_trade_raw"])
 
 
@@ -282,34 +283,34 @@ def gold_coverage(spark, sf_dir):
 @query
 def silver_cpi_sample(spark, sf_dir):
     """Latest 6 headline CPI rows."""
-    p = MacroPipeline(spark, sf_dir)
+    p = MacroPipeline(spark, sf_dir, shared=False)
     return audit.silver_samples(p.stg_cpi, p.stg_fx, p.stg_trade)["cpi"]
 
 
 @query
 def silver_fx_sample(spark, sf_dir):
     """Latest 6 USD rows."""
-    p = MacroPipeline(spark, sf_dir)
+    p = MacroPipeline(spark, sf_dir, shared=False)
     return audit.silver_samples(p.stg_cpi, p.stg_fx, p.stg_trade)["fx"]
 
 
 @query
 def silver_trade_sample(spark, sf_dir):
     """Latest 8 total lines."""
-    p = MacroPipeline(spark, sf_dir)
+    p = MacroPipeline(spark, sf_dir, shared=False)
     return audit.silver_samples(p.stg_cpi, p.stg_fx, p.stg_trade)["trade"]
 
 
 @query
 def distinct_pairs(spark, sf_dir):
     """Distinct (trade type, commodity) in bronze."""
-    return audit.category_catalogue(MacroPipeline(spark, sf_dir).bronze["bronze_trade_raw"])
+    return audit.category_catalogue(MacroPipeline(spark, sf_dir, shared=False).bronze["bronze_trade_raw"])
 
 
 @query
 def count_by_key(spark, sf_dir):
     """Bronze trade rows per trade type."""
-    return audit.rows_by_trade_type(MacroPipeline(spark, sf_dir).bronze["bronze_trade_raw"])
+    return audit.rows_by_trade_type(MacroPipeline(spark, sf_dir, shared=False).bronze["bronze_trade_raw"])
 
 
 # ---------------------------------------------------------------- data tests, layer counts
@@ -427,13 +428,13 @@ BREAKDOWN = {"1-URGENT": "urgent", "2-HIGH": "high", "3-MEDIUM": "medium",
 @query
 def category_breakdown(spark, sf_dir):
     """Year-on-year change per category, side by side per month."""
-    return extras.category_breakdown(MacroPipeline(spark, sf_dir).stg_cpi, BREAKDOWN)
+    return extras.category_breakdown(MacroPipeline(spark, sf_dir, shared=False).stg_cpi, BREAKDOWN)
 
 
 @query
 def rate_correlation(spark, sf_dir):
     """Correlation of each currency's rate with headline inflation."""
-    p = MacroPipeline(spark, sf_dir)
+    p = MacroPipeline(spark, sf_dir, shared=False)
     return extras.rate_correlation(p.stg_fx, p.stg_cpi)
 
 

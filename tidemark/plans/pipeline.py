@@ -20,13 +20,16 @@ class MacroPipeline:
     spark: SparkSession
     sf_dir: str
     calendar_end: str = CALENDAR_END
+    # Keep the month-grain aggregates of the large tables cached for this
+    # query: set when the query reads a bronze table more than once.
+    shared: bool = True
 
     def table(self, name: str) -> DataFrame:
         return standins.read_table(self.spark, self.sf_dir, name)
 
     @cached_property
     def bronze(self) -> dict[str, DataFrame]:
-        return standins.bronze_tables(self.spark, self.sf_dir)
+        return standins.bronze_tables(self.spark, self.sf_dir, persist=self.shared)
 
     @cached_property
     def stg_cpi(self) -> DataFrame:

@@ -21,6 +21,11 @@ BASE_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+    # PySpark 4 records the Python call site of every DataFrame/Column call
+    # for error messages; that costs several JVM round trips per call and
+    # dominated query-construction time. Errors still carry the JVM context.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
