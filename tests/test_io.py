@@ -161,3 +161,18 @@ def test_streaming_landing_loads_each_file_once(spark, scratch):
     write_json(f"{land}/b.json", cpi_payload([("Food", [("2024 Jan", "101.0")])]))
     load_cpi_landing(spark, land, bronze, ckpt, run_ts=T2)
     assert sinks.read_bronze(spark, bronze).count() == 3
+
+
+def test_views_listing_audit_columns_and_sample(spark, scratch):
+    from tidemark.plans import audit
+    from tidemark.plans.pipeline import MacroPipeline
+    p = MacroPipeline(spark, "/root/testdata/sf0.001", shared=False)
+    sinks.register_views({"stg_fx_view": p.stg_fx})
+    names = {r.tableName for r in landed.list_tables(spark).collect()}
+    assert "stg_fx_view" in names
+    assert spark.sql("SELECT COUNT(*) AS n FROM stg_fx_view").first().n == p.stg_fx.count()
+    audited = landed.with_audit_columns(p.stg_fx, source_api="fx_pages_v1", loaded_at=T1)
+    rows = audited.select("loaded_at", "source_api", "batch_id").distinct().collect()
+    assert len(rows) == 1 and rows[0].source_api == "fx_pages_v1" and rows[0].loaded_at == T1
+    sample = audit.trade_sample(p.bronze["bronze_trade_raw"]).collect()
+    assert len(sample) == 5 and all(r.trade_type == "exports" for r in sample)

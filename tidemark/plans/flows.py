@@ -22,11 +22,15 @@ def load_sources(spark: SparkSession, *, cpi_files, fx_files, imports_files, exp
     append; FX and trade are fully replaced. Returns rows written per table."""
     counts = {}
     cpi = landed.read_cpi_payload(spark, cpi_files, run_ts)
-    counts["bronze_cpi_raw"] = sinks.append_daily(cpi, os.path.join(bronze_dir, "bronze_cpi_raw"))["rows"]
+    counts["bronze_cpi_raw"] = sinks.append_daily(cpi, os.path.join(bronze_dir, "bronze_cpi_raw"),
+                                                  sort_by=("cpi_category", "time_period"))["rows"]
     fx = landed.read_fx_pages(spark, fx_files, run_ts)
-    counts["bronze_fx_raw"] = sinks.replace_table(fx, os.path.join(bronze_dir, "bronze_fx_raw"))["rows"]
+    counts["bronze_fx_raw"] = sinks.replace_table(fx, os.path.join(bronze_dir, "bronze_fx_raw"),
+                                                  sort_by=("currency_pair", "rate_month"))["rows"]
     trade = landed.read_trade_pages(spark, imports_files, exports_files, run_ts)
-    counts["bronze_trade_raw"] = sinks.replace_table(trade, os.path.join(bronze_dir, "bronze_trade_raw"))["rows"]
+    counts["bronze_trade_raw"] = sinks.replace_table(
+        trade, os.path.join(bronze_dir, "bronze_trade_raw"),
+        sort_by=("trade_type", "commodity_category", "trade_month"))["rows"]
     return counts
 
 

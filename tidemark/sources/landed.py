@@ -111,6 +111,20 @@ def read_trade_pages(spark: SparkSession, imports_paths, exports_paths, run_ts=N
                        "trade_value_sgd_million", _run_ts(run_ts).alias("ingested_at"))
 
 
+def with_audit_columns(df: DataFrame, *, source_api: str, batch_id: str | None = None,
+                       loaded_at=None) -> DataFrame:
+    """Opt-in audit columns: load time, source name and a batch id per run.
+
+    ``batch_id`` defaults to one random UUID for the whole run (``uuid()`` is
+    per row, so the id is drawn once here instead).
+    """
+    import uuid
+
+    batch = batch_id or str(uuid.uuid4())
+    return df.select("*", _run_ts(loaded_at).alias("loaded_at"),
+                     F.lit(source_api).alias("source_api"), F.lit(batch).alias("batch_id"))
+
+
 def read_export_csv(spark: SparkSession, path: str) -> DataFrame:
     """The serving CSV with its explicit schema (no inference pass)."""
     return spark.read.schema(schemas.EXPORT).option("header", True).option("mode", "FAILFAST").csv(path)
