@@ -50,3 +50,19 @@ def test_currency_filter_reaches_scan(spark):
 def test_top_k_is_take_ordered(spark):
     p = plan(E.queries()["top_k"](spark, SF_SMALL))
     assert "TakeOrderedAndProject" in p
+
+
+def test_top_k_names_come_from_a_semi_join_over_part(spark):
+    p = plan(E.queries()["top_k"](spark, SF_SMALL))
+    assert "LeftSemi" in p
+    # part is streamed through the semi-join; what gets broadcast above it is the
+    # semi-join output (at most k rows), never a bare scan of part
+    for block in p.split("BroadcastExchange")[1:]:
+        first_op = block.split("\n")[1].strip(" :+-")
+        assert not first_op.startswith("FileScan parquet [p_partkey"), first_op
+
+
+def test_fact_sides_read_the_shared_month_grain_cache(spark):
+    spark.catalog.clearCache()
+    p = plan(MacroPipeline(spark, SF_SMALL).fact)
+    assert "InMemoryTableScan" in p

@@ -6,10 +6,12 @@ or directly), so its work grows with them.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import prefer_fast_construction
 from .pipeline import MacroPipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,7 +19,11 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
+    @functools.wraps(fn)
+    def run(spark, sf_dir):
+        prefer_fast_construction(spark)
+        return fn(spark, sf_dir)
+    QUERIES[fn.__name__] = run
     return fn
 
 
@@ -67,6 +73,7 @@ from ..functions.numeric import lenient_double, round_to, strict_double, unit_su
 from ..operators import aggregates as A  # noqa: E402
 from ..operators import quality as Q  # noqa: E402
 from ..operators import snapshots as S  # noqa: E402
+from ..operators.lookups import attach_attributes  # noqa: E402
 from ..operators.reshape import union_all, unpivot_columns  # noqa: E402
 from ..operators.timeseries import dim_calendar_of, month_spine_of  # noqa: E402
 from . import audit, extras, signals, standins  # noqa: E402
@@ -175,7 +182,8 @@ def top_k(spark, sf_dir):
     rev = li.select("l_partkey", (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("rev"))
     # price (2 decimals) x (1 - discount) (2 decimals) has at most 4 decimals
     top = A.top_k(rev, ["l_partkey"], "rev", 5, name="revenue", digits=2, value_scale=4)
-    return top.join(part.select(F.col("p_partkey").alias("l_partkey"), "p_name"), "l_partkey", "left")
+    # k rows: broadcast the k keys into a semi-join over part, never part itself
+    return attach_attributes(top, part, "l_partkey", ["p_name"], large_key="p_partkey")
 
 
 @query

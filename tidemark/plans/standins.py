@@ -53,6 +53,12 @@ TABLE_SCHEMAS = {
 }
 
 
+def _audit_ts(run_ts):
+    """The run's audit time as a zone-free timestamp (TIMESTAMP_NTZ), so the
+    stand-in tables read the same in any session time zone."""
+    return F.lit(run_ts.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reader = spark.read
     if name in TABLE_SCHEMAS:
@@ -108,7 +114,7 @@ def cpi_bronze_of(by_priority: DataFrame, run_ts=RUN_TS) -> DataFrame:
     both = by_priority.unionByName(headline)
     return both.select("cpi_category", month_text("month", SPACED_MONTH).alias("time_period"),
                        (F.col("cents") / float(10 ** MONEY_SCALE)).alias("cpi_value"),
-                       F.lit(run_ts).alias("ingested_at"))
+                       _audit_ts(run_ts).alias("ingested_at"))
 
 
 def fx_bronze_of(monthly: DataFrame, run_ts=RUN_TS) -> DataFrame:
@@ -118,7 +124,7 @@ def fx_bronze_of(monthly: DataFrame, run_ts=RUN_TS) -> DataFrame:
     mean_tax = (F.col("tax_cents") / float(10 ** MONEY_SCALE)) / F.col("tax_n")
     return by_flag.select("currency_pair", month_text("month", COMPACT_MONTH).alias("rate_month"),
                           round_to(F.lit(1.0) + mean_tax * 10, 4).alias("exchange_rate"),
-                          F.lit(run_ts).alias("ingested_at"))
+                          _audit_ts(run_ts).alias("ingested_at"))
 
 
 def trade_bronze_of(monthly: DataFrame, run_ts=RUN_TS) -> DataFrame:
@@ -139,7 +145,7 @@ def trade_bronze_of(monthly: DataFrame, run_ts=RUN_TS) -> DataFrame:
             .select("commodity_category", "trade_type",
                     month_text("month", COMPACT_MONTH).alias("trade_month"),
                     (F.col("price_cents") / float(10 ** MONEY_SCALE)).alias("trade_value_sgd_million"),
-                    F.lit(run_ts).alias("ingested_at")))
+                    _audit_ts(run_ts).alias("ingested_at")))
 
 
 def fx_bronze(lineitem: DataFrame, run_ts=RUN_TS) -> DataFrame:

@@ -62,5 +62,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or configured
 
 
+DEBUG_CALL_SITES = "spark.python.sql.dataFrameDebugging.enabled"
+
+
+def prefer_fast_construction(spark: SparkSession) -> None:
+    """Turn off PySpark's per-call call-site capture unless the user set it.
+
+    It only enriches error messages and costs several JVM round trips per
+    DataFrame/Column call. PySpark reads the setting once per process, so
+    this takes effect when called before the first DataFrame call.
+    """
+    try:
+        if spark.conf.get(DEBUG_CALL_SITES, None) is None:
+            spark.conf.set(DEBUG_CALL_SITES, "false")
+    except Exception:  # noqa: BLE001 - a locked-down session keeps its setting
+        pass
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
