@@ -88,3 +88,39 @@ def trade_sample(trade: DataFrame, trade_type: str = EXPORTS, n: int = 5) -> Dat
             .limit(n))
 
 
+
+
+# How the pipeline page names each source.
+SOURCE_LABELS = (
+    ("bronze_cpi_raw", "SingStat", "CPI by category", "CPI"),
+    ("bronze_fx_raw", "MAS", "SGD exchange rates", "FX Rates"),
+    ("bronze_trade_raw", "Enterprise SG", "Merchandise trade", "Trade"),
+)
+
+
+def pipeline_stats(profiles: DataFrame) -> DataFrame:
+    """Per source: dataset, frequency, first year, rows and categories, all
+    measured from the bronze profiles (one row per table)."""
+    label = None
+    for table, source, dataset, _short in SOURCE_LABELS:
+        cond = F.col("table_name") == table
+        pair = F.struct(F.lit(source).alias("source"), F.lit(dataset).alias("dataset"))
+        label = F.when(cond, pair) if label is None else label.when(cond, pair)
+    return profiles.select(label.alias("l"), "*").select(
+        "l.source", "l.dataset", F.lit("Monthly").alias("frequency"),
+        F.year("first_month").cast("string").alias("since"),
+        F.col("row_count").alias("rows"), "categories")
+
+
+def rows_by_source(profiles: DataFrame) -> DataFrame:
+    short = None
+    for table, _source, _dataset, name in SOURCE_LABELS:
+        cond = F.col("table_name") == table
+        short = F.when(cond, F.lit(name)) if short is None else short.when(cond, F.lit(name))
+    return profiles.select(short.alias("source"), F.col("row_count").alias("rows"))
+
+
+def test_results(report: DataFrame) -> DataFrame:
+    """The data-test report in the page's shape: 'test — column', model, status, rows checked."""
+    return report.select(F.concat_ws(" \u2014 ", "test", "column_name").alias("test_name"),
+                         "model", "status", "rows_checked")

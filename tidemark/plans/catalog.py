@@ -364,6 +364,28 @@ def medallion_layers(spark, sf_dir):
             .agg(F.sum("row_count").alias("total_rows")))
 
 
+@query
+def pipeline_stats(spark, sf_dir):
+    """Source, dataset, frequency, first year, rows, categories, measured."""
+    b = MacroPipeline(spark, sf_dir, shared=False).bronze
+    return audit.pipeline_stats(audit.bronze_profiles(b["bronze_cpi_raw"], b["bronze_fx_raw"],
+                                                      b["bronze_trade_raw"]))
+
+
+@query
+def rows_by_source(spark, sf_dir):
+    """Bronze rows per source, measured."""
+    b = MacroPipeline(spark, sf_dir, shared=False).bronze
+    return audit.rows_by_source(audit.bronze_profiles(b["bronze_cpi_raw"], b["bronze_fx_raw"],
+                                                      b["bronze_trade_raw"]))
+
+
+@query
+def test_results(spark, sf_dir):
+    """The fifteen tests with status and rows checked, in the page's shape."""
+    return audit.test_results(Q.run_checks(_models(MacroPipeline(spark, sf_dir))))
+
+
 @query
 def test_summary(spark, sf_dir):
     """Tests passing and pass rate from the report (M10 data_quality_score)."""

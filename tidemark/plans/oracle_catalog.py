@@ -316,3 +316,28 @@ SELECT event_type, last_loaded, days_stale, days_stale > 35 AS is_stale FROM (
          date_diff('day', CAST(MAX(ts) AS DATE), DATE '2024-03-05') AS days_stale
   FROM events GROUP BY event_type) f""",
 })
+
+
+PROFILES = ("profiles AS (" + _profile("bronze_cpi_raw", "cpi_category", "time_period", "%Y %b", "cpi_value")
+            + "\nUNION ALL" + _profile("bronze_fx_raw", "currency_pair", "rate_month", "%Y%b", "exchange_rate")
+            + "\nUNION ALL" + _profile("bronze_trade_raw", "commodity_category", "trade_month", "%Y%b",
+                                       "trade_value_sgd_million") + ")")
+
+ORACLE.update({
+    "pipeline_stats": W([O.BRONZE_CPI, O.BRONZE_FX, O.BRONZE_TRADE, PROFILES], """
+SELECT CASE table_name WHEN 'bronze_cpi_raw' THEN 'SingStat' WHEN 'bronze_fx_raw' THEN 'MAS'
+                       WHEN 'bronze_trade_raw' THEN 'Enterprise SG' END AS source,
+       CASE table_name WHEN 'bronze_cpi_raw' THEN 'CPI by category'
+                       WHEN 'bronze_fx_raw' THEN 'SGD exchange rates'
+                       WHEN 'bronze_trade_raw' THEN 'Merchandise trade' END AS dataset,
+       'Monthly' AS frequency, CAST(year(first_month) AS VARCHAR) AS since,
+       row_count AS rows, categories
+FROM profiles"""),
+    "rows_by_source": W([O.BRONZE_CPI, O.BRONZE_FX, O.BRONZE_TRADE, PROFILES], """
+SELECT CASE table_name WHEN 'bronze_cpi_raw' THEN 'CPI' WHEN 'bronze_fx_raw' THEN 'FX Rates'
+                       WHEN 'bronze_trade_raw' THEN 'Trade' END AS source, row_count AS rows
+FROM profiles"""),
+    "test_results": W(O.GOLD, f"""
+SELECT test || ' \u2014 ' || column_name AS test_name, {FACT_NAME}, status, rows_checked
+FROM ({_checks_sql(MODEL_CHECKS)}) r"""),
+})
