@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import prefer_fast_construction
-from .pipeline import MacroPipeline
+from .pipeline import MacroPipeline, pipeline_for
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,37 +30,37 @@ def query(fn):
 @query
 def monthly_mom_yoy(spark, sf_dir):
     """stg_cpi: month change and year-on-year percent per category (L1, H1, H2)."""
-    return MacroPipeline(spark, sf_dir, shared=False).stg_cpi
+    return pipeline_for(spark, sf_dir, shared=False).stg_cpi
 
 
 @query
 def inverse_rate(spark, sf_dir):
     """stg_fx: positive rates of the key currencies with the inverse rate (L2)."""
-    return MacroPipeline(spark, sf_dir, shared=False).stg_fx
+    return pipeline_for(spark, sf_dir, shared=False).stg_fx
 
 
 @query
 def totals_union(spark, sf_dir):
     """stg_trade: the import total line and all export lines."""
-    return MacroPipeline(spark, sf_dir, shared=False).stg_trade
+    return pipeline_for(spark, sf_dir, shared=False).stg_trade
 
 
 @query
 def macro_fact(spark, sf_dir):
     """fct_sg_macro_monthly as the model: filtered sides and five left joins."""
-    return MacroPipeline(spark, sf_dir).fact
+    return pipeline_for(spark, sf_dir).fact
 
 
 @query
 def macro_fact_one_pass(spark, sf_dir):
     """The same fact with conditional aggregates: two joins instead of four."""
-    return MacroPipeline(spark, sf_dir).fact_one_pass
+    return pipeline_for(spark, sf_dir).fact_one_pass
 
 
 @query
 def export_projection(spark, sf_dir):
     """The 17-column serving projection of the fact."""
-    return MacroPipeline(spark, sf_dir).export
+    return pipeline_for(spark, sf_dir).export
 
 
 # ---------------------------------------------------------------- parsing, spine, reshape
@@ -153,25 +153,25 @@ def strict_cast(spark, sf_dir):
 @query
 def latest_inflation(spark, sf_dir):
     """Latest month with inflation (M1, I4)."""
-    return signals.latest_with(MacroPipeline(spark, sf_dir).export, "cpi_yoy_pct")
+    return signals.latest_with(pipeline_for(spark, sf_dir).export, "cpi_yoy_pct")
 
 
 @query
 def latest_fx(spark, sf_dir):
     """Latest month with a USD rate (M2)."""
-    return signals.latest_with(MacroPipeline(spark, sf_dir).export, "usd_sgd")
+    return signals.latest_with(pipeline_for(spark, sf_dir).export, "usd_sgd")
 
 
 @query
 def latest_trade(spark, sf_dir):
     """Latest month with imports (M3)."""
-    return signals.latest_with(MacroPipeline(spark, sf_dir).export, "imports_sgd_bn")
+    return signals.latest_with(pipeline_for(spark, sf_dir).export, "imports_sgd_bn")
 
 
 @query
 def latest_n(spark, sf_dir):
     """Latest 6 complete months of the fact."""
-    return audit.latest_complete(MacroPipeline(spark, sf_dir).fact)
+    return audit.latest_complete(pipeline_for(spark, sf_dir).fact)
 
 
 @query
@@ -189,13 +189,13 @@ def top_k(spark, sf_dir):
 @query
 def top_imports(spark, sf_dir):
     """Top 5 import lines by summed value."""
-    return audit.top_trade_categories(MacroPipeline(spark, sf_dir, shared=False).bronze["bronze_trade_raw"], "imports")
+    return audit.top_trade_categories(pipeline_for(spark, sf_dir, shared=False).bronze["bronze_trade_raw"], "imports")
 
 
 @query
 def top_exports(spark, sf_dir):
     """Top 5 export lines by summed value."""
-    return audit.top_trade_categories(MacroPipeline(spark, sf_dir, shared=False).bronze["bronze_trade_raw"], "exports")
+    return audit.top_trade_categories(pipeline_for(spark, sf_dir, shared=False).bronze["bronze_trade_raw"], "exports")
 
 
 # ---------------------------------------------------------------- dashboard signals
@@ -203,62 +203,62 @@ def top_exports(spark, sf_dir):
 @query
 def annual_scorecard(spark, sf_dir):
     """Yearly inflation, rate, imports, regime and action, latest 12 years (M4)."""
-    return signals.annual_scorecard(MacroPipeline(spark, sf_dir).export)
+    return signals.annual_scorecard(pipeline_for(spark, sf_dir).export)
 
 
 @query
 def annual_analysis(spark, sf_dir):
     """The analysis page's variant of the scorecard (M4)."""
-    return signals.annual_scorecard(MacroPipeline(spark, sf_dir).export,
+    return signals.annual_scorecard(pipeline_for(spark, sf_dir).export,
                                     inflation_name="avg_cpi_yoy", imports_name="total_imports_sgd_bn")
 
 
 @query
 def sourcing_signal(spark, sf_dir):
     """Budgets and the USD/CNY sourcing signal (M5)."""
-    return signals.sourcing_case(MacroPipeline(spark, sf_dir).export, STANDIN_SINCE_YEAR)
+    return signals.sourcing_case(pipeline_for(spark, sf_dir).export, STANDIN_SINCE_YEAR)
 
 
 @query
 def scatter_regime(spark, sf_dir):
     """Rate against inflation with the band label (M9)."""
-    return signals.scatter_regime(MacroPipeline(spark, sf_dir).export)
+    return signals.scatter_regime(pipeline_for(spark, sf_dir).export)
 
 
 @query
 def inflation_history(spark, sf_dir):
     """Monthly inflation percent from a start year (M6 inflation_only)."""
-    return signals.inflation_history(MacroPipeline(spark, sf_dir).export, STANDIN_HISTORY_FROM)
+    return signals.inflation_history(pipeline_for(spark, sf_dir).export, STANDIN_HISTORY_FROM)
 
 
 @query
 def cpi_history(spark, sf_dir):
     """Monthly inflation percent, full history (M6 cpi_history)."""
-    return signals.inflation_history(MacroPipeline(spark, sf_dir).export, None, name="cpi_yoy")
+    return signals.inflation_history(pipeline_for(spark, sf_dir).export, None, name="cpi_yoy")
 
 
 @query
 def fx_rate_history(spark, sf_dir):
     """USD rate from a start year (M7 fx_only)."""
-    return signals.fx_rate_history(MacroPipeline(spark, sf_dir).export, STANDIN_HISTORY_FROM)
+    return signals.fx_rate_history(pipeline_for(spark, sf_dir).export, STANDIN_HISTORY_FROM)
 
 
 @query
 def fx_history(spark, sf_dir):
     """USD, CNY and cross rate (M7 fx_history)."""
-    return signals.fx_history(MacroPipeline(spark, sf_dir).export)
+    return signals.fx_history(pipeline_for(spark, sf_dir).export)
 
 
 @query
 def trade_history(spark, sf_dir):
     """Monthly imports (M8 trade_history)."""
-    return signals.trade_history(MacroPipeline(spark, sf_dir).export)
+    return signals.trade_history(pipeline_for(spark, sf_dir).export)
 
 
 @query
 def log_series(spark, sf_dir):
     """ln of monthly imports (M8 log_imports, K12)."""
-    return signals.log_imports(MacroPipeline(spark, sf_dir).export)
+    return signals.log_imports(pipeline_for(spark, sf_dir).export)
 
 
 # ---------------------------------------------------------------- audits
@@ -266,59 +266,59 @@ def log_series(spark, sf_dir):
 @query
 def balance_status(spark, sf_dir):
     """Surplus/deficit of the latest 6 months with exports."""
-    return audit.balance_check(MacroPipeline(spark, sf_dir).fact)
+    return audit.balance_check(pipeline_for(spark, sf_dir).fact)
 
 
 @query
 def yearly_averages(spark, sf_dir):
     """Yearly means over complete months, latest 10 years."""
-    return audit.yearly_averages(MacroPipeline(spark, sf_dir).fact)
+    return audit.yearly_averages(pipeline_for(spark, sf_dir).fact)
 
 
 @query
 def table_profile(spark, sf_dir):
     """Rows, categories, month range, nulls per bronze table."""
-    b = MacroPipeline(spark, sf_dir, shared=False).bronze
+    b = pipeline_for(spark, sf_dir, shared=False).bronze
     return audit.bronze_profiles(b["bronze_cpi_raw"], b["bronze_fx_raw"], b["bronze_trade_raw"])
 
 
 @query
 def gold_coverage(spark, sf_dir):
     """Row count, date range and filled counts of the fact."""
-    return audit.gold_coverage(MacroPipeline(spark, sf_dir).fact)
+    return audit.gold_coverage(pipeline_for(spark, sf_dir).fact)
 
 
 @query
 def silver_cpi_sample(spark, sf_dir):
     """Latest 6 headline CPI rows."""
-    p = MacroPipeline(spark, sf_dir, shared=False)
+    p = pipeline_for(spark, sf_dir, shared=False)
     return audit.silver_samples(p.stg_cpi, p.stg_fx, p.stg_trade)["cpi"]
 
 
 @query
 def silver_fx_sample(spark, sf_dir):
     """Latest 6 USD rows."""
-    p = MacroPipeline(spark, sf_dir, shared=False)
+    p = pipeline_for(spark, sf_dir, shared=False)
     return audit.silver_samples(p.stg_cpi, p.stg_fx, p.stg_trade)["fx"]
 
 
 @query
 def silver_trade_sample(spark, sf_dir):
     """Latest 8 total lines."""
-    p = MacroPipeline(spark, sf_dir, shared=False)
+    p = pipeline_for(spark, sf_dir, shared=False)
     return audit.silver_samples(p.stg_cpi, p.stg_fx, p.stg_trade)["trade"]
 
 
 @query
 def distinct_pairs(spark, sf_dir):
     """Distinct (trade type, commodity) in bronze."""
-    return audit.category_catalogue(MacroPipeline(spark, sf_dir, shared=False).bronze["bronze_trade_raw"])
+    return audit.category_catalogue(pipeline_for(spark, sf_dir, shared=False).bronze["bronze_trade_raw"])
 
 
 @query
 def count_by_key(spark, sf_dir):
     """Bronze trade rows per trade type."""
-    return audit.rows_by_trade_type(MacroPipeline(spark, sf_dir, shared=False).bronze["bronze_trade_raw"])
+    return audit.rows_by_trade_type(pipeline_for(spark, sf_dir, shared=False).bronze["bronze_trade_raw"])
 
 
 # ---------------------------------------------------------------- data tests, layer counts
@@ -331,13 +331,13 @@ def _models(p: MacroPipeline):
 @query
 def quality_report(spark, sf_dir):
     """The fifteen declared tests as a report frame (O1-O3)."""
-    return Q.run_checks(_models(MacroPipeline(spark, sf_dir)))
+    return Q.run_checks(_models(pipeline_for(spark, sf_dir)))
 
 
 @query
 def quality_extra(spark, sf_dir):
     """Composite-grain, calendar and rate checks named in the docs."""
-    return Q.run_checks(_models(MacroPipeline(spark, sf_dir)), Q.EXTRA_CHECKS)
+    return Q.run_checks(_models(pipeline_for(spark, sf_dir)), Q.EXTRA_CHECKS)
 
 
 def _layer_counts(p: MacroPipeline):
@@ -354,20 +354,20 @@ def _layer_counts(p: MacroPipeline):
 @query
 def layer_counts(spark, sf_dir):
     """Measured rows per table and layer (M10 rows_by_source, A10, J2)."""
-    return _layer_counts(MacroPipeline(spark, sf_dir))
+    return _layer_counts(pipeline_for(spark, sf_dir))
 
 
 @query
 def medallion_layers(spark, sf_dir):
     """Measured rows per layer (M10 medallion_layers)."""
-    return (_layer_counts(MacroPipeline(spark, sf_dir)).groupBy("layer")
+    return (_layer_counts(pipeline_for(spark, sf_dir)).groupBy("layer")
             .agg(F.sum("row_count").alias("total_rows")))
 
 
 @query
 def pipeline_stats(spark, sf_dir):
     """Source, dataset, frequency, first year, rows, categories, measured."""
-    b = MacroPipeline(spark, sf_dir, shared=False).bronze
+    b = pipeline_for(spark, sf_dir, shared=False).bronze
     return audit.pipeline_stats(audit.bronze_profiles(b["bronze_cpi_raw"], b["bronze_fx_raw"],
                                                       b["bronze_trade_raw"]))
 
@@ -375,7 +375,7 @@ def pipeline_stats(spark, sf_dir):
 @query
 def rows_by_source(spark, sf_dir):
     """Bronze rows per source, measured."""
-    b = MacroPipeline(spark, sf_dir, shared=False).bronze
+    b = pipeline_for(spark, sf_dir, shared=False).bronze
     return audit.rows_by_source(audit.bronze_profiles(b["bronze_cpi_raw"], b["bronze_fx_raw"],
                                                       b["bronze_trade_raw"]))
 
@@ -383,13 +383,13 @@ def rows_by_source(spark, sf_dir):
 @query
 def test_results(spark, sf_dir):
     """The fifteen tests with status and rows checked, in the page's shape."""
-    return audit.test_results(Q.run_checks(_models(MacroPipeline(spark, sf_dir))))
+    return audit.test_results(Q.run_checks(_models(pipeline_for(spark, sf_dir))))
 
 
 @query
 def test_summary(spark, sf_dir):
     """Tests passing and pass rate from the report (M10 data_quality_score)."""
-    report = Q.run_checks(_models(MacroPipeline(spark, sf_dir)))
+    report = Q.run_checks(_models(pipeline_for(spark, sf_dir)))
     return report.agg(F.count(F.lit(1)).alias("tests"),
                       F.count_if(F.col("status") == "PASS").alias("passing"),
                       F.count_distinct("model").alias("models_tested")).select(
@@ -442,13 +442,13 @@ def incremental_months(spark, sf_dir):
 @query
 def annual_summary(spark, sf_dir):
     """Yearly average rate and CPI, total balance."""
-    return extras.annual_summary(MacroPipeline(spark, sf_dir).fact)
+    return extras.annual_summary(pipeline_for(spark, sf_dir).fact)
 
 
 @query
 def annual_balance(spark, sf_dir):
     """Yearly exports, imports and balance."""
-    return extras.annual_balance(MacroPipeline(spark, sf_dir).fact)
+    return extras.annual_balance(pipeline_for(spark, sf_dir).fact)
 
 
 BREAKDOWN = {"1-URGENT": "urgent", "2-HIGH": "high", "3-MEDIUM": "medium",
@@ -458,13 +458,13 @@ BREAKDOWN = {"1-URGENT": "urgent", "2-HIGH": "high", "3-MEDIUM": "medium",
 @query
 def category_breakdown(spark, sf_dir):
     """Year-on-year change per category, side by side per month."""
-    return extras.category_breakdown(MacroPipeline(spark, sf_dir, shared=False).stg_cpi, BREAKDOWN)
+    return extras.category_breakdown(pipeline_for(spark, sf_dir, shared=False).stg_cpi, BREAKDOWN)
 
 
 @query
 def rate_correlation(spark, sf_dir):
     """Correlation of each currency's rate with headline inflation."""
-    p = MacroPipeline(spark, sf_dir, shared=False)
+    p = pipeline_for(spark, sf_dir, shared=False)
     return extras.rate_correlation(p.stg_fx, p.stg_cpi)
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import weakref
 from dataclasses import dataclass
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from . import marts, staging, standins
@@ -13,23 +15,51 @@ from .export import export_projection
 CALENDAR_END = "2026-12-01"
 
 
-@dataclass
+@dataclass(eq=False)
 class MacroPipeline:
     """Lazy frames of every layer; nothing runs until a query acts on one."""
 
     spark: SparkSession
     sf_dir: str
     calendar_end: str = CALENDAR_END
-    # Keep the month-grain aggregates of the large tables cached for this
-    # query: set when the query reads a bronze table more than once.
+    # Keep the month-grain aggregates of the large tables cached: set when
+    # queries read a bronze table more than once (the fact reads FX twice
+    # and trade twice; without a shared copy each filtered read would be
+    # pushed down into its own scan of the large table).
     shared: bool = True
 
     def table(self, name: str) -> DataFrame:
         return standins.read_table(self.spark, self.sf_dir, name)
 
+    @cached_property
+    def orders_monthly(self) -> DataFrame:
+        return standins.orders_monthly(self.table("orders"))
+
+    @cached_property
+    def lineitem_monthly(self) -> DataFrame:
+        return standins.lineitem_monthly(self.table("lineitem"))
+
+    def ensure_shared(self) -> "MacroPipeline":
+        """(Re-)register the shared month-grain frames in the session cache.
+
+        They hold one row per (series, month): bounded by the calendar, not
+        by the tables. Lost blocks are recomputed from lineage; after the
+        cache is cleared this registers them again.
+        """
+        if self.shared:
+            for df in (self.orders_monthly, self.lineitem_monthly):
+                if not df.storageLevel.useMemory and not df.storageLevel.useDisk:
+                    df.persist(StorageLevel.MEMORY_AND_DISK)
+        return self
+
     @cached_property
     def bronze(self) -> dict[str, DataFrame]:
-        return standins.bronze_tables(self.spark, self.sf_dir, persist=self.shared)
+        self.ensure_shared()
+        return {
+            "bronze_cpi_raw": standins.cpi_bronze_of(self.orders_monthly),
+            "bronze_fx_raw": standins.fx_bronze_of(self.lineitem_monthly),
+            "bronze_trade_raw": standins.trade_bronze_of(self.lineitem_monthly),
+        }
 
     @cached_property
     def stg_cpi(self) -> DataFrame:
@@ -59,3 +89,26 @@ class MacroPipeline:
     @cached_property
     def export(self) -> DataFrame:
         return export_projection(self.fact)
+
+
+# Lazy frames are immutable plans, so the registered queries build each
+# pipeline once per session and data folder and share its frames; only the
+# Python-side construction is reused, every execution still reads the files
+# (or the shared month-grain cache while it is registered).
+_BUILT: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+
+
+def pipeline_for(spark: SparkSession, sf_dir: str, shared: bool = True) -> MacroPipeline:
+    per_session = _BUILT.setdefault(spark, {})
+    key = (sf_dir, shared)
+    if key not in per_session:
+        per_session[key] = MacroPipeline(spark, sf_dir, shared=shared)
+    return per_session[key].ensure_shared()
+
+
+def forget_pipelines(spark: SparkSession | None = None) -> None:
+    """Drop built pipelines (call after the input files change)."""
+    if spark is None:
+        _BUILT.clear()
+    else:
+        _BUILT.pop(spark, None)

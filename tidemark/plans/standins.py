@@ -22,7 +22,6 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -156,22 +155,10 @@ def trade_bronze(lineitem: DataFrame, run_ts=RUN_TS) -> DataFrame:
     return trade_bronze_of(lineitem_monthly(lineitem), run_ts)
 
 
-def bronze_tables(spark: SparkSession, sf_dir: str, persist: bool = True) -> dict[str, DataFrame]:
-    """The three stand-in bronze tables.
-
-    With ``persist`` the two month-grain aggregates of the large tables are
-    kept in the session cache (memory, spilling to disk). The models read
-    them several times (the fact reads FX twice and trade twice); without a
-    shared copy each filtered read is pushed down into its own scan of the
-    large table. They hold one row per (series, month), so their size is
-    bounded by the calendar, not by the tables; lost blocks are recomputed
-    from lineage. Persist only when a query reads them more than once.
-    """
+def bronze_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The three stand-in bronze tables (uncached; see ``pipeline.MacroPipeline``)."""
     by_priority = orders_monthly(read_table(spark, sf_dir, "orders"))
     monthly = lineitem_monthly(read_table(spark, sf_dir, "lineitem"))
-    if persist:
-        by_priority = by_priority.persist(StorageLevel.MEMORY_AND_DISK)
-        monthly = monthly.persist(StorageLevel.MEMORY_AND_DISK)
     return {
         "bronze_cpi_raw": cpi_bronze_of(by_priority),
         "bronze_fx_raw": fx_bronze_of(monthly),
