@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import COMPACT_MONTH, SPACED_MONTH
-from ..functions.labels import EXPORTS, HEADLINE_CPI, IMPORT_TOTAL, IMPORTS, USD, balance_status
+from ..functions.labels import EXPORTS, HEADLINE_CPI, IMPORT_TOTAL, USD, balance_status
 from ..functions.numeric import exact_avg, round_to
 from ..operators.aggregates import coverage, latest_rows, table_profile, top_k
 from ..operators.reshape import union_all

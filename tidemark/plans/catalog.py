@@ -10,8 +10,19 @@ import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+
+from ..functions.dates import (COMPACT_MONTH, abbr_of_text, month_name, month_text, parse_month,
+                               year_of_text)
+from ..functions.numeric import lenient_double, round_to, strict_double, unit_sum
+from ..operators import aggregates as A
+from ..operators import quality as Q
+from ..operators import snapshots as S
+from ..operators.lookups import attach_attributes
+from ..operators.reshape import union_all, unpivot_columns
+from ..operators.timeseries import dim_calendar_of, month_spine_of
 from ..session import prefer_fast_construction
+from . import audit, extras, signals, standins
 from .pipeline import MacroPipeline, pipeline_for
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,19 +76,6 @@ def export_projection(spark, sf_dir):
 
 # ---------------------------------------------------------------- parsing, spine, reshape
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from ..functions.dates import (COMPACT_MONTH, abbr_of_text, month_name, month_text,  # noqa: E402
-                               parse_month, year_of_text)
-from ..functions.numeric import lenient_double, round_to, strict_double, unit_sum  # noqa: E402
-from ..operators import aggregates as A  # noqa: E402
-from ..operators import quality as Q  # noqa: E402
-from ..operators import snapshots as S  # noqa: E402
-from ..operators.lookups import attach_attributes  # noqa: E402
-from ..operators.reshape import union_all, unpivot_columns  # noqa: E402
-from ..operators.timeseries import dim_calendar_of, month_spine_of  # noqa: E402
-from . import audit, extras, signals, standins  # noqa: E402
-
 # Stand-in parameters: the benchmark months run 1995-2001, so year bounds
 # that the dashboard sets at 2010/2020 are set inside that range here.
 STANDIN_SINCE_YEAR = 2000
