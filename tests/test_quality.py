@@ -24,3 +24,19 @@ def test_checks_pass_and_fail(spark):
     assert rep[("period_date", "unique")].rows_checked == 4
     with pytest.raises(DataTestFailure):
         gate(run_checks({"t": bad}, checks))
+
+
+def test_checks_on_an_empty_model(spark):
+    empty = spark.createDataFrame([], "period_date date, cpi_value double")
+    checks = [Check("f", "period_date", "not_null"), Check("f", "period_date", "unique"),
+              Check("f", "cpi_value", "not_null")]
+    rows = run_checks({"f": empty}, checks).collect()
+    assert [(r.test, r.rows_checked, r.failures, r.status) for r in rows] == [
+        ("not_null", 0, 0, "PASS"), ("not_null", 0, 0, "PASS"), ("unique", 0, 0, "PASS")]
+
+
+def test_composite_unique_and_second_unique(spark):
+    df = spark.createDataFrame([("A", 1), ("A", 1), ("A", 2), ("B", 1), (None, 3), (None, 3)], "k string, m int")
+    checks = [Check("t", ("k", "m"), "unique"), Check("t", "m", "unique")]
+    rep = {r.column_name: r.failures for r in run_checks({"t": df}, checks).collect()}
+    assert rep == {"k,m": 1, "m": 2}          # (A,1) twice; m = 1 and 3 repeat

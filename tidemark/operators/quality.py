@@ -72,23 +72,46 @@ def _failure_expr(check: Check):
     raise ValueError(check.test)
 
 
+def _keyed(cols) -> "F.Column":
+    cond = F.lit(True)
+    for k in cols:           # rows with a null key are left out of `unique`
+        cond = cond & F.col(k).isNotNull()
+    return cond
+
+
 def _model_report(model: str, df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """One row per check for one model, reading the model once.
+
+    Without a ``unique`` check: one global aggregate (partial per task).
+    With one: the model is grouped by that key once; the row-level checks are
+    counted per group and summed, and the duplicated keys are the groups
+    with more than one row. Further ``unique`` checks on other keys of the
+    same model are scalar subqueries.
+    """
     row_checks = [c for c in checks if c.test != "unique"]
     uniques = [c for c in checks if c.test == "unique"]
-    aggs = [F.count(F.lit(1)).alias("rows_checked")]
-    aggs += [_failure_expr(c).cast("bigint").alias(f"f{i}") for i, c in enumerate(row_checks)]
-    one = df.agg(*aggs)
-    dups = []
-    for i, c in enumerate(uniques):
-        keyed = F.lit(True)
-        for k in c.columns:           # rows with a null key are left out
-            keyed = keyed & F.col(k).isNotNull()
+    if uniques:
+        first = uniques[0]
+        groups = df.groupBy(*first.columns).agg(
+            F.count(F.lit(1)).alias("n"),
+            *[_failure_expr(c).cast("bigint").alias(f"f{i}") for i, c in enumerate(row_checks)])
+        one = groups.agg(F.sum("n").alias("rows_checked"),
+                         *[F.sum(f"f{i}").alias(f"f{i}") for i in range(len(row_checks))],
+                         F.count_if((F.col("n") > 1) & _keyed(first.columns)).cast("bigint").alias("u0"))
+        one = one.select(F.coalesce("rows_checked", F.lit(0)).cast("bigint").alias("rows_checked"),
+                         *[F.coalesce(f"f{i}", F.lit(0)).alias(f"f{i}") for i in range(len(row_checks))],
+                         "u0")
+    else:
+        one = df.agg(F.count(F.lit(1)).alias("rows_checked"),
+                     *[_failure_expr(c).cast("bigint").alias(f"f{i}") for i, c in enumerate(row_checks)])
+    extra = []
+    for i, c in enumerate(uniques[1:], start=1):
         # number of duplicated key values, as an uncorrelated scalar subquery
-        dup = (df.where(keyed).groupBy(*c.columns).count().where(F.col("count") > 1)
+        dup = (df.where(_keyed(c.columns)).groupBy(*c.columns).count().where(F.col("count") > 1)
                .select(F.count(F.lit(1))).scalar())
-        dups.append(dup.cast("bigint").alias(f"u{i}"))
-    if dups:
-        one = one.select("*", *dups)
+        extra.append(dup.cast("bigint").alias(f"u{i}"))
+    if extra:
+        one = one.select("*", *extra)
     rows = []
     for i, c in enumerate(row_checks):
         rows.append(F.struct(F.lit(c.label).alias("column_name"), F.lit(c.test).alias("test"),

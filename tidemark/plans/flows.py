@@ -7,6 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import quality
+from ..session import ensure_checkpoint_dir
 from ..operators.snapshots import latest_snapshot
 from ..sinks import tables as sinks
 from ..sources import landed
@@ -56,6 +57,7 @@ def build_and_export(spark: SparkSession, *, bronze_dir: str, gold_dir: str, exp
     not send the job back to the bronze scan. The tests run on the frames
     *before* anything is written: a failure raises and nothing is stored.
     """
+    ensure_checkpoint_dir(spark)
     bronze = {t: sinks.read_bronze(spark, os.path.join(bronze_dir, t)) for t in BRONZE_TABLES}
     silver = {k: v.checkpoint(eager=True) for k, v in silver_models(bronze, dedupe_cpi=dedupe_cpi).items()}
     calendar = marts.dim_calendar(spark, marts.FACT_START, calendar_end)

@@ -50,13 +50,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting names shared storage and is always read from the
-    session. Only when it is unset (local tests) is a scratch folder created.
+    session; an unset folder is an error there, since a machine-local folder
+    would not survive the loss of an executor. Only in local mode (tests) is a
+    scratch folder created when nothing is set.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or S3)")
         configured = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir() or configured
