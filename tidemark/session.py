@@ -14,6 +14,11 @@ BASE_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Coalesce shuffle partitions to the advisory size (64 MB) rather than to
+    # the core count: month-grain stages become one task, while large stages
+    # keep as many partitions as their bytes need (the setting Spark advises
+    # for busy clusters).
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Monthly lookup sides are joined by AQE's runtime broadcast switch: the
     # decision uses the measured size of the shuffled side, so a side that is
