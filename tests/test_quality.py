@@ -40,3 +40,9 @@ def test_composite_unique_and_second_unique(spark):
     checks = [Check("t", ("k", "m"), "unique"), Check("t", "m", "unique")]
     rep = {r.column_name: r.failures for r in run_checks({"t": df}, checks).collect()}
     assert rep == {"k,m": 1, "m": 2}          # (A,1) twice; m = 1 and 3 repeat
+
+
+def test_rejected_values(spark):
+    df = spark.createDataFrame([("Machinery",), ("Total Merchandise Exports",), (None,)], "commodity_category string")
+    rep = run_checks({"t": df}, [Check("t", "commodity_category", "rejected_values", ("Total Merchandise Exports",))])
+    assert [(r.failures, r.status) for r in rep.collect()] == [(1, "FAIL")]

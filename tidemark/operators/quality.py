@@ -22,7 +22,7 @@ REPORT_COLUMNS = ("model", "column_name", "test", "rows_checked", "failures", "s
 class Check:
     model: str
     column: str | tuple[str, ...]
-    test: str                      # 'not_null' | 'unique' | 'accepted_values'
+    test: str                      # 'not_null' | 'unique' | 'accepted_values' | 'rejected_values'
     values: tuple = field(default=())
 
     @property
@@ -53,10 +53,13 @@ MODEL_CHECKS: tuple[Check, ...] = (
     Check("fct_sg_macro_monthly", "period_year", "not_null"),
 )
 
-# Extra checks named in the docs (composite grain, calendar key); report only.
+# Extra checks named in the docs (composite grain, calendar key), plus a
+# guard for export total lines, which the fact would add on top of the
+# commodity lines it sums. Report only.
 EXTRA_CHECKS: tuple[Check, ...] = (
     Check("stg_cpi", ("cpi_category", "period_date"), "unique"),
     Check("stg_fx", ("currency_pair", "period_date"), "unique"),
+    Check("stg_trade", "commodity_category", "rejected_values", ("Total Merchandise Exports",)),
     Check("dim_calendar", "period_date", "unique"),
     Check("fct_sg_macro_monthly", "usd_sgd_rate", "not_null"),
 )
@@ -69,6 +72,8 @@ def _failure_expr(check: Check):
     if check.test == "accepted_values":
         # nulls are left to not_null
         return F.count_if(c.isNotNull() & ~c.isin(*check.values))
+    if check.test == "rejected_values":
+        return F.count_if(c.isin(*check.values))
     raise ValueError(check.test)
 
 

@@ -80,6 +80,9 @@ FROM {table}"""
 def _check_sql(model, column, test, values=()):
     if test == "not_null":
         fail = f"COUNT(*) FILTER (WHERE {column} IS NULL)"
+    elif test == "rejected_values":
+        vals = ", ".join(f"'{v}'" for v in values)
+        fail = f"COUNT(*) FILTER (WHERE {column} IN ({vals}))"
     elif test == "accepted_values":
         vals = ", ".join(f"'{v}'" for v in values)
         fail = f"COUNT(*) FILTER (WHERE {column} IS NOT NULL AND {column} NOT IN ({vals}))"
@@ -112,6 +115,7 @@ MODEL_CHECKS = [
 ]
 EXTRA_CHECKS = [
     ("stg_cpi", "cpi_category,period_date", "unique"), ("stg_fx", "currency_pair,period_date", "unique"),
+    ("stg_trade", "commodity_category", "rejected_values", ("Total Merchandise Exports",)),
     ("dim_calendar", "period_date", "unique"), ("fact", "usd_sgd_rate", "not_null"),
 ]
 FACT_NAME = "REPLACE(model, 'fact', 'fct_sg_macro_monthly') AS model"
