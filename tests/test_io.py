@@ -118,9 +118,12 @@ def test_load_build_export_flow(spark, scratch):
     exp = write_json(f"{scratch}/land/exp.json", page([
         {"_id": "1", "Data Series Text": "Machinery", **{d.strftime("%Y%b"): "30000" for d in ms}},
         {"_id": "2", "Data Series Text": "Chemicals", **{d.strftime("%Y%b"): "15000" for d in ms}}]))
-    counts = flows.load_sources(spark, cpi_files=cpi, fx_files=fx, imports_files=imp, exports_files=exp,
-                                bronze_dir=f"{scratch}/bronze", run_ts=T1)
-    assert counts == {"bronze_cpi_raw": 20, "bronze_fx_raw": 40, "bronze_trade_raw": 60}
+    stats = flows.load_sources(spark, cpi_files=cpi, fx_files=fx, imports_files=imp, exports_files=exp,
+                               bronze_dir=f"{scratch}/bronze", run_ts=T1)
+    assert {t: s["rows"] for t, s in stats.items()} == {"bronze_cpi_raw": 20, "bronze_fx_raw": 40,
+                                                        "bronze_trade_raw": 60}
+    assert stats["bronze_trade_raw"]["first_month"] == dt.date(1998, 1, 1)
+    assert stats["bronze_cpi_raw"]["last_month"] == dt.date(1999, 8, 1)
     # a second CPI load day: the latest snapshot keeps the fact unique
     flows.load_sources(spark, cpi_files=cpi, fx_files=fx, imports_files=imp, exports_files=exp,
                        bronze_dir=f"{scratch}/bronze", run_ts=T2)

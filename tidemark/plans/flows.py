@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions.dates import COMPACT_MONTH, SPACED_MONTH
 from ..operators import quality
 from ..session import ensure_checkpoint_dir
 from ..operators.snapshots import latest_snapshot
@@ -17,22 +19,33 @@ from .export import export_projection
 BRONZE_TABLES = ("bronze_cpi_raw", "bronze_fx_raw", "bronze_trade_raw")
 
 
+def _month_range(month: str, fmt: str):
+    """Observed load stats: first and last month, parsed (text order is
+    alphabetical), so a malformed month also fails the load here."""
+    d = F.to_date(F.col(month), fmt)
+    return [F.min(d).alias("first_month"), F.max(d).alias("last_month")]
+
+
 def load_sources(spark: SparkSession, *, cpi_files, fx_files, imports_files, exports_files,
-                 bronze_dir: str, run_ts=None) -> dict[str, int]:
+                 bronze_dir: str, run_ts=None) -> dict[str, dict]:
     """Entry 1: landed files -> bronze tables. CPI is a re-runnable daily
-    append; FX and trade are fully replaced. Returns rows written per table."""
-    counts = {}
+    append; FX and trade are fully replaced. Returns, per table, the rows
+    written and the month range, observed during the write."""
+    stats = {}
     cpi = landed.read_cpi_payload(spark, cpi_files, run_ts)
-    counts["bronze_cpi_raw"] = sinks.append_daily(cpi, os.path.join(bronze_dir, "bronze_cpi_raw"),
-                                                  sort_by=("cpi_category", "time_period"))["rows"]
+    stats["bronze_cpi_raw"] = sinks.append_daily(
+        cpi, os.path.join(bronze_dir, "bronze_cpi_raw"), sort_by=("cpi_category", "time_period"),
+        metrics=_month_range("time_period", SPACED_MONTH))
     fx = landed.read_fx_pages(spark, fx_files, run_ts)
-    counts["bronze_fx_raw"] = sinks.replace_table(fx, os.path.join(bronze_dir, "bronze_fx_raw"),
-                                                  sort_by=("currency_pair", "rate_month"))["rows"]
+    stats["bronze_fx_raw"] = sinks.replace_table(
+        fx, os.path.join(bronze_dir, "bronze_fx_raw"), sort_by=("currency_pair", "rate_month"),
+        metrics=_month_range("rate_month", COMPACT_MONTH))
     trade = landed.read_trade_pages(spark, imports_files, exports_files, run_ts)
-    counts["bronze_trade_raw"] = sinks.replace_table(
+    stats["bronze_trade_raw"] = sinks.replace_table(
         trade, os.path.join(bronze_dir, "bronze_trade_raw"),
-        sort_by=("trade_type", "commodity_category", "trade_month"))["rows"]
-    return counts
+        sort_by=("trade_type", "commodity_category", "trade_month"),
+        metrics=_month_range("trade_month", COMPACT_MONTH))
+    return stats
 
 
 def silver_models(bronze: dict[str, DataFrame], *, dedupe_cpi: bool = True) -> dict[str, DataFrame]:

@@ -15,23 +15,30 @@ def _laid_out(df: DataFrame, sort_by) -> DataFrame:
     return df.sortWithinPartitions(*sort_by) if sort_by else df
 
 
-def append_daily(df: DataFrame, path: str, loaded: str = "ingested_at", sort_by=()) -> dict:
+def _observed(df: DataFrame, name: str, metrics) -> tuple[DataFrame, Observation]:
+    """Attach a row count (and any extra aggregate ``metrics``) that the
+    write itself computes: no second pass over the data."""
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"), *metrics), obs
+
+
+def append_daily(df: DataFrame, path: str, loaded: str = "ingested_at", sort_by=(),
+                 metrics=()) -> dict:
     """Re-runnable daily load: rows land in the partition of their load day;
     a replay of the same day replaces only that day's partition (dynamic
-    partition overwrite), other days stay. Returns the observed row count.
+    partition overwrite), other days stay. Returns the observed metrics.
     """
-    obs = Observation("append_daily")
-    out = df.withColumn(INGEST_DATE, F.to_date(F.col(loaded)))
-    out = _laid_out(out.observe(obs, F.count(F.lit(1)).alias("rows")), sort_by)
+    out, obs = _observed(df.withColumn(INGEST_DATE, F.to_date(F.col(loaded))), "append_daily", metrics)
+    out = _laid_out(out, sort_by)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(INGEST_DATE).parquet(path))
     return obs.get
 
 
-def replace_table(df: DataFrame, path: str, sort_by=()) -> dict:
-    """Full replace; the schema is the frame's own. Returns the observed row count."""
-    obs = Observation("replace_table")
-    _laid_out(df.observe(obs, F.count(F.lit(1)).alias("rows")), sort_by).write.mode("overwrite").parquet(path)
+def replace_table(df: DataFrame, path: str, sort_by=(), metrics=()) -> dict:
+    """Full replace; the schema is the frame's own. Returns the observed metrics."""
+    out, obs = _observed(df, "replace_table", metrics)
+    _laid_out(out, sort_by).write.mode("overwrite").parquet(path)
     return obs.get
 
 
@@ -48,8 +55,8 @@ def write_export_csv(df: DataFrame, path: str, order: str = "period_date") -> di
     A single file means a single writer task; the frame is month grain (one
     row per month), so that task is bounded by the calendar.
     """
-    obs = Observation("export")
-    single = df.observe(obs, F.count(F.lit(1)).alias("rows")).repartition(1).sortWithinPartitions(order)
+    out, obs = _observed(df, "export", ())
+    single = out.repartition(1).sortWithinPartitions(order)
     (single.write.mode("overwrite").option("header", True).option("dateFormat", "yyyy-MM-dd")
      .csv(path))
     return obs.get
