@@ -113,3 +113,50 @@ def test_record_melt_matches_pandas_melt(spark, scratch, records):
     else:
         want = []
     assert got == want
+
+
+from tidemark.operators.quality import Check, run_checks  # noqa: E402
+from tidemark.operators.reshape import unpivot_columns  # noqa: E402
+from tidemark.operators.timeseries import month_spine_of  # noqa: E402
+
+num = st.one_of(st.none(), st.floats(min_value=-1e3, max_value=1e3, allow_nan=False))
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), num, num, num), min_size=1, max_size=20))
+def test_unpivot_matches_pandas_melt(spark, rows):
+    df = spark.createDataFrame(rows, "id string, m1 double, m2 double, m3 double")
+    got = [(r.id, r.var, r.val) for r in unpivot_columns(df, ["id"], "var", "val").collect()]
+    pdf = pd.DataFrame(rows, columns=["id", "m1", "m2", "m3"]).melt(id_vars=["id"], var_name="var",
+                                                                     value_name="val")
+    want = [(a, b, None if pd.isna(c) else float(c)) for a, b, c in pdf.itertuples(index=False)]
+    key = lambda t: (t[0], t[1], (t[2] is None, t[2] or 0.0))
+    assert sorted(got, key=key) == sorted(want, key=key)
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.one_of(st.none(), st.integers(1, 5)),
+                               st.one_of(st.none(), st.sampled_from(["x", "y", "z"]))),
+                     min_size=0, max_size=30))
+def test_data_tests_match_brute_force(spark, rows):
+    df = spark.createDataFrame(rows, "k int, v string")
+    checks = [Check("t", "k", "unique"), Check("t", "v", "not_null"),
+              Check("t", "v", "accepted_values", ("x", "y"))]
+    got = {r.test: (r.rows_checked, r.failures) for r in run_checks({"t": df}, checks).collect()}
+    keys = [k for k, _ in rows if k is not None]
+    dup = len({k for k in keys if keys.count(k) > 1})
+    assert got["unique"] == (len(rows), dup)
+    assert got["not_null"] == (len(rows), sum(v is None for _, v in rows))
+    assert got["accepted_values"] == (len(rows), sum(v == "z" for _, v in rows))
+
+
+@SETTINGS
+@given(days=st.lists(st.integers(0, 2000), min_size=1, max_size=15))
+def test_month_spine_matches_date_range(spark, days):
+    base = dt.datetime(1999, 1, 1)
+    rows = [(base + dt.timedelta(days=d, hours=5),) for d in days]
+    df = spark.createDataFrame(rows, "ts timestamp")
+    got = [r.period_date for r in month_spine_of(df, "ts").orderBy("period_date").collect()]
+    lo, hi = min(r[0] for r in rows), max(r[0] for r in rows)
+    want = [d.date() for d in pd.date_range(lo.replace(day=1, hour=0), hi.replace(day=1, hour=0), freq="MS")]
+    assert got == want
