@@ -179,3 +179,11 @@ def test_views_listing_audit_columns_and_sample(spark, scratch):
     assert len(rows) == 1 and rows[0].source_api == "fx_pages_v1" and rows[0].loaded_at == T1
     sample = audit.trade_sample(p.bronze["bronze_trade_raw"]).collect()
     assert len(sample) == 5 and all(r.trade_type == "exports" for r in sample)
+
+
+def test_pipeline_on_benchmark_tables(spark, scratch):
+    times = flows.run_on_benchmark_tables(spark, "/root/testdata/sf0.001", scratch)
+    assert set(times) == {"load_bronze", "build_test_export", "total"}
+    export = landed.read_export_csv(spark, f"{scratch}/export")
+    from tidemark.plans.pipeline import MacroPipeline
+    assert sorted(export.collect()) == sorted(MacroPipeline(spark, "/root/testdata/sf0.001").export.collect())
