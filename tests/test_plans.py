@@ -66,3 +66,46 @@ def test_fact_sides_read_the_shared_month_grain_cache(spark):
     spark.catalog.clearCache()
     p = plan(MacroPipeline(spark, SF_SMALL).fact)
     assert "InMemoryTableScan" in p
+
+
+def _indent(line):
+    return len(line) - len(line.lstrip(" :+-"))
+
+
+def _raw_exchange_inputs(p):
+    """For each hash shuffle fed by a file scan with no other shuffle or
+    cache in between, the operator directly below the shuffle."""
+    lines = p.splitlines()
+    out = []
+    for i, ln in enumerate(lines):
+        if "Exchange hashpartitioning" not in ln or i + 1 >= len(lines):
+            continue
+        depth, raw = _indent(ln), False
+        for below in lines[i + 1:]:
+            if _indent(below) <= depth:
+                break
+            op = below.strip(" :+-")
+            if op.startswith(("Exchange", "InMemoryTableScan", "ReusedExchange")):
+                break
+            if op.startswith("FileScan"):
+                raw = True
+                break
+        if raw:
+            out.append(lines[i + 1].strip(" :+-"))
+    return out
+
+
+def test_raw_rows_are_combined_before_every_hash_shuffle(spark):
+    # a key holding a third of all rows is reduced per task before the shuffle
+    for name in ("monthly_mom_yoy", "inverse_rate", "totals_union", "top_k", "unpivot_wide",
+                 "json_flatten", "month_parse"):
+        spark.catalog.clearCache()
+        found = _raw_exchange_inputs(plan(E.queries()[name](spark, SF_SMALL)))
+        assert found, name
+        for below in found:
+            assert below.startswith("HashAggregate") and "partial_" in below, (name, below)
+
+
+def test_latest_snapshot_is_an_aggregate_not_a_ranking_window(spark):
+    p = plan(E.queries()["latest_snapshot"](spark, SF_SMALL))
+    assert "partial_max_by" in p and "row_number" not in p and "Window" not in p
