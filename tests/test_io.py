@@ -187,3 +187,20 @@ def test_pipeline_on_benchmark_tables(spark, scratch):
     export = landed.read_export_csv(spark, f"{scratch}/export")
     from tidemark.plans.pipeline import MacroPipeline
     assert sorted(export.collect()) == sorted(MacroPipeline(spark, "/root/testdata/sf0.001").export.collect())
+
+
+def test_models_as_sql_views(spark):
+    from tidemark.plans.pipeline import MacroPipeline, register_views
+    p = MacroPipeline(spark, "/root/testdata/sf0.001")
+    names = register_views(p)
+    assert {"stg_cpi", "fct_sg_macro_monthly", "macro_monthly", "bronze_trade_raw"} <= set(names)
+    by_sql = spark.sql("""
+        SELECT period_year, COUNT(*) AS months, MAX(usd_sgd) AS top_rate
+        FROM macro_monthly WHERE usd_sgd IS NOT NULL GROUP BY period_year""").collect()
+    from pyspark.sql import functions as F
+    by_df = (p.export.where("usd_sgd IS NOT NULL").groupBy("period_year")
+             .agg(F.count("*").alias("months"), F.max("usd_sgd").alias("top_rate")).collect())
+    assert sorted(tuple(r) for r in by_sql) == sorted(tuple(r) for r in by_df)
+    n = spark.sql("SELECT COUNT(*) AS n FROM fct_sg_macro_monthly f JOIN dim_calendar c "
+                  "ON f.period_date = c.period_date").first().n
+    assert n == p.fact.count()

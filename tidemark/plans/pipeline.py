@@ -91,6 +91,19 @@ class MacroPipeline:
         return export_projection(self.fact)
 
 
+def register_views(pipeline: MacroPipeline) -> list[str]:
+    """Publish every layer as a temp view under the model names, so SQL
+    written against the warehouse tables (``stg_cpi``, ``fct_sg_macro_monthly``,
+    ``macro_monthly``, ...) runs unchanged through ``spark.sql``. Views are
+    lazy: each query still runs the chain (or reads the shared cache)."""
+    frames = {**pipeline.bronze, "stg_cpi": pipeline.stg_cpi, "stg_fx": pipeline.stg_fx,
+              "stg_trade": pipeline.stg_trade, "dim_calendar": pipeline.dim_calendar,
+              "fct_sg_macro_monthly": pipeline.fact, "macro_monthly": pipeline.export}
+    for name, df in frames.items():
+        df.createOrReplaceTempView(name)
+    return list(frames)
+
+
 # Lazy frames are immutable plans, so the registered queries build each
 # pipeline once per session and data folder and share its frames; only the
 # Python-side construction is reused, every execution still reads the files
