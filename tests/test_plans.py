@@ -109,3 +109,29 @@ def test_raw_rows_are_combined_before_every_hash_shuffle(spark):
 def test_latest_snapshot_is_an_aggregate_not_a_ranking_window(spark):
     p = plan(E.queries()["latest_snapshot"](spark, SF_SMALL))
     assert "partial_max_by" in p and "row_number" not in p and "Window" not in p
+
+
+DIRECT_READERS = {"month_parse", "date_spine", "unpivot_wide", "top_k", "inverse_rate", "silver_fx_sample",
+                  "json_flatten", "lenient_cast", "strict_cast", "freshness"}
+
+
+def test_large_tables_are_read_through_the_shared_month_grain_cache(spark):
+    """Queries that read orders/lineitem more than once go through one cached
+    month-grain aggregate per table, so each table is scanned once."""
+    import re
+    for name, q in E.queries().items():
+        if name in DIRECT_READERS:
+            continue
+        spark.catalog.clearCache()
+        lines = plan(q(spark, SF_SMALL)).splitlines()
+        for i, ln in enumerate(lines):
+            if not re.search(r"FileScan parquet .*?/(orders|lineitem)\.parquet", ln):
+                continue
+            depth, inside = _indent(ln), False
+            for up in reversed(lines[:i]):
+                if _indent(up) < depth:
+                    depth = _indent(up)
+                    if "InMemoryRelation" in up:
+                        inside = True
+                        break
+            assert inside, name

@@ -41,7 +41,7 @@ def query(fn):
 @query
 def monthly_mom_yoy(spark, sf_dir):
     """stg_cpi: month change and year-on-year percent per category (L1, H1, H2)."""
-    return pipeline_for(spark, sf_dir, shared=False).stg_cpi
+    return pipeline_for(spark, sf_dir).stg_cpi
 
 
 @query
@@ -53,7 +53,7 @@ def inverse_rate(spark, sf_dir):
 @query
 def totals_union(spark, sf_dir):
     """stg_trade: the import total line and all export lines."""
-    return pipeline_for(spark, sf_dir, shared=False).stg_trade
+    return pipeline_for(spark, sf_dir).stg_trade
 
 
 @query
@@ -187,13 +187,13 @@ def top_k(spark, sf_dir):
 @query
 def top_imports(spark, sf_dir):
     """Top 5 import lines by summed value."""
-    return audit.top_trade_categories(pipeline_for(spark, sf_dir, shared=False).bronze["bronze_trade_raw"], "imports")
+    return audit.top_trade_categories(pipeline_for(spark, sf_dir).bronze["bronze_trade_raw"], "imports")
 
 
 @query
 def top_exports(spark, sf_dir):
     """Top 5 export lines by summed value."""
-    return audit.top_trade_categories(pipeline_for(spark, sf_dir, shared=False).bronze["bronze_trade_raw"], "exports")
+    return audit.top_trade_categories(pipeline_for(spark, sf_dir).bronze["bronze_trade_raw"], "exports")
 
 
 # ---------------------------------------------------------------- dashboard signals
@@ -276,7 +276,7 @@ def yearly_averages(spark, sf_dir):
 @query
 def table_profile(spark, sf_dir):
     """Rows, categories, month range, nulls per bronze table."""
-    b = pipeline_for(spark, sf_dir, shared=False).bronze
+    b = pipeline_for(spark, sf_dir).bronze
     return audit.bronze_profiles(b["bronze_cpi_raw"], b["bronze_fx_raw"], b["bronze_trade_raw"])
 
 
@@ -289,7 +289,7 @@ def gold_coverage(spark, sf_dir):
 @query
 def silver_cpi_sample(spark, sf_dir):
     """Latest 6 headline CPI rows."""
-    p = pipeline_for(spark, sf_dir, shared=False)
+    p = pipeline_for(spark, sf_dir)
     return audit.silver_samples(p.stg_cpi, p.stg_fx, p.stg_trade)["cpi"]
 
 
@@ -303,20 +303,20 @@ def silver_fx_sample(spark, sf_dir):
 @query
 def silver_trade_sample(spark, sf_dir):
     """Latest 8 total lines."""
-    p = pipeline_for(spark, sf_dir, shared=False)
+    p = pipeline_for(spark, sf_dir)
     return audit.silver_samples(p.stg_cpi, p.stg_fx, p.stg_trade)["trade"]
 
 
 @query
 def distinct_pairs(spark, sf_dir):
     """Distinct (trade type, commodity) in bronze."""
-    return audit.category_catalogue(pipeline_for(spark, sf_dir, shared=False).bronze["bronze_trade_raw"])
+    return audit.category_catalogue(pipeline_for(spark, sf_dir).bronze["bronze_trade_raw"])
 
 
 @query
 def count_by_key(spark, sf_dir):
     """Bronze trade rows per trade type."""
-    return audit.rows_by_trade_type(pipeline_for(spark, sf_dir, shared=False).bronze["bronze_trade_raw"])
+    return audit.rows_by_trade_type(pipeline_for(spark, sf_dir).bronze["bronze_trade_raw"])
 
 
 # ---------------------------------------------------------------- data tests, layer counts
@@ -365,7 +365,7 @@ def medallion_layers(spark, sf_dir):
 @query
 def pipeline_stats(spark, sf_dir):
     """Source, dataset, frequency, first year, rows, categories, measured."""
-    b = pipeline_for(spark, sf_dir, shared=False).bronze
+    b = pipeline_for(spark, sf_dir).bronze
     return audit.pipeline_stats(audit.bronze_profiles(b["bronze_cpi_raw"], b["bronze_fx_raw"],
                                                       b["bronze_trade_raw"]))
 
@@ -373,7 +373,7 @@ def pipeline_stats(spark, sf_dir):
 @query
 def rows_by_source(spark, sf_dir):
     """Bronze rows per source, measured."""
-    b = pipeline_for(spark, sf_dir, shared=False).bronze
+    b = pipeline_for(spark, sf_dir).bronze
     return audit.rows_by_source(audit.bronze_profiles(b["bronze_cpi_raw"], b["bronze_fx_raw"],
                                                       b["bronze_trade_raw"]))
 
@@ -401,23 +401,25 @@ RUN_TS_EARLIER = standins.RUN_TS.replace(year=2025, month=12, day=1)
 
 
 def _cpi_loads(spark, sf_dir):
-    orders = standins.read_table(spark, sf_dir, "orders")
-    earlier = standins.cpi_bronze(orders, RUN_TS_EARLIER)
-    later = standins.cpi_bronze(orders.where(F.col("o_orderstatus") == "F"), standins.RUN_TS)
-    return orders, earlier, later
+    """Two simulated CPI load days from one scan of ``orders``: an earlier
+    full load and a later load holding only the finished orders."""
+    by_status = pipeline_for(spark, sf_dir).orders_by_status
+    earlier = standins.cpi_bronze_of(standins.orders_load(by_status), RUN_TS_EARLIER)
+    later = standins.cpi_bronze_of(standins.orders_load(by_status, status="F"), standins.RUN_TS)
+    return earlier, later
 
 
 @query
 def latest_snapshot(spark, sf_dir):
     """Two load days in bronze -> the latest load per (category, month) (T4, B1)."""
-    _, earlier, later = _cpi_loads(spark, sf_dir)
+    earlier, later = _cpi_loads(spark, sf_dir)
     return S.latest_snapshot(earlier.unionByName(later), ["cpi_category", "time_period"])
 
 
 @query
 def replace_period(spark, sf_dir):
     """Stored rows before 1998-01, incoming rows from it on."""
-    _, earlier, later = _cpi_loads(spark, sf_dir)
+    earlier, later = _cpi_loads(spark, sf_dir)
     period = F.to_date("time_period", "yyyy MMM")
     return S.replace_from(earlier, later, period, "1998-01-01")
 
@@ -425,10 +427,9 @@ def replace_period(spark, sf_dir):
 @query
 def incremental_months(spark, sf_dir):
     """Stored months plus incoming months after the stored maximum."""
-    orders = standins.read_table(spark, sf_dir, "orders")
-    stored = standins.cpi_bronze(orders.where(F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp")),
-                                 RUN_TS_EARLIER)
-    incoming = standins.cpi_bronze(orders, standins.RUN_TS)
+    by_status = pipeline_for(spark, sf_dir).orders_by_status
+    stored = standins.cpi_bronze_of(standins.orders_load(by_status, before="1999-01-01"), RUN_TS_EARLIER)
+    incoming = standins.cpi_bronze_of(standins.orders_load(by_status), standins.RUN_TS)
 
     def dated(df):
         return df.select("*", F.to_date("time_period", "yyyy MMM").alias("period_date"))
@@ -456,13 +457,13 @@ BREAKDOWN = {"1-URGENT": "urgent", "2-HIGH": "high", "3-MEDIUM": "medium",
 @query
 def category_breakdown(spark, sf_dir):
     """Year-on-year change per category, side by side per month."""
-    return extras.category_breakdown(pipeline_for(spark, sf_dir, shared=False).stg_cpi, BREAKDOWN)
+    return extras.category_breakdown(pipeline_for(spark, sf_dir).stg_cpi, BREAKDOWN)
 
 
 @query
 def rate_correlation(spark, sf_dir):
     """Correlation of each currency's rate with headline inflation."""
-    p = pipeline_for(spark, sf_dir, shared=False)
+    p = pipeline_for(spark, sf_dir)
     return extras.rate_correlation(p.stg_fx, p.stg_cpi)
 
 

@@ -31,30 +31,40 @@ class MacroPipeline:
     def table(self, name: str) -> DataFrame:
         return standins.read_table(self.spark, self.sf_dir, name)
 
+    def _keep(self, df: DataFrame) -> DataFrame:
+        """Register a shared month-grain frame in the session cache.
+
+        Such frames hold one row per (series, month): bounded by the
+        calendar, not by the tables. Lost blocks are recomputed from lineage.
+        """
+        if self.shared and not (df.storageLevel.useMemory or df.storageLevel.useDisk):
+            df.persist(StorageLevel.MEMORY_AND_DISK)
+        return df
+
     @cached_property
     def orders_monthly(self) -> DataFrame:
-        return standins.orders_monthly(self.table("orders"))
+        return self._keep(standins.orders_monthly(self.table("orders")))
 
     @cached_property
     def lineitem_monthly(self) -> DataFrame:
-        return standins.lineitem_monthly(self.table("lineitem"))
+        return self._keep(standins.lineitem_monthly(self.table("lineitem")))
 
-    def ensure_shared(self) -> "MacroPipeline":
-        """(Re-)register the shared month-grain frames in the session cache.
+    @cached_property
+    def orders_by_status(self) -> DataFrame:
+        """Orders by (priority, month, status): the source of simulated load days."""
+        return self._keep(standins.orders_monthly_by_status(self.table("orders")))
 
-        They hold one row per (series, month): bounded by the calendar, not
-        by the tables. Lost blocks are recomputed from lineage; after the
-        cache is cleared this registers them again.
-        """
-        if self.shared:
-            for df in (self.orders_monthly, self.lineitem_monthly):
-                if not df.storageLevel.useMemory and not df.storageLevel.useDisk:
-                    df.persist(StorageLevel.MEMORY_AND_DISK)
+    SHARED = ("orders_monthly", "lineitem_monthly", "orders_by_status")
+
+    def ensure_shared(self) -> "MacroPipeline":
+        """Re-register the shared frames built so far (after a cache clear)."""
+        for name in self.SHARED:
+            if name in self.__dict__:
+                self._keep(self.__dict__[name])
         return self
 
     @cached_property
     def bronze(self) -> dict[str, DataFrame]:
-        self.ensure_shared()
         return {
             "bronze_cpi_raw": standins.cpi_bronze_of(self.orders_monthly),
             "bronze_fx_raw": standins.fx_bronze_of(self.lineitem_monthly),

@@ -90,6 +90,27 @@ def orders_monthly(orders: DataFrame) -> DataFrame:
             .agg(F.sum(cents("o_totalprice")).alias("cents")))
 
 
+def orders_monthly_by_status(orders: DataFrame) -> DataFrame:
+    """(priority, month, order status) -> cents: one scan of ``orders`` from
+    which several simulated load days are derived (see ``orders_load``)."""
+    return (orders.groupBy(F.col("o_orderpriority").alias("cpi_category"),
+                           month_start("o_orderdate").alias("month"), "o_orderstatus")
+            .agg(F.sum(cents("o_totalprice")).alias("cents")))
+
+
+def orders_load(by_status: DataFrame, *, status: str | None = None,
+                before: str | None = None) -> DataFrame:
+    """A (priority, month) -> cents frame like ``orders_monthly`` for the
+    orders of one status and/or months before a date (integer cents, so
+    re-summing is exact)."""
+    src = by_status
+    if status is not None:
+        src = src.where(F.col("o_orderstatus") == status)
+    if before is not None:
+        src = src.where(F.col("month") < F.lit(before).cast("date"))
+    return src.groupBy("cpi_category", "month").agg(F.sum("cents").alias("cents"))
+
+
 def lineitem_monthly(lineitem: DataFrame) -> DataFrame:
     """(flag, status, month) -> tax cents, tax count, price cents: the one
     aggregate of ``lineitem`` both the FX and the trade series derive from."""
