@@ -204,3 +204,14 @@ def test_models_as_sql_views(spark):
     n = spark.sql("SELECT COUNT(*) AS n FROM fct_sg_macro_monthly f JOIN dim_calendar c "
                   "ON f.period_date = c.period_date").first().n
     assert n == p.fact.count()
+
+
+def test_cpi_payload_null_value_fails(spark, scratch):
+    p = write_json(f"{scratch}/cpi/null.json",
+                   {"Data": {"row": [{"rowText": "All Items", "columns": [{"key": "2024 Jan", "value": None}]}]}})
+    with pytest.raises(PySparkException):
+        landed.read_cpi_payload(spark, p, T1).collect()
+    q = write_json(f"{scratch}/cpi/nokey.json",
+                   {"Data": {"row": [{"rowText": "All Items", "columns": [{"value": "99.1"}]}]}})
+    with pytest.raises(PySparkException):
+        landed.read_cpi_payload(spark, q, T1).collect()

@@ -50,8 +50,13 @@ def flatten_cpi_payload(payload: DataFrame, run_ts=None) -> DataFrame:
     """
     rows = payload.select(F.inline("Data.row"))
     obs = rows.select(F.col("rowText").alias("cpi_category"), F.inline("columns"))
+    # An observation without a category, month or value (JSON null or a
+    # missing field) fails the load, as a malformed payload should; only the
+    # text marks '' and 'na' stand for "no value".
+    incomplete = F.col("cpi_category").isNull() | F.col("key").isNull() | F.col("value").isNull()
+    value = F.when(incomplete, F.raise_error(F.lit("CPI observation without category, month or value")))
     return obs.select("cpi_category", F.col("key").alias("time_period"),
-                      nan_to_null(strict_double("value")).alias("cpi_value"),
+                      value.otherwise(nan_to_null(strict_double("value"))).cast("double").alias("cpi_value"),
                       _run_ts(run_ts).alias("ingested_at"))
 
 
