@@ -215,3 +215,34 @@ def test_cpi_payload_null_value_fails(spark, scratch):
                    {"Data": {"row": [{"rowText": "All Items", "columns": [{"value": "99.1"}]}]}})
     with pytest.raises(PySparkException):
         landed.read_cpi_payload(spark, q, T1).collect()
+
+
+def test_stored_tables_match_declared_schemas(spark, scratch):
+    from tidemark import schemas
+    from tidemark.plans import flows as fl
+    ms = [dt.date(1998 + (i // 12), i % 12 + 1, 1) for i in range(14)]
+    cpi = write_json(f"{scratch}/l/cpi.json", cpi_payload([("All Items", [(d.strftime("%Y %b"), "100") for d in ms])]))
+    fx = write_json(f"{scratch}/l/fx.json", page([{"_id": "1", "DataSeries": "US Dollar",
+                                                   **{d.strftime("%Y%b"): "1.3" for d in ms}}]))
+    imp = write_json(f"{scratch}/l/imp.json", page([{"_id": "1", "DataSeries": "Total Merchandise Imports",
+                                                     **{d.strftime("%Y%b"): "5" for d in ms}}]))
+    exp = write_json(f"{scratch}/l/exp.json", page([{"_id": "1", "Data Series Text": "X",
+                                                     **{d.strftime("%Y%b"): "6" for d in ms}}]))
+    fl.load_sources(spark, cpi_files=cpi, fx_files=fx, imports_files=imp, exports_files=exp,
+                    bronze_dir=f"{scratch}/bronze", run_ts=T1)
+    fl.build_and_export(spark, bronze_dir=f"{scratch}/bronze", gold_dir=f"{scratch}/gold",
+                        export_path=f"{scratch}/export", calendar_end="1999-12-01")
+
+    def shape(df_or_schema):
+        schema = getattr(df_or_schema, "schema", df_or_schema)
+        return [(f.name, f.dataType.simpleString()) for f in schema.fields]
+
+    for table, declared in (("bronze_cpi_raw", schemas.BRONZE_CPI), ("bronze_fx_raw", schemas.BRONZE_FX),
+                            ("bronze_trade_raw", schemas.BRONZE_TRADE)):
+        assert shape(sinks.read_bronze(spark, f"{scratch}/bronze/{table}")) == shape(declared), table
+    assert shape(spark.read.parquet(f"{scratch}/gold/fct_sg_macro_monthly")) == shape(schemas.FACT)
+    assert shape(spark.read.parquet(f"{scratch}/gold/dim_calendar")) == shape(schemas.DIM_CALENDAR)
+    bronze = {t: sinks.read_bronze(spark, f"{scratch}/bronze/{t}") for t in fl.BRONZE_TABLES}
+    silver = fl.silver_models(bronze)
+    for name, declared in (("stg_cpi", schemas.STG_CPI), ("stg_fx", schemas.STG_FX), ("stg_trade", schemas.STG_TRADE)):
+        assert shape(silver[name]) == shape(declared), name
