@@ -166,6 +166,12 @@ def latest_trade(spark, sf_dir):
     return signals.latest_with(pipeline_for(spark, sf_dir).export, "imports_sgd_bn")
 
 
+@query
+def latest_row(spark, sf_dir):
+    """Latest fact month with a year-on-year value (I4 on the gold table)."""
+    return A.latest_rows(pipeline_for(spark, sf_dir).fact, "period_date", 1, present=["cpi_yoy_pct"])
+
+
 @query
 def latest_n(spark, sf_dir):
     """Latest 6 complete months of the fact."""
@@ -253,6 +259,12 @@ def trade_history(spark, sf_dir):
     return signals.trade_history(pipeline_for(spark, sf_dir).export)
 
 
+@query
+def series_history(spark, sf_dir):
+    """Inflation, USD rate and imports per month, rounded (M6-M8 together)."""
+    return signals.series_history(pipeline_for(spark, sf_dir).export)
+
+
 @query
 def log_series(spark, sf_dir):
     """ln of monthly imports (M8 log_imports, K12)."""

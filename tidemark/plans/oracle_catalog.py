@@ -345,3 +345,11 @@ FROM profiles"""),
 SELECT test || ' \u2014 ' || column_name AS test_name, {FACT_NAME}, status, rows_checked
 FROM ({_checks_sql(MODEL_CHECKS)}) r"""),
 })
+
+ORACLE.update({
+    "latest_row": W(O.GOLD, "SELECT * FROM fact WHERE cpi_yoy_pct IS NOT NULL ORDER BY period_date DESC LIMIT 1"),
+    "series_history": W(O.SERVING, """
+SELECT period_date, round(cpi_yoy_pct * 100, 2) AS inflation, round(usd_sgd, 4) AS usd_sgd,
+       round(imports_sgd_bn, 1) AS imports_sgd_bn
+FROM export WHERE cpi_yoy_pct IS NOT NULL OR usd_sgd IS NOT NULL OR imports_sgd_bn IS NOT NULL"""),
+})

@@ -94,3 +94,12 @@ def scatter_regime(export: DataFrame) -> DataFrame:
             .select("period_date", round_to(F.col("usd_sgd"), 4).alias("usd_sgd"),
                     round_to(F.col("cpi_yoy_pct") * 100, 2).alias("cpi_inflation"),
                     inflation_band("cpi_yoy_pct", SCATTER_LABELS).alias("inflation_regime")))
+
+
+def series_history(export: DataFrame) -> DataFrame:
+    """The three signals side by side per month, rounded as the history
+    charts show them, for months that have at least one of them."""
+    infl, usd, imp = F.col("cpi_yoy_pct"), F.col("usd_sgd"), F.col("imports_sgd_bn")
+    return (export.where(infl.isNotNull() | usd.isNotNull() | imp.isNotNull())
+            .select("period_date", round_to(infl * 100, 2).alias("inflation"),
+                    round_to(usd, 4).alias("usd_sgd"), round_to(imp, 1).alias("imports_sgd_bn")))
