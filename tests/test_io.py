@@ -92,8 +92,8 @@ def test_daily_append_is_rerunnable(spark, scratch):
 
 
 def test_export_csv_round_trip(spark, scratch):
-    from tidemark.plans.pipeline import MacroPipeline
-    export = MacroPipeline(spark, "/root/testdata/sf0.001").export
+    from tidemark.plans.layers import MacroLayers
+    export = MacroLayers(spark, "/root/testdata/sf0.001").export
     sinks.write_export_csv(export, f"{scratch}/macro_monthly")
     files = [f for f in os.listdir(f"{scratch}/macro_monthly") if f.endswith(".csv")]
     assert len(files) == 1
@@ -168,8 +168,8 @@ def test_streaming_landing_loads_each_file_once(spark, scratch):
 
 def test_views_listing_audit_columns_and_sample(spark, scratch):
     from tidemark.plans import audit
-    from tidemark.plans.pipeline import MacroPipeline
-    p = MacroPipeline(spark, "/root/testdata/sf0.001", shared=False)
+    from tidemark.plans.layers import MacroLayers
+    p = MacroLayers(spark, "/root/testdata/sf0.001", shared=False)
     sinks.register_views({"stg_fx_view": p.stg_fx})
     names = {r.tableName for r in landed.list_tables(spark).collect()}
     assert "stg_fx_view" in names
@@ -185,13 +185,13 @@ def test_pipeline_on_benchmark_tables(spark, scratch):
     times = flows.run_on_benchmark_tables(spark, "/root/testdata/sf0.001", scratch)
     assert set(times) == {"load_bronze", "build_test_export", "total"}
     export = landed.read_export_csv(spark, f"{scratch}/export")
-    from tidemark.plans.pipeline import MacroPipeline
-    assert sorted(export.collect()) == sorted(MacroPipeline(spark, "/root/testdata/sf0.001").export.collect())
+    from tidemark.plans.layers import MacroLayers
+    assert sorted(export.collect()) == sorted(MacroLayers(spark, "/root/testdata/sf0.001").export.collect())
 
 
 def test_models_as_sql_views(spark):
-    from tidemark.plans.pipeline import MacroPipeline, register_views
-    p = MacroPipeline(spark, "/root/testdata/sf0.001")
+    from tidemark.plans.layers import MacroLayers, register_views
+    p = MacroLayers(spark, "/root/testdata/sf0.001")
     names = register_views(p)
     assert {"stg_cpi", "fct_sg_macro_monthly", "macro_monthly", "bronze_trade_raw"} <= set(names)
     by_sql = spark.sql("""

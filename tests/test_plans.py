@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
-from tidemark.plans.pipeline import MacroPipeline
+from tidemark.plans.layers import MacroLayers
 
 
 def plan(df):
@@ -25,17 +25,17 @@ def test_no_python_udfs_or_cartesian_products(spark):
 
 
 def test_scan_prunes_columns(spark):
-    p = plan(MacroPipeline(spark, SF_SMALL).stg_cpi)
+    p = plan(MacroLayers(spark, SF_SMALL).stg_cpi)
     assert "ReadSchema: struct<o_totalprice:double,o_orderdate:timestamp_ntz,o_orderpriority:string>" in p
 
 
 def test_two_lags_share_one_window(spark):
-    p = optimized(MacroPipeline(spark, SF_SMALL).stg_cpi)
+    p = optimized(MacroLayers(spark, SF_SMALL).stg_cpi)
     assert p.count("Window [") == 1
 
 
 def test_series_filter_moves_below_window_date_filter_stays(spark):
-    fact = MacroPipeline(spark, SF_SMALL).fact
+    fact = MacroLayers(spark, SF_SMALL).fact
     p = optimized(fact)
     # the headline filter reaches the aggregate input, below the Window
     window_at = p.index("Window [")
@@ -45,7 +45,7 @@ def test_series_filter_moves_below_window_date_filter_stays(spark):
 
 
 def test_currency_filter_reaches_scan(spark):
-    p = plan(MacroPipeline(spark, SF_SMALL).fact)
+    p = plan(MacroLayers(spark, SF_SMALL).fact)
     assert "PushedFilters" in p
 
 
@@ -66,7 +66,7 @@ def test_top_k_names_come_from_a_semi_join_over_part(spark):
 
 def test_fact_sides_read_the_shared_month_grain_cache(spark):
     spark.catalog.clearCache()
-    p = plan(MacroPipeline(spark, SF_SMALL).fact)
+    p = plan(MacroLayers(spark, SF_SMALL).fact)
     assert "InMemoryTableScan" in p
 
 

@@ -98,7 +98,7 @@ SOURCE_LABELS = (
 )
 
 
-def pipeline_stats(profiles: DataFrame) -> DataFrame:
+def source_stats(profiles: DataFrame) -> DataFrame:
     """Per source: dataset, frequency, first year, rows and categories, all
     measured from the bronze profiles (one row per table)."""
     label = None

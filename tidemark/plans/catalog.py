@@ -23,7 +23,7 @@ from ..operators.reshape import union_all, unpivot_columns
 from ..operators.timeseries import dim_calendar_of, month_spine_of
 from ..session import prefer_fast_construction
 from . import audit, extras, signals, standins
-from .pipeline import MacroPipeline, pipeline_for
+from .layers import MacroLayers, layers_for
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -41,37 +41,37 @@ def query(fn):
 @query
 def monthly_mom_yoy(spark, sf_dir):
     """stg_cpi: month change and year-on-year percent per category (L1, H1, H2)."""
-    return pipeline_for(spark, sf_dir).stg_cpi
+    return layers_for(spark, sf_dir).stg_cpi
 
 
 @query
 def inverse_rate(spark, sf_dir):
     """stg_fx: positive rates of the key currencies with the inverse rate (L2)."""
-    return pipeline_for(spark, sf_dir, shared=False).stg_fx
+    return layers_for(spark, sf_dir, shared=False).stg_fx
 
 
 @query
 def totals_union(spark, sf_dir):
     """stg_trade: the import total line and all export lines."""
-    return pipeline_for(spark, sf_dir).stg_trade
+    return layers_for(spark, sf_dir).stg_trade
 
 
 @query
 def macro_fact(spark, sf_dir):
     """fct_sg_macro_monthly as the model: filtered sides and five left joins."""
-    return pipeline_for(spark, sf_dir).fact
+    return layers_for(spark, sf_dir).fact
 
 
 @query
 def macro_fact_one_pass(spark, sf_dir):
     """The same fact with conditional aggregates: two joins instead of four."""
-    return pipeline_for(spark, sf_dir).fact_one_pass
+    return layers_for(spark, sf_dir).fact_one_pass
 
 
 @query
 def export_projection(spark, sf_dir):
     """The 17-column serving projection of the fact."""
-    return pipeline_for(spark, sf_dir).export
+    return layers_for(spark, sf_dir).export
 
 
 # ---------------------------------------------------------------- parsing, spine, reshape
@@ -151,31 +151,31 @@ def strict_cast(spark, sf_dir):
 @query
 def latest_inflation(spark, sf_dir):
     """Latest month with inflation (M1, I4)."""
-    return signals.latest_with(pipeline_for(spark, sf_dir).export, "cpi_yoy_pct")
+    return signals.latest_with(layers_for(spark, sf_dir).export, "cpi_yoy_pct")
 
 
 @query
 def latest_fx(spark, sf_dir):
     """Latest month with a USD rate (M2)."""
-    return signals.latest_with(pipeline_for(spark, sf_dir).export, "usd_sgd")
+    return signals.latest_with(layers_for(spark, sf_dir).export, "usd_sgd")
 
 
 @query
 def latest_trade(spark, sf_dir):
     """Latest month with imports (M3)."""
-    return signals.latest_with(pipeline_for(spark, sf_dir).export, "imports_sgd_bn")
+    return signals.latest_with(layers_for(spark, sf_dir).export, "imports_sgd_bn")
 
 
 @query
 def latest_row(spark, sf_dir):
     """Latest fact month with a year-on-year value (I4 on the gold table)."""
-    return A.latest_rows(pipeline_for(spark, sf_dir).fact, "period_date", 1, present=["cpi_yoy_pct"])
+    return A.latest_rows(layers_for(spark, sf_dir).fact, "period_date", 1, present=["cpi_yoy_pct"])
 
 
 @query
 def latest_n(spark, sf_dir):
     """Latest 6 complete months of the fact."""
-    return audit.latest_complete(pipeline_for(spark, sf_dir).fact)
+    return audit.latest_complete(layers_for(spark, sf_dir).fact)
 
 
 @query
@@ -193,13 +193,13 @@ def top_k(spark, sf_dir):
 @query
 def top_imports(spark, sf_dir):
     """Top 5 import lines by summed value."""
-    return audit.top_trade_categories(pipeline_for(spark, sf_dir).bronze["bronze_trade_raw"], "imports")
+    return audit.top_trade_categories(layers_for(spark, sf_dir).bronze["bronze_trade_raw"], "imports")
 
 
 @query
 def top_exports(spark, sf_dir):
     """Top 5 export lines by summed value."""
-    return audit.top_trade_categories(pipeline_for(spark, sf_dir).bronze["bronze_trade_raw"], "exports")
+    return audit.top_trade_categories(layers_for(spark, sf_dir).bronze["bronze_trade_raw"], "exports")
 
 
 # ---------------------------------------------------------------- dashboard signals
@@ -207,68 +207,68 @@ def top_exports(spark, sf_dir):
 @query
 def annual_scorecard(spark, sf_dir):
     """Yearly inflation, rate, imports, regime and action, latest 12 years (M4)."""
-    return signals.annual_scorecard(pipeline_for(spark, sf_dir).export)
+    return signals.annual_scorecard(layers_for(spark, sf_dir).export)
 
 
 @query
 def annual_analysis(spark, sf_dir):
     """The analysis page's variant of the scorecard (M4)."""
-    return signals.annual_scorecard(pipeline_for(spark, sf_dir).export,
+    return signals.annual_scorecard(layers_for(spark, sf_dir).export,
                                     inflation_name="avg_cpi_yoy", imports_name="total_imports_sgd_bn")
 
 
 @query
 def sourcing_signal(spark, sf_dir):
     """Budgets and the USD/CNY sourcing signal (M5)."""
-    return signals.sourcing_case(pipeline_for(spark, sf_dir).export, STANDIN_SINCE_YEAR)
+    return signals.sourcing_case(layers_for(spark, sf_dir).export, STANDIN_SINCE_YEAR)
 
 
 @query
 def scatter_regime(spark, sf_dir):
     """Rate against inflation with the band label (M9)."""
-    return signals.scatter_regime(pipeline_for(spark, sf_dir).export)
+    return signals.scatter_regime(layers_for(spark, sf_dir).export)
 
 
 @query
 def inflation_history(spark, sf_dir):
     """Monthly inflation percent from a start year (M6 inflation_only)."""
-    return signals.inflation_history(pipeline_for(spark, sf_dir).export, STANDIN_HISTORY_FROM)
+    return signals.inflation_history(layers_for(spark, sf_dir).export, STANDIN_HISTORY_FROM)
 
 
 @query
 def cpi_history(spark, sf_dir):
     """Monthly inflation percent, full history (M6 cpi_history)."""
-    return signals.inflation_history(pipeline_for(spark, sf_dir).export, None, name="cpi_yoy")
+    return signals.inflation_history(layers_for(spark, sf_dir).export, None, name="cpi_yoy")
 
 
 @query
 def fx_rate_history(spark, sf_dir):
     """USD rate from a start year (M7 fx_only)."""
-    return signals.fx_rate_history(pipeline_for(spark, sf_dir).export, STANDIN_HISTORY_FROM)
+    return signals.fx_rate_history(layers_for(spark, sf_dir).export, STANDIN_HISTORY_FROM)
 
 
 @query
 def fx_history(spark, sf_dir):
     """USD, CNY and cross rate (M7 fx_history)."""
-    return signals.fx_history(pipeline_for(spark, sf_dir).export)
+    return signals.fx_history(layers_for(spark, sf_dir).export)
 
 
 @query
 def trade_history(spark, sf_dir):
     """Monthly imports (M8 trade_history)."""
-    return signals.trade_history(pipeline_for(spark, sf_dir).export)
+    return signals.trade_history(layers_for(spark, sf_dir).export)
 
 
 @query
 def series_history(spark, sf_dir):
     """Inflation, USD rate and imports per month, rounded (M6-M8 together)."""
-    return signals.series_history(pipeline_for(spark, sf_dir).export)
+    return signals.series_history(layers_for(spark, sf_dir).export)
 
 
 @query
 def log_series(spark, sf_dir):
     """ln of monthly imports (M8 log_imports, K12)."""
-    return signals.log_imports(pipeline_for(spark, sf_dir).export)
+    return signals.log_imports(layers_for(spark, sf_dir).export)
 
 
 # ---------------------------------------------------------------- audits
@@ -276,64 +276,64 @@ def log_series(spark, sf_dir):
 @query
 def balance_status(spark, sf_dir):
     """Surplus/deficit of the latest 6 months with exports."""
-    return audit.balance_check(pipeline_for(spark, sf_dir).fact)
+    return audit.balance_check(layers_for(spark, sf_dir).fact)
 
 
 @query
 def yearly_averages(spark, sf_dir):
     """Yearly means over complete months, latest 10 years."""
-    return audit.yearly_averages(pipeline_for(spark, sf_dir).fact)
+    return audit.yearly_averages(layers_for(spark, sf_dir).fact)
 
 
 @query
 def table_profile(spark, sf_dir):
     """Rows, categories, month range, nulls per bronze table."""
-    b = pipeline_for(spark, sf_dir).bronze
+    b = layers_for(spark, sf_dir).bronze
     return audit.bronze_profiles(b["bronze_cpi_raw"], b["bronze_fx_raw"], b["bronze_trade_raw"])
 
 
 @query
 def gold_coverage(spark, sf_dir):
     """Row count, date range and filled counts of the fact."""
-    return audit.gold_coverage(pipeline_for(spark, sf_dir).fact)
+    return audit.gold_coverage(layers_for(spark, sf_dir).fact)
 
 
 @query
 def silver_cpi_sample(spark, sf_dir):
     """Latest 6 headline CPI rows."""
-    p = pipeline_for(spark, sf_dir)
+    p = layers_for(spark, sf_dir)
     return audit.silver_samples(p.stg_cpi, p.stg_fx, p.stg_trade)["cpi"]
 
 
 @query
 def silver_fx_sample(spark, sf_dir):
     """Latest 6 USD rows."""
-    p = pipeline_for(spark, sf_dir, shared=False)
+    p = layers_for(spark, sf_dir, shared=False)
     return audit.silver_samples(p.stg_cpi, p.stg_fx, p.stg_trade)["fx"]
 
 
 @query
 def silver_trade_sample(spark, sf_dir):
     """Latest 8 total lines."""
-    p = pipeline_for(spark, sf_dir)
+    p = layers_for(spark, sf_dir)
     return audit.silver_samples(p.stg_cpi, p.stg_fx, p.stg_trade)["trade"]
 
 
 @query
 def distinct_pairs(spark, sf_dir):
     """Distinct (trade type, commodity) in bronze."""
-    return audit.category_catalogue(pipeline_for(spark, sf_dir).bronze["bronze_trade_raw"])
+    return audit.category_catalogue(layers_for(spark, sf_dir).bronze["bronze_trade_raw"])
 
 
 @query
 def count_by_key(spark, sf_dir):
     """Bronze trade rows per trade type."""
-    return audit.rows_by_trade_type(pipeline_for(spark, sf_dir).bronze["bronze_trade_raw"])
+    return audit.rows_by_trade_type(layers_for(spark, sf_dir).bronze["bronze_trade_raw"])
 
 
 # ---------------------------------------------------------------- data tests, layer counts
 
-def _models(p: MacroPipeline):
+def _models(p: MacroLayers):
     return {"stg_cpi": p.stg_cpi, "stg_fx": p.stg_fx, "stg_trade": p.stg_trade,
             "fct_sg_macro_monthly": p.fact, "dim_calendar": p.dim_calendar}
 
@@ -341,16 +341,16 @@ def _models(p: MacroPipeline):
 @query
 def quality_report(spark, sf_dir):
     """The fifteen declared tests as a report frame (O1-O3)."""
-    return Q.run_checks(_models(pipeline_for(spark, sf_dir)))
+    return Q.run_checks(_models(layers_for(spark, sf_dir)))
 
 
 @query
 def quality_extra(spark, sf_dir):
     """Composite-grain, calendar and rate checks named in the docs."""
-    return Q.run_checks(_models(pipeline_for(spark, sf_dir)), Q.EXTRA_CHECKS)
+    return Q.run_checks(_models(layers_for(spark, sf_dir)), Q.EXTRA_CHECKS)
 
 
-def _layer_counts(p: MacroPipeline):
+def _layer_counts(p: MacroLayers):
     tables = [("Bronze", "bronze_cpi_raw", p.bronze["bronze_cpi_raw"]),
               ("Bronze", "bronze_fx_raw", p.bronze["bronze_fx_raw"]),
               ("Bronze", "bronze_trade_raw", p.bronze["bronze_trade_raw"]),
@@ -364,28 +364,28 @@ def _layer_counts(p: MacroPipeline):
 @query
 def layer_counts(spark, sf_dir):
     """Measured rows per table and layer (M10 rows_by_source, A10, J2)."""
-    return _layer_counts(pipeline_for(spark, sf_dir))
+    return _layer_counts(layers_for(spark, sf_dir))
 
 
 @query
 def medallion_layers(spark, sf_dir):
     """Measured rows per layer (M10 medallion_layers)."""
-    return (_layer_counts(pipeline_for(spark, sf_dir)).groupBy("layer")
+    return (_layer_counts(layers_for(spark, sf_dir)).groupBy("layer")
             .agg(F.sum("row_count").alias("total_rows")))
 
 
 @query
-def pipeline_stats(spark, sf_dir):
+def source_stats(spark, sf_dir):
     """Source, dataset, frequency, first year, rows, categories, measured."""
-    b = pipeline_for(spark, sf_dir).bronze
-    return audit.pipeline_stats(audit.bronze_profiles(b["bronze_cpi_raw"], b["bronze_fx_raw"],
+    b = layers_for(spark, sf_dir).bronze
+    return audit.source_stats(audit.bronze_profiles(b["bronze_cpi_raw"], b["bronze_fx_raw"],
                                                       b["bronze_trade_raw"]))
 
 
 @query
 def rows_by_source(spark, sf_dir):
     """Bronze rows per source, measured."""
-    b = pipeline_for(spark, sf_dir).bronze
+    b = layers_for(spark, sf_dir).bronze
     return audit.rows_by_source(audit.bronze_profiles(b["bronze_cpi_raw"], b["bronze_fx_raw"],
                                                       b["bronze_trade_raw"]))
 
@@ -393,13 +393,13 @@ def rows_by_source(spark, sf_dir):
 @query
 def test_results(spark, sf_dir):
     """The fifteen tests with status and rows checked, in the page's shape."""
-    return audit.test_results(Q.run_checks(_models(pipeline_for(spark, sf_dir))))
+    return audit.test_results(Q.run_checks(_models(layers_for(spark, sf_dir))))
 
 
 @query
 def test_summary(spark, sf_dir):
     """Tests passing and pass rate from the report (M10 data_quality_score)."""
-    report = Q.run_checks(_models(pipeline_for(spark, sf_dir)))
+    report = Q.run_checks(_models(layers_for(spark, sf_dir)))
     return report.agg(F.count(F.lit(1)).alias("tests"),
                       F.count_if(F.col("status") == "PASS").alias("passing"),
                       F.count_distinct("model").alias("models_tested")).select(
@@ -415,7 +415,7 @@ RUN_TS_EARLIER = standins.RUN_TS.replace(year=2025, month=12, day=1)
 def _cpi_loads(spark, sf_dir):
     """Two simulated CPI load days from one scan of ``orders``: an earlier
     full load and a later load holding only the finished orders."""
-    by_status = pipeline_for(spark, sf_dir).orders_by_status
+    by_status = layers_for(spark, sf_dir).orders_by_status
     earlier = standins.cpi_bronze_of(standins.orders_load(by_status), RUN_TS_EARLIER)
     later = standins.cpi_bronze_of(standins.orders_load(by_status, status="F"), standins.RUN_TS)
     return earlier, later
@@ -439,7 +439,7 @@ def replace_period(spark, sf_dir):
 @query
 def incremental_months(spark, sf_dir):
     """Stored months plus incoming months after the stored maximum."""
-    by_status = pipeline_for(spark, sf_dir).orders_by_status
+    by_status = layers_for(spark, sf_dir).orders_by_status
     stored = standins.cpi_bronze_of(standins.orders_load(by_status, before="1999-01-01"), RUN_TS_EARLIER)
     incoming = standins.cpi_bronze_of(standins.orders_load(by_status), standins.RUN_TS)
 
@@ -453,13 +453,13 @@ def incremental_months(spark, sf_dir):
 @query
 def annual_summary(spark, sf_dir):
     """Yearly average rate and CPI, total balance."""
-    return extras.annual_summary(pipeline_for(spark, sf_dir).fact)
+    return extras.annual_summary(layers_for(spark, sf_dir).fact)
 
 
 @query
 def annual_balance(spark, sf_dir):
     """Yearly exports, imports and balance."""
-    return extras.annual_balance(pipeline_for(spark, sf_dir).fact)
+    return extras.annual_balance(layers_for(spark, sf_dir).fact)
 
 
 BREAKDOWN = {"1-URGENT": "urgent", "2-HIGH": "high", "3-MEDIUM": "medium",
@@ -469,13 +469,13 @@ BREAKDOWN = {"1-URGENT": "urgent", "2-HIGH": "high", "3-MEDIUM": "medium",
 @query
 def category_breakdown(spark, sf_dir):
     """Year-on-year change per category, side by side per month."""
-    return extras.category_breakdown(pipeline_for(spark, sf_dir).stg_cpi, BREAKDOWN)
+    return extras.category_breakdown(layers_for(spark, sf_dir).stg_cpi, BREAKDOWN)
 
 
 @query
 def rate_correlation(spark, sf_dir):
     """Correlation of each currency's rate with headline inflation."""
-    p = pipeline_for(spark, sf_dir)
+    p = layers_for(spark, sf_dir)
     return extras.rate_correlation(p.stg_fx, p.stg_cpi)
 
 

@@ -16,7 +16,7 @@ CALENDAR_END = "2026-12-01"
 
 
 @dataclass(eq=False)
-class MacroPipeline:
+class MacroLayers:
     """Lazy frames of every layer; nothing runs until a query acts on one."""
 
     spark: SparkSession
@@ -56,7 +56,7 @@ class MacroPipeline:
 
     SHARED = ("orders_monthly", "lineitem_monthly", "orders_by_status")
 
-    def ensure_shared(self) -> "MacroPipeline":
+    def ensure_shared(self) -> "MacroLayers":
         """Re-register the shared frames built so far (after a cache clear)."""
         for name in self.SHARED:
             if name in self.__dict__:
@@ -101,14 +101,14 @@ class MacroPipeline:
         return export_projection(self.fact)
 
 
-def register_views(pipeline: MacroPipeline) -> list[str]:
+def register_views(layers: MacroLayers) -> list[str]:
     """Publish every layer as a temp view under the model names, so SQL
     written against the warehouse tables (``stg_cpi``, ``fct_sg_macro_monthly``,
     ``macro_monthly``, ...) runs unchanged through ``spark.sql``. Views are
     lazy: each query still runs the chain (or reads the shared cache)."""
-    frames = {**pipeline.bronze, "stg_cpi": pipeline.stg_cpi, "stg_fx": pipeline.stg_fx,
-              "stg_trade": pipeline.stg_trade, "dim_calendar": pipeline.dim_calendar,
-              "fct_sg_macro_monthly": pipeline.fact, "macro_monthly": pipeline.export}
+    frames = {**layers.bronze, "stg_cpi": layers.stg_cpi, "stg_fx": layers.stg_fx,
+              "stg_trade": layers.stg_trade, "dim_calendar": layers.dim_calendar,
+              "fct_sg_macro_monthly": layers.fact, "macro_monthly": layers.export}
     for name, df in frames.items():
         df.createOrReplaceTempView(name)
     return list(frames)
@@ -121,15 +121,15 @@ def register_views(pipeline: MacroPipeline) -> list[str]:
 _BUILT: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
 
 
-def pipeline_for(spark: SparkSession, sf_dir: str, shared: bool = True) -> MacroPipeline:
+def layers_for(spark: SparkSession, sf_dir: str, shared: bool = True) -> MacroLayers:
     per_session = _BUILT.setdefault(spark, {})
     key = (sf_dir, shared)
     if key not in per_session:
-        per_session[key] = MacroPipeline(spark, sf_dir, shared=shared)
+        per_session[key] = MacroLayers(spark, sf_dir, shared=shared)
     return per_session[key].ensure_shared()
 
 
-def forget_pipelines(spark: SparkSession | None = None) -> None:
+def forget_layers(spark: SparkSession | None = None) -> None:
     """Drop built pipelines (call after the input files change)."""
     if spark is None:
         _BUILT.clear()

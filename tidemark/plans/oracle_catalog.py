@@ -328,7 +328,7 @@ PROFILES = ("profiles AS (" + _profile("bronze_cpi_raw", "cpi_category", "time_p
                                        "trade_value_sgd_million") + ")")
 
 ORACLE.update({
-    "pipeline_stats": W([O.BRONZE_CPI, O.BRONZE_FX, O.BRONZE_TRADE, PROFILES], """
+    "source_stats": W([O.BRONZE_CPI, O.BRONZE_FX, O.BRONZE_TRADE, PROFILES], """
 SELECT CASE table_name WHEN 'bronze_cpi_raw' THEN 'SingStat' WHEN 'bronze_fx_raw' THEN 'MAS'
                        WHEN 'bronze_trade_raw' THEN 'Enterprise SG' END AS source,
        CASE table_name WHEN 'bronze_cpi_raw' THEN 'CPI by category'
