@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import simhash
+from tidemark.llm import chat, mixing, simhash, url_filter
 from tidemark.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,8 +18,84 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+# The rules that the URL contract lists.
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, url_filter.RULES_SCHEMA)
+    judged = url_filter.judge_urls(read_table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+OP5_SQL = """
+WITH cut AS (
+  SELECT row_number() OVER () AS rid, page_id,
+         CASE WHEN strpos(coalesce(url, ''), '://') = 0 THEN '' ELSE substr(url, strpos(url, '://') + 3) END AS rest
+  FROM pages
+), parts AS (
+  SELECT rid, page_id,
+         translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM cut
+), rules(rule_host, rule_path, action) AS (
+  VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+         ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+), best AS (
+  SELECT rid, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+         arg_max(action, length(rule_host || rule_path)) AS verdict
+  FROM parts JOIN rules
+    ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+  GROUP BY rid
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM parts LEFT JOIN best USING (rid)
+"""
+
+
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_sizes(read_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
+
+
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(read_table(spark, sf_dir, "conversations"))
+
+
+OP10_SQL = """
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), whole AS (
+  SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn) AS turns FROM turns GROUP BY conv_id
+), prefixes AS (
+  SELECT DISTINCT turns[1:n] AS turns FROM whole, unnest(range(1, len(turns))) AS r(n)
+), first AS (
+  SELECT min(conv_id) AS conv_id, turns FROM whole GROUP BY turns
+), maximal AS (
+  SELECT conv_id FROM first WHERE turns NOT IN (SELECT turns FROM prefixes)
+)
+SELECT conv_id, CAST(coalesce(floor(turn / 1024), 0) AS BIGINT) AS part, count(*) AS n_turns,
+       string_agg('<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10), '' ORDER BY turn) AS text
+FROM turns WHERE conv_id IN (SELECT conv_id FROM maximal)
+GROUP BY ALL
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op5_url_filter": op5_url_filter,
+    "op8_source_mixing": op8_source_mixing,
+    "op10_chat_formatting": op10_chat_formatting,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_url_filter": OP5_SQL,
+    "op10_chat_formatting": OP10_SQL,
+}
