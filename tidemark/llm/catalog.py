@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, mixing, simhash, url_filter
+from tidemark.llm import bpe, chat, mixing, simhash, url_filter
 from tidemark.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +19,14 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return coded.select("doc_id", F.size("token_ids").cast("bigint").alias("n_tokens"),
+                        F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 # The rules that the URL contract lists.
 URL_RULES = [
     ("org", "/", "allow"),
@@ -90,6 +99,7 @@ GROUP BY ALL
 
 QUERIES: dict[str, Query] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_byte_bpe": op2_byte_bpe,
     "op5_url_filter": op5_url_filter,
     "op8_source_mixing": op8_source_mixing,
     "op10_chat_formatting": op10_chat_formatting,
