@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, mixing, simhash, token_counts, url_filter
+from tidemark.llm import bpe, chat, language_model, mixing, simhash, token_counts, url_filter
 from tidemark.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +72,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sizes(read_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
@@ -106,6 +110,7 @@ QUERIES: dict[str, Query] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op5_url_filter": op5_url_filter,
     "op6_token_counts": op6_token_counts,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_source_mixing": op8_source_mixing,
     "op10_chat_formatting": op10_chat_formatting,
 }
