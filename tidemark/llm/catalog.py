@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, language_model, mixing, simhash, token_counts, url_filter
-from tidemark.llm.common import read_table
+from tidemark.llm import bpe, chat, language_model, mixing, quality, simhash, token_counts, url_filter
+from tidemark.llm.common import id_remainder, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,14 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, read_table(spark, sf_dir, "labels"))
+    scored = quality.score_quality(docs, model)
+    return scored.select("doc_id", (id_remainder("doc_id", 3) == 1).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 # The rules that the URL contract lists.
 URL_RULES = [
     ("org", "/", "allow"),
@@ -108,6 +116,7 @@ GROUP BY ALL
 QUERIES: dict[str, Query] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_quality_classifier": op3_quality_classifier,
     "op5_url_filter": op5_url_filter,
     "op6_token_counts": op6_token_counts,
     "op7_lm_scoring": op7_lm_scoring,
