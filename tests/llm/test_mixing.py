@@ -70,8 +70,11 @@ def test_against_brute_force(spark, documents, table, monkeypatch):
     assert sorted(again, key=key) == sorted(got, key=key)
     short = mixing.mix_sizes(docs).select("doc_id", "taken").collect()
     assert sorted((r.doc_id, r.taken) for r in short) == sorted((r["doc_id"], r["taken"]) for r in got)
-    out = mixing.repeat_copies(mixing.mix(docs), docs.columns)
-    assert out.columns == docs.columns and out.count() == sum(r["copies"] for r in got)
+    clashing = docs.withColumnsRenamed({"n_chars": "size", "n": "copies"})
+    out = mixing.take_mix(clashing)
+    assert out.columns == clashing.columns
+    taken = {r.doc_id: r["count"] for r in out.groupBy("doc_id").count().collect()}
+    assert taken == {r["doc_id"]: r["copies"] for r in got if r["copies"]} and out.where("size <> length(text)").isEmpty()
 
 
 def test_empty_blank_and_repeated(spark, documents):

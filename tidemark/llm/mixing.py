@@ -237,7 +237,11 @@ def mix_sizes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sourc
                   ["doc_id", "source"], "doc_id", "source", "_words")
 
 
-def repeat_copies(mixed: DataFrame, columns: list[str]) -> DataFrame:
-    """Every document as often as the mix takes it."""
+def take_mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
+             weights: Sequence[int] = WEIGHTS, cap: int = CAP) -> DataFrame:
+    """The rows of ``docs``, all columns, each as often as the mix takes it (not at all, up to ``cap`` times)."""
+    packed = docs.select(F.struct(*docs.columns).alias("_document"), F.col(doc_id).alias("_id"),
+                         F.col(text).alias("_text"), F.col(source).alias("_from"))
+    mixed = mix(packed, "_id", "_text", "_from", weights, cap)
     return (mixed.where(F.col("copies") > 0)
-            .select(*columns, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")).drop("_copy"))
+            .select("_document", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")).select("_document.*"))

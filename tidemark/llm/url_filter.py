@@ -114,6 +114,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
     found = found.select(F.col("url").alias("_url"), F.col("rule").alias("_rule"), F.col("action").alias("_action"))
     results = {"host": url_host("_key"), "path": url_path("_key"), "rule": F.col("_rule"),
                "verdict": F.coalesce("_action", F.lit(default))}
-    kept = [c for c in pages.columns if c not in results]
-    joined = pages.withColumn("_key", F.col(url)).join(found, F.col("_key") == F.col("_url"), "left")
+    packed = pages.select(F.struct(*pages.columns).alias("_page"), F.col(url).alias("_key"))
+    joined = packed.join(found, F.col("_key") == F.col("_url"), "left")
+    kept = [F.col("_page").getField(c).alias(c) for c in pages.columns if c not in results]
     return joined.select(*kept, *[v.alias(k) for k, v in results.items()])
