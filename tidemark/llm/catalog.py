@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, language_model, mixing, quality, simhash, token_counts, url_filter
+from tidemark.llm import (bpe, chat, embedding_dedup, language_model, mixing, quality, simhash, token_counts, topk,
+                          url_filter)
 from tidemark.llm.common import id_remainder, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +36,27 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"))
+
+
+OP4_SQL = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM usable q JOIN usable c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 20 = 0
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  FROM scored
+)
+SELECT * FROM ranked WHERE rank <= 20
+"""
+
+
 # The rules that the URL contract lists.
 URL_RULES = [
     ("org", "/", "allow"),
@@ -89,6 +111,34 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+OP9_SQL = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.9
+), reach AS (
+  SELECT a, b FROM links
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), lowest AS (
+  SELECT a, min(b) AS low FROM reach GROUP BY a
+), counts AS (
+  SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(low, vec_id)) AS kept
+FROM embeddings LEFT JOIN lowest ON vec_id = lowest.a LEFT JOIN counts ON vec_id = counts.a
+"""
+
+
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_chats(read_table(spark, sf_dir, "conversations"))
 
@@ -117,14 +167,18 @@ QUERIES: dict[str, Query] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_quality_classifier": op3_quality_classifier,
+    "op4_exact_top_k": op4_exact_top_k,
     "op5_url_filter": op5_url_filter,
     "op6_token_counts": op6_token_counts,
     "op7_lm_scoring": op7_lm_scoring,
     "op8_source_mixing": op8_source_mixing,
+    "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_chat_formatting": op10_chat_formatting,
 }
 
 ORACLE: dict[str, str] = {
+    "op4_exact_top_k": OP4_SQL,
     "op5_url_filter": OP5_SQL,
+    "op9_embedding_near_dedup": OP9_SQL,
     "op10_chat_formatting": OP10_SQL,
 }
