@@ -1,3 +1,4 @@
+import os
 import datetime as dt
 
 import duckdb
@@ -63,3 +64,26 @@ def test_calendar_labels(spark):
     assert [r[0] for r in rows] == ["Q1"] * 3 + ["Q2"] * 3 + ["Q3"] * 3 + ["Q4"] * 3
     assert rows[2][1] == "Asia Dry Season" and rows[5][1] == "Monsoon Season"
     assert rows[8][1] == "Monsoon Season" and rows[9][1] == "Year End / Q1" and rows[0][1] == "Year End / Q1"
+
+
+def test_number_grammar(spark):
+    from pyspark.errors import PySparkException
+    from tidemark.functions.numeric import lenient_double, strict_double
+    good = {"1": 1.0, " -1.5 ": -1.5, ".5": 0.5, "5.": 5.0, "+1e3": 1000.0, "inf": float("inf"), "-Infinity": float("-inf")}
+    bad = ["1.5d", "1.5f", "1f", "0x1p3", "1,000", "x", "1 2", "--1", "e5", ".", "na"]
+    df = spark.createDataFrame([(t,) for t in [*good, *bad, None, "", "nan"]], "t string")
+    got = {r.t: r.v for r in df.select("t", lenient_double("t").alias("v")).collect()}
+    assert {t: got[t] for t in good} == good and all(got[t] is None for t in [*bad, None, "", "nan"])
+    for t in bad[:-1]:
+        with pytest.raises(PySparkException):
+            spark.createDataFrame([(t,)], "t string").select(strict_double("t")).collect()
+
+
+def test_session_takes_the_submitted_master():
+    import subprocess
+    import sys
+    code = ("import sys; sys.path.insert(0, %r); from tidemark.session import build_session; s = build_session(); "
+            "print(s.sparkContext.master); s.stop()" % os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = dict(os.environ, PYSPARK_SUBMIT_ARGS="--master local[3] pyspark-shell")
+    out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=300)
+    assert out.stdout.strip().splitlines()[-1] == "local[3]", out.stderr[-1500:]

@@ -169,7 +169,7 @@ def test_streaming_landing_loads_each_file_once(spark, scratch):
 def test_views_listing_audit_columns_and_sample(spark, scratch):
     from tidemark.plans import audit
     from tidemark.plans.layers import MacroLayers
-    p = MacroLayers(spark, "/root/testdata/sf0.001", shared=False)
+    p = MacroLayers(spark, "/root/testdata/sf0.001")
     sinks.register_views({"stg_fx_view": p.stg_fx})
     names = {r.tableName for r in landed.list_tables(spark).collect()}
     assert "stg_fx_view" in names
@@ -246,3 +246,71 @@ def test_stored_tables_match_declared_schemas(spark, scratch):
     silver = fl.silver_models(bronze)
     for name, declared in (("stg_cpi", schemas.STG_CPI), ("stg_fx", schemas.STG_FX), ("stg_trade", schemas.STG_TRADE)):
         assert shape(silver[name]) == shape(declared), name
+
+
+def test_landing_keeps_every_file_of_a_day(spark, scratch):
+    for per_trigger in (None, 1, 2):
+        land, bronze, ckpt = (f"{scratch}/{per_trigger}/{n}" for n in ("landing", "bronze", "ckpt"))
+        write_json(f"{land}/a.json", cpi_payload([("All Items", [("2024 Jan", "99.1"), ("2024 Feb", "99.5")])]))
+        write_json(f"{land}/b.json", cpi_payload([("Food", [("2024 Jan", "101.0")])]))
+        load_cpi_landing(spark, land, bronze, ckpt, run_ts=T1, max_files_per_trigger=per_trigger)
+        write_json(f"{land}/c.json", cpi_payload([("Fuel", [("2024 Jan", "7")])]))
+        load_cpi_landing(spark, land, bronze, ckpt, run_ts=T1_LATER, max_files_per_trigger=per_trigger)
+        assert sorted(r.cpi_value for r in sinks.read_bronze(spark, bronze).collect()) == [7, 99.1, 99.5, 101]
+
+
+def test_a_retried_batch_replaces_itself_only(spark, scratch):
+    schema = "cpi_category string, time_period string, cpi_value double, ingested_at timestamp"
+    one, two = (spark.createDataFrame([(c, "2024 Jan", 1.0, T1)], schema) for c in "AB")
+    for batch, df in (("s-0", one), ("s-1", two), ("s-1", two)):
+        sinks.append_daily(df, f"{scratch}/b", batch=batch)
+    assert sorted(r.cpi_category for r in sinks.read_bronze(spark, f"{scratch}/b").collect()) == ["A", "B"]
+
+
+def test_landing_stops_at_a_truncated_file(spark, scratch):
+    from pyspark.errors import StreamingQueryException
+    os.makedirs(f"{scratch}/landing")
+    with open(f"{scratch}/landing/a.json", "w") as fh:
+        fh.write('{"Data": {"row": [{"rowText": "All Items", "colu')
+    with pytest.raises(StreamingQueryException):
+        load_cpi_landing(spark, f"{scratch}/landing", f"{scratch}/bronze", f"{scratch}/ckpt", run_ts=T1)
+
+
+@pytest.mark.parametrize("payload", [{}, {"Data": {}}, {"Data": {"row": [{"rowText": "A"}]}}])
+def test_incomplete_cpi_payload_fails(spark, scratch, payload):
+    with pytest.raises(PySparkException):
+        landed.read_cpi_payload(spark, write_json(f"{scratch}/p.json", payload), T1).collect()
+
+
+@pytest.mark.parametrize("payload", [{"result": {}}, page([{"_id": "1", "2024Jan": "1"}]), page([{"_id": "1", "2024Jan": "na"}])])
+def test_incomplete_record_page_fails(spark, scratch, payload):
+    path = write_json(f"{scratch}/p.json", payload)
+    with pytest.raises(PySparkException):
+        landed.read_fx_pages(spark, path, T1).collect()
+    with pytest.raises(PySparkException):
+        landed.read_trade_pages(spark, path, path, T1).select("trade_month").collect()
+
+
+def test_empty_replay_clears_the_day(spark, scratch):
+    schema = "cpi_category string, time_period string, cpi_value double, ingested_at timestamp"
+    sinks.append_daily(spark.createDataFrame([("A", "2024 Jan", 1.0, T1)], schema), f"{scratch}/b", run_ts=T1)
+    sinks.append_daily(spark.createDataFrame([("A", "2024 Jan", 2.0, T2)], schema), f"{scratch}/b", run_ts=T2)
+    assert sinks.append_daily(spark.createDataFrame([], schema), f"{scratch}/b", run_ts=T1_LATER)["rows"] == 0
+    assert [r.cpi_value for r in sinks.read_bronze(spark, f"{scratch}/b").collect()] == [2.0]
+
+
+def test_load_day_is_the_utc_day(spark, scratch):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Singapore")
+    try:
+        df = spark.sql("select 'A' cpi_category, '2024 Jan' time_period, 1D cpi_value, timestamp'2024-05-01 20:00:00Z' ingested_at")
+        sinks.append_daily(df, f"{scratch}/b")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [d for d in os.listdir(f"{scratch}/b") if "=" in d] == ["ingest_date=2024-05-01"]
+
+
+def test_conflicting_rows_of_one_load_stay(spark):
+    from tidemark.operators.snapshots import latest_snapshot
+    rows = [("A", "2024 Jan", 1.0, T2), ("A", "2024 Jan", 9.0, T2), ("A", "2024 Jan", 5.0, T1), (None, "x", 3.0, None), ("B", "y", 4.0, T1)]
+    df = spark.createDataFrame(rows, "k string, m string, v double, ingested_at timestamp")
+    assert sorted(r.v for r in latest_snapshot(df, ["k", "m"]).collect()) == [1.0, 3.0, 4.0, 9.0]

@@ -8,11 +8,12 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as E  # noqa: E402
+from tidemark.plans.catalog import QUERIES  # noqa: E402
 from oracle_check import digest, duck, rows_of  # noqa: E402
 
 from conftest import SF_SMALL  # noqa: E402
 
-NAMES = sorted(E.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +22,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(QUERIES) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -35,4 +36,4 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
-    assert df.count() >= 0 and "period_date" in df.columns
+    assert df.count() > 0 and "period_date" in df.columns

@@ -4,8 +4,8 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF_SMALL
+from tidemark.plans.catalog import QUERIES
 from tidemark.plans.layers import MacroLayers
 
 
@@ -18,7 +18,7 @@ def optimized(df):
 
 
 def test_no_python_udfs_or_cartesian_products(spark):
-    for name, q in E.queries().items():
+    for name, q in QUERIES.items():
         p = plan(q(spark, SF_SMALL))
         for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
             assert bad not in p, (name, bad)
@@ -44,18 +44,13 @@ def test_series_filter_moves_below_window_date_filter_stays(spark):
     assert "1999-01-01" in p[:window_at]
 
 
-def test_currency_filter_reaches_scan(spark):
-    p = plan(MacroLayers(spark, SF_SMALL).fact)
-    assert "PushedFilters" in p
-
-
 def test_top_k_is_take_ordered(spark):
-    p = plan(E.queries()["top_k"](spark, SF_SMALL))
+    p = plan(QUERIES["top_k"](spark, SF_SMALL))
     assert "TakeOrderedAndProject" in p
 
 
 def test_top_k_names_come_from_a_semi_join_over_part(spark):
-    p = plan(E.queries()["top_k"](spark, SF_SMALL))
+    p = plan(QUERIES["top_k"](spark, SF_SMALL))
     assert "LeftSemi" in p
     # part is streamed through the semi-join; what gets broadcast above it is the
     # semi-join output (at most k rows), never a bare scan of part
@@ -64,12 +59,6 @@ def test_top_k_names_come_from_a_semi_join_over_part(spark):
         assert not first_op.startswith("FileScan parquet [p_partkey"), first_op
 
 
-def test_fact_sides_read_the_shared_month_grain_cache(spark):
-    spark.catalog.clearCache()
-    p = plan(MacroLayers(spark, SF_SMALL).fact)
-    assert "InMemoryTableScan" in p
-
-
 def _indent(line):
     return len(line) - len(line.lstrip(" :+-"))
 
@@ -103,38 +92,44 @@ def test_raw_rows_are_combined_before_every_hash_shuffle(spark):
     for name in ("monthly_mom_yoy", "inverse_rate", "totals_union", "top_k", "unpivot_wide",
                  "json_flatten", "month_parse"):
         spark.catalog.clearCache()
-        found = _raw_exchange_inputs(plan(E.queries()[name](spark, SF_SMALL)))
+        found = _raw_exchange_inputs(plan(QUERIES[name](spark, SF_SMALL)))
         assert found, name
         for below in found:
             assert below.startswith("HashAggregate") and "partial_" in below, (name, below)
 
 
-def test_latest_snapshot_is_an_aggregate_not_a_ranking_window(spark):
-    p = plan(E.queries()["latest_snapshot"](spark, SF_SMALL))
-    assert "partial_max_by" in p and "row_number" not in p and "Window" not in p
-
-
-DIRECT_READERS = {"month_parse", "date_spine", "unpivot_wide", "top_k", "inverse_rate", "silver_fx_sample",
-                  "json_flatten", "lenient_cast", "strict_cast", "freshness"}
-
-
-def test_large_tables_are_read_through_the_shared_month_grain_cache(spark):
-    """Queries that read orders/lineitem more than once go through one cached
-    month-grain aggregate per table, so each table is scanned once."""
-    import re
-    for name, q in E.queries().items():
-        if name in DIRECT_READERS:
-            continue
-        spark.catalog.clearCache()
-        lines = plan(q(spark, SF_SMALL)).splitlines()
-        for i, ln in enumerate(lines):
-            if not re.search(r"FileScan parquet .*?/(orders|lineitem)\.parquet", ln):
-                continue
-            depth, inside = _indent(ln), False
-            for up in reversed(lines[:i]):
-                if _indent(up) < depth:
-                    depth = _indent(up)
-                    if "InMemoryRelation" in up:
-                        inside = True
-                        break
-            assert inside, name
+def test_latest_snapshot_hashes_raw_rows(spark):
+    from tidemark.operators.snapshots import latest_snapshot
+    raw = spark.range(1000).selectExpr("cast(id % 7 as string) k", "cast(id % 5 as string) m", "id v",
+                                       "timestamp_seconds(id) ingested_at")
+    out = latest_snapshot(raw, ["k", "m"])
+    out.collect()
+    p = plan(out)
+    assert "SortAggregate" not in p and "Window" not in p and "HashAggregate" in p
+    assert "Sort [" not in p.split("== Initial Plan ==")[0]
+
+
+def _scans(df, table):
+    """Scans of a table that a finished query ran: reused exchanges are not run again."""
+    df.collect()
+    return len(re.findall(rf"FileScan parquet .*?/{table}\.parquet", plan(df).split("== Initial Plan ==")[0]))
+
+
+def test_large_tables_are_scanned_once_and_nothing_is_cached(spark):
+    for name, q in QUERIES.items():
+        df = q(spark, SF_SMALL)
+        assert _scans(df, "orders") <= 1 and _scans(df, "lineitem") <= 1, name
+        assert "InMemoryRelation" not in plan(df) and "InMemoryTableScan" not in plan(df), name
+    assert _scans(QUERIES["macro_fact"](spark, SF_SMALL), "lineitem") == 1
+
+
+def test_answers_follow_the_files(spark, scratch):
+    import shutil
+    shutil.copy(f"{SF_SMALL}/lineitem.parquet", f"{scratch}/lineitem.parquet")
+    shutil.copy("/root/testdata/sf0.01/orders.parquet", f"{scratch}/orders.parquet")
+    first = QUERIES["monthly_mom_yoy"](spark, scratch).agg({"cpi_value": "sum"}).first()[0]
+    shutil.copy(f"{SF_SMALL}/orders.parquet", f"{scratch}/orders.parquet")
+    spark.catalog.refreshByPath(scratch)
+    second = QUERIES["monthly_mom_yoy"](spark, scratch).agg({"cpi_value": "sum"}).first()[0]
+    want = QUERIES["monthly_mom_yoy"](spark, SF_SMALL).agg({"cpi_value": "sum"}).first()[0]
+    assert second == want != first

@@ -46,3 +46,12 @@ def test_rejected_values(spark):
     df = spark.createDataFrame([("Machinery",), ("Total Merchandise Exports",), (None,)], "commodity_category string")
     rep = run_checks({"t": df}, [Check("t", "commodity_category", "rejected_values", ("Total Merchandise Exports",))])
     assert [(r.failures, r.status) for r in rep.collect()] == [(1, "FAIL")]
+
+
+def test_gate_names_every_failure(spark):
+    from tidemark.operators.quality import DataTestFailure, gate
+    rows = [("m", f"c{i}", "not_null", 5, 1, "FAIL") for i in range(25)]
+    report = spark.createDataFrame(rows, "model string, column_name string, test string, rows_checked bigint, failures bigint, status string")
+    with pytest.raises(DataTestFailure) as error:
+        gate(report)
+    assert all(f"m.c{i} " in str(error.value) for i in range(25))

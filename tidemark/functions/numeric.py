@@ -24,11 +24,6 @@ def nullif_zero(c) -> Column:
     return F.nullif(col(c), F.lit(0))
 
 
-def safe_div(num, den) -> Column:
-    """``num / den`` that yields null for a null or zero divisor (ANSI-safe)."""
-    return F.try_divide(col(num), col(den))
-
-
 def exact_sum(c, scale: int = 6) -> Column:
     """Sum of a double column as a decimal, returned as double (for small,
     month-grain inputs; ``unit_sum`` is the fast path for large scans).
@@ -64,17 +59,23 @@ def nan_to_null(c) -> Column:
     return F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(c)
 
 
+# Fixed value: the numbers that the loaders accept, plain or with an exponent,
+# plus infinity and NaN. The engine's own cast also takes type suffixes (1.5f)
+# and hexadecimal forms, which are footnote marks or errors in a source file.
+NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
+
+
 def lenient_double(c) -> Column:
-    """Parse text to double; anything unparsable becomes null (coerce)."""
-    return nan_to_null(col(c).try_cast("double"))
+    """Parse text to double; anything that is no number becomes null (coerce)."""
+    c = col(c)
+    return nan_to_null(F.when(c.rlike(NUMBER), F.trim(c).try_cast("double")))
 
 
 def strict_double(c, null_marks=("", "na")) -> Column:
-    """Parse text to double; the null marks become null, other bad text fails.
-
-    Under ANSI mode the cast raises on text such as ``'x'``, so a malformed
-    payload stops the load instead of being loaded as nulls.
+    """Parse text to double; the null marks become null, other bad text fails,
+    so a malformed payload stops the load instead of being loaded as nulls.
     """
     c = col(c)
-    return F.when(c.isNull() | c.isin(*null_marks), F.lit(None).cast("double")).otherwise(
-        c.cast("double"))
+    bad = F.raise_error(F.concat(F.lit("not a number: "), c)).cast("double")
+    return (F.when(c.isNull() | c.isin(*null_marks), F.lit(None).cast("double"))
+            .when(c.rlike(NUMBER), F.trim(c).cast("double")).otherwise(bad))

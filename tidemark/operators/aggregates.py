@@ -46,14 +46,6 @@ def top_k(df: DataFrame, keys: Sequence[str], value, k: int, *, name: str = "tot
     return agg.orderBy(F.col(name).desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in keys]).limit(k)
 
 
-def count_by(df: DataFrame, keys: Sequence[str], name: str = "rows") -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-
-
-def distinct_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.select(*cols).distinct()
-
-
 def table_profile(df: DataFrame, *, table: str, category: str, month, value: str,
                   month_format: str | None = None) -> DataFrame:
     """One row: rows, distinct categories, first and last month, null values.

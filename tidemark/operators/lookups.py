@@ -15,12 +15,12 @@ def attach_attributes(small: DataFrame, large: DataFrame, key: str, attrs: Seque
 
     A left outer join can only build its right side, so joining the large
     table directly would broadcast it (or shuffle it whole). Instead the
-    small frame's keys are broadcast into a semi-join that streams the large
-    table once and keeps only matching rows; the few matches are then joined
-    back. Only ``small``'s keys are ever broadcast.
+    small frame's keys go into a semi-join that streams the large table once
+    and keeps only matching rows; the few matches are then joined back. AQE
+    broadcasts the keys if their measured size allows it.
     """
     lk = large_key or key
-    keys = F.broadcast(small.select(F.col(key).alias(lk)).distinct())
+    keys = small.select(F.col(key).alias(lk)).distinct()
     matched = large.select(lk, *attrs).join(keys, lk, "left_semi")
     if lk != key:
         matched = matched.withColumnRenamed(lk, key)

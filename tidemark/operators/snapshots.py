@@ -9,20 +9,22 @@ from pyspark.sql import functions as F
 
 
 def latest_snapshot(df: DataFrame, keys: Sequence[str], loaded: str = "ingested_at") -> DataFrame:
-    """Keep, per ``keys``, the row of the latest load.
+    """Keep, per ``keys``, the rows of the latest load.
 
     A daily re-runnable load keeps every earlier day's rows; without this,
     a second load day doubles every month and a row-based lag reaches half as
-    far back. Done as ``max_by`` in a grouped aggregate rather than a ranking
-    window: the aggregate combines on the map side, so a key that holds a
-    third of the rows is reduced per task before the shuffle.
-    Rows tied on ``loaded`` within a key are one snapshot; one of them is kept.
+    far back. The latest load time per key is a hash aggregate over a
+    fixed-width buffer, combined on the map side, and is joined back on key
+    and load time; AQE picks the join from the measured size. Rows tied on
+    ``loaded`` within a key all stay, so conflicting rows of one load still
+    reach the data tests.
     """
-    others = [c for c in df.columns if c not in keys]
-    row = F.struct(*[F.col(c) for c in others])
-    return (df.groupBy(*keys).agg(F.max_by(row, F.col(loaded)).alias("__row"))
-            .select(*keys, *[F.col(f"__row.{c}").alias(c) for c in others])
-            .select(*df.columns))
+    latest = (df.groupBy(*keys).agg(F.max(loaded).alias("__latest"))
+              .select(*[F.col(k).alias(f"__{k}") for k in keys], "__latest"))
+    same = F.col(loaded).eqNullSafe(F.col("__latest"))
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return df.join(latest, same).select(*df.columns)
 
 
 def replace_from(stored: DataFrame, incoming: DataFrame, period: Column | str,

@@ -76,10 +76,10 @@ def month_spine_of(df: DataFrame, date_col: str, name: str = "period_date",
     The bounds come from one global ``min``/``max`` aggregate (partial per
     task, one row to merge), so the data is never collected to the driver.
     """
-    bounds = df.agg(F.min(month_start(date_col)).alias("lo"),
-                    F.max(month_start(date_col)).alias("hi"))
+    bounds = df.agg(F.min(month_start(date_col)).cast("date").alias("lo"),
+                    F.max(month_start(date_col)).cast("date").alias("hi"))
     lo = F.lit(start).cast("date") if start else F.col("lo")
-    return _spine(bounds.where(F.col("hi").isNotNull()), lo, F.col("hi"), name)
+    return _spine(bounds.where(F.col("hi") >= lo), lo, F.col("hi"), name)
 
 
 def dim_calendar_of(spine: DataFrame, date_col: str = "period_date") -> DataFrame:

@@ -63,6 +63,12 @@ def balance_check(fact: DataFrame, n: int = 6) -> DataFrame:
         balance_status("trade_balance_sgd").alias("balance_status"))
 
 
+def labelled_balance(fact: DataFrame) -> DataFrame:
+    """Every month with its surplus/deficit label."""
+    return fact.select("period_date", "total_imports_sgd", "trade_balance_sgd",
+                       balance_status("trade_balance_sgd").alias("balance_status"))
+
+
 def yearly_averages(fact: DataFrame, years: int = 10) -> DataFrame:
     """Yearly means over months with both rate and imports, latest ``years`` years."""
     src = fact.where(F.col("usd_sgd_rate").isNotNull() & F.col("total_imports_sgd").isNotNull())
@@ -88,6 +94,19 @@ def trade_sample(trade: DataFrame, trade_type: str = EXPORTS, n: int = 5) -> Dat
             .limit(n))
 
 
+def load_categories(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Per table, the number and the names of its categories (one short list per table)."""
+    return union_all(*[df.agg(F.sort_array(F.collect_set(c)).alias("found")).select(
+        F.lit(name).alias("table_name"), F.size("found").cast("bigint").alias("categories"),
+        F.array_join("found", ", ").alias("names")) for name, (df, c) in tables.items()])
+
+
+def quality_score(report: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Tests, passing, pass rate, and the number of sources that hold rows."""
+    monitored = profiles.select(F.count_if(F.col("row_count") > 0)).scalar()
+    counted = report.agg(F.count(F.lit(1)).alias("tests"), F.count_if(F.col("status") == "PASS").alias("passing"))
+    return counted.select("tests", "passing", round_to(F.col("passing") * 100.0 / F.col("tests"), 1).alias("pass_rate"),
+                          monitored.alias("sources_monitored"))
 
 
 # How the pipeline page names each source.

@@ -6,14 +6,14 @@ or directly), so its work grows with them.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import (COMPACT_MONTH, abbr_of_text, month_name, month_text, parse_month,
-                               year_of_text)
+from ..functions.dates import (COMPACT_MONTH, SPACED_MONTH, abbr_of_text, month_name, month_start, month_text,
+                               parse_month, year_of_text)
+from ..functions.labels import EXPORTS, IMPORTS, KEY_CURRENCIES
 from ..functions.numeric import lenient_double, round_to, strict_double, unit_sum
 from ..operators import aggregates as A
 from ..operators import quality as Q
@@ -21,57 +21,53 @@ from ..operators import snapshots as S
 from ..operators.lookups import attach_attributes
 from ..operators.reshape import union_all, unpivot_columns
 from ..operators.timeseries import dim_calendar_of, month_spine_of
-from ..session import prefer_fast_construction
-from . import audit, extras, signals, standins
-from .layers import MacroLayers, layers_for
+from ..sources import landed
+from . import audit, extras, marts, signals, standins
+from .layers import MacroLayers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def query(fn):
-    @functools.wraps(fn)
-    def run(spark, sf_dir):
-        prefer_fast_construction(spark)
-        return fn(spark, sf_dir)
-    QUERIES[fn.__name__] = run
+def query(fn: Query) -> Query:
+    QUERIES[fn.__name__] = fn
     return fn
 
 
 @query
 def monthly_mom_yoy(spark, sf_dir):
     """stg_cpi: month change and year-on-year percent per category (L1, H1, H2)."""
-    return layers_for(spark, sf_dir).stg_cpi
+    return MacroLayers(spark, sf_dir).stg_cpi
 
 
 @query
 def inverse_rate(spark, sf_dir):
     """stg_fx: positive rates of the key currencies with the inverse rate (L2)."""
-    return layers_for(spark, sf_dir, shared=False).stg_fx
+    return MacroLayers(spark, sf_dir).stg_fx
 
 
 @query
 def totals_union(spark, sf_dir):
     """stg_trade: the import total line and all export lines."""
-    return layers_for(spark, sf_dir).stg_trade
+    return MacroLayers(spark, sf_dir).stg_trade
 
 
 @query
 def macro_fact(spark, sf_dir):
     """fct_sg_macro_monthly as the model: filtered sides and five left joins."""
-    return layers_for(spark, sf_dir).fact
+    return MacroLayers(spark, sf_dir).fact
 
 
 @query
 def macro_fact_one_pass(spark, sf_dir):
     """The same fact with conditional aggregates: two joins instead of four."""
-    return layers_for(spark, sf_dir).fact_one_pass
+    return MacroLayers(spark, sf_dir).fact_one_pass
 
 
 @query
 def export_projection(spark, sf_dir):
     """The 17-column serving projection of the fact."""
-    return layers_for(spark, sf_dir).export
+    return MacroLayers(spark, sf_dir).export
 
 
 # ---------------------------------------------------------------- parsing, spine, reshape
@@ -86,8 +82,9 @@ STANDIN_HISTORY_FROM = 1999
 def month_parse(spark, sf_dir):
     """Month text -> date, year, abbreviation, name; orders per month (K1-K6)."""
     orders = standins.read_table(spark, sf_dir, "orders")
-    counts = (orders.select(month_text("o_orderdate", COMPACT_MONTH).alias("month_text"))
-              .groupBy("month_text").agg(F.count(F.lit(1)).alias("order_count")))
+    # Grouped by the month itself; text is made per group, not per row.
+    counts = (orders.groupBy(month_start("o_orderdate").alias("month")).agg(F.count(F.lit(1)).alias("order_count"))
+              .select(month_text("month", COMPACT_MONTH).alias("month_text"), "order_count"))
     d = parse_month("month_text", COMPACT_MONTH)
     return counts.select("month_text", d.alias("period_date"),
                          year_of_text("month_text").alias("period_year"),
@@ -107,11 +104,12 @@ def date_spine(spark, sf_dir):
 def unpivot_wide(spark, sf_dir):
     """Wide monthly measures -> (month, measure, value) rows."""
     li = standins.read_table(spark, sf_dir, "lineitem")
-    wide = (li.groupBy(month_text("l_shipdate", COMPACT_MONTH).alias("rate_month"))
+    wide = (li.groupBy(month_start("l_shipdate").alias("month"))
             .agg(unit_sum("l_quantity", 2).alias("quantity"),
                  unit_sum("l_extendedprice", 2).alias("extendedprice"),
                  unit_sum("l_discount", 2).alias("discount"),
-                 unit_sum("l_tax", 2).alias("tax")))
+                 unit_sum("l_tax", 2).alias("tax"))
+            .withColumn("rate_month", month_text("month", COMPACT_MONTH)).drop("month"))
     return unpivot_columns(wide, ["rate_month"], "measure", "value")
 
 
@@ -133,9 +131,15 @@ def json_flatten(spark, sf_dir):
 
 @query
 def lenient_cast(spark, sf_dir):
-    """Coercing number parse, then drop rows without a value."""
+    """Coercing number parse, then drop rows without a value.
+
+    Some events carry a suffix or a hexadecimal form, which is no number.
+    """
     ev = standins.read_table(spark, sf_dir, "events")
-    parsed = ev.select("event_id", "event_type", lenient_double(_value_text(ev)).alias("value"))
+    kind, text = F.col("event_id") % 97, _value_text(ev)
+    marked = (F.when(kind == 0, F.concat(text, F.lit("f"))).when(kind == 1, F.concat(text, F.lit("d")))
+              .when(kind == 2, F.lit("0x1p3")).otherwise(text))
+    parsed = ev.select("event_id", "event_type", lenient_double(marked).alias("value"))
     return parsed.dropna(subset=["value"])
 
 
@@ -151,31 +155,31 @@ def strict_cast(spark, sf_dir):
 @query
 def latest_inflation(spark, sf_dir):
     """Latest month with inflation (M1, I4)."""
-    return signals.latest_with(layers_for(spark, sf_dir).export, "cpi_yoy_pct")
+    return signals.latest_with(MacroLayers(spark, sf_dir).export, "cpi_yoy_pct")
 
 
 @query
 def latest_fx(spark, sf_dir):
     """Latest month with a USD rate (M2)."""
-    return signals.latest_with(layers_for(spark, sf_dir).export, "usd_sgd")
+    return signals.latest_with(MacroLayers(spark, sf_dir).export, "usd_sgd")
 
 
 @query
 def latest_trade(spark, sf_dir):
     """Latest month with imports (M3)."""
-    return signals.latest_with(layers_for(spark, sf_dir).export, "imports_sgd_bn")
+    return signals.latest_with(MacroLayers(spark, sf_dir).export, "imports_sgd_bn")
 
 
 @query
 def latest_row(spark, sf_dir):
     """Latest fact month with a year-on-year value (I4 on the gold table)."""
-    return A.latest_rows(layers_for(spark, sf_dir).fact, "period_date", 1, present=["cpi_yoy_pct"])
+    return A.latest_rows(MacroLayers(spark, sf_dir).fact, "period_date", 1, present=["cpi_yoy_pct"])
 
 
 @query
 def latest_n(spark, sf_dir):
     """Latest 6 complete months of the fact."""
-    return audit.latest_complete(layers_for(spark, sf_dir).fact)
+    return audit.latest_complete(MacroLayers(spark, sf_dir).fact)
 
 
 @query
@@ -193,13 +197,13 @@ def top_k(spark, sf_dir):
 @query
 def top_imports(spark, sf_dir):
     """Top 5 import lines by summed value."""
-    return audit.top_trade_categories(layers_for(spark, sf_dir).bronze["bronze_trade_raw"], "imports")
+    return audit.top_trade_categories(MacroLayers(spark, sf_dir).bronze["bronze_trade_raw"], "imports")
 
 
 @query
 def top_exports(spark, sf_dir):
     """Top 5 export lines by summed value."""
-    return audit.top_trade_categories(layers_for(spark, sf_dir).bronze["bronze_trade_raw"], "exports")
+    return audit.top_trade_categories(MacroLayers(spark, sf_dir).bronze["bronze_trade_raw"], "exports")
 
 
 # ---------------------------------------------------------------- dashboard signals
@@ -207,68 +211,68 @@ def top_exports(spark, sf_dir):
 @query
 def annual_scorecard(spark, sf_dir):
     """Yearly inflation, rate, imports, regime and action, latest 12 years (M4)."""
-    return signals.annual_scorecard(layers_for(spark, sf_dir).export)
+    return signals.annual_scorecard(MacroLayers(spark, sf_dir).export)
 
 
 @query
 def annual_analysis(spark, sf_dir):
     """The analysis page's variant of the scorecard (M4)."""
-    return signals.annual_scorecard(layers_for(spark, sf_dir).export,
+    return signals.annual_scorecard(MacroLayers(spark, sf_dir).export,
                                     inflation_name="avg_cpi_yoy", imports_name="total_imports_sgd_bn")
 
 
 @query
 def sourcing_signal(spark, sf_dir):
     """Budgets and the USD/CNY sourcing signal (M5)."""
-    return signals.sourcing_case(layers_for(spark, sf_dir).export, STANDIN_SINCE_YEAR)
+    return signals.sourcing_case(MacroLayers(spark, sf_dir).export, STANDIN_SINCE_YEAR)
 
 
 @query
 def scatter_regime(spark, sf_dir):
     """Rate against inflation with the band label (M9)."""
-    return signals.scatter_regime(layers_for(spark, sf_dir).export)
+    return signals.scatter_regime(MacroLayers(spark, sf_dir).export)
 
 
 @query
 def inflation_history(spark, sf_dir):
     """Monthly inflation percent from a start year (M6 inflation_only)."""
-    return signals.inflation_history(layers_for(spark, sf_dir).export, STANDIN_HISTORY_FROM)
+    return signals.inflation_history(MacroLayers(spark, sf_dir).export, STANDIN_HISTORY_FROM)
 
 
 @query
 def cpi_history(spark, sf_dir):
     """Monthly inflation percent, full history (M6 cpi_history)."""
-    return signals.inflation_history(layers_for(spark, sf_dir).export, None, name="cpi_yoy")
+    return signals.inflation_history(MacroLayers(spark, sf_dir).export, None, name="cpi_yoy")
 
 
 @query
 def fx_rate_history(spark, sf_dir):
     """USD rate from a start year (M7 fx_only)."""
-    return signals.fx_rate_history(layers_for(spark, sf_dir).export, STANDIN_HISTORY_FROM)
+    return signals.fx_rate_history(MacroLayers(spark, sf_dir).export, STANDIN_HISTORY_FROM)
 
 
 @query
 def fx_history(spark, sf_dir):
     """USD, CNY and cross rate (M7 fx_history)."""
-    return signals.fx_history(layers_for(spark, sf_dir).export)
+    return signals.fx_history(MacroLayers(spark, sf_dir).export)
 
 
 @query
 def trade_history(spark, sf_dir):
     """Monthly imports (M8 trade_history)."""
-    return signals.trade_history(layers_for(spark, sf_dir).export)
+    return signals.trade_history(MacroLayers(spark, sf_dir).export)
 
 
 @query
 def series_history(spark, sf_dir):
     """Inflation, USD rate and imports per month, rounded (M6-M8 together)."""
-    return signals.series_history(layers_for(spark, sf_dir).export)
+    return signals.series_history(MacroLayers(spark, sf_dir).export)
 
 
 @query
 def log_series(spark, sf_dir):
     """ln of monthly imports (M8 log_imports, K12)."""
-    return signals.log_imports(layers_for(spark, sf_dir).export)
+    return signals.log_imports(MacroLayers(spark, sf_dir).export)
 
 
 # ---------------------------------------------------------------- audits
@@ -276,59 +280,59 @@ def log_series(spark, sf_dir):
 @query
 def balance_status(spark, sf_dir):
     """Surplus/deficit of the latest 6 months with exports."""
-    return audit.balance_check(layers_for(spark, sf_dir).fact)
+    return audit.balance_check(MacroLayers(spark, sf_dir).fact)
 
 
 @query
 def yearly_averages(spark, sf_dir):
     """Yearly means over complete months, latest 10 years."""
-    return audit.yearly_averages(layers_for(spark, sf_dir).fact)
+    return audit.yearly_averages(MacroLayers(spark, sf_dir).fact)
 
 
 @query
 def table_profile(spark, sf_dir):
     """Rows, categories, month range, nulls per bronze table."""
-    b = layers_for(spark, sf_dir).bronze
+    b = MacroLayers(spark, sf_dir).bronze
     return audit.bronze_profiles(b["bronze_cpi_raw"], b["bronze_fx_raw"], b["bronze_trade_raw"])
 
 
 @query
 def gold_coverage(spark, sf_dir):
     """Row count, date range and filled counts of the fact."""
-    return audit.gold_coverage(layers_for(spark, sf_dir).fact)
+    return audit.gold_coverage(MacroLayers(spark, sf_dir).fact)
 
 
 @query
 def silver_cpi_sample(spark, sf_dir):
     """Latest 6 headline CPI rows."""
-    p = layers_for(spark, sf_dir)
+    p = MacroLayers(spark, sf_dir)
     return audit.silver_samples(p.stg_cpi, p.stg_fx, p.stg_trade)["cpi"]
 
 
 @query
 def silver_fx_sample(spark, sf_dir):
     """Latest 6 USD rows."""
-    p = layers_for(spark, sf_dir, shared=False)
+    p = MacroLayers(spark, sf_dir)
     return audit.silver_samples(p.stg_cpi, p.stg_fx, p.stg_trade)["fx"]
 
 
 @query
 def silver_trade_sample(spark, sf_dir):
     """Latest 8 total lines."""
-    p = layers_for(spark, sf_dir)
+    p = MacroLayers(spark, sf_dir)
     return audit.silver_samples(p.stg_cpi, p.stg_fx, p.stg_trade)["trade"]
 
 
 @query
 def distinct_pairs(spark, sf_dir):
     """Distinct (trade type, commodity) in bronze."""
-    return audit.category_catalogue(layers_for(spark, sf_dir).bronze["bronze_trade_raw"])
+    return audit.category_catalogue(MacroLayers(spark, sf_dir).bronze["bronze_trade_raw"])
 
 
 @query
 def count_by_key(spark, sf_dir):
     """Bronze trade rows per trade type."""
-    return audit.rows_by_trade_type(layers_for(spark, sf_dir).bronze["bronze_trade_raw"])
+    return audit.rows_by_trade_type(MacroLayers(spark, sf_dir).bronze["bronze_trade_raw"])
 
 
 # ---------------------------------------------------------------- data tests, layer counts
@@ -341,13 +345,13 @@ def _models(p: MacroLayers):
 @query
 def quality_report(spark, sf_dir):
     """The fifteen declared tests as a report frame (O1-O3)."""
-    return Q.run_checks(_models(layers_for(spark, sf_dir)))
+    return Q.run_checks(_models(MacroLayers(spark, sf_dir)))
 
 
 @query
 def quality_extra(spark, sf_dir):
     """Composite-grain, calendar and rate checks named in the docs."""
-    return Q.run_checks(_models(layers_for(spark, sf_dir)), Q.EXTRA_CHECKS)
+    return Q.run_checks(_models(MacroLayers(spark, sf_dir)), Q.EXTRA_CHECKS)
 
 
 def _layer_counts(p: MacroLayers):
@@ -364,20 +368,20 @@ def _layer_counts(p: MacroLayers):
 @query
 def layer_counts(spark, sf_dir):
     """Measured rows per table and layer (M10 rows_by_source, A10, J2)."""
-    return _layer_counts(layers_for(spark, sf_dir))
+    return _layer_counts(MacroLayers(spark, sf_dir))
 
 
 @query
 def medallion_layers(spark, sf_dir):
     """Measured rows per layer (M10 medallion_layers)."""
-    return (_layer_counts(layers_for(spark, sf_dir)).groupBy("layer")
+    return (_layer_counts(MacroLayers(spark, sf_dir)).groupBy("layer")
             .agg(F.sum("row_count").alias("total_rows")))
 
 
 @query
 def source_stats(spark, sf_dir):
     """Source, dataset, frequency, first year, rows, categories, measured."""
-    b = layers_for(spark, sf_dir).bronze
+    b = MacroLayers(spark, sf_dir).bronze
     return audit.source_stats(audit.bronze_profiles(b["bronze_cpi_raw"], b["bronze_fx_raw"],
                                                       b["bronze_trade_raw"]))
 
@@ -385,7 +389,7 @@ def source_stats(spark, sf_dir):
 @query
 def rows_by_source(spark, sf_dir):
     """Bronze rows per source, measured."""
-    b = layers_for(spark, sf_dir).bronze
+    b = MacroLayers(spark, sf_dir).bronze
     return audit.rows_by_source(audit.bronze_profiles(b["bronze_cpi_raw"], b["bronze_fx_raw"],
                                                       b["bronze_trade_raw"]))
 
@@ -393,13 +397,13 @@ def rows_by_source(spark, sf_dir):
 @query
 def test_results(spark, sf_dir):
     """The fifteen tests with status and rows checked, in the page's shape."""
-    return audit.test_results(Q.run_checks(_models(layers_for(spark, sf_dir))))
+    return audit.test_results(Q.run_checks(_models(MacroLayers(spark, sf_dir))))
 
 
 @query
 def test_summary(spark, sf_dir):
     """Tests passing and pass rate from the report (M10 data_quality_score)."""
-    report = Q.run_checks(_models(layers_for(spark, sf_dir)))
+    report = Q.run_checks(_models(MacroLayers(spark, sf_dir)))
     return report.agg(F.count(F.lit(1)).alias("tests"),
                       F.count_if(F.col("status") == "PASS").alias("passing"),
                       F.count_distinct("model").alias("models_tested")).select(
@@ -415,7 +419,7 @@ RUN_TS_EARLIER = standins.RUN_TS.replace(year=2025, month=12, day=1)
 def _cpi_loads(spark, sf_dir):
     """Two simulated CPI load days from one scan of ``orders``: an earlier
     full load and a later load holding only the finished orders."""
-    by_status = layers_for(spark, sf_dir).orders_by_status
+    by_status = MacroLayers(spark, sf_dir).orders_by_status
     earlier = standins.cpi_bronze_of(standins.orders_load(by_status), RUN_TS_EARLIER)
     later = standins.cpi_bronze_of(standins.orders_load(by_status, status="F"), standins.RUN_TS)
     return earlier, later
@@ -439,7 +443,7 @@ def replace_period(spark, sf_dir):
 @query
 def incremental_months(spark, sf_dir):
     """Stored months plus incoming months after the stored maximum."""
-    by_status = layers_for(spark, sf_dir).orders_by_status
+    by_status = MacroLayers(spark, sf_dir).orders_by_status
     stored = standins.cpi_bronze_of(standins.orders_load(by_status, before="1999-01-01"), RUN_TS_EARLIER)
     incoming = standins.cpi_bronze_of(standins.orders_load(by_status), standins.RUN_TS)
 
@@ -453,13 +457,13 @@ def incremental_months(spark, sf_dir):
 @query
 def annual_summary(spark, sf_dir):
     """Yearly average rate and CPI, total balance."""
-    return extras.annual_summary(layers_for(spark, sf_dir).fact)
+    return extras.annual_summary(MacroLayers(spark, sf_dir).fact)
 
 
 @query
 def annual_balance(spark, sf_dir):
     """Yearly exports, imports and balance."""
-    return extras.annual_balance(layers_for(spark, sf_dir).fact)
+    return extras.annual_balance(MacroLayers(spark, sf_dir).fact)
 
 
 BREAKDOWN = {"1-URGENT": "urgent", "2-HIGH": "high", "3-MEDIUM": "medium",
@@ -469,13 +473,13 @@ BREAKDOWN = {"1-URGENT": "urgent", "2-HIGH": "high", "3-MEDIUM": "medium",
 @query
 def category_breakdown(spark, sf_dir):
     """Year-on-year change per category, side by side per month."""
-    return extras.category_breakdown(layers_for(spark, sf_dir).stg_cpi, BREAKDOWN)
+    return extras.category_breakdown(MacroLayers(spark, sf_dir).stg_cpi, BREAKDOWN)
 
 
 @query
 def rate_correlation(spark, sf_dir):
     """Correlation of each currency's rate with headline inflation."""
-    p = layers_for(spark, sf_dir)
+    p = MacroLayers(spark, sf_dir)
     return extras.rate_correlation(p.stg_fx, p.stg_cpi)
 
 
@@ -484,3 +488,173 @@ def freshness(spark, sf_dir):
     """Days since the latest event per type, stale above 35 days."""
     ev = standins.read_table(spark, sf_dir, "events")
     return extras.freshness(ev, "ts", "2024-03-05", keys=("event_type",))
+
+
+@query
+def freshness_by_user(spark, sf_dir):
+    """Days since a user's latest event: fresh and stale ones."""
+    ev = standins.read_table(spark, sf_dir, "events")
+    return extras.freshness(ev, "ts", "2024-02-15", keys=("user_id",))
+
+
+# ---------------------------------------------------------------- landed files
+
+def _amount_text(cents: str):
+    """Cents as the decimal text a source file holds."""
+    return (F.col(cents).cast("decimal(38,0)") / 100).cast("decimal(38,2)").cast("string")
+
+
+@query
+def landed_cpi(spark, sf_dir):
+    """A nested CPI payload per category, flattened as the loader does (A1, C4).
+
+    Each array has one entry per month, so it is bounded by the calendar.
+    """
+    monthly = MacroLayers(spark, sf_dir).orders_monthly
+    text = F.when((F.col("cpi_category") == "5-LOW") & (F.month("month") == 12), F.lit("na")).otherwise(_amount_text("cents"))
+    series = monthly.groupBy(F.col("cpi_category").alias("rowText")).agg(F.collect_list(F.struct(
+        month_text("month", SPACED_MONTH).alias("key"), text.alias("value"))).alias("columns"))
+    payload = series.select(F.struct(F.array(F.struct("rowText", "columns")).alias("row")).alias("Data"))
+    return landed.flatten_cpi_payload(payload, standins.RUN_TS).withColumn(
+        "ingested_at", F.col("ingested_at").cast("timestamp_ntz"))
+
+
+@query
+def landed_trade(spark, sf_dir):
+    """Import and export records, one map of months each, melted as the loader does."""
+    monthly = MacroLayers(spark, sf_dir).lineitem_monthly
+    text = F.when((F.col("l_returnflag") == "A") & (F.month("month") == 2), F.lit("1,000")).otherwise(_amount_text("price_cents"))
+    months = F.map_from_entries(F.collect_list(F.struct(month_text("month", COMPACT_MONTH), text)))
+    wide = monthly.groupBy("l_returnflag", "l_linestatus").agg(months.alias("months"))
+    name = F.concat(F.lit("Flag "), "l_returnflag")
+
+    def records(status, key, trade_type):
+        ids = F.create_map(F.lit(landed.RECORD_ID), F.lit("1"), F.lit(key), name)
+        return wide.where(F.col("l_linestatus") == status).select(F.map_concat(ids, "months").alias("record"),
+                                                                  F.lit(trade_type).alias("trade_type"))
+    both = records("O", landed.SERIES_KEY, IMPORTS).unionByName(records("F", landed.SERIES_KEY_ALT, EXPORTS))
+    return landed.trade_rows(both, standins.RUN_TS).withColumn("ingested_at", F.col("ingested_at").cast("timestamp_ntz"))
+
+
+# ---------------------------------------------------------------- branches the plain stand-ins do not reach
+
+def _fact_gaps(p: MacroLayers) -> DataFrame:
+    """The fact where the first quarter has no rates and the year's end no exports."""
+    fx = p.stg_fx.where(F.month("period_date") > 3)
+    trade = p.stg_trade.where((F.col("trade_type") != EXPORTS) | (F.month("period_date") < 11))
+    return marts.fct_macro_monthly(p.stg_cpi, fx, trade, p.dim_calendar)
+
+
+@query
+def macro_fact_gaps(spark, sf_dir):
+    """Months without a rate or without exports keep their row."""
+    return _fact_gaps(MacroLayers(spark, sf_dir))
+
+
+@query
+def balance_status_gaps(spark, sf_dir):
+    """A month without a balance reads as a deficit."""
+    return audit.labelled_balance(_fact_gaps(MacroLayers(spark, sf_dir)))
+
+
+@query
+def sourcing_bands(spark, sf_dir):
+    """Rates spread over all three sourcing bands."""
+    export = MacroLayers(spark, sf_dir).export
+    spread = round_to(F.col("usd_sgd") * (18 + F.month("period_date") % 4) / 20, 4)
+    return signals.sourcing_case(export.withColumn("usd_sgd", spread), 0)
+
+
+@query
+def recent_scorecard(spark, sf_dir):
+    """The scorecard of the latest two years: a limit that cuts."""
+    return signals.annual_scorecard(MacroLayers(spark, sf_dir).export, years=2)
+
+
+@query
+def top_trade_lines(spark, sf_dir):
+    """The two largest import lines: a limit that cuts."""
+    return audit.top_trade_categories(MacroLayers(spark, sf_dir).bronze["bronze_trade_raw"], "imports", 2)
+
+
+@query
+def quality_bronze(spark, sf_dir):
+    """Checks on bronze, where some fail (O1-O3)."""
+    return Q.run_checks(MacroLayers(spark, sf_dir).bronze, (
+        Q.Check("bronze_cpi_raw", "cpi_value", "not_null"), Q.Check("bronze_cpi_raw", "time_period", "unique"),
+        Q.Check("bronze_fx_raw", "currency_pair", "accepted_values", KEY_CURRENCIES)))
+
+
+# ---------------------------------------------------------------- catalogues, samples, ordered series
+
+@query
+def silver_catalogue(spark, sf_dir):
+    """Distinct (trade type, commodity) in silver."""
+    return audit.category_catalogue(MacroLayers(spark, sf_dir).stg_trade)
+
+
+@query
+def trade_types(spark, sf_dir):
+    """Distinct trade types in bronze."""
+    return MacroLayers(spark, sf_dir).bronze["bronze_trade_raw"].select("trade_type").distinct()
+
+
+@query
+def export_categories(spark, sf_dir):
+    """Distinct export lines in bronze."""
+    trade = MacroLayers(spark, sf_dir).bronze["bronze_trade_raw"]
+    return trade.where(F.col("trade_type") == EXPORTS).select("commodity_category").distinct()
+
+
+@query
+def currency_list(spark, sf_dir):
+    """Distinct currencies in bronze."""
+    return MacroLayers(spark, sf_dir).bronze["bronze_fx_raw"].select("currency_pair").distinct()
+
+
+@query
+def load_categories(spark, sf_dir):
+    """Number and names of the categories of each bronze table."""
+    b = MacroLayers(spark, sf_dir).bronze
+    return audit.load_categories({"bronze_cpi_raw": (b["bronze_cpi_raw"], "cpi_category"),
+                                  "bronze_fx_raw": (b["bronze_fx_raw"], "currency_pair"),
+                                  "bronze_trade_raw": (b["bronze_trade_raw"], "commodity_category")})
+
+
+@query
+def cpi_sample(spark, sf_dir):
+    """Five CPI rows by key order."""
+    return MacroLayers(spark, sf_dir).bronze["bronze_cpi_raw"].orderBy("cpi_category", "time_period").limit(5)
+
+
+@query
+def fx_sample(spark, sf_dir):
+    """Five FX rows by key order."""
+    return MacroLayers(spark, sf_dir).bronze["bronze_fx_raw"].orderBy("currency_pair", "rate_month").limit(5)
+
+
+@query
+def data_quality_score(spark, sf_dir):
+    """Tests, passing, pass rate and sources with rows."""
+    p = MacroLayers(spark, sf_dir)
+    b = p.bronze
+    profiles = audit.bronze_profiles(b["bronze_cpi_raw"], b["bronze_fx_raw"], b["bronze_trade_raw"])
+    return audit.quality_score(Q.run_checks(_models(p)), profiles)
+
+
+@query
+def inflation_ordered(spark, sf_dir):
+    """Monthly inflation in month order, with its position."""
+    return signals.in_order(signals.inflation_history(MacroLayers(spark, sf_dir).export, None, name="cpi_yoy"))
+
+
+@query
+def fx_ordered(spark, sf_dir):
+    """Monthly rates in month order, with their position."""
+    return signals.in_order(signals.fx_history(MacroLayers(spark, sf_dir).export))
+
+
+@query
+def trade_ordered(spark, sf_dir):
+    """Monthly imports in month order, with their position."""
+    return signals.in_order(signals.trade_history(MacroLayers(spark, sf_dir).export))

@@ -7,6 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..functions.dates import COMPACT_MONTH, SPACED_MONTH
 from ..operators import quality
 from ..operators.snapshots import latest_snapshot
@@ -16,7 +17,8 @@ from ..sources import landed
 from . import marts, staging
 from .export import export_projection
 
-BRONZE_TABLES = ("bronze_cpi_raw", "bronze_fx_raw", "bronze_trade_raw")
+BRONZE_TABLES = {"bronze_cpi_raw": schemas.BRONZE_CPI, "bronze_fx_raw": schemas.BRONZE_FX,
+                 "bronze_trade_raw": schemas.BRONZE_TRADE}
 
 
 def _month_range(month: str, fmt: str):
@@ -35,7 +37,7 @@ def load_sources(spark: SparkSession, *, cpi_files, fx_files, imports_files, exp
     cpi = landed.read_cpi_payload(spark, cpi_files, run_ts)
     stats["bronze_cpi_raw"] = sinks.append_daily(
         cpi, os.path.join(bronze_dir, "bronze_cpi_raw"), sort_by=("cpi_category", "time_period"),
-        metrics=_month_range("time_period", SPACED_MONTH))
+        metrics=_month_range("time_period", SPACED_MONTH), run_ts=run_ts)
     fx = landed.read_fx_pages(spark, fx_files, run_ts)
     stats["bronze_fx_raw"] = sinks.replace_table(
         fx, os.path.join(bronze_dir, "bronze_fx_raw"), sort_by=("currency_pair", "rate_month"),
@@ -71,9 +73,9 @@ def build_and_export(spark: SparkSession, *, bronze_dir: str, gold_dir: str, exp
     *before* anything is written: a failure raises and nothing is stored.
     """
     ensure_checkpoint_dir(spark)
-    bronze = {t: sinks.read_bronze(spark, os.path.join(bronze_dir, t)) for t in BRONZE_TABLES}
+    bronze = {t: sinks.read_bronze(spark, os.path.join(bronze_dir, t), schema) for t, schema in BRONZE_TABLES.items()}
     silver = {k: v.checkpoint(eager=True) for k, v in silver_models(bronze, dedupe_cpi=dedupe_cpi).items()}
-    calendar = marts.dim_calendar(spark, marts.FACT_START, calendar_end)
+    calendar = marts.calendar_upto(silver["stg_cpi"], end=calendar_end)
     fact = marts.fct_macro_monthly(silver["stg_cpi"], silver["stg_fx"], silver["stg_trade"], calendar)
     report = quality.run_checks({**silver, "fct_sg_macro_monthly": fact, "dim_calendar": calendar})
     report = report.checkpoint(eager=True)
@@ -85,7 +87,7 @@ def build_and_export(spark: SparkSession, *, bronze_dir: str, gold_dir: str, exp
 
 
 def run_on_benchmark_tables(spark: SparkSession, sf_dir: str, work_dir: str,
-                            calendar_end: str = "2026-12-01") -> dict[str, float]:
+                            calendar_end: str | None = None) -> dict[str, float]:
     """The whole pipeline on the benchmark tables, end to end, with the real
     sinks: stand-in bronze tables written (daily append for CPI, replace for
     FX and trade), then silver, gold, the data-test gate and the CSV export.
@@ -99,6 +101,8 @@ def run_on_benchmark_tables(spark: SparkSession, sf_dir: str, work_dir: str,
     t0 = time.perf_counter()
     bronze = standins.bronze_tables(spark, sf_dir)
     bronze_dir = os.path.join(work_dir, "bronze")
+    # Zone-free stand-in times become the timestamps that bronze declares.
+    bronze = {t: df.select(*[F.col(f.name).cast(f.dataType) for f in BRONZE_TABLES[t]]) for t, df in bronze.items()}
     sinks.append_daily(bronze["bronze_cpi_raw"], os.path.join(bronze_dir, "bronze_cpi_raw"))
     sinks.replace_table(bronze["bronze_fx_raw"], os.path.join(bronze_dir, "bronze_fx_raw"))
     sinks.replace_table(bronze["bronze_trade_raw"], os.path.join(bronze_dir, "bronze_trade_raw"))

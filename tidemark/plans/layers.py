@@ -2,66 +2,55 @@
 
 from __future__ import annotations
 
-import weakref
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import marts, staging, standins
 from .export import export_projection
 
-CALENDAR_END = "2026-12-01"
+
+def read_once(monthly: DataFrame) -> DataFrame:
+    """The same rows, in a form that every reader of a query shares.
+
+    The models read a month-grain aggregate several times under different
+    filters. Pushed below the aggregate, each filter would make a scan of the
+    large table of its own; held as one array first, the readers have one and the
+    same exchange, which runs once. The array is month grain: one entry per
+    series and month, bounded by the calendar, not by the tables.
+    """
+    rows = F.collect_list(F.struct(*monthly.columns))
+    return monthly.agg(rows.alias("rows")).select(F.inline("rows"))
 
 
 @dataclass(eq=False)
 class MacroLayers:
-    """Lazy frames of every layer; nothing runs until a query acts on one."""
+    """Lazy frames of every layer; nothing runs, and nothing is kept, until a query acts on one.
+
+    ``calendar_end``: last month of the calendar; by default that of the data.
+    """
 
     spark: SparkSession
     sf_dir: str
-    calendar_end: str = CALENDAR_END
-    # Keep the month-grain aggregates of the large tables cached: set when
-    # queries read a bronze table more than once (the fact reads FX twice
-    # and trade twice; without a shared copy each filtered read would be
-    # pushed down into its own scan of the large table).
-    shared: bool = True
+    calendar_end: str | None = None
 
     def table(self, name: str) -> DataFrame:
         return standins.read_table(self.spark, self.sf_dir, name)
 
-    def _keep(self, df: DataFrame) -> DataFrame:
-        """Register a shared month-grain frame in the session cache.
-
-        Such frames hold one row per (series, month): bounded by the
-        calendar, not by the tables. Lost blocks are recomputed from lineage.
-        """
-        if self.shared and not (df.storageLevel.useMemory or df.storageLevel.useDisk):
-            df.persist(StorageLevel.MEMORY_AND_DISK)
-        return df
-
     @cached_property
     def orders_monthly(self) -> DataFrame:
-        return self._keep(standins.orders_monthly(self.table("orders")))
+        return read_once(standins.orders_monthly(self.table("orders")))
 
     @cached_property
     def lineitem_monthly(self) -> DataFrame:
-        return self._keep(standins.lineitem_monthly(self.table("lineitem")))
+        return read_once(standins.lineitem_monthly(self.table("lineitem")))
 
     @cached_property
     def orders_by_status(self) -> DataFrame:
         """Orders by (priority, month, status): the source of simulated load days."""
-        return self._keep(standins.orders_monthly_by_status(self.table("orders")))
-
-    SHARED = ("orders_monthly", "lineitem_monthly", "orders_by_status")
-
-    def ensure_shared(self) -> "MacroLayers":
-        """Re-register the shared frames built so far (after a cache clear)."""
-        for name in self.SHARED:
-            if name in self.__dict__:
-                self._keep(self.__dict__[name])
-        return self
+        return read_once(standins.orders_monthly_by_status(self.table("orders")))
 
     @cached_property
     def bronze(self) -> dict[str, DataFrame]:
@@ -85,7 +74,7 @@ class MacroLayers:
 
     @cached_property
     def dim_calendar(self) -> DataFrame:
-        return marts.dim_calendar(self.spark, marts.FACT_START, self.calendar_end)
+        return marts.calendar_upto(self.orders_monthly, "month", end=self.calendar_end)
 
     @cached_property
     def fact(self) -> DataFrame:
@@ -105,33 +94,10 @@ def register_views(layers: MacroLayers) -> list[str]:
     """Publish every layer as a temp view under the model names, so SQL
     written against the warehouse tables (``stg_cpi``, ``fct_sg_macro_monthly``,
     ``macro_monthly``, ...) runs unchanged through ``spark.sql``. Views are
-    lazy: each query still runs the chain (or reads the shared cache)."""
+    lazy: each query runs the chain."""
     frames = {**layers.bronze, "stg_cpi": layers.stg_cpi, "stg_fx": layers.stg_fx,
               "stg_trade": layers.stg_trade, "dim_calendar": layers.dim_calendar,
               "fct_sg_macro_monthly": layers.fact, "macro_monthly": layers.export}
     for name, df in frames.items():
         df.createOrReplaceTempView(name)
     return list(frames)
-
-
-# Lazy frames are immutable plans, so the registered queries build each
-# pipeline once per session and data folder and share its frames; only the
-# Python-side construction is reused, every execution still reads the files
-# (or the shared month-grain cache while it is registered).
-_BUILT: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
-
-
-def layers_for(spark: SparkSession, sf_dir: str, shared: bool = True) -> MacroLayers:
-    per_session = _BUILT.setdefault(spark, {})
-    key = (sf_dir, shared)
-    if key not in per_session:
-        per_session[key] = MacroLayers(spark, sf_dir, shared=shared)
-    return per_session[key].ensure_shared()
-
-
-def forget_layers(spark: SparkSession | None = None) -> None:
-    """Drop built pipelines (call after the input files change)."""
-    if spark is None:
-        _BUILT.clear()
-    else:
-        _BUILT.pop(spark, None)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import CNY, EXPORTS, HEADLINE_CPI, IMPORT_TOTAL, IMPORTS, USD
 from ..functions.numeric import exact_sum, nullif_zero, round_to
-from ..operators.timeseries import dim_calendar_of, month_series
+from ..operators.timeseries import dim_calendar_of, month_series, month_spine_of
 
 FACT_START = "1999-01-01"
 
@@ -25,6 +25,14 @@ def dim_calendar(spark: SparkSession, start: str = FACT_START, end: str | None =
     return dim_calendar_of(month_series(spark, start, end))
 
 
+def calendar_upto(series: DataFrame, date_col: str = "period_date", start: str = FACT_START,
+                  end: str | None = None) -> DataFrame:
+    """Calendar from ``start`` to the last month of a series, or to ``end``."""
+    if end is not None:
+        return dim_calendar(series.sparkSession, start, end)
+    return dim_calendar_of(month_spine_of(series, date_col, start=start))
+
+
 def _derived(imp: str, exp: str):
     balance = round_to(F.col(exp) - F.col(imp), 0).alias("trade_balance_sgd")
     openness = round_to((F.col(imp) + F.col(exp)) / nullif_zero(imp), 2).alias("trade_openness_ratio")

@@ -50,22 +50,30 @@ def _exact_sum(c, scale=6):
     return f"CAST(SUM(CAST({c} AS DECIMAL(38,{scale}))) AS DOUBLE)"
 
 
+# The labels of the bands.
 REGIMES = ("HIGH", "ELEVATED", "STABLE", "DEFLATION")
 ACTIONS = ("Lock prices. Hedge FX. Accelerate orders.", "Review contracts. Monitor USD/SGD monthly.",
            "Negotiate hard. Lock multi-year deals now.", "Spot buy. Extend terms. Hold inventory light.")
 SCATTER = ("High above 4pct", "Moderate 2 to 4pct", "Low 0 to 2pct", "Deflation below 0")
 
 
-def _scorecard(infl_name, imp_name):
+def _scorecard(infl_name, imp_name, years=12):
     return W(O.SERVING, f"""
-SELECT CAST(period_year AS INTEGER) AS year, round(a_infl * 100, 1) AS {infl_name},
-       round(a_usd, 4) AS usd_sgd, round(s_imp, 0) AS {imp_name},
-       {_band('a_infl', REGIMES)} AS regime, {_band('a_infl', ACTIONS)} AS prescribed_action
-FROM (SELECT period_year, {_exact_avg('cpi_yoy_pct')} AS a_infl, {_exact_avg('usd_sgd')} AS a_usd,
-             {_exact_sum('imports_sgd_bn')} AS s_imp
-      FROM export WHERE usd_sgd IS NOT NULL AND imports_sgd_bn IS NOT NULL
-      GROUP BY period_year
-      ORDER BY period_year DESC LIMIT 12) y""")
+SELECT CAST(period_year AS INTEGER) AS year, round(100 * inflation, 1) AS {infl_name}, round(rate, 4) AS usd_sgd,
+       round(bought, 0) AS {imp_name}, {_band('inflation', REGIMES)} AS regime,
+       {_band('inflation', ACTIONS)} AS prescribed_action
+FROM (SELECT DISTINCT period_year, {_over('cpi_yoy_pct', 'avg')} AS inflation, {_over('usd_sgd', 'avg')} AS rate,
+             {_over('imports_sgd_bn', 'sum')} AS bought,
+             dense_rank() OVER (ORDER BY period_year DESC) AS age
+      FROM export WHERE usd_sgd + imports_sgd_bn IS NOT NULL) y
+WHERE age <= {years}""")
+
+
+def _over(c, kind):
+    """Yearly sum or mean as a window, exact."""
+    w = "(PARTITION BY period_year)"
+    total = f"CAST(sum(CAST({c} AS DECIMAL(38,6))) OVER {w} AS DOUBLE)"
+    return total if kind == "sum" else f"{total} / count({c}) OVER {w}"
 
 
 def _profile(table, cat, month, fmt, value):
@@ -101,8 +109,7 @@ def _checks_sql(checks):
             f"FROM ({body}) r")
 
 
-CURRENCIES = ('US Dollar', 'Renminbi', 'Euro', 'Malaysian Ringgit', 'Japanese Yen',
-              'Sterling Pound', 'Australian Dollar')
+CURRENCIES = O.CURRENCIES
 MODEL_CHECKS = [
     ("stg_cpi", "cpi_category", "not_null"), ("stg_cpi", "period_date", "not_null"),
     ("stg_cpi", "cpi_value", "not_null"), ("stg_fx", "currency_pair", "not_null"),
@@ -177,7 +184,8 @@ FROM (SELECT event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM ev
 GROUP BY event_type""",
     "lenient_cast": f"""
 SELECT event_id, event_type, value FROM (
-  SELECT event_id, event_type, TRY_CAST({VALUE_TEXT} AS DOUBLE) AS value FROM events) e
+  SELECT event_id, event_type, CASE WHEN event_id % 97 > 2 THEN TRY_CAST({VALUE_TEXT} AS DOUBLE) END AS value
+  FROM events) e
 WHERE value IS NOT NULL""",
     "strict_cast": f"""
 SELECT event_id, event_type,
@@ -233,14 +241,17 @@ SELECT period_date, round(ln(imports_sgd_bn), 3) AS imports_log FROM export
 WHERE imports_sgd_bn IS NOT NULL AND imports_sgd_bn > 0"""),
     "balance_status": W(O.GOLD, """
 SELECT period_date, total_exports_sgd, total_imports_sgd, trade_balance_sgd,
-       CASE WHEN trade_balance_sgd > 0 THEN 'Surplus' ELSE 'Deficit' END AS balance_status
-FROM fact WHERE total_exports_sgd IS NOT NULL ORDER BY period_date DESC LIMIT 6"""),
+       if(coalesce(trade_balance_sgd, 0) > 0, 'Surplus', 'Deficit') AS balance_status
+FROM fact WHERE total_exports_sgd IS NOT NULL
+QUALIFY row_number() OVER (ORDER BY period_date DESC) <= 6"""),
     "yearly_averages": W(O.GOLD, f"""
-SELECT period_year, round({_exact_avg('cpi_yoy_pct')}, 2) AS avg_cpi_yoy_pct,
-       round({_exact_avg('usd_sgd_rate')}, 4) AS avg_usd_sgd,
-       round({_exact_avg('total_imports_sgd')}, 0) AS avg_monthly_imports
-FROM fact WHERE usd_sgd_rate IS NOT NULL AND total_imports_sgd IS NOT NULL
-GROUP BY period_year ORDER BY period_year DESC LIMIT 10"""),
+SELECT * EXCLUDE age FROM (
+  SELECT DISTINCT period_year, round({_over('cpi_yoy_pct', 'avg')}, 2) AS avg_cpi_yoy_pct,
+         round({_over('usd_sgd_rate', 'avg')}, 4) AS avg_usd_sgd,
+         round({_over('total_imports_sgd', 'avg')}, 0) AS avg_monthly_imports,
+         dense_rank() OVER (ORDER BY period_year DESC) AS age
+  FROM fact WHERE usd_sgd_rate + total_imports_sgd IS NOT NULL) y
+WHERE age <= 10"""),
     "table_profile": W([O.BRONZE_CPI, O.BRONZE_FX, O.BRONZE_TRADE],
                        _profile("bronze_cpi_raw", "cpi_category", "time_period", "%Y %b", "cpi_value")
                        + "\nUNION ALL" + _profile("bronze_fx_raw", "currency_pair", "rate_month", "%Y%b",
@@ -353,3 +364,69 @@ SELECT period_date, round(cpi_yoy_pct * 100, 2) AS inflation, round(usd_sgd, 4)
        round(imports_sgd_bn, 1) AS imports_sgd_bn
 FROM export WHERE cpi_yoy_pct IS NOT NULL OR usd_sgd IS NOT NULL OR imports_sgd_bn IS NOT NULL"""),
 })
+
+GAPS = """
+fact_gaps AS (
+  SELECT * REPLACE (if(month(period_date) <= 3, NULL, usd_sgd_rate) AS usd_sgd_rate,
+                    if(month(period_date) <= 3, NULL, sgd_strength_vs_usd) AS sgd_strength_vs_usd,
+                    if(month(period_date) <= 3, NULL, cny_sgd_rate) AS cny_sgd_rate,
+                    if(month(period_date) >= 11, NULL, total_exports_sgd) AS total_exports_sgd,
+                    if(month(period_date) >= 11, NULL, trade_balance_sgd) AS trade_balance_sgd,
+                    if(month(period_date) >= 11, NULL, trade_openness_ratio) AS trade_openness_ratio)
+  FROM fact)"""
+
+ORACLE.update({
+    "landed_cpi": W([O.BRONZE_CPI], """
+SELECT cpi_category, time_period, ingested_at,
+       CASE WHEN cpi_category = '5-LOW' AND time_period LIKE '% Dec' THEN NULL ELSE cpi_value END AS cpi_value
+FROM bronze_cpi_raw WHERE cpi_category <> 'All Items'"""),
+    "landed_trade": W([O.BRONZE_TRADE], """
+SELECT * FROM bronze_trade_raw
+WHERE commodity_category LIKE 'Flag %' AND NOT (commodity_category = 'Flag A' AND trade_month LIKE '%Feb')"""),
+    "macro_fact_gaps": W(O.GOLD + [GAPS], "SELECT * FROM fact_gaps"),
+    "balance_status_gaps": W(O.GOLD + [GAPS], """
+SELECT period_date, total_imports_sgd, trade_balance_sgd,
+       if(coalesce(trade_balance_sgd, 0) > 0, 'Surplus', 'Deficit') AS balance_status FROM fact_gaps"""),
+    "sourcing_bands": W(O.SERVING, """
+SELECT period_date, rate AS usd_sgd, round(cny_sgd, 4) AS cny_sgd, round(ge_usd_budget_m, 1) AS ge_usd_m,
+       round(mindray_cny_budget_m, 0) AS mindray_cny_m,
+       CASE WHEN rate < 1.30 THEN 'Favour US' WHEN rate > 1.40 THEN 'Favour China' ELSE 'Neutral' END AS signal
+FROM (SELECT *, round(usd_sgd * (18 + month(period_date) % 4) / 20, 4) AS rate FROM export
+      WHERE usd_sgd IS NOT NULL AND cny_sgd IS NOT NULL) e"""),
+    "recent_scorecard": _scorecard("avg_inflation", "imports_sgd_bn", 2),
+    "top_trade_lines": W([O.BRONZE_TRADE], """
+SELECT commodity_category, total_sgd_million FROM (
+  SELECT commodity_category, round(CAST(sum(CAST(trade_value_sgd_million AS DECIMAL(38,6))) AS DOUBLE), 0) AS total_sgd_million
+  FROM bronze_trade_raw WHERE trade_type = 'imports' GROUP BY 1) t
+QUALIFY row_number() OVER (ORDER BY total_sgd_million DESC, commodity_category) <= 2"""),
+    "quality_bronze": W([O.BRONZE_CPI, O.BRONZE_FX], f"""
+SELECT *, if(failures = 0, 'PASS', 'FAIL') AS status FROM ({" UNION ALL ".join([
+        _check_sql("bronze_cpi_raw", "cpi_value", "not_null"), _check_sql("bronze_cpi_raw", "time_period", "unique"),
+        _check_sql("bronze_fx_raw", "currency_pair", "accepted_values", O.CURRENCIES)])}) r"""),
+    "freshness_by_user": """
+SELECT user_id, max(ts) AS last_loaded, date_diff('day', CAST(max(ts) AS DATE), DATE '2024-02-15') AS days_stale,
+       date_diff('day', CAST(max(ts) AS DATE), DATE '2024-02-15') > 35 AS is_stale
+FROM events GROUP BY user_id""",
+    "silver_catalogue": W([O.BRONZE_TRADE, O.STG_TRADE], "SELECT trade_type, commodity_category FROM stg_trade GROUP BY ALL"),
+    "trade_types": W([O.BRONZE_TRADE], "SELECT trade_type FROM bronze_trade_raw GROUP BY 1"),
+    "export_categories": W([O.BRONZE_TRADE], "SELECT commodity_category FROM bronze_trade_raw WHERE trade_type = 'exports' GROUP BY 1"),
+    "currency_list": W([O.BRONZE_FX], "SELECT currency_pair FROM bronze_fx_raw GROUP BY 1"),
+    "load_categories": W([O.BRONZE_CPI, O.BRONZE_FX, O.BRONZE_TRADE], " UNION ALL ".join(f"""
+SELECT '{t}' AS table_name, count(DISTINCT {c}) AS categories, string_agg(DISTINCT {c}, ', ' ORDER BY {c}) AS names FROM {t}"""
+        for t, c in (("bronze_cpi_raw", "cpi_category"), ("bronze_fx_raw", "currency_pair"),
+                     ("bronze_trade_raw", "commodity_category")))),
+    "cpi_sample": W([O.BRONZE_CPI], "SELECT * FROM bronze_cpi_raw QUALIFY row_number() OVER (ORDER BY cpi_category, time_period) <= 5"),
+    "fx_sample": W([O.BRONZE_FX], "SELECT * FROM bronze_fx_raw QUALIFY row_number() OVER (ORDER BY currency_pair, rate_month) <= 5"),
+    "data_quality_score": W(O.GOLD, f"""
+SELECT count(*) AS tests, count(*) FILTER (WHERE failures = 0) AS passing,
+       round(count(*) FILTER (WHERE failures = 0) * 100.0 / count(*), 1) AS pass_rate,
+       (SELECT (count(*) > 0)::BIGINT FROM bronze_cpi_raw) + (SELECT (count(*) > 0)::BIGINT FROM bronze_fx_raw)
+         + (SELECT (count(*) > 0)::BIGINT FROM bronze_trade_raw) AS sources_monitored
+FROM ({" UNION ALL ".join(_check_sql(*c) for c in MODEL_CHECKS)}) r"""),
+    **{f"{name}_ordered": W(O.SERVING, f"SELECT count(*) OVER (ORDER BY period_date) AS position, * FROM ({body}) s")
+       for name, body in (
+           ("inflation", "SELECT period_date, round(cpi_yoy_pct * 100, 2) AS cpi_yoy FROM export WHERE cpi_yoy_pct IS NOT NULL"),
+           ("fx", "SELECT period_date, round(usd_sgd, 4) AS usd_sgd, round(cny_sgd, 4) AS cny_sgd, "
+                  "round(usd_cny_ratio, 2) AS usd_cny_ratio FROM export WHERE usd_sgd IS NOT NULL"),
+           ("trade", "SELECT period_date, round(imports_sgd_bn, 1) AS imports_sgd_bn FROM export WHERE imports_sgd_bn IS NOT NULL"))},
+})

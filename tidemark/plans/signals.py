@@ -6,7 +6,7 @@ unless a limit makes order part of the answer; the consumer sorts.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import ACTION_LABELS, REGIME_LABELS, SCATTER_LABELS, inflation_band, sourcing_signal
@@ -96,6 +96,13 @@ def scatter_regime(export: DataFrame) -> DataFrame:
                     inflation_band("cpi_yoy_pct", SCATTER_LABELS).alias("inflation_regime")))
 
 
+def in_order(series: DataFrame) -> DataFrame:
+    """A monthly series in ascending order, its position as a column. Month
+    grain, so the ordering window is bounded by the calendar."""
+    position = F.row_number().over(Window.orderBy("period_date")).cast("bigint")
+    return series.select(position.alias("position"), "*").orderBy("position")
+
+
 def series_history(export: DataFrame) -> DataFrame:
     """The three signals side by side per month, rounded as the history
     charts show them, for months that have at least one of them."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -25,6 +26,8 @@ BASE_CONF = {
     # unexpectedly large falls back to a sort-merge join instead of failing.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.parquet.filterPushdown": "true",
+    # Checkpoints go when the frames that own them do.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # PySpark 4 records the Python call site of every DataFrame/Column call
@@ -34,11 +37,17 @@ BASE_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", app: str = "tidemark",
+def build_session(master: str | None = None, app: str = "tidemark",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session with the library's settings."""
-    builder = SparkSession.builder.master(master).appName(app)
+    """Create (or reuse) a session with the library's settings.
+
+    Without ``master`` the one of the submitted job holds (a master set in code
+    would outrank it); a plain Python process without any runs locally.
+    """
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
     conf = dict(BASE_CONF)
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -56,37 +65,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster that setting names shared storage and is always read from the
     session; an unset folder is an error there, since a machine-local folder
-    would not survive the loss of an executor. Only in local mode (tests) is a
-    scratch folder created when nothing is set.
+    would not survive the loss of an executor. Only where driver and executors
+    are one process (local mode, as in tests) is a scratch folder created when
+    nothing is set.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or S3)")
         configured = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir() or configured
 
 
-DEBUG_CALL_SITES = "spark.python.sql.dataFrameDebugging.enabled"
-
-
-def prefer_fast_construction(spark: SparkSession) -> None:
-    """Turn off PySpark's per-call call-site capture unless the user set it.
-
-    It only enriches error messages and costs several JVM round trips per
-    DataFrame/Column call. PySpark reads the setting once per process, so
-    this takes effect when called before the first DataFrame call.
-    """
-    try:
-        if spark.conf.get(DEBUG_CALL_SITES, None) is None:
-            spark.conf.set(DEBUG_CALL_SITES, "false")
-    except Exception:  # noqa: BLE001 - a locked-down session keeps its setting
-        pass
-
-
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

@@ -3,10 +3,14 @@ the single-file CSV export, and counts observed during a write."""
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 INGEST_DATE = "ingest_date"
+LOAD_BATCH = "load_batch"
+DAILY = "daily"               # the batch of a plain daily load
 
 
 def _laid_out(df: DataFrame, sort_by) -> DataFrame:
@@ -22,17 +26,37 @@ def _observed(df: DataFrame, name: str, metrics) -> tuple[DataFrame, Observation
     return df.observe(obs, F.count(F.lit(1)).alias("rows"), *metrics), obs
 
 
+def utc_day(df: DataFrame, loaded: str):
+    """The UTC day of a load time, whatever zone the session shows times in.
+    A time without a zone is taken as it is."""
+    if dict(df.dtypes)[loaded] == "timestamp":
+        return F.to_date(F.to_utc_timestamp(F.col(loaded), F.current_timezone()))
+    return F.to_date(F.col(loaded))
+
+
 def append_daily(df: DataFrame, path: str, loaded: str = "ingested_at", sort_by=(),
-                 metrics=()) -> dict:
-    """Re-runnable daily load: rows land in the partition of their load day;
-    a replay of the same day replaces only that day's partition (dynamic
-    partition overwrite), other days stay. Returns the observed metrics.
+                 metrics=(), batch: str = DAILY, run_ts=None) -> dict:
+    """Re-runnable load: rows land under their UTC load day and batch; a
+    replay of the same day and batch replaces only these rows (dynamic
+    partition overwrite), other days and batches stay. A replay without rows
+    clears the batch of the run's day (``run_ts``, a UTC time or null for now).
+    Returns the observed metrics.
     """
-    out, obs = _observed(df.withColumn(INGEST_DATE, F.to_date(F.col(loaded))), "append_daily", metrics)
+    keyed = df.withColumn(INGEST_DATE, utc_day(df, loaded)).withColumn(LOAD_BATCH, F.lit(batch))
+    out, obs = _observed(keyed, "append_daily", metrics)
     out = _laid_out(out, sort_by)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(INGEST_DATE).parquet(path))
-    return obs.get
+     .partitionBy(INGEST_DATE, LOAD_BATCH).parquet(path))
+    seen = obs.get
+    if not seen["rows"]:
+        day = (run_ts or _dt.datetime.now(_dt.timezone.utc)).date()
+        _drop_folder(df.sparkSession, f"{path}/{INGEST_DATE}={day}/{LOAD_BATCH}={batch}")
+    return seen
+
+
+def _drop_folder(spark, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def replace_table(df: DataFrame, path: str, sort_by=(), metrics=()) -> dict:
@@ -44,9 +68,11 @@ def replace_table(df: DataFrame, path: str, sort_by=(), metrics=()) -> dict:
 
 def materialise(df: DataFrame, path: str) -> DataFrame:
     """Write a model as a table and read it back: later readers start from
-    the stored files (lineage cut), as a table materialisation."""
+    the stored files (lineage cut), as a table materialisation. The folder is
+    replaced in place: readers must wait for the job, and a failed job has to
+    be run again."""
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def write_export_csv(df: DataFrame, path: str, order: str = "period_date") -> dict:
@@ -68,7 +94,10 @@ def register_views(frames: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def read_bronze(spark, path: str) -> DataFrame:
-    """A bronze table written by ``append_daily`` (drops the partition column)."""
-    df = spark.read.parquet(path)
-    return df.drop(INGEST_DATE) if INGEST_DATE in df.columns else df
+def read_bronze(spark, path: str, schema=None) -> DataFrame:
+    """A bronze table, without the partition columns of ``append_daily``.
+
+    With its declared ``schema`` no file is opened to infer one.
+    """
+    df = spark.read.schema(schema).parquet(path) if schema is not None else spark.read.parquet(path)
+    return df.drop(INGEST_DATE, LOAD_BATCH)

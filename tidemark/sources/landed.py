@@ -33,6 +33,12 @@ def _run_ts(run_ts) -> Column:
     return F.current_timestamp() if run_ts is None else F.lit(run_ts).cast("timestamp")
 
 
+def _present(name: str, message: str) -> Column:
+    """A required part of a payload: null fails the load. The check sits
+    inside the exploded expression, so it cannot be pruned."""
+    return F.when(F.col(name).isNull(), F.raise_error(F.lit(message))).otherwise(F.col(name))
+
+
 def read_cpi_payload(spark: SparkSession, paths, run_ts=None) -> DataFrame:
     """CPI payload files -> bronze_cpi_raw rows (one per category x month).
 
@@ -48,8 +54,9 @@ def flatten_cpi_payload(payload: DataFrame, run_ts=None) -> DataFrame:
 
     Two ``inline`` generators, row-parallel; works on batch and streaming frames.
     """
-    rows = payload.select(F.inline("Data.row"))
-    obs = rows.select(F.col("rowText").alias("cpi_category"), F.inline("columns"))
+    rows = payload.select(F.inline(_present("Data.row", "CPI payload without 'Data' or 'row'")))
+    obs = rows.select(F.col("rowText").alias("cpi_category"),
+                      F.inline(_present("columns", "CPI row without 'columns'")))
     # An observation without a category, month or value (JSON null or a
     # missing field) fails the load, as a malformed payload should; only the
     # text marks '' and 'na' stand for "no value".
@@ -67,10 +74,8 @@ def read_record_pages(spark: SparkSession, paths, trade_type: str | None = None)
     fails the load. With ``trade_type`` each record is tagged with it.
     """
     pages = _read_json(spark, paths, schemas.RECORD_PAGE)
-    # The guard sits inside the exploded expression so it cannot be pruned.
-    records = F.when(F.col("result").isNull(),
-                     F.raise_error(F.lit("record page without 'result'"))).otherwise(F.col("result.records"))
-    recs = pages.select(F.explode(records).alias("record"))
+    recs = pages.select(F.explode(_present("result.records", "record page without 'result' or 'records'"))
+                        .alias("record"))
     if trade_type is not None:
         recs = recs.select("record", F.lit(trade_type).alias("trade_type"))
     return recs
@@ -82,12 +87,19 @@ def melt_records(records: DataFrame, *, id_keys: Sequence[str], series: Column,
 
     The month columns are whatever keys are not ids, found per record, so no
     schema has to be inferred up front. Values are parsed leniently and rows
-    without a number are dropped. Row-parallel: no shuffle.
+    without a number are dropped. A record without its series name fails the
+    load. Row-parallel: no shuffle.
     """
+    named = F.when(series.isNull(), F.raise_error(F.lit("record without a series name"))).otherwise(series)
     ids = F.array(*[F.lit(k) for k in id_keys])
     months = F.map_filter("record", lambda k, v: ~F.array_contains(ids, k))
-    exploded = records.select(series.alias("__series"), *keep, F.explode(months).alias(var, "__text"))
-    out = exploded.select("__series", *keep, var, lenient_double("__text").alias(value))
+    # The name travels inside the exploded entries, so its check is not pruned
+    # for records whose months hold no number.
+    entries = F.transform(F.map_entries(months), lambda e: F.struct(
+        named.alias("series"), e["key"].alias("month"), e["value"].alias("text")))
+    exploded = records.select(*keep, F.explode(entries).alias("__entry"))
+    out = exploded.select(F.col("__entry.series").alias("__series"), *keep, F.col("__entry.month").alias(var),
+                          lenient_double("__entry.text").alias(value))
     return out.dropna(subset=[value])
 
 
@@ -107,8 +119,12 @@ def read_trade_pages(spark: SparkSession, imports_paths, exports_paths, run_ts=N
     series is taken from whichever name it carries, so the two spellings
     never meet as two columns.
     """
-    recs = (read_record_pages(spark, imports_paths, IMPORTS)
-            .unionByName(read_record_pages(spark, exports_paths, EXPORTS)))
+    return trade_rows(read_record_pages(spark, imports_paths, IMPORTS)
+                      .unionByName(read_record_pages(spark, exports_paths, EXPORTS)), run_ts)
+
+
+def trade_rows(recs: DataFrame, run_ts=None) -> DataFrame:
+    """Tagged records (record map, trade_type) -> bronze_trade_raw rows."""
     series = F.coalesce(F.col("record")[SERIES_KEY], F.col("record")[SERIES_KEY_ALT])
     long = melt_records(recs, id_keys=[RECORD_ID, SERIES_KEY, SERIES_KEY_ALT], series=series,
                         var="trade_month", value="trade_value_sgd_million", keep=["trade_type"])
@@ -135,13 +151,6 @@ def read_export_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.EXPORT).option("header", True).option("mode", "FAILFAST").csv(path)
 
 
-def read_table(spark: SparkSession, path_or_name: str) -> DataFrame:
-    """A stored table by path (Parquet) or by catalog name."""
-    if "/" in path_or_name:
-        return spark.read.parquet(path_or_name)
-    return spark.table(path_or_name)
-
-
 def list_tables(spark: SparkSession) -> DataFrame:
     """Tables and views in the current catalog (``SHOW TABLES``)."""
     return spark.sql("SHOW TABLES")
