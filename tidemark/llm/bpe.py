@@ -18,6 +18,7 @@ import base64
 import functools
 import re
 import struct
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 
 CACHE_PIECES = 300_000
 CACHE_LENGTH = 64
+GROUP_CHARACTERS = 1 << 21
 
 # Letters and numbers that are newer than the character tables
 # (Unicode 16) of the tokenizer library, which treats them as other characters.
@@ -100,42 +102,67 @@ class Codec:
         model, tokens = sentencepiece_model(ranks)
         self.ranks, self.pattern = ranks, compile_pattern(pattern)
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.rank_of = np.array([ranks[t] for t in tokens], np.int32)
-        self.bytes_of = dict(zip(map(ranks.__getitem__, tokens), tokens))
+        self.rank_of = [ranks[t] for t in tokens]
+        self.bytes_of = dict(zip(self.rank_of, tokens))
         self.kept: dict[str, bytes] = {}
 
-    def _encode_piece(self, piece: str) -> bytes:
-        """Token ids of a piece of text as little-endian 32-bit integers."""
-        out = []
-        for token in self.pattern.findall(piece):
-            data = token.encode()
-            rank = self.ranks.get(data)
-            if rank is not None:
-                out.append(np.int32(rank).tobytes())
+    def _tokens(self, pre_tokens: set[str]) -> dict[str, bytes]:
+        """Ids of pre-tokens as little-endian 32-bit integers; those outside the vocabulary in one call."""
+        out, merged = {}, []
+        for token in pre_tokens:
+            rank = self.ranks.get(token.encode())
+            if rank is None:
+                merged.append(token)
             else:
-                out.append(self.rank_of[self.pieces.EncodeAsIds(_characters(data))].tobytes())
-        return b"".join(out)
-
-    def _inner(self, piece: str) -> bytes:
-        """Ids of a piece that follows a space."""
-        ids = self._encode_piece(" " + piece)
-        if len(piece) <= CACHE_LENGTH:
-            if len(self.kept) >= CACHE_PIECES:
-                self.kept.clear()
-            self.kept[piece] = ids
-        return ids
-
-    def encode(self, text: str) -> np.ndarray:
-        first, *rest = text.split(" ")
-        found = list(map(self.kept.get, rest))
-        if None in found or not first or first[-1].isspace():
+                out[token] = rank.to_bytes(4, "little")
+        found = self.pieces.EncodeAsIds([_characters(t.encode()) for t in merged], num_threads=1) if merged else []
+        for token, ids in zip(merged, found):
+            out[token] = array("i", map(self.rank_of.__getitem__, ids)).tobytes()
+        return out
+
+    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of pieces of text that each follow a space."""
+        # Pieces without a space are cut into pre-tokens together: each starts a
+        # pre-token with the space before it, and no other pre-token has one.
+        plain = [p for p in pieces if " " not in p]
+        cut = [[t] for t in self.pattern.findall(" " + " ".join(plain))] if plain else []
+        rows: list[list[str]] = []
+        for token in cut:
+            if token[0][0] == " ":
+                rows.append(token)
+            else:
+                rows[-1] += token
+        other = [p for p in pieces if " " in p]
+        rows += [self.pattern.findall(" " + p) for p in other]
+        ids = self._tokens({t for row in rows for t in row})
+        new = {p: b"".join([ids[t] for t in row]) for p, row in zip(plain + other, rows)}
+        if len(self.kept) + len(new) > CACHE_PIECES:
+            self.kept.clear()
+        self.kept.update((p, i) for p, i in new.items() if len(p) <= CACHE_LENGTH)
+        return new
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Token ids of each text; pieces not met before are encoded together."""
+        rows, missing = [], set()
+        for text in texts:
+            first, *rest = text.split(" ")
+            found = list(map(self.kept.get, rest))
+            gaps = [p for p, f in zip(rest, found) if f is None]
             # Only pieces without white space at their ends are ever kept.
-            if any(f is None and (not p or p[0].isspace() or p[-1].isspace()) for p, f in zip(rest, found)) \
-                    or (rest and (not first or first[-1].isspace())):
+            if rest and (not first or first[-1].isspace() or "" in gaps or list(map(str.strip, gaps)) != gaps):
                 first, *rest = _CUT.split(text)
                 found = list(map(self.kept.get, rest))
-            found = [self._inner(p) if f is None else f for p, f in zip(rest, found)]
-        return np.frombuffer(self._encode_piece(first) + b"".join(found), "<i4")
+                gaps = [p for p, f in zip(rest, found) if f is None]
+            missing.update(gaps)
+            rows.append((self.pattern.findall(first), rest, found))
+        new = self._learn(list(missing)) if missing else {}
+        starts = self._tokens({t for first, _, _ in rows for t in first})
+        return [np.frombuffer(b"".join([starts[t] for t in first])
+                              + b"".join([new[p] if f is None else f for p, f in zip(rest, found)]), "<i4")
+                for first, rest, found in rows]
+
+    def encode(self, text: str) -> np.ndarray:
+        return self.encode_all([text])[0]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -152,11 +179,19 @@ def encode(text: str | Column, path: str, pattern: str) -> Column:
 
     @F.arrow_udf("array<int>")
     def encoded(texts: pa.Array) -> pa.Array:
-        own = codec(path, pattern)
-        ids = [own.encode(t.as_py() or "") for t in texts]
+        own, ids, group, size = codec(path, pattern), [], [], 0
+        for t in texts:
+            group.append(t.as_py() or "")
+            size += len(group[-1])
+            if size > GROUP_CHARACTERS:
+                ids += own.encode_all(group)
+                group, size = [], 0
+        ids += own.encode_all(group)
         ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int32), *ids])))
 
+    # So marked, the optimizer evaluates it once, also where the ids are used twice.
+    encoded = encoded.asNondeterministic()
     return encoded(F.col(text) if isinstance(text, str) else text)
 
 
