@@ -177,7 +177,7 @@ def trade_bronze(lineitem: DataFrame, run_ts=RUN_TS) -> DataFrame:
 
 
 def bronze_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The three stand-in bronze tables (uncached; see ``pipeline.MacroLayers``)."""
+    """The three stand-in bronze tables (uncached; see ``layers.MacroLayers``)."""
     by_priority = orders_monthly(read_table(spark, sf_dir, "orders"))
     monthly = lineitem_monthly(read_table(spark, sf_dir, "lineitem"))
     return {
