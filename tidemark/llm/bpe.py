@@ -18,7 +18,7 @@ import base64
 import functools
 import re
 import struct
-from array import array
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +27,9 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CACHE_PIECES = 300_000
+CACHE_PIECES = 250_000
 CACHE_LENGTH = 64
-GROUP_CHARACTERS = 1 << 21
+GROUP_CHARACTERS = 1 << 20
 
 # Letters and numbers that are newer than the character tables
 # (Unicode 16) of the tokenizer library, which treats them as other characters.
@@ -47,7 +47,7 @@ NEW_NUMBERS = r"\U00011de0-\U00011de9\U0001246f\U00012475-\U0001247f\U00012550-\
 
 # Where a text can be cut: one space between two characters that are no white space.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_BYTE_CHARACTERS = {b: 0x100 + b for b in range(256)}
+FIRST_CHARACTER = np.uint16(0x100)  # stands for byte 0, the next for byte 1, ...
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -55,8 +55,12 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-def _characters(token: bytes) -> str:
-    return token.decode("latin-1").translate(_BYTE_CHARACTERS)
+def _characters(tokens: list[bytes]) -> list[str]:
+    """Each token with one character for every byte."""
+    data = np.frombuffer(b"".join(tokens), np.uint8)
+    text = (data.astype("<u2") + FIRST_CHARACTER).tobytes().decode("utf-16-le")
+    ends = [0, *accumulate(map(len, tokens))]
+    return [text[i:j] for i, j in zip(ends, ends[1:])]
 
 
 def _field(number: int, value: bytes | int) -> bytes:
@@ -81,7 +85,8 @@ def sentencepiece_model(ranks: dict[bytes, int]) -> tuple[bytes, list[bytes]]:
     removal of extra spaces (4) and no escaping of spaces (5).
     """
     tokens = sorted(ranks, key=ranks.__getitem__)
-    pieces = [_field(1, _field(1, _characters(t).encode()) + b"\x15" + struct.pack("<f", -ranks[t])) for t in tokens]
+    pieces = [_field(1, _field(1, text.encode()) + b"\x15" + struct.pack("<f", -ranks[token]))
+              for text, token in zip(_characters(tokens), tokens)]
     pieces.append(_field(1, _field(1, b"<unk>") + b"\x15" + struct.pack("<f", 0.0) + _field(3, 2)))
     trainer = _field(2, _field(3, 2))
     normaliser = _field(3, _field(1, b"identity") + _field(3, 0) + _field(4, 0) + _field(5, 0))
@@ -102,9 +107,9 @@ class Codec:
         model, tokens = sentencepiece_model(ranks)
         self.ranks, self.pattern = ranks, compile_pattern(pattern)
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.rank_of = [ranks[t] for t in tokens]
-        self.bytes_of = dict(zip(self.rank_of, tokens))
+        self.rank_of = np.array([ranks[t] for t in tokens], "<i4")
         self.kept: dict[str, bytes] = {}
+        self.passed = 0  # pieces not kept since the table was full
 
     def _tokens(self, pre_tokens: set[str]) -> dict[str, bytes]:
         """Ids of pre-tokens as little-endian 32-bit integers; those outside the vocabulary in one call."""
@@ -115,9 +120,11 @@ class Codec:
                 merged.append(token)
             else:
                 out[token] = rank.to_bytes(4, "little")
-        found = self.pieces.EncodeAsIds([_characters(t.encode()) for t in merged], num_threads=1) if merged else []
-        for token, ids in zip(merged, found):
-            out[token] = array("i", map(self.rank_of.__getitem__, ids)).tobytes()
+        if merged:
+            found = self.pieces.EncodeAsIds(_characters([t.encode() for t in merged]), num_threads=1)
+            ids = self.rank_of[np.fromiter(chain.from_iterable(found), np.int64)].tobytes()
+            ends = [0, *accumulate(4 * len(f) for f in found)]
+            out.update(zip(merged, [ids[i:j] for i, j in zip(ends, ends[1:])]))
         return out
 
     def _learn(self, pieces: list[str]) -> dict[str, bytes]:
@@ -125,22 +132,26 @@ class Codec:
         # Pieces without a space are cut into pre-tokens together: each starts a
         # pre-token with the space before it, and no other pre-token has one.
         plain = [p for p in pieces if " " not in p]
-        cut = [[t] for t in self.pattern.findall(" " + " ".join(plain))] if plain else []
-        rows: list[list[str]] = []
-        for token in cut:
-            if token[0][0] == " ":
-                rows.append(token)
-            else:
-                rows[-1] += token
-        other = [p for p in pieces if " " in p]
-        rows += [self.pattern.findall(" " + p) for p in other]
-        ids = self._tokens({t for row in rows for t in row})
-        new = {p: b"".join([ids[t] for t in row]) for p, row in zip(plain + other, rows)}
-        if len(self.kept) + len(new) > CACHE_PIECES:
-            self.kept.clear()
-        self.kept.update((p, i) for p, i in new.items() if len(p) <= CACHE_LENGTH)
+        other = {p: self.pattern.findall(" " + p) for p in pieces if " " in p}
+        tokens = self.pattern.findall(" " + " ".join(plain)) if plain else []
+        ids = self._tokens({*tokens, *chain.from_iterable(other.values())})
+        starts = [i for i, t in enumerate(tokens) if t[0] == " "] + [len(tokens)]
+        found = list(map(ids.__getitem__, tokens))
+        new = {p: found[i] if j - i == 1 else b"".join(found[i:j]) for p, i, j in zip(plain, starts, starts[1:])}
+        new.update((p, b"".join(map(ids.__getitem__, row))) for p, row in other.items())
+        self._keep(new)
         return new
 
+    def _keep(self, new: dict[str, bytes]) -> None:
+        """Fill the table with the pieces met first, mostly frequent ones; start anew after many others."""
+        if len(self.kept) + len(new) <= CACHE_PIECES:
+            self.kept.update((p, i) for p, i in new.items() if len(p) <= CACHE_LENGTH)
+        else:
+            self.passed += len(new)
+            if self.passed > 8 * CACHE_PIECES:
+                self.kept.clear()
+                self.passed = 0
+
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         """Token ids of each text; pieces not met before are encoded together."""
         rows, missing = [], set()
@@ -164,9 +175,6 @@ class Codec:
     def encode(self, text: str) -> np.ndarray:
         return self.encode_all([text])[0]
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
-
 
 @functools.lru_cache(maxsize=2)
 def codec(path: str, pattern: str) -> Codec:
@@ -174,6 +182,12 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(read_ranks(path), pattern)
 
 
+@functools.lru_cache(maxsize=2)
+def token_bytes(path: str) -> dict[int, bytes]:
+    """The bytes of every token id."""
+    return {rank: token for token, rank in read_ranks(path).items()}
+
+
 def encode(text: str | Column, path: str, pattern: str) -> Column:
     """Token ids (array of int) of a text column; null and empty texts give an empty array."""
 
@@ -195,13 +209,13 @@ def encode(text: str | Column, path: str, pattern: str) -> Column:
     return encoded(F.col(text) if isinstance(text, str) else text)
 
 
-def decode(ids: str | Column, path: str, pattern: str) -> Column:
+def decode(ids: str | Column, path: str) -> Column:
     """Bytes of an array of token ids; null gives empty bytes, an unknown id fails."""
 
     @F.arrow_udf("binary")
     def decoded(rows: pa.Array) -> pa.Array:
-        own = codec(path, pattern)
-        return pa.array([own.decode(r.values.to_pylist() if r.is_valid else []) for r in rows], pa.binary())
+        known = token_bytes(path).__getitem__
+        return pa.array([b"".join(map(known, r.values.to_pylist())) if r.is_valid else b"" for r in rows], pa.binary())
 
     return decoded(F.col(ids) if isinstance(ids, str) else ids)
 
@@ -214,4 +228,4 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text
     row is kept, repeated ones too.
     """
     out = docs.withColumn(ids, encode(text, path, pattern))
-    return out if decoded is None else out.withColumn(decoded, decode(ids, path, pattern))
+    return out if decoded is None else out.withColumn(decoded, decode(ids, path))
