@@ -11,12 +11,20 @@ TEXTS = ["", " ", "one", "a b c", "É漢 word!! THE", "same same same same", "x
 
 def brute_features(text):
     words = text.encode().split()
+    wrap = lambda v: v & (2 ** 64 - 1)
     out = []
     for i, w in enumerate(words):
         m = "<" + w.decode() + ">"
-        out += [w] + [m[j:j + n].encode() for n in (2, 3, 4) for j in range(len(m) - n + 1)]
-        out += [quality._REPEAT] * (i > 0 and words[i - 1] == w)
-    return [zlib.crc32(f) % quality.BUCKETS for f in out]
+        out.append(zlib.crc32(w) % quality.BUCKETS)
+        for n in (2, 3, 4):
+            for j in range(len(m) - n + 1):
+                h = ord(m[j]) + n
+                for c in m[j + 1:j + n]:
+                    h = wrap(h * int(quality._MIX) + ord(c))
+                out.append((wrap(h * int(quality._MIX)) >> 24) % quality.BUCKETS)
+        if i and words[i - 1] == w:
+            out.append(zlib.crc32(quality._REPEAT) % quality.BUCKETS)
+    return out
 
 
 def test_scorer_is_the_model(monkeypatch):

@@ -36,15 +36,31 @@ RATE = 2.0
 GRAMS = (2, 3, 4)
 CACHE_WORDS = 200_000
 _REPEAT = b"\x00repeat"
+_MIX = np.uint64(0x9E3779B97F4A7C15)  # odd, so that multiplication modulo 2^64 loses nothing
 
 
-def word_features(word: bytes, buckets: int = BUCKETS) -> list[int]:
-    """Buckets of a word and its character n-grams, boundary marks included."""
-    marked = "<" + word.decode("utf-8", "replace") + ">"
-    out = [zlib.crc32(word) % buckets]
+def features_of(words: list[bytes], buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the words and of their character n-grams, and the position of the word of each.
+
+    Every word stands between boundary marks; the n-grams of all words are hashed
+    together, those that would span two words left out.
+    """
+    marked = b"<" + b">\n<".join(words) + b">\n"
+    codes = np.frombuffer(marked.decode("utf-8", "replace").encode("utf-32-le"), "<u4").astype(np.uint64)
+    end = codes == 10
+    word = np.cumsum(end) - end
+    found = [np.fromiter(map(zlib.crc32, words), np.uint64, len(words)) % np.uint64(buckets)]
+    owner = [np.arange(len(words))]
     for n in GRAMS:
-        out += [zlib.crc32(marked[i:i + n].encode()) % buckets for i in range(len(marked) - n + 1)]
-    return out
+        last = len(codes) - n + 1
+        value, inside = codes[:last] + np.uint64(n), ~end[:last]
+        for k in range(1, n):
+            value = value * _MIX + codes[k:last + k]
+            inside &= ~end[k:last + k]
+        value = (value[inside] * _MIX) >> np.uint64(24)
+        found.append(value % np.uint64(buckets))
+        owner.append(word[:last][inside])
+    return np.concatenate(found).astype(np.int64), np.concatenate(owner)
 
 
 def repeats(words: list[bytes], before: bytes | None) -> int:
@@ -66,13 +82,15 @@ def text_features(data: bytes, buckets: int = BUCKETS) -> tuple[np.ndarray, np.n
     _add(counts, total)
     total[zlib.crc32(_REPEAT) % buckets] += same
     found = np.flatnonzero(total)
-    return found.astype(np.int32), total[found]
+    return found.astype(np.int32), total[found].astype(np.int32)
 
 
 def _add(counts: Counter, total: np.ndarray) -> None:
-    for word, n in counts.items():
-        np.add.at(total, word_features(word, len(total)), n)
-    counts.clear()
+    if counts:
+        found, owner = features_of(list(counts), len(total))
+        times = np.fromiter(counts.values(), np.int64, len(counts))
+        total += np.bincount(found, times[owner], len(total)).astype(np.int64)
+        counts.clear()
 
 
 @dataclass
@@ -131,8 +149,9 @@ def labelled(docs: DataFrame, labels: DataFrame, modulus: int, held_out: int, mo
 def fit(docs: DataFrame, labels: DataFrame, modulus: int = 3, held_out: int = 1, most: int = TRAINING_ROWS) -> Model:
     """Train on labelled rows whose crc32 of the id as text, modulo ``modulus``, is not ``held_out``.
 
-    ``docs``: doc_id, text; ``labels``: doc_id, quality. Only feature counts
-    reach the driver, at most ``BUCKETS`` numbers for each of at most ``most`` documents.
+    ``docs``: doc_id, text; ``labels``: doc_id, quality. Feature counts of at
+    most ``most`` documents (at most ``BUCKETS`` numbers each) go to one task,
+    which trains; only the model reaches the driver.
     """
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -142,11 +161,21 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = 3, held_out: int = 1,
                                        pa.array([found.tobytes()]), pa.array([counts.tobytes()])],
                                       ["id", "quality", "features", "counts"])
 
-    rows = labelled(docs, labels, modulus, held_out, most).mapInArrow(
-        featurise, "id string, quality int, features binary, counts binary").toArrow().to_pylist()
-    rows.sort(key=lambda r: (zlib.crc32(r["id"].encode()), r["id"], r["features"], r["counts"]))
-    return train([(np.frombuffer(r["features"], np.int32), np.frombuffer(r["counts"], np.int64), r["quality"])
-                  for r in rows])
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [(r["id"], np.frombuffer(r["features"], np.int32), np.frombuffer(r["counts"], np.int32), r["quality"])
+                for batch in batches for r in batch.to_pylist()]
+        rows.sort(key=lambda r: (zlib.crc32(r[0].encode()), r[0]))  # an order that no rerun changes
+        model = train([r[1:] for r in rows])
+        yield pa.record_batch([pa.array([p.tobytes()]) for p in (model.vectors, model.output, model.bias)],
+                              ["vectors", "output", "bias"])
+
+    chosen = labelled(docs, labels, modulus, held_out, most)
+    featured = chosen.mapInArrow(featurise, "id string, quality int, features binary, counts binary")
+    fitted = featured.repartition(1).mapInArrow(learn, "vectors binary, output binary, bias binary").toArrow()
+    if not fitted.num_rows:
+        return train([])
+    vectors, output, bias = (np.frombuffer(fitted[c][0].as_buffer(), np.float32) for c in fitted.column_names)
+    return Model(vectors.reshape(BUCKETS, DIMENSIONS), output.reshape(DIMENSIONS, 2), bias)
 
 
 class Scorer:
@@ -159,11 +188,14 @@ class Scorer:
         self.value = np.empty(CACHE_WORDS + 1)
         self.size = np.empty(CACHE_WORDS + 1)
 
-    def _learn(self, word: bytes) -> int:
-        at = self.place[word] = len(self.place)
-        found = word_features(word, len(self.reduced))
-        self.value[at], self.size[at] = self.reduced[found].sum(), len(found)
-        return at
+    def _learn(self, words: list[bytes]) -> None:
+        if len(self.place) + len(words) > CACHE_WORDS:
+            self.place.clear()
+        at = np.arange(len(self.place), len(self.place) + len(words))
+        self.place.update(zip(words, at.tolist()))
+        found, owner = features_of(words, len(self.reduced))
+        self.value[at] = np.bincount(owner, self.reduced[found], len(words))
+        self.size[at] = np.bincount(owner, minlength=len(words))
 
     def __call__(self, data: bytes) -> float:
         value = size = 0.0
@@ -171,13 +203,16 @@ class Scorer:
         for block in word_blocks(data):
             for start in range(0, len(block), CACHE_WORDS // 4):
                 words = block[start:start + CACHE_WORDS // 4]
-                if len(self.place) + len(words) > CACHE_WORDS:
-                    self.place.clear()
                 found = list(map(self.place.get, words))
                 if None in found:
-                    found = [self.place[w] if w in self.place else self._learn(w) for w in words]
-                value += self.value[found].sum()
-                size += self.size[found].sum()
+                    new = {w for w, f in zip(words, found) if f is None}
+                    if len(self.place) + len(new) > CACHE_WORDS:
+                        new = set(words)  # the table starts anew, with all words of this part
+                    self._learn(list(new))
+                    found = list(map(self.place.__getitem__, words))
+                at = np.array(found)
+                value += self.value[at].sum()
+                size += self.size[at].sum()
                 same = repeats(words, last)
                 value += same * self.repeat
                 size += same
