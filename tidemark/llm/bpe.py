@@ -27,7 +27,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CACHE_PIECES = 250_000
+CACHE_PIECES = 200_000
 CACHE_LENGTH = 64
 GROUP_CHARACTERS = 1 << 20
 
@@ -188,25 +188,44 @@ def token_bytes(path: str) -> dict[int, bytes]:
     return {rank: token for token, rank in read_ranks(path).items()}
 
 
+def _encoded(own: Codec, texts: pa.Array) -> list[np.ndarray]:
+    ids, group, size = [], [], 0
+    for t in texts:
+        group.append(t.as_py() or "")
+        size += len(group[-1])
+        if size > GROUP_CHARACTERS:
+            ids += own.encode_all(group)
+            group, size = [], 0
+    return ids + own.encode_all(group)
+
+
+def _lists(ids: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int32), *ids])))
+
+
 def encode(text: str | Column, path: str, pattern: str) -> Column:
     """Token ids (array of int) of a text column; null and empty texts give an empty array."""
 
     @F.arrow_udf("array<int>")
     def encoded(texts: pa.Array) -> pa.Array:
-        own, ids, group, size = codec(path, pattern), [], [], 0
-        for t in texts:
-            group.append(t.as_py() or "")
-            size += len(group[-1])
-            if size > GROUP_CHARACTERS:
-                ids += own.encode_all(group)
-                group, size = [], 0
-        ids += own.encode_all(group)
-        ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int32), *ids])))
+        return _lists(_encoded(codec(path, pattern), texts))
 
     # So marked, the optimizer evaluates it once, also where the ids are used twice.
-    encoded = encoded.asNondeterministic()
-    return encoded(F.col(text) if isinstance(text, str) else text)
+    return encoded.asNondeterministic()(F.col(text) if isinstance(text, str) else text)
+
+
+def round_trip(text: str | Column, path: str, pattern: str) -> Column:
+    """Token ids and the bytes that these decode to (struct ids, decoded), in one worker."""
+
+    @F.arrow_udf("struct<ids: array<int>, decoded: binary>")
+    def coded(texts: pa.Array) -> pa.Array:
+        known = token_bytes(path).__getitem__
+        ids = _encoded(codec(path, pattern), texts)
+        back = pa.array((b"".join(map(known, i.tolist())) for i in ids), pa.binary(), size=len(ids))
+        return pa.StructArray.from_arrays([_lists(ids), back], ["ids", "decoded"])
+
+    return coded.asNondeterministic()(F.col(text) if isinstance(text, str) else text)
 
 
 def decode(ids: str | Column, path: str) -> Column:
@@ -227,5 +246,8 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text
     Whole texts, no special tokens. Columns of these names are replaced; every
     row is kept, repeated ones too.
     """
-    out = docs.withColumn(ids, encode(text, path, pattern))
-    return out if decoded is None else out.withColumn(decoded, decode(ids, path))
+    if decoded is None:
+        return docs.withColumn(ids, encode(text, path, pattern))
+    both = docs.select(F.struct(*docs.columns).alias("_document"), round_trip(F.col(text), path, pattern).alias("_coded"))
+    kept = [F.col("_document").getField(c).alias(c) for c in docs.columns if c not in (ids, decoded)]
+    return both.select(*kept, F.col("_coded.ids").alias(ids), F.col("_coded.decoded").alias(decoded))
