@@ -75,3 +75,24 @@ def test_empty(spark, documents):
     held = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 5 == 1)
     r = lm.score_documents(documents([(held, "a b")])).first()
     assert (r.n_tokens, r.n_known, r.train_tokens, r.base_score) == (3, 0, 0, 0.0)
+
+
+def test_classes_add_up():
+    rng = np.random.default_rng(5)
+    model = lm.LogBilinear([b"%d" % i for i in range(40)], rng.random(42) + 0.1, shortlist=3)
+    for p in model.parameters():
+        p[...] = rng.normal(0, 1, p.shape)
+    tokens = np.arange(model.end + 1)
+    for far, near in [(0, 1), (model.start, 39), (model.other, model.other)]:
+        context = np.full(len(tokens), far), np.full(len(tokens), near)
+        assert math.isclose(np.exp(model.log_probabilities(*context, tokens)).sum(), 1, rel_tol=1e-5)
+
+
+def test_vocabulary_follows_the_data(spark):
+    """Each of 1,200 words is followed by one word; the order can only be learnt with all of them."""
+    rng = np.random.default_rng(3)
+    text = lambda: " ".join(f"a{i} b{i}" for i in rng.integers(0, 600, 400))
+    docs = spark.createDataFrame([(i, text()) for i in range(400)], "doc_id bigint, text string")
+    r = lm.score_documents(docs).where("held_out").selectExpr("sum(score) s", "sum(base_score) b", "sum(n_tokens) n").first()
+    print((r.s - r.b) / r.n)
+    assert r.s > r.b + 0.3 * r.n

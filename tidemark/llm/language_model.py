@@ -3,19 +3,24 @@
 Tokens are words after lower-casing A-Z, then one end per text. The base is a
 unigram model of the training texts with a half added to every count. The neural
 model predicts a token from the two before it: the context vector is the sum of
-two position-dependent word vectors, and the score of a token is its product with
-the token's output vector plus a bias. Its vocabulary is the ``VOCABULARY`` most
-frequent training words, the end, and one class for all other words, which the
-unigram counts of those words (and one place for unknown ones) divide up; so
-the probabilities of all known words, the end and "unknown" add up to one after
-any context. There is one normaliser per pair of context words, computed by
-batched matrix products.
+two position-dependent word vectors, and the score of an output is its product with
+the output's vector plus a bias. Its vocabulary follows the data: every training
+word seen ``LEAST_COUNT`` times, the end, and one output for all other words, which
+the unigram counts of those words (and one place for unknown ones) divide up.
+The ``SHORTLIST`` most frequent words, the end and the others are classes of
+their own; the rest of the vocabulary is cut by frequency into about as many
+classes as a class has words. A token's probability is that of its class among all
+classes times that of the word within its class, so a token costs the square root of
+the vocabulary, and the probabilities of all known words, the end and "unknown" add
+up to one after any context. Normalisers are computed by batched matrix products
+for the contexts met.
 
 Training covers every training text: a task runs one pass of stochastic gradient
 steps over the tokens of each of its batches, from the same start (zero vectors
-with small noise, biases at the unigram log-probabilities), and the models are
-averaged by tokens. Noise tokens come from the unigram distribution and are
-shared by the examples of a step.
+with small noise, biases at the unigram log-probabilities). The models are averaged
+row by row, weighted by the examples of a row, and summed in blocks of rows, so
+that the driver takes one model. Noise tokens come from the unigram distribution
+and are shared by the examples of a step; steps touch the rows they use only.
 
 Counts cover all training texts. Documents are scored where they are read; only
 their words outside the ``HEAD`` most frequent ones, whose counts every task has,
@@ -37,14 +42,20 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import id_remainder, stored, word_blocks
 from tidemark.llm.words import corpus_counts, document_rows, frequent_words
 
-VOCABULARY = 510
 DIMENSIONS = 16
 HEAD = 1 << 18
+LEAST_COUNT = 20      # of a word of the vocabulary
+VOCABULARY = HEAD     # words at most: a task holds their vectors (200 bytes a word, as much again in training)
+SHORTLIST = 128       # words that are classes of their own
 NOISE = 64            # noise tokens of a step
 STEP = 8192           # examples of a step, fewer where there are few
+CHUNK = 8192          # examples scored at once
+PENDING = 1 << 18     # tokens that a task gathers before scoring them
 LEAST_STEPS, LEAST_STEP = 64, 128
 RATE = 0.1
-GROUPS = 64           # of task models, summed before the driver averages
+EPSILON = 1e-5
+BLOCK = 4096          # rows of a model that are averaged together
+SHARD = 16_000_000    # training tokens of a task, so that its model is small beside its texts
 
 
 @dataclass
@@ -58,72 +69,154 @@ class Counts:
 
 
 class LogBilinear:
-    """Outputs 0..k-1 are words, k all other words, k + 1 the end; k + 2 is the start of a text."""
+    """Words are 0..k-1 by falling frequency, k all other words, k + 1 the end; k + 2 is the start of a text.
 
-    def __init__(self, words: list[bytes], unigram: np.ndarray):
+    ``output`` and ``bias`` belong to the classes: first the shortlist, the other
+    words and the end, then the classes of several words, whose vectors within
+    the class are ``inner`` and ``inner_bias``.
+    """
+
+    def __init__(self, words: list[bytes], unigram: np.ndarray, shortlist: int | None = None):
         self.words, self.unigram = words, unigram / unigram.sum()
         self.other, self.end, self.start = len(words), len(words) + 1, len(words) + 2
+        self.short = min(len(words), SHORTLIST if shortlist is None else shortlist)
+        tail = len(words) - self.short
+        self.width = max(1, math.isqrt(tail))
+        self.classes = np.concatenate([np.arange(self.short), self.short + 2 + np.arange(tail) // self.width,
+                                       [self.short, self.short + 1]]).astype(np.int64)
+        self.of_class = np.bincount(self.classes, self.unigram)
+        self.of_tail = self.unigram[self.short:self.other] / (self.unigram[self.short:self.other].sum() or 1)
         rng = np.random.default_rng(11)
-        self.output = rng.normal(0, 0.01, (self.end + 1, DIMENSIONS)).astype(np.float32)
+        self.output = rng.normal(0, 0.01, (len(self.of_class), DIMENSIONS)).astype(np.float32)
         self.near = rng.normal(0, 0.01, (self.start + 1, DIMENSIONS)).astype(np.float32)
         self.far = rng.normal(0, 0.01, (self.start + 1, DIMENSIONS)).astype(np.float32)
-        self.bias = np.log(self.unigram).astype(np.float32)
+        self.bias = np.log(self.of_class).astype(np.float32)
+        self.inner = rng.normal(0, 0.01, (tail, DIMENSIONS)).astype(np.float32)
+        self.inner_bias = np.log(self.of_tail).astype(np.float32)
 
     def parameters(self) -> list[np.ndarray]:
-        return [self.output, self.near, self.far, self.bias]
+        return [self.output, self.inner, self.near, self.far, self.bias, self.inner_bias]
 
     def packed(self) -> np.ndarray:
-        return np.concatenate([p.ravel() for p in self.parameters()]).astype(np.float64)
+        """One row per vector, its bias (or zero) in the last column."""
+        biases = np.concatenate([self.bias, self.inner_bias, np.zeros(len(self.near) + len(self.far), np.float32)])
+        return np.column_stack([np.concatenate(self.parameters()[:4]), biases])
 
-    def unpack(self, flat: np.ndarray) -> None:
+    def unpack(self, rows: np.ndarray) -> None:
         at = 0
-        for p in self.parameters():
-            p[...] = flat[at:at + p.size].reshape(p.shape)
-            at += p.size
+        for p, bias in zip(self.parameters()[:4], (self.bias, self.inner_bias, None, None)):
+            p[...] = rows[at:at + len(p), :-1]
+            if bias is not None:
+                bias[...] = rows[at:at + len(p), -1]
+            at += len(p)
+
+    def examples(self, far: np.ndarray, near: np.ndarray, token: np.ndarray) -> np.ndarray:
+        """Examples per row of ``packed``."""
+        tail = token[(token >= self.short) & (token < self.other)] - self.short
+        return np.concatenate([np.bincount(self.classes[token], minlength=len(self.output)),
+                               np.bincount(tail, minlength=len(self.inner)),
+                               np.bincount(near, minlength=len(self.near)), np.bincount(far, minlength=len(self.far))])
 
     def train(self, far: np.ndarray, near: np.ndarray, token: np.ndarray, rng: np.random.Generator,
               squares: list[np.ndarray]) -> None:
         """One pass of noise-contrastive steps; ``squares`` are the running squared gradients."""
         order = rng.permutation(len(token))
-        log_noise = np.log(NOISE * self.unigram).astype(np.float32)
         step = min(STEP, max(LEAST_STEP, len(order) // LEAST_STEPS))
+        tables = [(self.output, self.bias, squares[0], squares[4], self.of_class),
+                  (self.inner, self.inner_bias, squares[1], squares[5], self.of_tail)]
+        drawn = [(np.cumsum(q), np.log(NOISE * q).astype(np.float32)) for *_, q in tables]
         for at in range(0, len(order), step):
             rows = order[at:at + step]
             a, b, c = far[rows], near[rows], token[rows]
-            noise = rng.choice(len(self.unigram), NOISE, p=self.unigram)
             context = self.far[a] + self.near[b]
-            true = np.einsum("ij,ij->i", context, self.output[c]) + self.bias[c] - log_noise[c]
-            false = context @ self.output[noise].T + (self.bias[noise] - log_noise[noise])
-            g_true = -1 / (1 + np.exp(np.clip(true, -30, 30)))
-            g_false = 1 / (1 + np.exp(np.clip(-false, -30, 30)))
-            g_context = g_true[:, None] * self.output[c] + g_false @ self.output[noise]
-            grads = [np.zeros_like(p) for p in self.parameters()]
-            _add_rows(grads[0], c, g_true[:, None] * context)
-            np.add.at(grads[0], noise, g_false.T @ context)
-            _add_rows(grads[1], b, g_context)
-            _add_rows(grads[2], a, g_context)
-            grads[3] += np.bincount(c, g_true, len(self.bias)).astype(np.float32)
-            np.add.at(grads[3], noise, g_false.sum(0))
-            for p, g, s in zip(self.parameters(), grads, squares):
-                g /= len(rows)
-                s += g * g
-                p -= RATE * g / (np.sqrt(s) + 1e-4)
+            in_tail = np.flatnonzero((c >= self.short) & (c < self.other))
+            g_context = np.zeros_like(context)
+            for table, chosen, outputs, (upto, log_noise) in zip(
+                    tables, (slice(None), in_tail), (self.classes[c], c[in_tail] - self.short), drawn):
+                if len(outputs):
+                    noise = np.minimum(np.searchsorted(upto, rng.random(NOISE) * upto[-1], "right"), len(upto) - 1)
+                    g_context[chosen] += _contrast(*table[:4], context[chosen], outputs, noise, log_noise, len(rows))
+            for p, index, s in ((self.near, b, squares[2]), (self.far, a, squares[3])):
+                _descend(p, s, *_sum_rows(index, g_context), len(rows))
+
+    def log_normaliser(self, context: np.ndarray) -> np.ndarray:
+        """Log of the sum over classes after each context vector."""
+        return _log_sum(context, self.output, self.bias)
 
     def log_normalisers(self) -> np.ndarray:
-        """Log of the sum over outputs after each (far, near) pair of context words."""
-        size = self.start + 1
-        out = np.empty((size, size), np.float64)
-        for a in range(size):
-            scores = (self.far[a] + self.near) @ self.output.T + self.bias
-            top = scores.max(1, keepdims=True)
-            out[a] = (top + np.log(np.exp(scores - top).sum(1, keepdims=True)))[:, 0]
+        """The same after each (far, near) pair of context words, for small vocabularies."""
+        return np.stack([self.log_normaliser(far + self.near) for far in self.far])
+
+    def log_probabilities(self, far: np.ndarray, near: np.ndarray, token: np.ndarray) -> np.ndarray:
+        out = np.empty(len(token), np.float64)
+        context = self.far[far] + self.near[near]
+        group = self.classes[token]
+        for at in range(0, len(token), CHUNK):
+            c, g = context[at:at + CHUNK], group[at:at + CHUNK]
+            out[at:at + CHUNK] = np.einsum("ij,ij->i", c, self.output[g]) + self.bias[g] - self.log_normaliser(c)
+        order = np.argsort(group, kind="stable")
+        order = order[np.searchsorted(group[order], self.short + 2):]
+        cuts = np.flatnonzero(np.diff(group[order])) + 1
+        for rows in np.split(order, cuts) if len(order) else []:
+            low = self.short + (group[rows[0]] - self.short - 2) * self.width
+            members = slice(low - self.short, min(low + self.width, self.other) - self.short)
+            vectors, biases = self.inner[members], self.inner_bias[members]
+            for at in range(0, len(rows), CHUNK):
+                part = rows[at:at + CHUNK]
+                c, w = context[part], token[part] - low
+                out[part] += np.einsum("ij,ij->i", c, vectors[w]) + biases[w] - _log_sum(c, vectors, biases)
         return out
 
 
-def _add_rows(to: np.ndarray, index: np.ndarray, rows: np.ndarray) -> None:
+def _log_sum(context: np.ndarray, vectors: np.ndarray, biases: np.ndarray) -> np.ndarray:
+    # One product with the biases as a last column, in pieces that stay in the cache.
+    base = biases.max()
+    table = np.column_stack([vectors, biases - base]).T.copy()
+    rows = np.column_stack([context, np.ones(len(context), np.float32)])
+    reach = math.sqrt(float((context * context).sum(1).max()) * float((vectors * vectors).sum(1).max()))
+    piece = max(16, (1 << 18) // table.shape[1])
+    ones, out = np.ones(table.shape[1], np.float32), np.empty(len(rows), np.float64)
+    for at in range(0, len(rows), piece):
+        scores = rows[at:at + piece] @ table
+        top = 0.0
+        if reach > 40:                          # else no sum can overflow or vanish
+            top = scores.max(1)
+            scores -= top[:, None]
+        out[at:at + piece] = np.log(np.exp(scores, out=scores) @ ones) + top
+    return out + base
+
+
+def _contrast(vectors: np.ndarray, biases: np.ndarray, squares: np.ndarray, bias_squares: np.ndarray,
+              context: np.ndarray, outputs: np.ndarray, noise: np.ndarray, log_noise: np.ndarray,
+              size: int) -> np.ndarray:
+    """A noise-contrastive step on a table of outputs; returns the gradient of the contexts."""
+    own, others = vectors[outputs], vectors[noise]
+    true = np.einsum("ij,ij->i", context, own) + biases[outputs] - log_noise[outputs]
+    false = context @ others.T + (biases[noise] - log_noise[noise])
+    g_true = -1 / (1 + np.exp(np.clip(true, -30, 30)))
+    g_false = 1 / (1 + np.exp(np.clip(-false, -30, 30)))
+    g_context = g_true[:, None] * own + g_false @ others
+    index = np.concatenate([outputs, noise])
+    found, grads = _sum_rows(index, np.column_stack([
+        np.concatenate([g_true[:, None] * context, g_false.T @ context]), np.concatenate([g_true, g_false.sum(0)])]))
+    _descend(vectors, squares, found, grads[:, :-1], size)
+    _descend(biases, bias_squares, found, grads[:, -1], size)
+    return g_context
+
+
+def _descend(p: np.ndarray, squares: np.ndarray, rows: np.ndarray, grads: np.ndarray, size: int) -> None:
+    grads = grads / size
+    s = squares[rows] + grads * grads
+    squares[rows] = s
+    p[rows] -= RATE * grads / (np.sqrt(s) + EPSILON)
+
+
+def _sum_rows(index: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values of ``index`` and the sums of their rows."""
     order = np.argsort(index, kind="stable")
-    found, starts = np.unique(index[order], return_index=True)
-    to[found] += np.add.reduceat(rows[order], starts, axis=0)
+    ordered = index[order]
+    starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    return ordered[starts], np.add.reduceat(rows[order], starts, axis=0)
 
 
 def training_rows(docs: DataFrame, modulus: int = 5, held_out: int = 1) -> DataFrame:
@@ -149,18 +242,23 @@ def fit(training: DataFrame, counts: Counts, words: list[tuple[bytes, int]]) ->
     unigram = np.array([n for _, n in words] + [counts.tokens - counts.texts - known, counts.texts], np.float64) + 0.5
     model = LogBilinear([w for w, _ in words], unigram)
 
+    shared = training.sparkSession.sparkContext.broadcast((model.words, unigram))
+
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = {w: i for i, w in enumerate(model.words)}
-        own, total, group = LogBilinear(model.words, unigram), 0, 0
+        own = LogBilinear(*shared.value)
+        index = {w: i for i, w in enumerate(own.words)}
         rng = np.random.default_rng(23)
         squares = [np.zeros_like(p) for p in own.parameters()]
+        weights = 0
         for batch in batches:
             parts: list[np.ndarray] = []
             size = 0
 
             def step():
+                nonlocal weights
                 far, near, token = (np.concatenate(x) for x in zip(*parts))
                 own.train(far, near, token, rng, squares)
+                weights = weights + own.examples(far, near, token)
                 parts.clear()
             for text in batch.column(0).cast(pa.binary()):
                 ids = [np.fromiter((index.get(w, own.other) for w in ws), np.int32, len(ws))
@@ -168,32 +266,42 @@ def fit(training: DataFrame, counts: Counts, words: list[tuple[bytes, int]]) ->
                 ids = np.concatenate([*ids, [own.end]]).astype(np.int32)
                 parts.append((*_contexts(ids, own.start), ids))
                 size += len(ids)
-                total += len(ids)
                 if size > 4_000_000:
                     step()
                     size = 0
             if parts:
                 step()
-            group = (group * 31 + total) % GROUPS
-        if total:
-            yield pa.record_batch([pa.array([group], pa.int32()), pa.array([total], pa.int64()),
-                                   pa.array([(own.packed() * total).tobytes()], pa.binary())], ["g", "n", "model"])
+        if np.any(weights):
+            packed = own.packed()
+            for at in range(0, len(packed), BLOCK):
+                n = weights[at:at + BLOCK]
+                met = np.flatnonzero(n)
+                if len(met):
+                    rows = np.column_stack([packed[at + met] * n[met, None], n[met]]).astype(np.float32)
+                    yield pa.record_batch([pa.array([at], pa.int32()), pa.array([met.astype(np.int16).tobytes()], pa.binary()),
+                                           pa.array([rows.tobytes()], pa.binary())], ["at", "met", "model"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, summed = 0, None
+        sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for n, flat in zip(batch.column("n").to_pylist(), batch.column("model").to_pylist()):
-                total, flat = total + n, np.frombuffer(flat)
-                summed = flat.copy() if summed is None else summed + flat
-        if total:
-            yield pa.record_batch([pa.array([0], pa.int32()), pa.array([total], pa.int64()),
-                                   pa.array([summed.tobytes()], pa.binary())], ["g", "n", "model"])
-
-    schema = "g int, n bigint, model binary"
-    trained = training.select("text").mapInArrow(train, schema)
-    sums = trained.repartition(GROUPS, "g").mapInArrow(add, schema).collect()  # at most GROUPS rows
-    if sums:
-        model.unpack(sum(np.frombuffer(bytes(r.model)) for r in sums) / sum(r.n for r in sums))
+            for at, met, rows in zip(*(column.to_pylist() for column in batch.columns)):
+                total = sums.setdefault(at, np.zeros((BLOCK, DIMENSIONS + 2)))
+                total[np.frombuffer(met, np.int16)] += np.frombuffer(rows, np.float32).reshape(-1, DIMENSIONS + 2)
+        for at, total in sums.items():
+            met = np.flatnonzero(total[:, -1])
+            mean = (total[met, :-1] / total[met, -1:]).astype(np.float32)
+            yield pa.record_batch([pa.array([at], pa.int32()), pa.array([met.astype(np.int16).tobytes()], pa.binary()),
+                                   pa.array([mean.tobytes()], pa.binary())], ["at", "met", "model"])
+
+    schema = "at int, met binary, model binary"
+    tasks = -(-counts.tokens // SHARD)
+    trained = training.select("text").coalesce(max(1, tasks)).mapInArrow(train, schema)
+    rows = model.packed()
+    blocks = -(-len(rows) // BLOCK)
+    for block in trained.repartition(min(blocks, 64), "at").mapInArrow(add, schema).collect():  # one row per block
+        met = np.frombuffer(bytes(block.met), np.int16)
+        rows[block.at + met.astype(np.int64)] = np.frombuffer(bytes(block.model), np.float32).reshape(-1, DIMENSIONS + 1)
+    model.unpack(rows)
     return model
 
 
@@ -205,40 +313,65 @@ def score(docs: DataFrame, counts: Counts, model: LogBilinear, head: list[tuple[
     shared = docs.sparkSession.sparkContext.broadcast({
         "index": {w: i for i, (w, _) in enumerate(head)},
         "log": np.log10(np.array([n for _, n in head] + [0], np.float64) + 0.5),
-        "model": model, "normalisers": model.log_normalisers()})
+        "model": model})
     texts = counts.texts
 
-    def reader():
-        kept = shared.value
-        get, logs, own, normalisers = kept["index"].get, kept["log"], kept["model"], kept["normalisers"]
-        size, far_rows, near_rows = len(logs) - 1, own.far, own.near
-        log_rest, end_log, scale = math.log10(rest), math.log10(texts + 0.5), math.log(10)
-
-        def log_probability(far: np.ndarray, near: np.ndarray, token: np.ndarray) -> float:
-            scores = np.einsum("ij,ij->i", far_rows[far] + near_rows[near], own.output[token]) + own.bias[token]
-            return float((scores - normalisers[far, near]).sum()) / scale
-
-        def read(data: bytes):
+    class Reader:
+        """Reads one text after the other; ``settle`` adds the model's scores of those that are read."""
+
+        def __init__(self):
+            kept = shared.value
+            self.get, self.logs, self.model = kept["index"].get, kept["log"], kept["model"]
+            self.size, self.log_rest, self.log_end = len(self.logs) - 1, math.log10(rest), math.log10(texts + 0.5)
+            self.scores, self.parts, self.owners, self.pending = [0.0], [], [], 0
+
+        def take(self, far: np.ndarray, near: np.ndarray, token: np.ndarray) -> None:
+            self.parts.append((far, near, token))
+            self.owners.append(len(self.scores) - 1)
+            self.pending += len(token)
+            if self.pending > PENDING:
+                self.work()
+
+        def work(self) -> None:
+            if self.parts:
+                far, near, token = (np.concatenate(x) for x in zip(*self.parts))
+                starts = np.cumsum([0] + [len(p[2]) for p in self.parts[:-1]])
+                sums = np.add.reduceat(self.model.log_probabilities(far, near, token), starts) / math.log(10)
+                for owner, value in zip(self.owners, sums):
+                    self.scores[owner] += float(value)
+                self.parts, self.owners, self.pending = [], [], 0
+
+        def settle(self, sums: list[dict]) -> None:
+            """``sums``: of the texts read to the end since the last call; one more may be under way."""
+            self.work()
+            for own, value in zip(sums, self.scores):
+                own["lm"] += value
+            self.scores = self.scores[len(sums):]
+
+        def __call__(self, data: bytes):
+            own = self.model
             before = [own.start, own.start]
             for words in word_blocks(data.lower()):
-                at = np.fromiter((get(w, size) for w in words), np.int64, len(words))
+                if not words:
+                    continue
+                at = np.fromiter((self.get(w, self.size) for w in words), np.int64, len(words))
                 token = np.minimum(at, own.other)
                 context = np.concatenate([before, token])
-                lm = log_probability(context[:-2], context[1:-1], token)
+                self.take(context[:-2], context[1:-1], token)
                 before = context[-2:]
-                in_head = at < size
-                head_logs = logs[at]
+                in_head = at < self.size
+                head_logs = self.logs[at]
                 other = token == own.other
-                lm += float(head_logs[in_head & other].sum()) - log_rest * int(other.sum())
+                lm = float(head_logs[in_head & other].sum()) - self.log_rest * int(other.sum())
                 tail = Counter(words[i] for i in np.flatnonzero(~in_head))
                 yield {"n_tokens": len(words), "known": int(in_head.sum()), "lm": lm,
                        "base": float(head_logs[in_head].sum())}, tail
-            ends = log_probability(np.array([before[0]]), np.array([before[1]]), np.array([own.end]))
-            yield {"n_tokens": 1, "known": int(texts > 0), "lm": ends, "base": end_log}, {}
-        return read
+            self.take(*(np.array([x]) for x in (*before, own.end)))
+            yield {"n_tokens": 1, "known": int(texts > 0), "lm": 0.0, "base": self.log_end}, {}
+            self.scores.append(0.0)
 
     fields = {"n_tokens": int, "known": int, "lm": float, "base": float}
-    parts = document_rows(docs, reader, fields)
+    parts = document_rows(docs, Reader, fields)
     joined = parts.join(counts.table.withColumnRenamed("n", "c"), "word", "left")
     tail = F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)
     total = joined.groupBy("doc_id", "key").agg(
@@ -254,7 +387,7 @@ def score(docs: DataFrame, counts: Counts, model: LogBilinear, head: list[tuple[
 
 
 def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", modulus: int = 5, held_out: int = 1,
-                    vocabulary: int = VOCABULARY, head: int = HEAD) -> DataFrame:
+                    vocabulary: int = VOCABULARY, head: int = HEAD, least_count: int = LEAST_COUNT) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row.
 
     Learns from the rows whose crc32 of the id as text, modulo ``modulus``, is not
@@ -268,7 +401,7 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     counts = count_corpus(training)
     found = frequent_words(counts.table, head).toArrow()
     frequent = sorted(zip(found["word"].to_pylist(), found["n"].to_pylist()), key=lambda w: (-w[1], w[0]))
-    model = fit(training, counts, frequent[:vocabulary])
+    model = fit(training, counts, [w for w in frequent[:vocabulary] if w[1] >= least_count])
     scored = score(docs, counts, model, frequent)
     return scored.select("doc_id", (id_remainder("doc_id", modulus) == held_out).alias("held_out"), "n_tokens", "n_known",
                          F.lit(counts.tokens).cast("bigint").alias("train_tokens"), "base_score", "score")

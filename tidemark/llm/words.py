@@ -74,7 +74,8 @@ def document_rows(docs: DataFrame, reader: Callable[[], Callable[[bytes], Iterat
 
     ``docs``: doc_id, text. ``reader()`` runs once per task and returns a function
     from the bytes of a text to pairs of (sums by field, Counter of words to be
-    joined), one pair per block of text. Returns rows (doc_id, key, word, n,
+    joined), one pair per block of text; if it has ``settle``, that may add to the
+    sums of the texts read to the end since its last call. Returns rows (doc_id, key, word, n,
     rows, fields...): one row per document with its sums, rows = 1 and a word
     that no text contains, and one row per word with sums 0. ``key`` tells
     documents that share a doc_id apart.
@@ -87,11 +88,14 @@ def document_rows(docs: DataFrame, reader: Callable[[], Callable[[bytes], Iterat
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read = reader()
+        settle = getattr(read, "settle", None)
         owners, lengths = [], []        # document and its number of rows here
         words, counts = [], []          # of each row
         ends, sums = [], []             # the rows that hold a document's sums
 
         def flush(id_type):
+            if settle:
+                settle(sums)
             at = np.repeat(np.arange(len(owners)), lengths)
             ids = pa.array([o[0] for o in owners], id_type)
             keys = np.array([o[1] for o in owners], np.int32)
