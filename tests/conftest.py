@@ -18,6 +18,3 @@ def spark():
 @pytest.fixture
 def scratch():
     return tempfile.mkdtemp(prefix="tidemark-test-")
-
-
-SF_SMALL = "/root/testdata/sf0.001"
