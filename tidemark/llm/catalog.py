@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import (bpe, chat, embedding_dedup, language_model, mixing, quality, simhash, token_counts, topk,
-                          url_filter)
+from tidemark.llm import (bpe, chat, embedding_dedup, hard_negatives, language_model, mixing, quality, simhash,
+                          token_counts, topk, url_filter)
 from tidemark.llm.common import id_remainder, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -163,6 +163,39 @@ GROUP BY ALL
 """
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("bigint") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(read_table(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
+OP11_SQL = """
+WITH usable AS (
+  SELECT row_number() OVER () AS k, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v,
+         CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.k AS anchor, a.vec_id AS anchor_id, a.label = c.label AS same, c.k, c.vec_id,
+         CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+  FROM usable a JOIN usable c ON a.k <> c.k
+  WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT * FROM (
+    SELECT anchor, anchor_id, k, vec_id, score, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, k) AS n
+    FROM scored WHERE same) p
+  WHERE n <= 5
+), ranked AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor, p.k ORDER BY s.score DESC, s.vec_id, s.k) AS n
+  FROM positives p JOIN scored s ON s.anchor = p.anchor
+  WHERE NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score
+)
+SELECT anchor_id, positive_id, CAST(n AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE n <= 5
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_byte_bpe": op2_byte_bpe,
@@ -174,6 +207,7 @@ QUERIES: dict[str, Query] = {
     "op8_source_mixing": op8_source_mixing,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_hard_negatives": op11_hard_negatives,
 }
 
 ORACLE: dict[str, str] = {
@@ -181,4 +215,5 @@ ORACLE: dict[str, str] = {
     "op5_url_filter": OP5_SQL,
     "op9_embedding_near_dedup": OP9_SQL,
     "op10_chat_formatting": OP10_SQL,
+    "op11_hard_negatives": OP11_SQL,
 }
