@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (bpe, chat, embedding_dedup, hard_negatives, language_model, mixing, quality, simhash,
-                          token_counts, topk, url_filter)
+                          speculative_bpe, token_counts, topk, url_filter)
 from tidemark.llm.common import id_remainder, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -196,6 +196,14 @@ FROM ranked WHERE n <= 5
 """
 
 
+def op12_speculative_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = speculative_bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return coded.select("doc_id", (F.octet_length("token_ids") / 4).cast("bigint").alias("n_tokens"),
+                        F.sha2("token_ids", 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_byte_bpe": op2_byte_bpe,
@@ -208,6 +216,7 @@ QUERIES: dict[str, Query] = {
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_chat_formatting": op10_chat_formatting,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_speculative_bpe": op12_speculative_bpe,
 }
 
 ORACLE: dict[str, str] = {
