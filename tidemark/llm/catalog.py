@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (bpe, chat, embedding_dedup, hard_negatives, language_model, mixing, quality, simhash,
-                          speculative_bpe, token_counts, topk, url_filter)
+                          speculative_bpe, token_alignment, token_counts, topk, url_filter)
 from tidemark.llm.common import id_remainder, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -204,6 +204,14 @@ def op12_speculative_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    aligned = token_alignment.align(read_table(spark, sf_dir, "documents"), *paths)
+    digest = F.when(F.col("n_a") == 0, "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    scored = token_alignment.score_links(aligned.select("*", digest).drop("groups"), *paths)
+    return scored.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_byte_bpe": op2_byte_bpe,
@@ -217,6 +225,7 @@ QUERIES: dict[str, Query] = {
     "op10_chat_formatting": op10_chat_formatting,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_speculative_bpe": op12_speculative_bpe,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLE: dict[str, str] = {
