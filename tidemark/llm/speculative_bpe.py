@@ -27,7 +27,8 @@ import functools
 import heapq
 import json
 import re
-from itertools import accumulate, chain
+from itertools import chain, repeat
+from operator import ne
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,7 @@ LONG_WORD = 512               # bytes; longer words are merged one at a time, wi
 _ASCII_WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", regex.A)
 # Where a text can be cut: one space between two characters that are no white space.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+_LATIN_END = "\u0250"         # letters before it are letters in every version of the character tables
 _BETWEEN = "Ā"           # no byte's character
 _NONE = np.int64(1) << 60     # rank of a pair that does not merge
 
@@ -56,6 +58,30 @@ def byte_characters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+def _slots(keys: np.ndarray, level: int, bits: int) -> np.ndarray:
+    factor = np.uint64(0x9E3779B97F4A7C15) ^ np.uint64(level << 20)
+    return ((keys.astype(np.uint64) * factor) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _hash_levels(keys: np.ndarray, values: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """Hash tables for array lookups: keys whose slot is taken go to the next table."""
+    out = []
+    while len(keys):
+        bits = len(keys).bit_length() + 2
+        slots = _slots(keys, len(out), bits)
+        held, kept = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int64)
+        held[slots], kept[slots] = keys, values
+        out.append((bits, held, kept))
+        left = held[slots] != keys
+        keys, values = keys[left], values[left]
+    return out
+
+
+def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The positions starts[0], starts[0] + 1, ... (counts[0] of them), starts[1], ..."""
+    return np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))
+
+
 class Vocabulary:
     """Tokens and merges of a byte-level BPE file of the tokenizers library.
 
@@ -94,13 +120,12 @@ class Vocabulary:
         if len(np.unique(made)) != len(made) or len(ids) != len(made) + 256:
             raise ValueError(f"{path} has tokens without a merge, or with several")
         self.left[made], self.right[made], self.rank[made] = a, b, np.arange(1, len(made) + 1)
-        keys = a << 32 | b
-        order = np.argsort(keys)
-        self._keys, self._made = keys[order], made[order]
+        self._levels = _hash_levels(a << 32 | b, made)
         self.byte_ids = np.array([ids[c] for c, _ in sorted(byte_of.items(), key=lambda x: x[1])], np.int64)
         # Whether BPE makes a token of its own bytes: it makes its two parts, which stay apart until its merge.
         order = np.argsort(self.rank)
-        apart = self.compatible(self.left, self.right, self.rank)
+        apart = (self.compatible(self.left, self.right, self.rank) & (self.rank[self.left] < self.rank)
+                 & (self.rank[self.right] < self.rank))
         self.sound = np.zeros(size, bool)
         sound, parts = apart.tolist(), (self.left.tolist(), self.right.tolist(), self.rank.tolist())
         for i in order.tolist():
@@ -113,8 +138,19 @@ class Vocabulary:
     def merged(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The token that each pair merges to, or -1."""
         keys = a << 32 | b
-        at = np.minimum(np.searchsorted(self._keys, keys), len(self._keys) - 1)
-        return np.where(self._keys[at] == keys, self._made[at], -1)
+        out = np.full(len(keys), -1, np.int64)
+        open_ = None
+        for level, (bits, held, made) in enumerate(self._levels):
+            slots = _slots(keys, level, bits)
+            found = held[slots]
+            hit = found == keys
+            if open_ is None:
+                out = np.where(hit, made[slots], -1)
+            else:
+                out[open_[hit]] = made[slots[hit]]
+            more = np.flatnonzero(~hit & (found >= 0))    # another pair's slot: the pair may be on the next level
+            open_, keys = more if open_ is None else open_[more], keys[more]
+        return out
 
     def compatible(self, a: np.ndarray, b: np.ndarray, until: np.ndarray | None = None) -> np.ndarray:
         """Whether BPE keeps the border between neighbours a and b, of all merges or those before rank ``until``.
@@ -166,37 +202,36 @@ class Codec:
 
     # -- words: strings with one character for every byte
 
-    def encode_words(self, words: list[str]) -> list[bytes]:
-        """Ids of each word as little-endian 32-bit integers."""
-        out: list[bytes | None] = [None] * len(words)
-        several = []
-        for at, word in enumerate(words):
-            i = self.own.get(word)
-            if i is None:
-                several.append(at)
-            else:
-                out[at] = i.to_bytes(4, "little")
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in a row, and ids per word."""
+        own = np.fromiter(map(self.own.get, words, repeat(-1)), np.int64, len(words))
         self.words += len(words)
-        if several:
-            rows = [words[at] for at in several]
-            ids, counts, right = self._propose(rows)
-            wrong = np.flatnonzero(~right)
-            ends = np.concatenate([[0], np.cumsum(counts)]).tolist()
-            data = ids.astype("<i4").tobytes()
-            for n, at in enumerate(several):
-                out[at] = data[4 * ends[n]:4 * ends[n + 1]]
-            self.merges += len(wrong)
-            for n, merged in zip(wrong.tolist(), self._merge([rows[n] for n in wrong.tolist()])):
-                out[several[n]] = merged
-        return out
+        counts = np.ones(len(words), np.int64)
+        several = np.flatnonzero(own < 0)
+        if not len(several):
+            return own, counts
+        rows = [words[n] for n in several.tolist()]
+        proposed, sizes, right = self._propose(rows)
+        wrong = np.flatnonzero(~right)
+        merged, merged_sizes = self._merge([rows[n] for n in wrong.tolist()])
+        self.merges += len(wrong)
+        counts[several] = sizes
+        counts[several[wrong]] = merged_sizes
+        starts = np.cumsum(counts) - counts
+        out = np.empty(int(counts.sum()), np.int64)
+        alone = np.flatnonzero(own >= 0)
+        out[starts[alone]] = own[alone]
+        out[ragged(starts[several[right]], sizes[right])] = proposed[np.repeat(right, sizes)]
+        out[ragged(starts[several[wrong]], merged_sizes)] = merged
+        return out, counts
 
     def _propose(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Greedy longest-match ids of all words in a row, ids per word, and which words are verified."""
         found = np.fromiter(chain.from_iterable(self.longest.iter_long(_BETWEEN.join(words))), np.int64).reshape(-1, 2)
         last, ids = found[:, 0], found[:, 1]
-        sizes = np.array(list(map(len, words)), np.int64)
-        starts = np.concatenate([[0], np.cumsum(sizes[:-1] + 1)])
-        owner = np.searchsorted(starts, last, "right") - 1
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        ends = np.cumsum(sizes + 1)
+        owner = np.searchsorted(ends, last, "right")
         counts = np.bincount(owner, minlength=len(words))
         right = np.bincount(owner, self.lengths[ids], len(words)).astype(np.int64) == sizes  # every byte has a token
         right[owner[~self.vocabulary.sound[ids]]] = False
@@ -206,36 +241,43 @@ class Codec:
         right[owner[inside[~apart[which]]]] = False
         return ids, counts, right
 
-    def _merge(self, words: list[str]) -> list[bytes]:
-        """Exact merging: in every word, the pair of the lowest rank wherever it stands, leftmost first, until none merges."""
-        out: list[bytes | None] = [None] * len(words)
-        short = [n for n, w in enumerate(words) if len(w) <= LONG_WORD]
-        for n, word in enumerate(words):
-            if len(word) > LONG_WORD:
-                out[n] = self._merge_long(word)
-        ids = self.vocabulary.byte_ids[np.frombuffer("".join(words[n] for n in short).encode("latin-1"), np.uint8)]
-        owner = np.repeat(np.arange(len(short)), [len(words[n]) for n in short])
+    def _merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Exact merging, as ids of all words in a row and ids per word: in every word, the pair of the lowest rank
+        wherever it stands, leftmost first, until none merges."""
+        done_ids, done_words = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        for n in np.flatnonzero(sizes > LONG_WORD).tolist():
+            done_ids.append(self._merge_long(words[n]))
+            done_words.append(np.full(len(done_ids[-1]), n))
+        short = np.flatnonzero(sizes <= LONG_WORD)
+        data = "".join([words[n] for n in short.tolist()]).encode("latin-1")
+        ids = self.vocabulary.byte_ids[np.frombuffer(data, np.uint8)]
+        owner = np.repeat(short, sizes[short])
         while len(ids):
+            inside = np.flatnonzero(owner[1:] == owner[:-1])
             made = np.full(len(ids), -1, np.int64)
-            made[:-1] = np.where(owner[1:] == owner[:-1], self.vocabulary.merged(ids[:-1], ids[1:]), -1)
+            made[inside] = self.vocabulary.merged(ids[inside], ids[inside + 1])
             rank = np.where(made >= 0, self.vocabulary.rank[made], _NONE)
             starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-            least = np.minimum.reduceat(rank, starts)
+            least = np.repeat(np.minimum.reduceat(rank, starts), np.diff(np.append(starts, len(ids))))
             done = least == _NONE
-            ends = np.append(starts[1:], len(ids))
-            for n in np.flatnonzero(done).tolist():
-                out[short[owner[starts[n]]]] = ids[starts[n]:ends[n]].astype("<i4").tobytes()
-            chosen = (rank == np.repeat(least, ends - starts)) & (made >= 0)
+            done_ids.append(ids[done])
+            done_words.append(owner[done])
+            chosen = (rank == least) & ~done
             # Of a run of chosen places, every other one merges, the first included.
-            place = np.arange(len(ids))
-            begins = np.maximum.accumulate(np.where(chosen & ~np.concatenate([[False], chosen[:-1]]), place, 0))
-            chosen &= (place - begins) % 2 == 0
+            again = chosen & np.concatenate([[False], chosen[:-1]])
+            if again.any():
+                place = np.arange(len(ids))
+                begins = np.maximum.accumulate(np.where(chosen & ~again, place, 0))
+                chosen &= (place - begins) % 2 == 0
             ids = np.where(chosen, made, ids)
-            stays = np.repeat(~done, ends - starts) & ~np.concatenate([[False], chosen[:-1]])
+            stays = ~done
+            stays[1:] &= ~chosen[:-1]
             ids, owner = ids[stays], owner[stays]
-        return out
+        ids, owner = np.concatenate(done_ids), np.concatenate(done_words)
+        return ids[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(words))
 
-    def _merge_long(self, word: str) -> bytes:
+    def _merge_long(self, word: str) -> np.ndarray:
         """The same with a heap of pairs, for one long word."""
         v = self.vocabulary
         ids = v.byte_ids[np.frombuffer(word.encode("latin-1"), np.uint8)]
@@ -262,7 +304,7 @@ class Codec:
                     new = pairs.get((ids[x], ids[y]))
                     if new is not None:
                         heapq.heappush(heap, (int(rank[new]), x, new))
-        return np.array([i for i in ids if i >= 0], "<i4").tobytes()
+        return np.array([i for i in ids if i >= 0], np.int64)
 
     @functools.cached_property
     def _pairs(self) -> dict[tuple[int, int], int]:
@@ -279,34 +321,45 @@ class Codec:
         cut = self.vocabulary.pre_tokenizer.pre_tokenize_str(text)
         return [text[i:j].encode().decode("latin-1") for _, (i, j) in cut]
 
-    def _word_ids(self, words: list[list[str]]) -> list[bytes]:
-        """Ids of rows of words."""
-        distinct = list(dict.fromkeys(chain.from_iterable(words)))
-        ids = dict(zip(distinct, self.encode_words(distinct)))
-        return [b"".join(map(ids.__getitem__, row)) for row in words]
-
-    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces of text that each follow a space."""
-        # Pieces without a space are cut into words together: each starts a word
-        # with the space before it, and no other word has one.
-        rows: list[list[str] | None] = [None] * len(pieces)
-        groups: tuple[list[int], list[int]] = ([], [])
+    def encode_rows(self, words: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of rows of so many words, all in a row, and ids per row of words."""
+        ids, counts = self.encode_words(words)
+        upto = np.concatenate([[0], np.cumsum(counts)])[np.concatenate([[0], np.cumsum(sizes)])]
+        return ids, np.diff(upto)
+
+    def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces of text that each follow a space: all in a row, and ids per piece."""
+        letters, plain, other, odd = [], [], [], []
         for n, piece in enumerate(pieces):
-            if " " in piece or not piece or piece[0].isspace() or piece[-1].isspace():
-                rows[n] = self.pre_tokens(" " + piece)
+            if piece.isalpha() and (piece.isascii() or max(piece) < _LATIN_END):
+                letters.append(n)        # one word
+            elif piece != piece.strip() or " " in piece or not piece:
+                odd.append(n)
             else:
-                groups[piece.isascii()].append(n)
-        for group in groups:
-            words = self.pre_tokens(" " + " ".join(pieces[n] for n in group)) if group else []
-            starts = [i for i, w in enumerate(words) if w[0] == " "] + [len(words)]
-            for n, i, j in zip(group, starts, starts[1:]):
-                rows[n] = words[i:j]
-        return self._word_ids(rows)
+                (plain if piece.isascii() else other).append(n)
+        words, sizes = [], [np.ones(len(letters), np.int64)]
+        if letters:
+            words += map(" ".__add__, " ".join([pieces[n] for n in letters]).encode().decode("latin-1").split(" "))
+        for group in (plain, other):
+            # Pieces without a space are cut into words together: each starts a word
+            # with the space before it, and no other word has one.
+            own = self.pre_tokens(" " + " ".join([pieces[n] for n in group])) if group else []
+            starts = [i for i, w in enumerate(own) if w[0] == " "]
+            words += own
+            sizes.append(np.diff(np.array([*starts, len(own)], np.int64)))
+        for n in odd:
+            own = self.pre_tokens(" " + pieces[n])
+            words += own
+            sizes.append(np.array([len(own)]))
+        ids, counts = self.encode_rows(words, np.concatenate(sizes))
+        order = np.argsort(np.array(letters + plain + other + odd, np.int64))
+        starts = np.cumsum(counts) - counts
+        return ids[ragged(starts[order], counts[order])], counts[order]
 
     def _keep(self, new: dict[str, bytes]) -> None:
         """Fill the table with the pieces met first, mostly frequent ones; start anew after many others."""
         if len(self.kept) + len(new) <= CACHE_PIECES:
-            self.kept.update((p, i) for p, i in new.items() if len(p) <= CACHE_LENGTH)
+            self.kept.update((p, ids) for p, ids in new.items() if len(p) <= CACHE_LENGTH)
         else:
             self.passed += len(new)
             if self.passed > 8 * CACHE_PIECES:
@@ -315,29 +368,30 @@ class Codec:
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         """Token ids of each text; pieces not met before are encoded together."""
-        rows, missing = [], set()
+        kept, rows, firsts, missing = self.kept, [], [], set()
         for text in texts:
-            parts = []               # (first piece, the others, their ids if known, or an added token's id)
+            parts = []               # an added token's id, or the pieces after a first one that is in ``firsts``
             at = 0
             for found in chain(self.special.finditer(text) if self.special else (), [None]):
                 part = text[at:found.start() if found else len(text)]
                 if part:
-                    first, rest = cut_pieces(part, self.kept)
-                    ids = list(map(self.kept.get, rest))
-                    missing.update(p for p, i in zip(rest, ids) if i is None)
-                    parts.append((first, rest, ids))
+                    first, *rest = cut_pieces(part, kept)
+                    firsts.append(self.pre_tokens(first))
+                    missing.update(rest[2])
+                    parts.append(rest)
                 if found:
                     parts.append(self.vocabulary.added[found.group()])
                     at = found.end()
             rows.append(parts)
-        new = dict(zip(missing, self.encode_pieces(list(missing))))
-        self._keep(new)
-        firsts = iter(self._word_ids([self.pre_tokens(p[0]) for parts in rows for p in parts if isinstance(p, tuple)]))
+        new = list(missing)
+        coded = dict(zip(new, _slices(*self.encode_pieces(new))))
+        starts = iter(_slices(*self.encode_rows(list(chain.from_iterable(firsts)), np.array([len(f) for f in firsts], np.int64))))
         out = []
         for parts in rows:
-            data = [p.to_bytes(4, "little") if isinstance(p, int) else next(firsts) + b"".join(
-                [new[piece] if i is None else i for piece, i in zip(p[1], p[2])]) for p in parts]
+            data = [p.to_bytes(4, "little") if isinstance(p, int) else next(starts) + b"".join(
+                [coded[piece] if ids is None else ids for piece, ids in zip(p[0], p[1])]) for p in parts]
             out.append(np.frombuffer(b"".join(data), "<i4"))
+        self._keep(coded)
         return out
 
     def encode(self, text: str) -> np.ndarray:
@@ -348,14 +402,25 @@ class Codec:
         return b"".join(map(self.vocabulary.bytes.__getitem__, ids.tolist())).decode("utf-8", "replace")
 
 
-def cut_pieces(text: str, kept: dict) -> tuple[str, list[str]]:
-    """A text's start and the pieces after it, which each follow a single space between other characters."""
-    first, *rest = text.split(" ")
-    unknown = [p for p in rest if p not in kept]
+def _slices(ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    """Rows of ids as little-endian 32-bit integers."""
+    data, ends = ids.astype("<i4").tobytes(), (4 * np.cumsum(counts)).tolist()
+    return [data[i:j] for i, j in zip([0, *ends], ends)]
+
+
+def cut_pieces(text: str, kept: dict) -> tuple[str, list[str], list, list[str]]:
+    """A text's start, the pieces after it, which each follow a single space between other characters, what is
+    kept of each (or None), and the pieces of which nothing is."""
+    rest = text.split(" ")
+    first = rest.pop(0)
+    found = list(map(kept.get, rest))
+    unknown = [p for p, f in zip(rest, found) if f is None]
     # Only pieces without white space at their ends are ever kept.
-    if rest and (not first or first[-1].isspace() or "" in unknown or list(map(str.strip, unknown)) != unknown):
+    if rest and (not first or first[-1].isspace() or "" in unknown or any(map(ne, unknown, map(str.strip, unknown)))):
         first, *rest = _CUT.split(text)
-    return first, rest
+        found = list(map(kept.get, rest))
+        unknown = [p for p, f in zip(rest, found) if f is None]
+    return first, rest, found, unknown
 
 
 @functools.lru_cache(maxsize=2)
