@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +36,9 @@ from pyspark.sql import types as T
 
 from tidemark.llm import speculative_bpe
 from tidemark.llm.common import stored
-from tidemark.llm.speculative_bpe import GROUP_CHARACTERS, cut_pieces
+from tidemark.llm.speculative_bpe import GROUP_CHARACTERS, cut_pieces, ragged
 
-CACHE_PIECES = 120_000
+CACHE_PIECES = 300_000
 CACHE_LENGTH = 64
 HEAD = 1 << 18                # pairs whose counts every task has
 BUFFER = 1 << 21              # pairs that a task combines before passing them on
@@ -75,104 +76,150 @@ class Aligner:
         # Ids as text, with the mark that follows within a group, and after its last one.
         self.texts = [[np.array([f"{i}{mark}" for i in range(len(v))], object) for mark in marks]
                       for v, marks in ((self.a_bytes, ",|"), (self.b_bytes, ",;"))]
-        self.kept: dict[str, tuple | None] = {}
+        self.a_flat, self.b_flat = (np.frombuffer(b"".join(v), np.uint8) for v in (self.a_bytes, self.b_bytes))
+        self.a_starts, self.b_starts = (np.cumsum(n) - n for n in (self.a_lengths, self.b_lengths))
+        self.place: dict[str, int] = {}   # of a known piece
+        self.known = Pieces.none()
         self.passed = 0
 
-    def align_pieces(self, pieces: list[str]) -> list[tuple | None]:
-        """Of a space and each piece: (tokens of A, of B, groups, links, linked A ids of the same bytes, other linked
-        pairs a * size_b + b, groups as text), or None where the tokens' bytes differ from the text."""
-        a_rows = [np.frombuffer(d, "<i4") for d in self.a.encode_pieces(pieces)]
+    def _fits(self, data: np.ndarray, sizes: np.ndarray, ids: np.ndarray, counts: np.ndarray, lengths: np.ndarray,
+              starts: np.ndarray, flat: np.ndarray) -> np.ndarray:
+        """Which pieces, of so many bytes each in ``data``, are what their tokens' bytes make up."""
+        owner = np.repeat(np.arange(len(sizes)), counts)
+        fits = np.bincount(owner, lengths[ids], len(sizes)).astype(np.int64) == sizes
+        mine = fits[owner]
+        got = flat[ragged(starts[ids[mine]], lengths[ids[mine]])]
+        byte_owner = np.repeat(np.arange(len(sizes)), sizes)
+        byte_owner, want = byte_owner[fits[byte_owner]], data[fits[byte_owner]]
+        fits[byte_owner[got != want]] = False
+        return fits
+
+    def align_pieces(self, pieces: list[str]) -> Pieces:
+        """Tokens, groups and links of a space and each piece."""
+        if not pieces:
+            return Pieces.none()
+        a, a_counts = self.a.encode_pieces(pieces)
         b_rows = self.b.encode(pieces, num_threads=1)
-        fits = []
-        for n, (piece, a, b) in enumerate(zip(pieces, a_rows, b_rows)):
-            data = b" " + piece.encode()
-            if data == b"".join(map(self.b_bytes.__getitem__, b)) == b"".join(map(self.a_bytes.__getitem__, a.tolist())):
-                fits.append(n)
-        out: list[tuple | None] = [None] * len(pieces)
-        if not fits:
-            return out
-        a_counts, b_counts = (np.array([len(rows[n]) for n in fits]) for rows in (a_rows, b_rows))
-        a = np.concatenate([a_rows[n] for n in fits]).astype(np.int64)
-        b = np.array([i for n in fits for i in b_rows[n]], np.int64)
+        b_counts = np.fromiter(map(len, b_rows), np.int64, len(pieces))
+        b = np.fromiter(chain.from_iterable(b_rows), np.int64, int(b_counts.sum()))
+        rows = [(" " + p).encode() for p in pieces]
+        sizes, data = np.fromiter(map(len, rows), np.int64, len(rows)), np.frombuffer(b"".join(rows), np.uint8)
+        fits = (self._fits(data, sizes, a, a_counts, self.a_lengths, self.a_starts, self.a_flat)
+                & self._fits(data, sizes, b, b_counts, self.b_lengths, self.b_starts, self.b_flat))
+        a, b = a[np.repeat(fits, a_counts)], b[np.repeat(fits, b_counts)]
+        a_counts, b_counts = np.where(fits, a_counts, 0), np.where(fits, b_counts, 0)
+        ends = np.cumsum(np.where(fits, sizes, 0))                # of the pieces, in bytes
         a_ends, b_ends = np.cumsum(self.a_lengths[a]), np.cumsum(self.b_lengths[b])
-        ends = a_ends[np.cumsum(a_counts) - 1]                    # of the pieces
-        borders = np.intersect1d(a_ends, b_ends, assume_unique=True)
-        cuts = np.union1d(a_ends, b_ends)                         # each ends a segment, and so a link
-        link_a, link_b = a[np.searchsorted(a_ends, cuts)], b[np.searchsorted(b_ends, cuts)]
+        # Marks at the bytes where tokens end: of both, a border of groups; of either, the end of a link.
+        ends_at = np.zeros((2, int(ends[-1]) + 1), np.int8)
+        ends_at[0, a_ends], ends_at[1, b_ends] = 1, 1
+        borders = ends_at[0] & ends_at[1]
+        cuts = np.flatnonzero(ends_at[0] | ends_at[1])
+        link_a = a[np.cumsum(ends_at[0], dtype=np.int64)[cuts - 1]]
+        link_b = b[np.cumsum(ends_at[1], dtype=np.int64)[cuts - 1]]
         same = self.same[link_a] == link_b
-        pairs = link_a * self.size_b + link_b
         owner = np.searchsorted(ends, cuts)
-        links = np.bincount(owner, minlength=len(fits))
-        same_at = np.concatenate([[0], np.cumsum(np.bincount(owner[same], minlength=len(fits)))]).tolist()
-        pair_at = np.concatenate([[0], np.cumsum(links - np.diff(same_at))]).tolist()
-        same_data, pair_data = link_a[same].astype("<u4").tobytes(), pairs[~same].astype("<u4").tobytes()
-        groups = np.bincount(np.searchsorted(ends, borders), minlength=len(fits)).tolist()
+        links, same_counts = (np.bincount(o, minlength=len(pieces)) for o in (owner, owner[same]))
+        groups = np.bincount(np.searchsorted(ends, np.flatnonzero(borders)), minlength=len(pieces))
         # Tokens in the order of the text form: by group, A's before B's.
-        texts = []
-        for ids, token_ends, table in zip((a, b), (a_ends, b_ends), self.texts):
-            last = np.isin(token_ends, borders, assume_unique=True)
-            texts.append(np.where(last, table[1][ids], table[0][ids]))
-        place = np.concatenate([2 * np.searchsorted(borders, a_ends), 2 * np.searchsorted(borders, b_ends) + 1])
-        words = np.concatenate(texts)[np.argsort(place, kind="stable")].tolist()
-        text_at = np.concatenate([[0], np.cumsum(a_counts + b_counts)]).tolist()
-        for n, p in enumerate(fits):
-            out[p] = (int(a_counts[n]), int(b_counts[n]), groups[n], int(links[n]),
-                      same_data[4 * same_at[n]:4 * same_at[n + 1]], pair_data[4 * pair_at[n]:4 * pair_at[n + 1]],
-                      "".join(words[text_at[n]:text_at[n + 1]]))
-        return out
-
-    def _keep(self, new: dict[str, tuple | None]) -> None:
-        """Fill the table with the pieces met first, mostly frequent ones; start anew after many others."""
-        if len(self.kept) + len(new) <= CACHE_PIECES:
+        passed = np.cumsum(borders, dtype=np.int64)               # groups that have ended, by byte
+        a_group, b_group = passed[a_ends - 1], passed[b_ends - 1]
+        a_upto = np.cumsum(np.bincount(a_group, minlength=int(passed[-1])))
+        b_upto = np.concatenate([[0], np.cumsum(np.bincount(b_group, minlength=int(passed[-1])))])
+        words = np.empty(len(a) + len(b), object)
+        for ids, token_ends, at, table in ((a, a_ends, np.arange(len(a)) + b_upto[a_group], self.texts[0]),
+                                           (b, b_ends, np.arange(len(b)) + a_upto[b_group], self.texts[1])):
+            last = borders[token_ends] > 0
+            words[at[last]], words[at[~last]] = table[1][ids[last]], table[0][ids[~last]]
+        words, upto = words.tolist(), np.cumsum(a_counts + b_counts).tolist()
+        return Pieces(fits, np.stack([a_counts, b_counts, groups, links], axis=1),
+                      ["".join(words[i:j]) for i, j in zip([0, *upto], upto)],
+                      same_counts, link_a[same], links - same_counts, (link_a * self.size_b + link_b)[~same])
+
+    def _keep(self, new: list[str], found: Pieces) -> None:
+        """Keep the pieces met first, mostly frequent ones; start anew after many others."""
+        if len(self.place) + len(new) <= CACHE_PIECES:
             # Only pieces without white space at their ends: others do not show that a text can be cut.
-            self.kept.update((p, r) for p, r in new.items() if 0 < len(p) <= CACHE_LENGTH and p == p.strip())
+            at = [n for n, p in enumerate(new) if 0 < len(p) <= CACHE_LENGTH and p == p.strip()]
+            self.place.update(zip([new[n] for n in at], range(len(self.place), len(self.place) + len(at))))
+            self.known = self.known.joined(found.taken(at))
         else:
             self.passed += len(new)
             if self.passed > 8 * CACHE_PIECES:
-                self.kept.clear()
-                self.passed = 0
+                self.place, self.known, self.passed = {}, Pieces.none(), 0
 
     def align(self, texts: list[str]) -> pa.RecordBatch:
         """One row per text: counts, groups as text, and its distinct links with their numbers."""
-        rows = []
+        rows, missing, place = [], set(), self.place
         for text in texts:
             if not text:
-                rows.append([])
-            elif self.cuts:
-                first, rest = cut_pieces(text, self.kept)
-                rows.append([first, *rest])
-            else:
-                rows.append([text])
-        missing = list({p for row in rows for p in row if p not in self.kept})
-        new = dict(zip(missing, self.align_pieces(missing))) if missing else {}
-        known = {p: self.kept[p] for row in rows for p in row if p not in new}
-        known.update(new)
-        counts, groups, same, pairs = [], [], [], []
-        for row in rows:
-            found = list(map(known.__getitem__, row))
-            if not found or None in found:
-                counts.append((0, 0, 0, 0))
-                groups.append("")
-                same.append(b"")
-                pairs.append(b"")
+                rows.append(([], []))
                 continue
-            columns = list(zip(*found))
-            counts.append(tuple(map(sum, columns[:4])))
-            same.append(b"".join(columns[4]))
-            pairs.append(b"".join(columns[5]))
-            groups.append("".join(columns[6])[:-1])
-        self._keep(new)
-        columns = [pa.array(c, pa.int64()) for c in zip(*counts)]
-        return pa.record_batch([*columns, pa.array(groups, pa.string()), *_distinct(same, pa.int32()),
-                                *_distinct(pairs, pa.int64())], [f.name for f in _FIELDS])
-
-
-def _distinct(rows: list[bytes], kind: pa.DataType) -> tuple[pa.ListArray, pa.ListArray]:
-    """Per row of 32-bit numbers, its distinct ones and how often each occurs."""
-    values = np.frombuffer(b"".join(rows), "<u4").astype(np.int64)
-    owner = np.repeat(np.arange(len(rows)), [len(r) // 4 for r in rows])
+            first, rest, known, unknown = cut_pieces(text, place) if self.cuts else (text, [], [], [])
+            rows.append(([first, *rest], [place.get(first), *known]))
+            missing.update(unknown)
+            if first not in place:
+                missing.add(first)
+        new = list(missing)
+        found = self.align_pieces(new)
+        every = self.known.joined(found)
+        placed = dict(zip(new, range(len(place), len(place) + len(new))))
+        sizes = np.array([len(pieces) for pieces, _ in rows], np.int64)
+        at = np.fromiter(chain.from_iterable([placed[p] if n is None else n for p, n in zip(*row)] for row in rows),
+                         np.int64, int(sizes.sum()))
+        owner = np.repeat(np.arange(len(rows)), sizes)
+        fits = np.ones(len(rows), bool)
+        fits[owner[~every.fits[at]]] = False
+        mine = fits[owner]
+        at, owner = at[mine], owner[mine]
+        sums = [np.bincount(owner, column[at], len(rows)).astype(np.int64) for column in every.counts.T]
+        lists, upto = at.tolist(), np.cumsum(np.where(fits, sizes, 0)).tolist()
+        groups = ["".join(map(every.texts.__getitem__, lists[i:j]))[:-1] for i, j in zip([0, *upto], upto)]
+        out = [*[pa.array(c, pa.int64()) for c in sums], pa.array(groups, pa.string())]
+        for counts, starts, values, kind in ((every.same_counts, every.same_starts, every.same, pa.int32()),
+                                             (every.pair_counts, every.pair_starts, every.pairs, pa.int64())):
+            links = values[ragged(starts[at], counts[at])]
+            out += _distinct(np.repeat(owner, counts[at]), links, len(rows), kind)
+        self._keep(new, found)
+        return pa.record_batch(out, [f.name for f in _FIELDS])
+
+
+class Pieces:
+    """What is known of pieces of text, by number.
+
+    ``fits``: whether the tokens' bytes are the piece's; ``counts``: tokens of A
+    and B, groups, links; ``texts``: the groups; ``same``: linked A ids of the same
+    bytes, and ``pairs``: other linked pairs, of all pieces in a row.
+    """
+
+    def __init__(self, fits, counts, texts, same_counts, same, pair_counts, pairs):
+        self.fits, self.counts, self.texts = fits, counts, texts
+        self.same_counts, self.same, self.pair_counts, self.pairs = same_counts, same, pair_counts, pairs
+        self.same_starts, self.pair_starts = np.cumsum(same_counts) - same_counts, np.cumsum(pair_counts) - pair_counts
+
+    @staticmethod
+    def none() -> Pieces:
+        empty = np.empty(0, np.int64)
+        return Pieces(np.empty(0, bool), np.empty((0, 4), np.int64), [], empty, empty, empty, empty)
+
+    def joined(self, other: Pieces) -> Pieces:
+        return Pieces(*[a + b if isinstance(a, list) else np.concatenate([a, b])
+                        for a, b in zip(self._columns(), other._columns())])
+
+    def taken(self, at: list[int]) -> Pieces:
+        at = np.array(at, np.int64)
+        return Pieces(self.fits[at], self.counts[at], [self.texts[i] for i in at.tolist()],
+                      self.same_counts[at], self.same[ragged(self.same_starts[at], self.same_counts[at])],
+                      self.pair_counts[at], self.pairs[ragged(self.pair_starts[at], self.pair_counts[at])])
+
+    def _columns(self) -> tuple:
+        return self.fits, self.counts, self.texts, self.same_counts, self.same, self.pair_counts, self.pairs
+
+
+def _distinct(owner: np.ndarray, values: np.ndarray, rows: int, kind: pa.DataType) -> tuple[pa.ListArray, pa.ListArray]:
+    """Per row, the distinct numbers (below 2^32) that it owns and how often each occurs."""
     keys, n = np.unique(owner << 32 | values, return_counts=True)
-    ends = np.searchsorted(keys >> 32, np.arange(len(rows) + 1)).astype(np.int32)
+    ends = np.searchsorted(keys >> 32, np.arange(rows + 1)).astype(np.int32)
     lists = (keys & 0xFFFFFFFF).astype(kind.to_pandas_dtype()), n.astype(np.int32)
     return tuple(pa.ListArray.from_arrays(pa.array(ends), pa.array(v)) for v in lists)
 
