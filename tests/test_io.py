@@ -130,7 +130,7 @@ def test_load_build_export_flow(spark, scratch):
     report = flows.build_and_export(spark, bronze_dir=f"{scratch}/bronze", gold_dir=f"{scratch}/gold",
                                     export_path=f"{scratch}/export", calendar_end="2000-12-01")
     assert report.where("status != 'PASS'").count() == 0 and report.count() == 15
-    fact = spark.read.parquet(f"{scratch}/gold/fct_sg_macro_monthly")
+    fact = flows.read_gold(spark, f"{scratch}/gold", "fct_sg_macro_monthly")
     assert fact.count() == 8                                     # 1999-01 .. 1999-08
     e = landed.read_export_csv(spark, f"{scratch}/export").orderBy("period_date").first()
     assert e.imports_sgd_bn == 0.04 and e.exports_sgd_bn == 0.05 and e.usd_sgd == 1.35
@@ -240,8 +240,8 @@ def test_stored_tables_match_declared_schemas(spark, scratch):
     for table, declared in (("bronze_cpi_raw", schemas.BRONZE_CPI), ("bronze_fx_raw", schemas.BRONZE_FX),
                             ("bronze_trade_raw", schemas.BRONZE_TRADE)):
         assert shape(sinks.read_bronze(spark, f"{scratch}/bronze/{table}")) == shape(declared), table
-    assert shape(spark.read.parquet(f"{scratch}/gold/fct_sg_macro_monthly")) == shape(schemas.FACT)
-    assert shape(spark.read.parquet(f"{scratch}/gold/dim_calendar")) == shape(schemas.DIM_CALENDAR)
+    assert shape(fl.read_gold(spark, f"{scratch}/gold", "fct_sg_macro_monthly")) == shape(schemas.FACT)
+    assert shape(fl.read_gold(spark, f"{scratch}/gold", "dim_calendar")) == shape(schemas.DIM_CALENDAR)
     bronze = {t: sinks.read_bronze(spark, f"{scratch}/bronze/{t}") for t in fl.BRONZE_TABLES}
     silver = fl.silver_models(bronze)
     for name, declared in (("stg_cpi", schemas.STG_CPI), ("stg_fx", schemas.STG_FX), ("stg_trade", schemas.STG_TRADE)):

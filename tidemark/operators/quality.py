@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import KEY_CURRENCIES, TRADE_TYPES
@@ -65,7 +65,8 @@ EXTRA_CHECKS: tuple[Check, ...] = (
 )
 
 
-def _failure_expr(check: Check):
+def failure_count(check: Check):
+    """Rows that fail a check of single rows, as an aggregate."""
     c = F.col(check.columns[0])
     if check.test == "not_null":
         return F.count_if(c.isNull())
@@ -84,6 +85,22 @@ def _keyed(cols) -> "F.Column":
     return cond
 
 
+def duplicated_keys(df: DataFrame, columns: Sequence[str], salts: int = 1024) -> tuple[DataFrame, Column]:
+    """Rows dealt out by a key, and a column that is true at the second row of every key.
+
+    One exchange deals rows of one key to one task, where a window over the
+    sorted rows numbers them; what is written next is laid out by the key. Rows
+    with a null in the key, which ``unique`` leaves out, are dealt to ``salts`` tasks.
+    """
+    keyed, by = _keyed(columns), [F.col(c) for c in columns]
+    dealt = df
+    if any(df.schema[c].nullable for c in columns):
+        salt = F.when(keyed, F.lit(0)).otherwise(F.pmod(F.xxhash64(*df.columns), F.lit(salts)) + 1)
+        dealt, by = df.withColumn("__salt", salt), [*by, F.col("__salt")]
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(F.col(columns[0])))
+    return dealt.repartition(*by).withColumn("__place", place), keyed & (F.col("__place") == 2)
+
+
 def _model_report(model: str, df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """One row per check for one model, reading the model once.
 
@@ -99,7 +116,7 @@ def _model_report(model: str, df: DataFrame, checks: Sequence[Check]) -> DataFra
         first = uniques[0]
         groups = df.groupBy(*first.columns).agg(
             F.count(F.lit(1)).alias("n"),
-            *[_failure_expr(c).cast("bigint").alias(f"f{i}") for i, c in enumerate(row_checks)])
+            *[failure_count(c).cast("bigint").alias(f"f{i}") for i, c in enumerate(row_checks)])
         one = groups.agg(F.sum("n").alias("rows_checked"),
                          *[F.sum(f"f{i}").alias(f"f{i}") for i in range(len(row_checks))],
                          F.count_if((F.col("n") > 1) & _keyed(first.columns)).cast("bigint").alias("u0"))
@@ -108,7 +125,7 @@ def _model_report(model: str, df: DataFrame, checks: Sequence[Check]) -> DataFra
                          "u0")
     else:
         one = df.agg(F.count(F.lit(1)).alias("rows_checked"),
-                     *[_failure_expr(c).cast("bigint").alias(f"f{i}") for i, c in enumerate(row_checks)])
+                     *[failure_count(c).cast("bigint").alias(f"f{i}") for i, c in enumerate(row_checks)])
     extra = []
     for i, c in enumerate(uniques[1:], start=1):
         # number of duplicated key values, as an uncorrelated scalar subquery

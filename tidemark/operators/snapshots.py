@@ -27,6 +27,28 @@ def latest_snapshot(df: DataFrame, keys: Sequence[str], loaded: str = "ingested_
     return df.join(latest, same).select(*df.columns)
 
 
+def merge_latest(state: DataFrame, load: DataFrame, keys: Sequence[str], loaded: str = "ingested_at",
+                 buckets: int | None = None) -> DataFrame:
+    """The latest rows per key of a state, which holds them already, and one more load.
+
+    Equal to ``latest_snapshot`` of all loads, ties on ``loaded`` included, without
+    reading the earlier ones again. Keys must not be null. With ``buckets``, the
+    number of buckets by ``keys`` that the state is stored in, only the load is
+    shuffled, and the result comes dealt out the same way.
+    """
+    new = latest_snapshot(load, keys, loaded)
+    if buckets is not None:
+        new = new.repartition(buckets, *keys)
+    newest = new.groupBy(*keys).agg(F.max(loaded).alias("__new"), F.lit(True).alias("__met"))
+    held = state.groupBy(*keys).agg(F.max(loaded).alias("__old"), F.lit(True).alias("__met"))
+    # A time counts as later than no time; equal times stay on both sides.
+    stays = F.col("__met").isNull() | F.coalesce(F.col(loaded) >= F.col("__new"), F.col("__new").isNull())
+    comes = F.col("__met").isNull() | F.coalesce(F.col(loaded) >= F.col("__old"), F.col("__old").isNull())
+    kept = state.join(newest, list(keys), "left").where(stays).select(*state.columns)
+    added = new.join(held, list(keys), "left").where(comes).select(*state.columns)
+    return kept.unionByName(added)
+
+
 def replace_from(stored: DataFrame, incoming: DataFrame, period: Column | str,
                  cutoff: str) -> DataFrame:
     """Stored rows before ``cutoff`` plus incoming rows from ``cutoff`` on

@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import month_abbr, month_name, month_start, quarter_label, trade_season
 from ..functions.numeric import nullif_zero, round_to
+from .ordering import with_lags
 
 
 def with_changes(df: DataFrame, keys: Sequence[str], order: str, value: str, *,
                  mom: str | None = "mom_change", yoy: str | None = "yoy_pct",
-                 mom_digits: int = 3, yoy_digits: int = 2, periods: int = 12) -> DataFrame:
+                 mom_digits: int = 3, yoy_digits: int = 2, periods: int = 12,
+                 ranges: int | None = None) -> DataFrame:
     """Add the change on the previous row and the percent change on the row
     ``periods`` back, per series.
 
@@ -25,12 +27,17 @@ def with_changes(df: DataFrame, keys: Sequence[str], order: str, value: str, *,
     grain (one row per key and month, see ``snapshots.latest_snapshot``), so a
     partition holds at most one row per month of history, however many raw
     rows fed that series upstream; raw rows are aggregated (with map-side
-    partial aggregation) before they reach this operator.
+    partial aggregation) before they reach this operator. At a finer grain, or
+    where one series holds a large share of the rows, ``ranges`` cuts the series
+    into that many ranges of rows (see ``ordering.with_lags``).
     """
-    w = Window.partitionBy(*keys).orderBy(F.col(order))
     prev, base = "__prev", "__base"
-    out = df.select("*", F.lag(value, 1).over(w).alias(prev),
-                    F.lag(value, periods).over(w).alias(base))
+    if ranges is None:
+        w = Window.partitionBy(*keys).orderBy(F.col(order))
+        out = df.select("*", F.lag(value, 1).over(w).alias(prev),
+                        F.lag(value, periods).over(w).alias(base))
+    else:
+        out = with_lags(df, keys, order, value, {prev: 1, base: periods}, ranges)
     exprs = []
     if mom:
         exprs.append(round_to(F.col(value) - F.col(prev), mom_digits).alias(mom))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import COMPACT_MONTH, SPACED_MONTH
-from ..functions.labels import EXPORTS, HEADLINE_CPI, IMPORT_TOTAL, USD, balance_status
+from ..functions.labels import EXPORTS, HEADLINE_CPI, IMPORT_TOTAL, IMPORTS, USD, balance_status
 from ..functions.numeric import exact_avg, round_to
 from ..operators.aggregates import coverage, latest_rows, table_profile, top_k
 from ..operators.reshape import union_all
@@ -143,3 +143,48 @@ def test_results(report: DataFrame) -> DataFrame:
     """The data-test report in the page's shape: 'test — column', model, status, rows checked."""
     return report.select(F.concat_ws(" \u2014 ", "test", "column_name").alias("test_name"),
                          "model", "status", "rows_checked")
+
+
+LEVELS = ("line", "type", "category", "table")   # by grouping id: neither column is summed over, the second, the first, both
+
+
+def trade_report(trade: DataFrame, month_format: str = COMPACT_MONTH) -> DataFrame:
+    """All trade audits from one scan: a row per line, type, category and for the table.
+
+    level, trade_type, commodity_category, row_count, null_values,
+    total_sgd_million (0 digits), first_month, last_month, and the place of a line
+    among those of its type by total (ties by name; 0 on other levels). Rows are first summed per line,
+    with partial sums per task; grouping sets then run over the lines.
+    """
+    month = F.to_date("trade_month", month_format)
+    value = F.col("trade_value_sgd_million")
+    lines = trade.groupBy("trade_type", "commodity_category").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(value.isNull()).alias("nulls"),
+        F.sum(value.cast("decimal(38,6)")).alias("total"), F.min(month).alias("first"), F.max(month).alias("last"))
+    sets = [["trade_type", "commodity_category"], ["trade_type"], ["commodity_category"], []]
+    levels = lines.groupingSets(sets, "trade_type", "commodity_category").agg(
+        F.grouping_id().alias("id"), F.sum("n").alias("row_count"), F.sum("nulls").alias("null_values"),
+        round_to(F.sum("total").cast("double"), 0).alias("total_sgd_million"),
+        F.min("first").alias("first_month"), F.max("last").alias("last_month"))
+    place = F.row_number().over(Window.partitionBy("id", "trade_type").orderBy(
+        F.col("total_sgd_million").desc_nulls_last(), F.col("commodity_category").asc_nulls_last()))
+    named = F.element_at(F.array(*[F.lit(level) for level in LEVELS]), (F.col("id") + 1).cast("int"))
+    # Of an empty table there is nothing to report, not even a total.
+    return levels.where(F.col("row_count").isNotNull()).select(
+        named.alias("level"), "trade_type", "commodity_category", "row_count", "null_values", "total_sgd_million",
+        "first_month", "last_month", F.when(F.col("id") == 0, place).otherwise(0).cast("bigint").alias("place"))
+
+
+def of_report(report: DataFrame, k: int = 5) -> dict[str, DataFrame]:
+    """The single audits from the rows of ``trade_report``."""
+    line, by_type = report.where(F.col("level") == "line"), report.where(F.col("level") == "type")
+    top = {f"top_{t}": line.where((F.col("trade_type") == t) & (F.col("place") <= k)).select("commodity_category", "total_sgd_million")
+           for t in (IMPORTS, EXPORTS)}
+    figures = report.agg(*[F.max(F.when(F.col("level") == "table", F.col(c))).alias(c)
+                           for c in ("row_count", "first_month", "last_month", "null_values")],
+                         F.count_if((F.col("level") == "category") & F.col("commodity_category").isNotNull()).alias("categories"))
+    return {**top, "catalogue": line.select("trade_type", "commodity_category"),
+            "rows_by_trade_type": by_type.select("trade_type", F.col("row_count").alias("rows")),
+            "profile": figures.select(F.lit("bronze_trade_raw").alias("table_name"),
+                                      F.coalesce("row_count", F.lit(0)).alias("row_count"), "categories", "first_month", "last_month",
+                                      F.coalesce("null_values", F.lit(0)).alias("null_values"))}

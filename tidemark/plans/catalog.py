@@ -13,16 +13,21 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import (COMPACT_MONTH, SPACED_MONTH, abbr_of_text, month_name, month_start, month_text,
                                parse_month, year_of_text)
-from ..functions.labels import EXPORTS, IMPORTS, KEY_CURRENCIES
+from ..functions.labels import EXPORTS, HEADLINE_CPI, IMPORTS, KEY_CURRENCIES
 from ..functions.numeric import lenient_double, round_to, strict_double, unit_sum
 from ..operators import aggregates as A
+from ..operators import load_stats
 from ..operators import quality as Q
 from ..operators import snapshots as S
 from ..operators.lookups import attach_attributes
 from ..operators.reshape import union_all, unpivot_columns
-from ..operators.timeseries import dim_calendar_of, month_spine_of
+from ..operators.revisions import changed_rows, touched_rows
+from ..operators.timeseries import dim_calendar_of, month_spine_of, with_changes
+from ..sinks.releases import Releases
+from ..sinks.scratch import scratch_path
 from ..sources import landed
-from . import audit, extras, marts, signals, standins
+from ..sources.pages import page_census, read_page_set
+from . import audit, extras, flows, marts, signals, staging, standins, warehouse
 from .layers import MacroLayers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -658,3 +663,166 @@ def fx_ordered(spark, sf_dir):
 def trade_ordered(spark, sf_dir):
     """Monthly imports in month order, with their position."""
     return signals.in_order(signals.trade_history(MacroLayers(spark, sf_dir).export))
+
+
+# ---------------------------------------------------------------- releases, refreshes, page sets, load statistics
+
+def _stamped(df: DataFrame) -> DataFrame:
+    """Bronze rows with the load time as the stored tables declare it."""
+    return df.withColumn("ingested_at", F.col("ingested_at").cast("timestamp"))
+
+
+@query
+def released_fact(spark, sf_dir):
+    """The fact as a release publishes it, which a later draft with a failed test leaves as it is."""
+    p, root = MacroLayers(spark, sf_dir), scratch_path(spark, "release")
+    good = Releases(spark, root).draft()
+    flows.draft_models(good, p.bronze, dedupe_cpi=False)
+    good.publish()
+    bad = Releases(spark, root).draft()
+    fact = bad.base_table("fct_sg_macro_monthly")
+    bad.write("fct_sg_macro_monthly", fact.unionByName(fact), checks=[Q.Check("fct_sg_macro_monthly", "period_date", "unique")])
+    try:
+        bad.publish()
+    except Q.DataTestFailure:
+        return Releases(spark, root).read("fct_sg_macro_monthly")
+    raise AssertionError("a doubled fact was published")
+
+
+@query
+def release_report(spark, sf_dir):
+    """The fifteen tests, answered by the writes of a release (O1-O3)."""
+    draft = Releases(spark, scratch_path(spark, "release")).draft()
+    flows.draft_models(draft, MacroLayers(spark, sf_dir).bronze, dedupe_cpi=False)
+    return draft.report()
+
+
+def _two_loads(spark, sf_dir):
+    """A first load of the months before 2000, and a later one: of prices only the finished orders."""
+    p = MacroLayers(spark, sf_dir)
+    cut = F.lit("2000-01-01").cast("date")
+    first = standins.cpi_bronze_of(standins.orders_load(p.orders_by_status, before="2000-01-01"), RUN_TS_EARLIER)
+    later = standins.cpi_bronze_of(standins.orders_load(p.orders_by_status, status="F"), standins.RUN_TS)
+    early = p.lineitem_monthly.where(F.col("month") < cut)
+    return ((_stamped(first), _stamped(standins.fx_bronze_of(early)), _stamped(standins.trade_bronze_of(early))),
+            (_stamped(later), _stamped(p.bronze["bronze_fx_raw"]), _stamped(p.bronze["bronze_trade_raw"])))
+
+
+def _refreshed(spark, sf_dir) -> str:
+    root = scratch_path(spark, "warehouse")
+    for load_id, (cpi, fx, trade) in enumerate(_two_loads(spark, sf_dir)):
+        warehouse.refresh(spark, root, cpi_load=cpi, load_id=str(load_id), fx=fx, trade=trade)
+    return root
+
+
+@query
+def incremental_fact(spark, sf_dir):
+    """The stored fact after a refresh that rewrote only the months a load touches."""
+    return warehouse.read_current(spark, _refreshed(spark, sf_dir))
+
+
+@query
+def current_cpi_state(spark, sf_dir):
+    """The stored CPI state after two loads were merged into it, in buckets (B1, T4)."""
+    earlier, later = _cpi_loads(spark, sf_dir)
+    root = scratch_path(spark, "warehouse")
+    for load_id, load in enumerate((earlier, later)):
+        warehouse.refresh(spark, root, cpi_load=_stamped(load), load_id=str(load_id))
+    state = warehouse.read_current(spark, root, warehouse.STATE)
+    return state.withColumn("ingested_at", F.col("ingested_at").cast("timestamp_ntz"))
+
+
+@query
+def affected_months(spark, sf_dir):
+    """Months whose fact rows the second load can touch, by kind of change."""
+    (cpi, _, _), (later, _, _) = _two_loads(spark, sf_dir)
+    dated = [df.where(F.col("cpi_category") == HEADLINE_CPI).select(
+        "cpi_category", F.to_date("time_period", SPACED_MONTH).alias("period_date"), "cpi_value") for df in (cpi, S.merge_latest(
+            cpi, later, ["cpi_category", "time_period"]))]
+    changes = changed_rows(*dated, ["cpi_category", "period_date"], ["cpi_value"])
+    touched = touched_rows(dated[1], changes, ["cpi_category"], "period_date")
+    return touched.join(changes.drop("cpi_category"), "period_date", "left").select("period_date", "change")
+
+
+@query
+def monthly_changes_by_range(spark, sf_dir):
+    """stg_cpi with the series cut into ranges of rows for their lags (H1, H2)."""
+    bronze = MacroLayers(spark, sf_dir).bronze["bronze_cpi_raw"]
+    return staging.stg_cpi(bronze, ranges=12)
+
+
+@query
+def daily_changes_by_range(spark, sf_dir):
+    """Changes of daily order values per priority, one priority with a third of the rows (H1, H2, any grain)."""
+    orders = standins.read_table(spark, sf_dir, "orders")
+    kind = F.when(F.col("o_orderkey") % 3 == 0, F.lit("all")).otherwise(F.col("o_orderpriority"))
+    daily = orders.groupBy(kind.alias("series"), F.to_date("o_orderdate").alias("day")).agg(
+        unit_sum("o_totalprice", 2).alias("value"))
+    return with_changes(daily, ["series"], "day", "value", mom="day_change", yoy="pct_12_days", ranges=16)
+
+
+@query
+def trade_report(spark, sf_dir):
+    """All trade audits from one scan."""
+    return audit.trade_report(MacroLayers(spark, sf_dir).bronze["bronze_trade_raw"])
+
+
+@query
+def load_statistics(spark, sf_dir):
+    """Statistics of two loads, observed by their writes, merged."""
+    bronze = MacroLayers(spark, sf_dir).bronze
+    loads = None
+    for load_id, early in enumerate((True, False)):
+        draft = Releases(spark, scratch_path(spark, "loads")).draft()
+        for table, df in bronze.items():
+            month = flows.MEASURED[table][1]
+            old = year_of_text(month) < 1998
+            draft.write(table, df.where(old if early else ~old), metrics=flows.table_metrics(table))
+        loads = load_stats.with_loads(loads, load_stats.load_rows(spark, str(load_id), draft.observed))
+    merged = load_stats.merged_stats(loads)
+    return merged.select("table_name", "row_count", "categories", "first_month", "last_month", "null_values",
+                         F.array_join("names", ", ").alias("names"))
+
+
+def _write_pages(records: DataFrame, path: str, size: int) -> None:
+    """Records (dataset, record) as landed files: a folder per dataset, a document per page.
+
+    One task writes the pages of a dataset in order, so their files are numbered from
+    0. There is one record per series, so they are bounded by the series, not by the rows.
+    A last page without records follows if the one before it is full.
+    """
+    by_flag = F.array_sort(F.collect_list("record"), lambda a, b: F.when(a["l_returnflag"] < b["l_returnflag"], -1).otherwise(1))
+    every = records.groupBy("dataset").agg(by_flag.alias("all"))
+    numbers = F.sequence(F.lit(0), F.floor(F.size("all") / size).cast("int"))
+    pages = every.select("dataset", F.posexplode(F.transform(numbers, lambda n: F.slice("all", n * size + 1, F.lit(size)))).alias("page", "part"))
+    text = F.to_json(F.struct(F.struct(F.transform("part", lambda r: r["months"]).alias("records")).alias("result")))
+    (pages.select("dataset", "page", text.alias("value")).repartition("dataset").sortWithinPartitions("dataset", "page")
+     .select("dataset", "value").write.partitionBy("dataset").option("maxRecordsPerFile", 1).text(path))
+
+
+@query
+def landed_pages(spark, sf_dir):
+    """Import and export records through page files: written, counted, read, tagged and melted."""
+    monthly = MacroLayers(spark, sf_dir).lineitem_monthly
+    text = F.when((F.col("l_returnflag") == "A") & (F.month("month") == 2), F.lit("1,000")).otherwise(_amount_text("price_cents"))
+    wide = monthly.groupBy("l_returnflag", "l_linestatus").agg(F.map_from_entries(F.collect_list(
+        F.struct(month_text("month", COMPACT_MONTH), text))).alias("months"))
+    key = F.when(F.col("l_linestatus") == "O", landed.SERIES_KEY).otherwise(landed.SERIES_KEY_ALT)
+    ids = F.map_from_arrays(F.array(F.lit(landed.RECORD_ID), key), F.array(F.lit("1"), F.concat(F.lit("Flag "), "l_returnflag")))
+    records = wide.select(F.when(F.col("l_linestatus") == "O", IMPORTS).otherwise(EXPORTS).alias("dataset"),
+                          F.struct("l_returnflag", F.map_concat(ids, "months").alias("months")).alias("record"))
+    path = scratch_path(spark, "pages")
+    _write_pages(records, path, 2)
+    both = [read_page_set(spark, f"{path}/dataset={d}", 2, 0, d) for d in (IMPORTS, EXPORTS)]
+    rows = landed.trade_rows(both[0].unionByName(both[1]), standins.RUN_TS)
+    return rows.withColumn("ingested_at", F.col("ingested_at").cast("timestamp_ntz"))
+
+
+@query
+def page_sets(spark, sf_dir):
+    """What is missing, repeated, short or too large among pages of orders."""
+    orders = standins.read_table(spark, sf_dir, "orders")
+    pages = orders.groupBy(F.col("o_orderpriority").alias("dataset"), (F.col("o_orderkey") % 60 + 1).cast("int").alias("page")).agg(
+        F.count(F.lit(1)).alias("n"))
+    kept = pages.where(~((F.col("page") % 7 == 3) & (F.col("dataset") != "5-LOW")))
+    return page_census(kept, page_size=3, size=F.least(F.col("n"), F.lit(4)))

@@ -12,17 +12,21 @@ from . import marts, staging, standins
 from .export import export_projection
 
 
-def read_once(monthly: DataFrame) -> DataFrame:
+READ_BUCKETS = 64             # arrays that a shared aggregate is held in
+
+
+def read_once(grouped: DataFrame) -> DataFrame:
     """The same rows, in a form that every reader of a query shares.
 
-    The models read a month-grain aggregate several times under different
-    filters. Pushed below the aggregate, each filter would make a scan of the
-    large table of its own; held as one array first, the readers have one and the
-    same exchange, which runs once. The array is month grain: one entry per
-    series and month, bounded by the calendar, not by the tables.
+    The models read an aggregate several times under different filters. Pushed
+    below the aggregate, each filter would make a scan of the large table of its own;
+    held in arrays first, the readers have one and the same exchange, which runs
+    once. Rows are dealt into ``READ_BUCKETS`` arrays by their hash, so that no
+    task and no row holds the whole aggregate.
     """
-    rows = F.collect_list(F.struct(*monthly.columns))
-    return monthly.agg(rows.alias("rows")).select(F.inline("rows"))
+    bucket = F.pmod(F.xxhash64(*grouped.columns), F.lit(READ_BUCKETS)).alias("bucket")
+    held = grouped.groupBy(bucket).agg(F.collect_list(F.struct(*grouped.columns)).alias("rows"))
+    return held.select(F.inline("rows"))
 
 
 @dataclass(eq=False)

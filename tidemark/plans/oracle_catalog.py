@@ -430,3 +430,72 @@ FROM ({" UNION ALL ".join(_check_sql(*c) for c in MODEL_CHECKS)}) r"""),
                   "round(usd_cny_ratio, 2) AS usd_cny_ratio FROM export WHERE usd_sgd IS NOT NULL"),
            ("trade", "SELECT period_date, round(imports_sgd_bn, 1) AS imports_sgd_bn FROM export WHERE imports_sgd_bn IS NOT NULL"))},
 })
+
+# The state after two loads: the later value where there is one.
+STATE = """
+bronze_cpi_raw AS (
+  SELECT cpi_category, time_period, coalesce(later.cpi_value, first_load.cpi_value) AS cpi_value,
+         coalesce(later.ingested_at, first_load.ingested_at) AS ingested_at
+  FROM first_load FULL JOIN later USING (cpi_category, time_period))"""
+TWO_LOADS = [_cpi_bronze_sql("first_load", "o_orderdate < TIMESTAMP '2000-01-01'", TS1),
+             _cpi_bronze_sql("later", "o_orderstatus = 'F'", O.TS), STATE]
+
+ORACLE.update({
+    "released_fact": ORACLE["macro_fact"],
+    "release_report": ORACLE["quality_report"],
+    "incremental_fact": W([*TWO_LOADS, O.BRONZE_FX, O.BRONZE_TRADE, O.STG_CPI, O.STG_FX, O.STG_TRADE, O.FACT], "SELECT * FROM fact"),
+    "current_cpi_state": ORACLE["latest_snapshot"],
+    "affected_months": W(TWO_LOADS, f"""
+, old AS (SELECT CAST(strptime(time_period, '%Y %b') AS DATE) AS d, cpi_value FROM first_load WHERE cpi_category = {O.HEADLINE}),
+placed AS (
+  SELECT d, new.cpi_value, row_number() OVER (ORDER BY d) AS place,
+         CASE WHEN old.d IS NULL THEN 'inserted' WHEN old.cpi_value <> new.cpi_value THEN 'revised' END AS change
+  FROM (SELECT CAST(strptime(time_period, '%Y %b') AS DATE) AS d, cpi_value FROM bronze_cpi_raw
+        WHERE cpi_category = {O.HEADLINE}) new LEFT JOIN old USING (d))
+SELECT a.d AS period_date, a.change FROM placed a
+WHERE a.change IS NOT NULL
+   OR a.place IN (SELECT place + 1 FROM placed WHERE change = 'revised')
+   OR a.place IN (SELECT place + 12 FROM placed WHERE change = 'revised')
+   OR a.place IN (SELECT place + unnest(range(1, 13)) FROM placed WHERE change = 'inserted')"""),
+    "monthly_changes_by_range": ORACLE["monthly_mom_yoy"],
+    "daily_changes_by_range": """
+WITH daily AS (
+  SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'all' ELSE o_orderpriority END AS series, CAST(o_orderdate AS DATE) AS day,
+         CAST(SUM(CAST(o_totalprice AS DECIMAL(38,2))) AS DOUBLE) AS value
+  FROM orders GROUP BY 1, 2)
+SELECT series, day, value, round(value - lag(value) OVER w, 3) AS day_change,
+       CASE WHEN lag(value, 12) OVER w <> 0
+            THEN round((value - lag(value, 12) OVER w) / lag(value, 12) OVER w * 100, 2) END AS pct_12_days
+FROM daily WINDOW w AS (PARTITION BY series ORDER BY day)""",
+    "trade_report": W([O.BRONZE_TRADE], """
+, dated AS (SELECT *, CAST(strptime(trade_month, '%Y%b') AS DATE) AS month, trade_value_sgd_million AS v FROM bronze_trade_raw),
+figures AS (""" + " UNION ALL ".join(f"""
+  SELECT '{level}' AS level, {a} AS trade_type, {b} AS commodity_category, count(*) AS row_count,
+         count(*) FILTER (WHERE v IS NULL) AS null_values, round(CAST(sum(CAST(v AS DECIMAL(38,6))) AS DOUBLE), 0) AS total_sgd_million,
+         min(month) AS first_month, max(month) AS last_month
+  FROM dated GROUP BY ALL HAVING count(*) > 0""" for level, a, b in (
+        ("line", "trade_type", "commodity_category"), ("type", "trade_type", "CAST(NULL AS VARCHAR)"),
+        ("category", "CAST(NULL AS VARCHAR)", "commodity_category"), ("table", "CAST(NULL AS VARCHAR)", "CAST(NULL AS VARCHAR)"))) + """)
+SELECT *, CASE WHEN level = 'line' THEN row_number() OVER (
+           PARTITION BY level, trade_type ORDER BY total_sgd_million DESC NULLS LAST, commodity_category NULLS LAST) ELSE 0 END AS place
+FROM figures"""),
+    "load_statistics": W([O.BRONZE_CPI, O.BRONZE_FX, O.BRONZE_TRADE, PROFILES], " UNION ALL ".join(f"""
+SELECT p.*, n.names FROM profiles p, (SELECT string_agg(DISTINCT {c}, ', ' ORDER BY {c}) AS names FROM {t}) n WHERE p.table_name = '{t}'"""
+        for t, c in (("bronze_cpi_raw", "cpi_category"), ("bronze_fx_raw", "currency_pair"), ("bronze_trade_raw", "commodity_category")))),
+    "landed_pages": ORACLE["landed_trade"],
+    "page_sets": """
+WITH pages AS (
+  SELECT o_orderpriority AS dataset, CAST(o_orderkey % 60 + 1 AS INTEGER) AS page, least(count(*), 4) AS n FROM orders GROUP BY 1, 2),
+kept AS (SELECT * FROM pages WHERE NOT (page % 7 = 3 AND dataset <> '5-LOW')),
+marked AS (
+  SELECT *, lead(page) OVER w AS next,
+         coalesce(sum(n) OVER (PARTITION BY dataset ORDER BY page ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 0) AS after
+  FROM kept WINDOW w AS (PARTITION BY dataset ORDER BY page)),
+census AS (
+  SELECT dataset, count(*) AS pages, CAST(sum(n) AS BIGINT) AS records, max(page) AS last_page,
+         CAST(max(page) - count(DISTINCT page) AS BIGINT) AS missing, count(*) - count(DISTINCT page) AS repeated,
+         count(*) FILTER (WHERE n < 3 AND after > 0) AS short, count(*) FILTER (WHERE n > 3) AS oversized,
+         arg_max(n, page) >= 3 AS open_end
+  FROM marked GROUP BY dataset)
+SELECT *, missing + repeated + short + oversized = 0 AND NOT open_end AS complete FROM census""",
+})

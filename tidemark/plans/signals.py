@@ -6,12 +6,13 @@ unless a limit makes order part of the answer; the consumer sorts.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import ACTION_LABELS, REGIME_LABELS, SCATTER_LABELS, inflation_band, sourcing_signal
 from ..functions.numeric import exact_avg, exact_sum, round_to
 from ..operators.aggregates import latest_rows
+from ..operators.ordering import with_position
 
 SINCE_YEAR = 2020
 HISTORY_FROM = 2010
@@ -97,10 +98,9 @@ def scatter_regime(export: DataFrame) -> DataFrame:
 
 
 def in_order(series: DataFrame) -> DataFrame:
-    """A monthly series in ascending order, its position as a column. Month
-    grain, so the ordering window is bounded by the calendar."""
-    position = F.row_number().over(Window.orderBy("period_date")).cast("bigint")
-    return series.select(position.alias("position"), "*").orderBy("position")
+    """A monthly series in ascending order, its position as a column. Positions are
+    counted within ranges of the months (see ``ordering.with_position``), at any grain."""
+    return with_position(series, ["period_date"]).orderBy("position")
 
 
 def series_history(export: DataFrame) -> DataFrame:

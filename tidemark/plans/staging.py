@@ -17,11 +17,12 @@ from ..functions.numeric import nullif_zero, round_to
 from ..operators.timeseries import with_changes
 
 
-def stg_cpi(bronze: DataFrame, *, month_format: str = SPACED_MONTH) -> DataFrame:
+def stg_cpi(bronze: DataFrame, *, month_format: str = SPACED_MONTH, ranges: int | None = None) -> DataFrame:
     """bronze_cpi_raw -> stg_cpi.
 
     Rows with a null value are dropped first, then the month change (3
     digits) and the year-on-year percent (2 digits) are taken per category.
+    ``ranges`` as in ``timeseries.with_changes``.
     """
     period = parse_month("time_period", month_format)
     cleaned = (bronze.where(F.col("cpi_value").isNotNull())
@@ -32,7 +33,7 @@ def stg_cpi(bronze: DataFrame, *, month_format: str = SPACED_MONTH) -> DataFrame
                        F.col("cpi_value").cast("double").alias("cpi_value"),
                        "ingested_at"))
     return with_changes(cleaned, ["cpi_category"], "period_date", "cpi_value",
-                        mom="cpi_mom_change", yoy="cpi_yoy_pct")
+                        mom="cpi_mom_change", yoy="cpi_yoy_pct", ranges=ranges)
 
 
 def stg_fx(bronze: DataFrame, *, currencies: Sequence[str] = KEY_CURRENCIES,

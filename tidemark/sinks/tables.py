@@ -1,5 +1,5 @@
-"""Writers: re-runnable daily append, full replace, table materialisation,
-the single-file CSV export, and counts observed during a write."""
+"""Writers: re-runnable daily append, full replace by releases, table
+materialisation, the CSV exports, and counts observed during a write."""
 
 from __future__ import annotations
 
@@ -8,6 +8,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from .releases import Releases
+
 INGEST_DATE = "ingest_date"
 LOAD_BATCH = "load_batch"
 DAILY = "daily"               # the batch of a plain daily load
@@ -59,20 +61,28 @@ def _drop_folder(spark, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def replace_table(df: DataFrame, path: str, sort_by=(), metrics=()) -> dict:
-    """Full replace; the schema is the frame's own. Returns the observed metrics."""
-    out, obs = _observed(df, "replace_table", metrics)
-    _laid_out(out, sort_by).write.mode("overwrite").parquet(path)
-    return obs.get
+ROWS = "rows"                 # the one table of a release made by replace_table
+
+
+def replace_table(df: DataFrame, path: str, sort_by=(), metrics=(), checks=()) -> dict:
+    """Full replace by a new release (see ``releases``): readers keep the rows they have
+    begun to read, and a job that dies or fails one of the ``checks`` leaves the table as
+    it was. The schema is the frame's own. Returns the observed metrics."""
+    draft = Releases(df.sparkSession, path).draft()
+    draft.write(ROWS, df, sort_by=sort_by, metrics=metrics, checks=checks)
+    return draft.publish().observed[ROWS]
 
 
 def materialise(df: DataFrame, path: str) -> DataFrame:
-    """Write a model as a table and read it back: later readers start from
-    the stored files (lineage cut), as a table materialisation. The folder is
-    replaced in place: readers must wait for the job, and a failed job has to
-    be run again."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Replace a table by a model's rows and read it back: later readers start from
+    the stored files (lineage cut), as a table materialisation."""
+    replace_table(df, path)
+    return read_replaced(df.sparkSession, path)
+
+
+def read_replaced(spark, path: str) -> DataFrame:
+    """The rows of a table as ``replace_table`` last wrote it."""
+    return Releases(spark, path).read(ROWS)
 
 
 def write_export_csv(df: DataFrame, path: str, order: str = "period_date") -> dict:
@@ -88,6 +98,15 @@ def write_export_csv(df: DataFrame, path: str, order: str = "period_date") -> di
     return obs.get
 
 
+def write_ordered_csv(df: DataFrame, path: str, order, files: int) -> dict:
+    """The rows in order over several CSV files with headers: every file holds a range of
+    the order, and the files' names sort like the ranges. Each is written by a task of its own."""
+    out, obs = _observed(df.repartitionByRange(files, *order), "export", ())
+    (out.sortWithinPartitions(*order).write.mode("overwrite").option("header", True)
+     .option("dateFormat", "yyyy-MM-dd").csv(path))
+    return obs.get
+
+
 def register_views(frames: dict[str, DataFrame]) -> None:
     """Publish lazy models as temp views (view materialisation)."""
     for name, df in frames.items():
@@ -95,9 +114,13 @@ def register_views(frames: dict[str, DataFrame]) -> None:
 
 
 def read_bronze(spark, path: str, schema=None) -> DataFrame:
-    """A bronze table, without the partition columns of ``append_daily``.
+    """A bronze table: as ``replace_table`` last wrote it, or all days of ``append_daily``
+    without its partition columns.
 
     With its declared ``schema`` no file is opened to infer one.
     """
+    replaced = Releases(spark, path).release()
+    if replaced is not None:
+        return Releases(spark, path).read(ROWS, replaced)
     df = spark.read.schema(schema).parquet(path) if schema is not None else spark.read.parquet(path)
     return df.drop(INGEST_DATE, LOAD_BATCH)

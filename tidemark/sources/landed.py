@@ -103,24 +103,39 @@ def melt_records(records: DataFrame, *, id_keys: Sequence[str], series: Column,
     return out.dropna(subset=[value])
 
 
-def read_fx_pages(spark: SparkSession, paths, run_ts=None) -> DataFrame:
-    """FX record pages -> bronze_fx_raw (currency_pair, rate_month, exchange_rate, ingested_at)."""
-    recs = read_record_pages(spark, paths)
+def _records(spark: SparkSession, paths, trade_type: str | None, page_size: int | None) -> DataFrame:
+    if page_size is None:
+        return read_record_pages(spark, paths, trade_type)
+    from .pages import read_page_set
+    return read_page_set(spark, paths, page_size, trade_type=trade_type)
+
+
+def read_fx_pages(spark: SparkSession, paths, run_ts=None, page_size: int | None = None) -> DataFrame:
+    """FX record pages -> bronze_fx_raw (currency_pair, rate_month, exchange_rate, ingested_at).
+
+    With ``page_size``, the records of a full page, a page set that is not whole
+    fails the load (see ``pages``)."""
+    return fx_rows(_records(spark, paths, None, page_size), run_ts)
+
+
+def fx_rows(recs: DataFrame, run_ts=None) -> DataFrame:
+    """Records (record map) -> bronze_fx_raw rows."""
     long = melt_records(recs, id_keys=[RECORD_ID, SERIES_KEY], series=F.col("record")[SERIES_KEY],
                         var="rate_month", value="exchange_rate")
     return long.select(F.col("__series").alias("currency_pair"), "rate_month", "exchange_rate",
                        _run_ts(run_ts).alias("ingested_at"))
 
 
-def read_trade_pages(spark: SparkSession, imports_paths, exports_paths, run_ts=None) -> DataFrame:
+def read_trade_pages(spark: SparkSession, imports_paths, exports_paths, run_ts=None,
+                     page_size: int | None = None) -> DataFrame:
     """Import and export record pages -> bronze_trade_raw.
 
     The two datasets name their series column differently; each record's
     series is taken from whichever name it carries, so the two spellings
-    never meet as two columns.
+    never meet as two columns. ``page_size`` as in ``read_fx_pages``.
     """
-    return trade_rows(read_record_pages(spark, imports_paths, IMPORTS)
-                      .unionByName(read_record_pages(spark, exports_paths, EXPORTS)), run_ts)
+    return trade_rows(_records(spark, imports_paths, IMPORTS, page_size)
+                      .unionByName(_records(spark, exports_paths, EXPORTS, page_size)), run_ts)
 
 
 def trade_rows(recs: DataFrame, run_ts=None) -> DataFrame:

@@ -13,6 +13,7 @@ unread.
 
 from __future__ import annotations
 
+import os
 import zlib
 
 from pyspark.sql import SparkSession
@@ -23,6 +24,12 @@ from ..sinks.tables import append_daily
 from ..sources.landed import flatten_cpi_payload
 
 
+def stream_name(checkpoint_path: str) -> str:
+    """A name that tells the streams of different checkpoints apart, however a path is spelled."""
+    scheme, colon, rest = checkpoint_path.rpartition("://")
+    return f"stream-{zlib.crc32((scheme + colon + os.path.normpath(rest)).encode()):08x}"
+
+
 def load_cpi_landing(spark: SparkSession, landing_dir: str, bronze_path: str,
                      checkpoint_path: str, run_ts=None,
                      max_files_per_trigger: int | None = None) -> StreamingQuery:
@@ -34,7 +41,7 @@ def load_cpi_landing(spark: SparkSession, landing_dir: str, bronze_path: str,
     rows = flatten_cpi_payload(reader.json(landing_dir), run_ts)
 
     # Epochs count from zero in every checkpoint: its path tells streams apart.
-    stream = f"stream-{zlib.crc32(checkpoint_path.encode()):08x}"
+    stream = stream_name(checkpoint_path)
 
     def write_batch(batch, epoch_id):
         append_daily(batch, bronze_path, batch=f"{stream}-{epoch_id}", run_ts=run_ts)
