@@ -42,15 +42,15 @@ def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP4_SQL = """
 WITH usable AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
-    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  SELECT row_number() OVER () AS k, vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
-  FROM usable q JOIN usable c ON q.vec_id <> c.vec_id
+  SELECT q.k, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM usable q JOIN usable c ON q.k <> c.k
   WHERE q.vec_id % 20 = 0
 ), ranked AS (
-  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY k ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
   FROM scored
 )
 SELECT * FROM ranked WHERE rank <= 20
@@ -116,26 +116,27 @@ def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP9_SQL = """
-WITH RECURSIVE usable AS (
-  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
-    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+WITH RECURSIVE every AS (
+  SELECT row_number() OVER () AS k, vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+), usable AS (
+  SELECT * FROM every
+  WHERE v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0
 ), links AS (
-  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id
+  SELECT a.k AS a, b.k AS b, b.vec_id FROM usable a JOIN usable b ON a.k <> b.k
   WHERE list_cosine_similarity(a.v, b.v) >= 0.9
 ), reach AS (
-  SELECT a, b FROM links
+  SELECT a, b, vec_id FROM links
   UNION
-  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+  SELECT reach.a, links.b, links.vec_id FROM reach JOIN links ON reach.b = links.a
 ), lowest AS (
-  SELECT a, min(b) AS low FROM reach GROUP BY a
+  SELECT a, min(vec_id) AS low FROM reach GROUP BY a
 ), counts AS (
   SELECT a, count(*) AS n FROM links GROUP BY a
 )
 SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id,
        vec_id = least(vec_id, coalesce(low, vec_id)) AS kept
-FROM embeddings LEFT JOIN lowest ON vec_id = lowest.a LEFT JOIN counts ON vec_id = counts.a
+FROM every LEFT JOIN lowest ON k = lowest.a LEFT JOIN counts ON k = counts.a
 """
 
 

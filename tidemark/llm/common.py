@@ -6,7 +6,7 @@ import re
 import uuid
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import ensure_checkpoint_dir
@@ -41,6 +41,31 @@ def id_remainder(col: str | Column, modulus: int) -> Column:
     return F.coalesce(F.crc32(col.cast("string")) % modulus, F.lit(-1))
 
 
+def content_key(*columns: str | Column) -> list[Column]:
+    """Two independent 64-bit hashes of a row's columns, named _k1 and _k2: rows share both only if they are equal."""
+    return [F.xxhash64(*columns).alias("_k1"), F.xxhash64(F.lit("second"), *columns).alias("_k2")]
+
+
+def numbered(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Number the rows of each key 0, 1, 2, ...; ``rows`` are stored and have a unique ``_row``.
+
+    Rows of keys that occur once are not sorted. Others are numbered within the
+    split that they were written by (the upper bits of ``_row``), each of which
+    starts after the ones before it, so no task holds all rows of a frequent key.
+    """
+    split = F.shiftright("_row", 33)
+    counts = rows.groupBy(*keys, split.alias("_split")).agg(F.count("*").alias("_n"))
+    along = Window.partitionBy(*keys).orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    several = counts.groupBy(*keys).agg(F.sum("_n").alias("_all")).where(F.col("_all") > 1).select(*keys)
+    starts = counts.join(several, keys, "left_semi").withColumn("_before", F.coalesce(F.sum("_n").over(along), F.lit(0)))
+    once = rows.join(several, keys, "left_anti").withColumn(name, F.lit(0).cast("bigint"))
+    within = Window.partitionBy("_split", *keys).orderBy("_row")
+    again = (rows.join(several, keys, "left_semi").withColumn("_split", split)
+             .withColumn("_place", F.row_number().over(within)).join(starts, [*keys, "_split"])
+             .withColumn(name, F.col("_before") + F.col("_place") - 1).select(*rows.columns, name))
+    return once.unionByName(again)
+
+
 def word_blocks(data: bytes, step: int = 1 << 20) -> Iterator[list[bytes]]:
     """The words of a text in order, about ``step`` bytes of text at a time."""
     at, end = 0, len(data)

@@ -32,10 +32,11 @@ from pyspark.sql import types as T
 
 from tidemark.llm.common import stored
 from tidemark.llm.components import components
-from tidemark.llm.vectors import PACKED, finite, matrix, same_width, tiles
+from tidemark.llm.vectors import finite, matrix
 
 THRESHOLD = 0.9
-BLOCK = 8192
+BLOCK_BYTES = 4 << 20 # of a block of vectors in single precision
+LANE = 2              # blocks that a task compares with one block
 BINS = 4096           # intervals of the first coordinate
 GROUPS = 64           # partial moments summed before the driver adds them
 STEPS = (4, 2, 1)     # prefixes: a quarter, half, all of the dimensions
@@ -164,39 +165,43 @@ def linked_pairs(x: np.ndarray, y: np.ndarray, axes: np.ndarray, threshold: floa
 
 
 def near_duplicates(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", threshold: float = THRESHOLD,
-                    block: int = BLOCK) -> DataFrame:
+                    block: int | None = None) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``rows``.
 
-    n_links: other vectors at ``threshold`` or more; component_id: smallest
-    vec_id reachable by links, itself included; kept: whether that is its own.
+    n_links: other rows whose vectors are at ``threshold`` or more; component_id:
+    smallest vec_id reachable by links, itself included; kept: whether that is its own.
     Vectors that are null, empty or zero, or hold null or non-finite components,
-    link with nothing, and so do rows without an id, whose component is null and
-    which are not kept. Vectors of unequal lengths are compared as if the shorter
-    ended in zeros. Rows that repeat an id are one vector, the smallest usable one,
-    and each gets its result. An empty table gives an empty result; other columns
-    are not read.
+    link with nothing. Rows that repeat an id are vectors of their own. Rows without
+    an id are compared too; their component is null if it holds no id, and they
+    are not kept. Vectors of unequal lengths are compared as if the shorter ended in
+    zeros. An empty table gives an empty result; other columns are not read.
+    ``block``: rows of a block, by default as many as make up ``BLOCK_BYTES``.
     """
-    every = rows.select(F.col(vec_id).alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"))
-    usable = every.where(F.col("vec_id").isNotNull() & finite("vector") & F.exists("vector", lambda x: x != 0))
-    once = stored(usable.groupBy(F.col("vec_id").alias("id")).agg(F.min("vector").alias("vector")))
-    found = stored(_tile_links(once, threshold, block))
+    # Stored, so that a row's key is the same for every later read.
+    every = stored(rows.select(F.monotonically_increasing_id().alias("key"), F.col(vec_id).alias("vec_id"),
+                               F.col(vector).cast("array<double>").alias("vector")))
+    usable = every.where(finite("vector") & F.exists("vector", lambda x: x != 0)).select(F.col("key").alias("id"), "vector")
+    found = stored(_tile_links(usable, threshold, block))
     counts = found.groupBy("id").agg(F.sum("links").alias("n_links"))
     roots = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
-    known = counts.join(roots, counts["id"] == roots["node"], "left").select(
-        F.col("id"), "n_links", F.coalesce("root", "id").alias("root"))
-    component = F.coalesce(F.col("root"), F.col("vec_id"))
-    return (every.select("vec_id").join(known, F.col("vec_id") == F.col("id"), "left")
-            .select("vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
-                    component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept")))
-
-
-def _tile_links(once: DataFrame, threshold: float, block: int) -> DataFrame:
-    """(id, links, root): per tile and vector, its links there and one link to its component there."""
-    id_type = once.schema["id"].dataType
-    schema = T.StructType([T.StructField("id", id_type), T.StructField("links", T.LongType()), T.StructField("root", id_type)])
+    keyed = every.select("key", "vec_id")
+    linked = (counts.select("id").join(roots, counts["id"] == roots["node"], "left")
+              .select("id", F.coalesce("root", "id").alias("root")).join(keyed, F.col("id") == keyed["key"]))
+    low = linked.groupBy("root").agg(F.min("vec_id").alias("low"))
+    named = linked.join(low, "root").select(F.col("id").alias("member"), "low")
+    known = keyed.join(counts, keyed["key"] == counts["id"], "left").join(named, keyed["key"] == named["member"], "left")
+    component = F.coalesce(F.col("low"), F.col("vec_id"))
+    return known.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
+                        component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
+
+
+def _tile_links(once: DataFrame, threshold: float, block: int | None) -> DataFrame:
+    """(id, links, root): per tile and row, its links there and one link to its component there."""
+    schema = "id bigint, links bigint, root bigint"
     dims = once.agg(F.max(F.size("vector"))).first()[0]
     if not dims:
         return once.sparkSession.createDataFrame([], schema)
+    block = block or max(1, BLOCK_BYTES // (4 * dims))
     axes = principal_axes(once, dims)
     shared = once.sparkSession.sparkContext.broadcast(axes)
 
@@ -208,33 +213,58 @@ def _tile_links(once: DataFrame, threshold: float, block: int) -> DataFrame:
 
     placed = once.mapInArrow(place, T.StructType([*once.schema.fields, T.StructField("bin", T.IntegerType())]))
     counts = {r.bin: r["count"] for r in placed.groupBy("bin").count().collect()}  # at most BINS rows
-    table = once.sparkSession.createDataFrame(block_table(counts, threshold, block),
-                                              "bin int, first int, blocks int, last int")
+    spans = block_table(counts, threshold, block)
+    table = once.sparkSession.createDataFrame(spans, "bin int, first int, blocks int, last int")
     dealt = placed.join(F.broadcast(table), "bin").select(
         (F.col("first") + F.pmod(F.xxhash64("id"), F.col("blocks"))).cast("int").alias("block"), "last", "id", "vector")
 
     def pack(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        # Scaled by a power of two, vectors of single precision stay what they are.
         data = scaled(matrix(list(frame["vector"]), dims))
-        return pd.DataFrame({"block": [key[0]], "dims": [dims], "ids": [frame["id"].to_numpy(np.int64).tobytes()],
-                             "data": [data.tobytes()], "last": [key[1]]})
-
-    packed = stored(dealt.groupBy("block", "last").applyInPandas(pack, PACKED + ", last int"))
-    sides = [packed.select(*[F.col(c).alias(f"{side}_{c}") for c in ("block", "dims", "ids", "data")], "last")
-             for side in ("left", "right")]
-    pairs = (sides[0].select("*", F.explode(F.sequence("left_block", "last")).alias("at")).drop("last")
-             .join(sides[1].drop("last"), F.col("at") == F.col("right_block")).drop("at"))
-    pairs = pairs.repartition(min(4096, max(1, sum(counts.values()) // block) ** 2 + 1), "left_block", "right_block")
-
-    def compare(left: tuple, right: tuple, same: bool) -> pa.RecordBatch:
-        (left_ids, x), (right_ids, y) = left, right
-        x, y = same_width(x, y)
-        ids = left_ids if same else np.concatenate([left_ids, right_ids])
-        shift = 0 if same else len(left_ids)
+        single = data.astype(np.float32)
+        exact = bool((single == data).all())
+        return pd.DataFrame({"block": [key[0]], "last": [key[1]], "ids": [frame["id"].to_numpy(np.int64).tobytes()],
+                             "single": [exact], "data": [(single if exact else data).tobytes()]})
+
+    packed = stored(dealt.groupBy("block", "last").applyInPandas(pack, "block int, last int, ids binary, single boolean, data binary"))
+    # A block meets those after it within its reach, ``LANE`` of them in a task. Only the
+    # numbers of the blocks are paired; a block is sent once per lane, and once per block before it.
+    lane = F.floor((F.col("block") - F.col("own")) / LANE).cast("int").alias("lane")
+    held = packed.select("*", F.col("block").alias("own"), F.explode(F.sequence(
+        F.lit(0), F.floor((F.col("last") - F.col("block")) / LANE).cast("int"))).alias("lane"))
+    pairs = packed.where(F.col("last") > F.col("block")).select(
+        F.col("block").alias("own"), F.explode(F.sequence(F.col("block") + 1, F.col("last"))).alias("other"))
+    met = packed.join(pairs, F.col("block") == F.col("other")).select(*packed.columns, "own", lane)
+    reach = {b: last for _, first, n, last in spans for b in range(first, first + n)}
+    tasks = sum((last - b) // LANE + 1 for b, last in reach.items())
+    tiles = held.unionByName(met).repartition(max(1, tasks), "own", "lane").sortWithinPartitions("own", "lane", "block")
+
+    def unpack(row: dict) -> tuple[np.ndarray, np.ndarray]:
+        ids = np.frombuffer(row["ids"], np.int64)
+        data = np.frombuffer(row["data"], np.float32 if row["single"] else np.float64)
+        return ids, data.astype(np.float64).reshape(len(ids), dims)
+
+    def compare(left: tuple, right: tuple | None) -> pa.RecordBatch:
+        (left_ids, x), (right_ids, y) = left, right or left
+        ids = np.concatenate([left_ids, right_ids]) if right else left_ids
+        shift = len(left_ids) if right else 0
         links, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
-        for i, j in linked_pairs(x, y, shared.value, threshold, same):
+        for i, j in linked_pairs(x, y, shared.value, threshold, right is None):
             links += np.bincount(i, minlength=len(ids)) + np.bincount(j + shift, minlength=len(ids))
             unite(root, i, j + shift)
         has = links > 0
         return pa.record_batch([pa.array(ids[has]), pa.array(links[has]), pa.array(ids[root[has]])], ["id", "links", "root"])
 
-    return tiles(pairs, compare, "id bigint, links bigint, root bigint")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, left = None, None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
+                if row["own"] == row["block"]:
+                    own, left = (row["own"], row["lane"]), unpack(row)
+                    if row["lane"] == 0:
+                        yield compare(left, None)
+                elif own == (row["own"], row["lane"]):
+                    yield compare(left, unpack(row))
+
+    return tiles.mapInArrow(run, schema)

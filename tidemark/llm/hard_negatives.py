@@ -26,30 +26,23 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import stored
-from tidemark.llm.vectors import finite, matrix
+from tidemark.llm.vectors import BLOCK_BYTES, ROW, Block, blocks, lanes, read_block, rows_of_vectors
 
 SCALE = 256
 POSITIVES = 5
 NEGATIVES = 5
 WINDOW = (80, 100)            # a negative scores this share of the positive's score, in percent
-BLOCK_BYTES = 4 << 20         # of a packed block of candidates or anchors
-LANE = 8                      # blocks of candidates that a task meets with one block of anchors
 LEAF = 32                     # side at which the recursion multiplies directly
 STRIP = 256                   # anchors of a block that are multiplied at once
 MOST = (1 << 63) - 1
 
-_PACKED = ("at int, side int, dims int, keys binary, ids binary, named binary, labels binary, data binary, scores binary")
-
-
 def _padded(m: np.ndarray) -> np.ndarray:
     """A matrix with even sides: odd ones end in zeros."""
     rows, columns = m.shape
@@ -122,61 +115,6 @@ class Heap:
             self.push(int(scores[i]), int(orders[i]), int(keys[i]), bool(named[i]))
 
 
-def _blob(frame: pd.DataFrame, dims: int, scale: int) -> dict:
-    ids = frame["id"]
-    named = ids.notna().to_numpy()
-    return {"dims": [dims], "keys": [frame["key"].to_numpy(np.int64).tobytes()],
-            "ids": [np.array([MOST if missing else int(i) for i, missing in zip(ids, ~named)], np.int64).tobytes()],
-            "named": [named.tobytes()], "labels": [frame["label"].to_numpy(np.int64).tobytes()],
-            "data": [np.floor(scale * matrix(list(frame["vector"]), dims)).tobytes()]}
-
-
-def _read(row: dict) -> tuple[np.ndarray, ...]:
-    keys = np.frombuffer(row["keys"], np.int64)
-    return (keys, np.frombuffer(row["ids"], np.int64), np.frombuffer(row["named"], bool),
-            np.frombuffer(row["labels"], np.int64), np.frombuffer(row["data"]).reshape(len(keys), row["dims"]))
-
-
-def _blocks(rows: DataFrame, count: int, dims: int, scale: int, side: int, block_bytes: int) -> tuple[DataFrame, int]:
-    """Rows (key, id, label, vector, scores) as one packed row per block, and the number of blocks."""
-    blocks = max(1, math.ceil(count * 8 * max(1, dims) / block_bytes))
-
-    def pack(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        scores = frame["scores"].map(lambda s: np.asarray(s, np.int64).tobytes())
-        lengths = np.array([len(s) // 8 for s in scores], np.int32)
-        return pd.DataFrame({"at": [key[0]], "side": [side], **_blob(frame, dims, scale),
-                             "scores": [lengths.tobytes() + b"".join(scores)]})
-
-    dealt = rows.withColumn("at", F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int"))
-    return stored(dealt.groupBy("at").applyInPandas(pack, _PACKED)), blocks
-
-
-def _search(anchors: DataFrame, n_anchors: int, candidates: DataFrame, n_candidates: int, work, schema: str) -> DataFrame:
-    """Run ``work`` per block of anchors and lane of candidate blocks; each lane's rows meet the anchors once."""
-    lanes = math.ceil(n_candidates / LANE)
-    left = anchors.select("*", F.col("at").alias("own"), F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"))
-    right = candidates.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_anchors - 1))).alias("own"),
-                              F.floor(F.col("at") / LANE).cast("int").alias("lane"))
-    dealt = (left.unionByName(right).repartition(n_anchors * lanes, "own", "lane")
-             .sortWithinPartitions("own", "lane", "side", "at"))  # the anchors (side 0) come before their candidates
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, met = None, None
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
-                if row["side"] == 0:
-                    if held is not None:
-                        yield work.result(held)
-                    held, met = work.start(row), (row["own"], row["lane"])
-                elif met == (row["own"], row["lane"]):
-                    work.meet(held, _read(row))
-        if held is not None:
-            yield work.result(held)
-
-    return dealt.mapInArrow(run, schema)
-
-
 class _Work:
     """Heaps of a block of anchors: one per anchor, or one per anchor and positive."""
 
@@ -184,26 +122,23 @@ class _Work:
         self.most, self.window = most, window
 
     def start(self, row: dict) -> dict:
-        anchors = _read(row)
-        n = len(anchors[0])
-        lengths = np.frombuffer(row["scores"][:4 * n], np.int32)
-        scores = np.split(np.frombuffer(row["scores"][4 * n:], np.int64), np.cumsum(lengths)[:-1])
-        slots = lengths.tolist() if self.window else [1] * n
-        return {"anchors": anchors, "scores": scores, "heaps": [[Heap(self.most) for _ in range(s)] for s in slots]}
+        anchors = read_block(row)
+        slots = [len(s) for s in anchors.scores] if self.window else [1] * len(anchors.keys)
+        return {"anchors": anchors, "heaps": [[Heap(self.most) for _ in range(s)] for s in slots]}
 
-    def meet(self, held: dict, candidates: tuple[np.ndarray, ...]) -> None:
-        own_keys, _, _, own_labels, a = held["anchors"]
-        keys, orders, named, labels, b = candidates
+    def meet(self, held: dict, candidates: Block) -> None:
+        own, a = held["anchors"], held["anchors"].data
+        keys, orders, named, labels = candidates.keys, candidates.orders, candidates.named, candidates.labels
         for at in range(0, len(a), STRIP):
-            products = inner_products(a[at:at + STRIP], b)
+            products = inner_products(a[at:at + STRIP], candidates.data)
             for i, line in enumerate(products, at):
                 if self.window is None:
-                    rows = np.flatnonzero((labels == own_labels[i]) & (keys != own_keys[i]))
+                    rows = np.flatnonzero((labels == own.labels[i]) & (keys != own.keys[i]))
                     held["heaps"][i][0].merge(line, orders, keys, named, rows)
                     continue
-                other = labels != own_labels[i]
-                for heap, score in zip(held["heaps"][i], held["scores"][i].tolist()):
-                    if score < 0:       # no score is at most 80 % of it and at most all of it
+                other = labels != own.labels[i]
+                for heap, score in zip(held["heaps"][i], own.scores[i].tolist()):
+                    if score < 0:       # no score is at least 80 % of it and at most all of it
                         continue
                     low, high = self.window
                     least = -(-low * score // high)
@@ -211,7 +146,7 @@ class _Work:
 
     def result(self, held: dict) -> pa.RecordBatch:
         rows = [(int(key), slot, -k, -o if named else None, score)
-                for key, heaps in zip(held["anchors"][0], held["heaps"]) for slot, heap in enumerate(heaps)
+                for key, heaps in zip(held["anchors"].keys, held["heaps"]) for slot, heap in enumerate(heaps)
                 for score, o, k, named in heap.rows]
         columns = list(zip(*rows)) or [[]] * 5
         types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
@@ -240,28 +175,26 @@ def mine(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", lab
     table gives an empty result. Other columns are not read.
     """
     schema = "anchor bigint, slot int, key bigint, id bigint, score bigint"
-    usable = rows.where(F.col(label).isNotNull() & finite(vector)).select(
-        F.col(vec_id).cast("bigint").alias("id"), F.col(label).cast("bigint").alias("label"),
-        F.col(vector).cast("array<double>").alias("vector"))
-    # Stored, so that a row's key is the same for every later read.
-    table = stored(usable.withColumn("key", F.monotonically_increasing_id()))
-    is_anchor = F.col("id") % modulus == 0
+    table = stored(rows_of_vectors(rows.where(F.col(label).isNotNull()), vec_id, vector, F.col(label)))
+    is_anchor = F.col("named") & (F.col("order") % modulus == 0)
     size = table.agg(F.count("*").alias("n"), F.count_if(is_anchor).alias("anchors"),
                      F.coalesce(F.max(F.size("vector")), F.lit(0)).alias("dims")).first()
-    none = F.array().cast("array<bigint>")
-    candidates, n_candidates = _blocks(table.withColumn("scores", none), size.n, size.dims, scale, 1, block_bytes)
+
+    def packed(part: DataFrame, count: int, side: int) -> tuple[DataFrame, int]:
+        return blocks(part, count, size.dims, side, block_bytes, lambda data: np.floor(scale * data))
+
+    candidates, n_candidates = packed(table, size.n, 1)
     anchors = table.where(is_anchor)
-    first, n_first = _blocks(anchors.withColumn("scores", none), size.anchors, size.dims, scale, 0, block_bytes)
-    found = stored(_best(_search(first, n_first, candidates, n_candidates, _Work(positives), schema), positives)
+    first, n_first = packed(anchors, size.anchors, 0)
+    found = stored(_best(lanes(first, n_first, candidates, n_candidates, _Work(positives), schema), positives)
                    .select("anchor", (F.col("rank") - 1).alias("slot"), F.col("id").alias("positive_id"),
                            F.col("score").alias("positive_score")))
     # At most ``positives`` scores per anchor, in the order of their slots.
     lists = found.groupBy("anchor").agg(F.sort_array(F.collect_list(F.struct("slot", "positive_score"))).alias("s"))
-    scored = anchors.join(lists, anchors["key"] == lists["anchor"]).select(
-        "key", "id", "label", "vector", F.col("s.positive_score").alias("scores"))
-    second, n_second = _blocks(scored, size.anchors, size.dims, scale, 0, block_bytes)
-    near = _best(_search(second, n_second, candidates, n_candidates, _Work(negatives, window), schema), negatives)
-    ids = anchors.select(F.col("key").alias("anchor"), F.col("id").alias("anchor_id"))
+    scored = anchors.drop("scores").join(lists, anchors["key"] == lists["anchor"]).withColumn("scores", F.col("s.positive_score"))
+    second, n_second = packed(scored.select(*ROW), size.anchors, 0)
+    near = _best(lanes(second, n_second, candidates, n_candidates, _Work(negatives, window), schema), negatives)
+    ids = anchors.select(F.col("key").alias("anchor"), F.col("order").alias("anchor_id"))
     return (near.join(found, ["anchor", "slot"]).join(ids, "anchor")
             .select("anchor_id", "positive_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias("negative_id"),
                     "positive_score", F.col("score").alias("negative_score")))

@@ -374,7 +374,7 @@ def score(docs: DataFrame, counts: Counts, model: LogBilinear, head: list[tuple[
     parts = document_rows(docs, Reader, fields)
     joined = parts.join(counts.table.withColumnRenamed("n", "c"), "word", "left")
     tail = F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)
-    total = joined.groupBy("doc_id", "key").agg(
+    total = joined.groupBy("doc_id", "_k1", "_k2").agg(
         F.sum("rows").alias("rows"), F.sum("n_tokens").alias("n_tokens"),
         F.sum(F.col("known") + F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("n_known"),
         F.sum(F.col("lm") + tail).alias("score"), F.sum(F.col("base") + tail).alias("base"))

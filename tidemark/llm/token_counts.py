@@ -93,7 +93,7 @@ def count_tokens(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
     # is joined to them in place. A word with very many rows may be split.
     parts = document_rows(docs, reader, {"n_bytes": int, "known": int})
     met = parts.hint("rebalance", F.col("word")).sortWithinPartitions("word")
-    total = (met.withColumn("pieces", piece_counts(F.col("word"), path)).groupBy("doc_id", "key")
+    total = (met.withColumn("pieces", piece_counts(F.col("word"), path)).groupBy("doc_id", "_k1", "_k2")
              .agg(F.sum("rows").alias("rows"), F.sum("n_bytes").alias("n_bytes"),
                   F.sum(F.col("known") + F.col("n") * F.col("pieces")).alias("n_tokens")))
     # Equal rows share a key: their sums are those of one row, so many times.

@@ -1,11 +1,11 @@
 """Exact top-k search by integer inner products.
 
-Candidates are dealt into shards and queries into blocks by a hash of the id, each
-packed as one matrix. Every shard meets every block of queries (a stated query
-set against all rows, in tiles): a tile is one matrix product with a partial
+Candidates are dealt into shards and queries into blocks of bounded bytes, each packed
+as one matrix. Every shard meets every block of queries (a stated query set
+against all rows, in tiles): a tile is one matrix product with a partial
 selection per query, which leaves at most k candidates of a query. The lists are
-merged as a tree: first among the shards of a group, then over the groups, so
-that no task holds the lists of many tiles.
+merged as a tree: first in the task that meets a lane of shards, then among the lanes
+of a group, then over the groups, so that no task holds the lists of many tiles.
 
 Products are exact: single or double precision is used only where every
 partial sum is an integer that it represents; beyond, Python integers.
@@ -20,13 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.vectors import finite, packed, same_width, tiles
+from tidemark.llm.common import stored
+from tidemark.llm.vectors import BLOCK_BYTES, LANE, Block, blocks, lanes, read_block, rows_of_vectors
 
 SCALE = 64
 K = 20
-SHARD = 8192          # candidates of a tile
-BLOCK = 1024          # queries of a tile
-FAN = 16              # shards whose lists are merged at once
+STRIP = 128           # queries of a block that are multiplied at once
+FAN = 16              # lanes whose lists are merged at once
 
 
 def quantised(vectors: np.ndarray, scale: int = SCALE) -> np.ndarray:
@@ -60,64 +60,67 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return keep[np.lexsort((ids[keep], -scores[keep]))]
 
 
-def _once(ids: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One row per id, the smallest vector, quantised."""
-    order = np.lexsort((*data.T[::-1], ids))
-    first = order[np.concatenate([[True], np.diff(ids[order]) != 0])] if len(ids) else order
-    return ids[first], quantised(data[first])
+class _Lists:
+    """The best candidates so far of every query of a block."""
+
+    def __init__(self, k: int):
+        self.k = k
+
+    def start(self, row: dict) -> dict:
+        queries = read_block(row)
+        return {"queries": queries, "lane": row["lane"], "best": [None] * len(queries.keys)}
+
+    def meet(self, held: dict, shard: Block) -> None:
+        queries = held["queries"]
+        for at in range(0, len(queries.keys), STRIP):
+            scores = products(queries.data[at:at + STRIP], shard.data)
+            for i, line in enumerate(scores, at):
+                keep = best(line, shard.orders, self.k + 1)
+                keep = keep[shard.keys[keep] != queries.keys[i]][:self.k]
+                found = line[keep], shard.orders[keep], shard.named[keep]
+                if held["best"][i] is not None:
+                    found = tuple(np.concatenate(c) for c in zip(held["best"][i], found))
+                    keep = best(found[0], found[1], self.k)
+                    found = tuple(c[keep] for c in found)
+                held["best"][i] = found
+
+    def result(self, held: dict) -> pa.RecordBatch:
+        queries, lists = held["queries"], held["best"]
+        met = [i for i, found in enumerate(lists) if found is not None]
+        sizes = [len(lists[i][0]) for i in met]
+        score, order, named = (np.concatenate([lists[i][c] for i in met]) if met else np.empty(0, np.int64) for c in range(3))
+        return pa.record_batch([
+            pa.array(np.repeat(queries.keys[met], sizes), pa.int64()), pa.array(np.repeat(queries.orders[met], sizes), pa.int64()),
+            pa.array(order, pa.int64(), mask=~named.astype(bool)), pa.array(score, pa.int64()),
+            pa.array(np.full(len(score), held["lane"]), pa.int32())], ["query", "query_id", "vec_id", "score", "g"])
 
 
 def top_k(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", modulus: int = 20, k: int = K,
-          shard: int = SHARD, block: int = BLOCK) -> DataFrame:
+          block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best rows for every row whose id is divisible by ``modulus``.
 
-    A row's own id is no candidate of it; ties go to the smaller id; fewer than k
+    A row is no candidate of itself; ties go to the smaller id; fewer than k
     candidates give fewer rows. Vectors that are null or hold null or non-finite
-    components take no part, nor do rows without an id. Rows that repeat an id
-    count once, by the smallest vector. Vectors of unequal lengths are compared
-    as if the shorter ended in zeros. An empty table gives an empty result;
-    other columns are not read.
+    components take no part. Rows that repeat an id are rows of their own, as queries
+    and as candidates; rows without an id are candidates, last among ties, and their id is
+    null in the result. Vectors of unequal lengths are compared as if the shorter ended
+    in zeros. Scores are exact and saturate at +-(2^63 - 1). An empty table gives an
+    empty result; other columns are not read.
     """
-    usable = rows.where(finite(vector) & F.col(vec_id).isNotNull()).select(
-        F.col(vec_id).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("vector"))
-    counts = usable.agg(F.count("*").alias("n"), F.count_if(F.col("id") % modulus == 0).alias("q")).first()
-    shards, blocks = max(1, math.ceil(counts.n / shard)), max(1, math.ceil(counts.q / block))
-
-    def dealt(part: DataFrame, parts: int) -> DataFrame:
-        return packed(part.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")), _once)
-
-    queries = dealt(usable.where(F.col("id") % modulus == 0), blocks)
-    candidates = dealt(usable, shards)
-    left = queries.select(*[F.col(c).alias(f"left_{c}") for c in queries.columns])
-    right = candidates.select(*[F.col(c).alias(f"right_{c}") for c in candidates.columns],
-                              F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("at"))
-    pairs = right.join(left, F.col("at") == F.col("left_block")).drop("at")
-    # A tile is a unit of work: deal them out evenly.
-    pairs = pairs.repartition(min(shards * blocks, 4096), "left_block", "right_block")
-
-    def search(query: tuple, candidate: tuple, _: bool) -> pa.RecordBatch:
-        (query_ids, a), (ids, b) = query, candidate
-        a, b = same_width(a, b)
-        out: list[tuple] = []
-        for at in range(0, len(a), 128):
-            scores = products(a[at:at + 128], b)
-            for i, own in enumerate(query_ids[at:at + 128]):
-                line = scores[i]
-                keep = best(line, ids, k + 1)
-                keep = keep[ids[keep] != own][:k]
-                out.append((np.full(len(keep), own), ids[keep], line[keep]))
-        q, v, s = (np.concatenate([o[j] for o in out]) if out else np.empty(0, np.int64) for j in range(3))
-        return pa.record_batch([pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.int64())],
-                               ["query_id", "vec_id", "score"])
-
-    lists = tiles(pairs, search, "query_id bigint, vec_id bigint, score bigint")
-    groups, order = shards, (F.col("score").desc(), F.col("vec_id"))
-    lists = lists.withColumn("g", F.pmod(F.xxhash64("vec_id"), F.lit(shards)))  # the shard
+    table = stored(rows_of_vectors(rows, vec_id, vector))
+    is_query = F.col("named") & (F.col("order") % modulus == 0)
+    size = table.agg(F.count("*").alias("n"), F.count_if(is_query).alias("q"),
+                     F.coalesce(F.max(F.size("vector")), F.lit(0)).alias("dims")).first()
+    shards, n_shards = blocks(table, size.n, size.dims, 1, block_bytes, quantised)
+    queries, n_queries = blocks(table.where(is_query), size.q, size.dims, 0, block_bytes, quantised)
+    lists = lanes(queries, n_queries, shards, n_shards, _Lists(k),
+                  "query bigint, query_id bigint, vec_id bigint, score bigint, g int")
+    groups, order = math.ceil(n_shards / LANE), (F.col("score").desc(), F.col("vec_id").asc_nulls_last())
     while groups > FAN:
         groups = math.ceil(groups / FAN)
         lists = lists.withColumn("g", F.floor(F.col("g") / FAN))
-        ranked = lists.withColumn("rank", F.row_number().over(Window.partitionBy("query_id", "g").orderBy(*order)))
+        ranked = lists.withColumn("rank", F.row_number().over(Window.partitionBy("query", "g").orderBy(*order)))
         lists = ranked.where(F.col("rank") <= k).drop("rank")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(*order))
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(*order))
     return (lists.withColumn("rank", rank).where(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))

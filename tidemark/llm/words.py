@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import word_blocks
+from tidemark.llm.common import content_key, word_blocks
 
 FLUSH = 300_000       # distinct words, or rows, that a task holds before passing them on
 _STEP = 1.02          # ratio of neighbouring frequency classes
@@ -75,14 +75,15 @@ def document_rows(docs: DataFrame, reader: Callable[[], Callable[[bytes], Iterat
     ``docs``: doc_id, text. ``reader()`` runs once per task and returns a function
     from the bytes of a text to pairs of (sums by field, Counter of words to be
     joined), one pair per block of text; if it has ``settle``, that may add to the
-    sums of the texts read to the end since its last call. Returns rows (doc_id, key, word, n,
+    sums of the texts read to the end since its last call. Returns rows (doc_id, _k1, _k2, word, n,
     rows, fields...): one row per document with its sums, rows = 1 and a word
-    that no text contains, and one row per word with sums 0. ``key`` tells
-    documents that share a doc_id apart.
+    that no text contains, and one row per word with sums 0. The keys (``content_key``)
+    tell documents that share a doc_id apart.
     """
     names = list(fields)
     schema = T.StructType(
-        [docs.schema["doc_id"], T.StructField("key", T.IntegerType()), T.StructField("word", T.BinaryType()),
+        [docs.schema["doc_id"], T.StructField("_k1", T.LongType()), T.StructField("_k2", T.LongType()),
+         T.StructField("word", T.BinaryType()),
          T.StructField("n", T.LongType()), T.StructField("rows", T.LongType())]
         + [T.StructField(k, T.DoubleType() if t is float else T.LongType()) for k, t in fields.items()])
 
@@ -98,10 +99,10 @@ def document_rows(docs: DataFrame, reader: Callable[[], Callable[[bytes], Iterat
                 settle(sums)
             at = np.repeat(np.arange(len(owners)), lengths)
             ids = pa.array([o[0] for o in owners], id_type)
-            keys = np.array([o[1] for o in owners], np.int32)
+            keys = [np.array([o[k] for o in owners], np.int64) for k in (1, 2)]
             last = np.zeros(len(words), np.int64)
             last[ends] = 1
-            columns = [ids.take(pa.array(at)), pa.array(keys[at]), pa.array(words, pa.binary()),
+            columns = [ids.take(pa.array(at)), *[pa.array(k[at]) for k in keys], pa.array(words, pa.binary()),
                        pa.array(np.array(counts, np.int64)), pa.array(last)]
             for name in names:
                 values = np.zeros(len(words), np.float64 if fields[name] is float else np.int64)
@@ -114,9 +115,9 @@ def document_rows(docs: DataFrame, reader: Callable[[], Callable[[bytes], Iterat
                 yield out.slice(start, 50_000)
 
         for batch in batches:
-            ids, keys = batch.column("doc_id"), batch.column("key")
+            ids, first, second = (batch.column(c) for c in ("doc_id", "_k1", "_k2"))
             for i, text in enumerate(_bytes(batch.column("text"))):
-                owner, own = (ids[i].as_py(), keys[i].as_py()), dict.fromkeys(names, 0)
+                owner, own = (ids[i].as_py(), first[i].as_py(), second[i].as_py()), dict.fromkeys(names, 0)
                 owners.append(owner)
                 lengths.append(0)
                 for part, tail in read(text.as_py() or b""):
@@ -136,4 +137,4 @@ def document_rows(docs: DataFrame, reader: Callable[[], Callable[[bytes], Iterat
                 lengths[-1] += 1
             yield from flush(ids.type)
 
-    return docs.select("doc_id", "text", F.hash("text").alias("key")).mapInArrow(rows, schema)
+    return docs.select("doc_id", "text", *content_key("text")).mapInArrow(rows, schema)
