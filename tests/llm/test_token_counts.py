@@ -3,7 +3,7 @@ import random
 import public_tokenizers as P
 from tokenizers import Tokenizer
 
-from tidemark.llm import token_counts, words
+from tidemark.llm import token_counts
 
 PATH = P.path("word_bpe_49k.json")
 TEXTS = [None, "", " ", "Hello, World!", "hello hello HELLO", "don't they'll I'D 's 't", "<|endoftext|> and <|startoftext|>x<|endoftext|>",
@@ -22,12 +22,38 @@ def test_like_the_library(spark, documents, monkeypatch):
     docs = documents(rows)
     want = sorted(((d, len((t or "").encode()), brute(t), brute(t) > 2048) for d, t in rows), key=repr)
     for head, flush in ((1 << 18, 300_000), (5, 20), (0, 3)):
-        monkeypatch.setattr(words, "FLUSH", flush)
+        monkeypatch.setattr(token_counts, "FLUSH", flush)
+        token_counts.cutter.cache_clear()
         got = token_counts.count_tokens(docs, PATH, head=head)
         assert sorted(map(tuple, got.collect()), key=repr) == want
     assert token_counts.count_tokens(docs.where("doc_id > 10000"), PATH).count() == 0
 
 
+def test_pre_tokens_are_those_of_the_library():
+    own, cut = Tokenizer.from_file(PATH), token_counts.Cutter(PATH)
+    for text in TEXTS:
+        if text and "<|" not in text:
+            normal = own.normalizer.normalize_str(text)
+            want = [normal[i:j].encode() for _, (i, j) in own.pre_tokenizer.pre_tokenize_str(normal)]
+            assert cut(text.encode().split()) == want == cut(text.encode().split())
+    assert cut([b"a<|endoftext|>b"]) == [b"a<|endoftext|>b"]
+
+
+def test_rows_that_share_an_id(spark, documents):
+    rows = [(None, "a " * 40), (None, "b" * 26), (3, "x y"), (3, "x y"), (3, "x y z"), (None, None)]
+    want = sorted(((d, len((t or "").encode()), brute(t), False) for d, t in rows), key=repr)
+    assert sorted(map(tuple, token_counts.count_tokens(documents(rows), PATH, head=1).collect()), key=repr) == want
+
+
+def test_every_distinct_pre_token_is_counted_once(spark, documents):
+    docs = documents([(i, "alpha beta, alpha!") for i in range(50)]).select("doc_id", "text")
+    parts = token_counts.document_frequencies(docs, PATH, {b"alpha": 1})
+    assert {bytes(r.word) for r in parts.where("n > 0").collect()} == {b"beta", b",", b"!"}
+    plan = token_counts.count_tokens(docs, PATH)._jdf.queryExecution().optimizedPlan().toString()
+    eval_at = plan.index("ArrowEvalPython")
+    assert plan.index("Join") < eval_at < plan.index("Aggregate [word", eval_at)     # counted over the distinct ones, then joined
+
+
 def test_whole_table(spark):
     from tidemark.llm.catalog import op6_token_counts
     sf = "/root/testdata/sf0.001"

@@ -1,13 +1,16 @@
 """Token counts of documents without tokenising them one by one.
 
-White space ends every pre-token of the tokenizer, so the pieces of a text are
-the pieces of its words (runs without white space). Documents bring their word
-frequencies; these are shuffled and sorted by word, each distinct word is
-counted once with the tokenizer library, the count is joined to its rows where
-they stand, and a second, narrow shuffle sums per document. No ids are kept.
-
-Words that are frequent in a sample of documents are counted first and given to
-all tasks (at most ``HEAD`` words, so the broadcast is bounded); they are summed
+Texts are cut into the tokenizer's own pre-tokens, by its normaliser and pre-tokenizer;
+no pre-token spans white space, so that is done once per distinct word (a run without
+white space) and worker, in a bounded table. A word with one of the tokenizer's
+special strings is counted as it stands, like a pre-token.
+
+A document brings its pre-token frequencies. Every distinct pre-token is counted once with
+the tokenizer library, the count is joined to the frequencies, and a second, narrow
+shuffle sums per document. No ids are kept.
+
+Pre-tokens that are frequent in a sample of documents are counted first and given to
+all tasks (at most ``HEAD``, so the broadcast is bounded); they are summed
 where the document is read. They carry no information that the join would not: a
 different sample moves work, never a result.
 """
@@ -16,15 +19,22 @@ from __future__ import annotations
 
 import functools
 from collections import Counter
+from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import word_blocks
-from tidemark.llm.words import corpus_counts, document_rows, frequent_words
+from tidemark.llm.common import stored, word_blocks
+from tidemark.llm.words import frequent_words
 
 HEAD = 1 << 18
+FLUSH = 300_000       # distinct pre-tokens, or rows, that a task holds before passing them on
+CACHE_WORDS = 200_000
+CACHE_LENGTH = 64
+SLICE = 50_000
 SAMPLE = 20_000
 LIMIT = 2048
 
@@ -43,61 +53,156 @@ def tokenizer(path: str):
     return out
 
 
-def piece_counts(words: Column, path: str) -> Column:
-    """Tokens of each word as the library gives them, without added special tokens.
+class Cutter:
+    """Pre-tokens of words, as UTF-8 of normalised text."""
+
+    def __init__(self, path: str):
+        own = tokenizer(path)
+        self.normalise = own.normalizer.normalize_str if own.normalizer else str
+        self.cut = own.pre_tokenizer.pre_tokenize_str
+        self.special = [t.content for t in own.get_added_tokens_decoder().values()]
+        self.kept: dict[bytes, tuple[bytes, ...]] = {}
+        self.passed = 0       # words not kept since the table was full
+
+    def _pre_tokens(self, word: bytes) -> tuple[bytes, ...]:
+        text = word.decode()
+        normal = self.normalise(text)
+        if any(s in text or s in normal for s in self.special):
+            return (word,)
+        return tuple(normal[i:j].encode() for _, (i, j) in self.cut(normal))
+
+    def __call__(self, words: list[bytes]) -> list[bytes]:
+        """The pre-tokens of words, in order."""
+        new = {w: self._pre_tokens(w) for w in set(words).difference(self.kept)}
+        if len(self.kept) + len(new) <= CACHE_WORDS:
+            self.kept.update((w, p) for w, p in new.items() if len(w) <= CACHE_LENGTH)
+        else:
+            self.passed += len(new)
+            if self.passed > 8 * CACHE_WORDS:
+                self.kept.clear()
+                self.passed = 0
+        if not new:
+            return list(chain.from_iterable(map(self.kept.__getitem__, words)))
+        get = self.kept.get
+        return list(chain.from_iterable([new[w] if w in new else get(w) for w in words]))
 
-    Equal words of a batch are counted once; on rows sorted by word a batch
-    holds all rows of a word, but for words at its edges.
-    """
+
+@functools.lru_cache(maxsize=2)
+def cutter(path: str) -> Cutter:
+    """One per worker process; the tokenizer file must be readable on the workers."""
+    return Cutter(path)
+
+
+def _binary(column: pa.Array) -> pa.Array:
+    return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary())
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for at in range(0, batch.num_rows, SLICE):
+        yield batch.slice(at, SLICE)
+
+
+def pre_token_counts(texts: DataFrame, path: str) -> DataFrame:
+    """(word binary, n) of the pre-tokens of all texts (one column); tasks count before the shuffle."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cut, counts = cutter(path), Counter()
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            out = pa.record_batch([pa.array(list(counts), pa.binary()),
+                                   pa.array(np.fromiter(counts.values(), np.int64, len(counts)))], ["word", "n"])
+            counts.clear()
+            yield from _slices(out)
+        for batch in batches:
+            for text in _binary(batch.column(0)):
+                for words in word_blocks(text.as_py() or b""):
+                    counts.update(cut(words))
+                    if len(counts) > FLUSH:
+                        yield from flush()
+        yield from flush()
+
+    return texts.mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def piece_counts(words: Column, path: str) -> Column:
+    """Tokens of each pre-token as the library gives them, without added special tokens."""
 
     @F.arrow_udf("bigint")
     def counted(batch: pa.Array) -> pa.Array:
-        once = batch.dictionary_encode()
-        texts = [w.as_py().decode() for w in once.dictionary]
-        found = tokenizer(path).encode_batch_fast(texts, add_special_tokens=False)
-        return pa.array([len(e.ids) for e in found], pa.int64()).take(once.indices)
+        found = tokenizer(path).encode_batch_fast([w.as_py().decode() for w in batch], add_special_tokens=False)
+        return pa.array([len(e.ids) for e in found], pa.int64())
 
     return counted(words)
 
 
+def document_frequencies(docs: DataFrame, path: str, known: dict[bytes, int]) -> DataFrame:
+    """(key, word, n, n_bytes, n_tokens) of (doc_id, text): per document, a row with its bytes, the tokens
+    of its ``known`` pre-tokens, its doc_id and a word that no text contains, and a row for
+    each other pre-token. Keys are unique per document; store the rows before they are read twice."""
+    shared = docs.sparkSession.sparkContext.broadcast(known)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        cut, pieces = cutter(path), shared.value.get
+        base, seen = TaskContext.get().partitionId() << 33, 0
+        owners, words, counts, ids, sums = [], [], [], [], []
+
+        def flush(id_type) -> Iterator[pa.RecordBatch]:
+            # The rows of pre-tokens, then those of the documents that ended.
+            n, m = len(words), len(sums)
+            out = pa.record_batch([
+                pa.array([*owners, *[s[0] for s in sums]], pa.int64()),
+                pa.array([*words, *[b" %d" % (s[0] & 0xFFFF) for s in sums]], pa.binary()),
+                pa.array([*counts, *[0] * m], pa.int64()), pa.array([*[None] * n, *ids], id_type),
+                pa.array([*[0] * n, *[s[1] for s in sums]], pa.int64()), pa.array([*[0] * n, *[s[2] for s in sums]], pa.int64())],
+                ["key", "word", "n", "doc_id", "n_bytes", "n_tokens"])
+            for held in (owners, words, counts, ids, sums):
+                held.clear()
+            yield from _slices(out)
+
+        for batch in batches:
+            own_ids = batch.column("doc_id")
+            for i, text in enumerate(_binary(batch.column("text"))):
+                data, key, tokens = text.as_py() or b"", base + seen, 0
+                seen += 1
+                for block in word_blocks(data):
+                    found = cut(block)
+                    known_pieces = list(map(pieces, found))
+                    tail = Counter(w for w, p in zip(found, known_pieces) if p is None)
+                    tokens += sum(filter(None, known_pieces))
+                    owners += [key] * len(tail)
+                    words += tail.keys()
+                    counts += tail.values()
+                    if len(words) > FLUSH:
+                        yield from flush(own_ids.type)
+                ids.append(own_ids[i].as_py())
+                sums.append((key, len(data), tokens))
+            yield from flush(own_ids.type)
+
+    schema = f"key bigint, word binary, n bigint, doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_bytes bigint, n_tokens bigint"
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
+
+
 def count_tokens(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", limit: int = LIMIT,
                  head: int = HEAD, sample: int = SAMPLE) -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit) for every row of ``docs``.
 
     Whole texts; a null text counts as empty (0, 0, false). Special strings in a
-    text are handled as the library does by default. Every row is returned, rows
-    that repeat a doc_id (or have none) too; an empty table gives an empty
-    result. Columns besides the two are not read.
+    text are handled as the library does by default. Every row is returned with its
+    own counts, rows that repeat a doc_id (or have none) too; an empty table gives an
+    empty result. Columns besides the two are not read.
     """
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     rows = docs.count()
     few = docs if rows <= sample else docs.sample(False, sample / rows, 17)
-    frequent = frequent_words(corpus_counts(few, lower=False), head)
+    frequent = frequent_words(pre_token_counts(few.select("text"), path), head)
     found = frequent.select("word", piece_counts(F.col("word"), path).alias("pieces")).toArrow()
-    known = dict(zip(found["word"].to_pylist(), found["pieces"].to_pylist()))
-    shared = docs.sparkSession.sparkContext.broadcast(known)
-
-    def reader():
-        pieces = shared.value.get
-
-        def read(data: bytes):
-            size = len(data)
-            for words in word_blocks(data):
-                found = list(map(pieces, words))
-                tail = Counter(w for w, p in zip(words, found) if p is None)
-                yield {"n_bytes": size, "known": sum(p for p in found if p is not None)}, tail
-                size = 0
-        return read
-
-    # All rows of a word meet, sorted, so that it is counted once and the count
-    # is joined to them in place. A word with very many rows may be split.
-    parts = document_rows(docs, reader, {"n_bytes": int, "known": int})
-    met = parts.hint("rebalance", F.col("word")).sortWithinPartitions("word")
-    total = (met.withColumn("pieces", piece_counts(F.col("word"), path)).groupBy("doc_id", "_k1", "_k2")
-             .agg(F.sum("rows").alias("rows"), F.sum("n_bytes").alias("n_bytes"),
-                  F.sum(F.col("known") + F.col("n") * F.col("pieces")).alias("n_tokens")))
-    # Equal rows share a key: their sums are those of one row, so many times.
-    each = total.select("doc_id", (F.col("n_bytes") / F.col("rows")).cast("bigint").alias("n_bytes"),
-                        (F.col("n_tokens") / F.col("rows")).cast("bigint").alias("n_tokens"),
-                        F.explode(F.sequence(F.lit(1), F.col("rows"))).alias("_row"))
-    return each.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    # Stored: the keys of the documents stay, and the distinct pre-tokens and the join read the same rows.
+    parts = stored(document_frequencies(docs, path, dict(zip(found["word"].to_pylist(), found["pieces"].to_pylist()))))
+    distinct = parts.where(F.col("n") > 0).select("word").distinct()
+    counted = distinct.select("word", piece_counts(F.col("word"), path).alias("pieces"))
+    joined = parts.join(counted, "word", "left")
+    total = joined.groupBy("key").agg(
+        F.max("doc_id").alias("doc_id"), F.sum("n_bytes").alias("n_bytes"),
+        F.sum(F.col("n_tokens") + F.coalesce(F.col("n") * F.col("pieces"), F.lit(0))).alias("n_tokens"))
+    return total.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
