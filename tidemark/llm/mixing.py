@@ -12,9 +12,10 @@ curvature over the (source, size) cells, held inside a bracket by bisection.
 Rates become copies by error diffusion: within a source, cells go from the
 largest size to the smallest, and each cell rounds up as many of its documents
 as bring the words taken so far closest to the words wanted so far. Which
-documents of a cell get the extra copy is decided by a hash of doc_id, through a
-cut-off that is found in slices of the cell, so a cell with very many documents
-is never in one task.
+documents of a cell get the extra copy is decided by a hash of the whole row and its
+number among equal rows, through a cut-off that is found in slices of the cell, so
+exactly as many get it as are wanted, whatever ids repeat or are null, and a cell with
+very many documents, or equal ones, is never in one task.
 
 Sums run on scaled integers, so reruns agree to the last bit.
 """
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import WORD, stored
+from tidemark.llm.common import WORD, content_key, numbered, stored
 
 WEIGHTS = (1, 2, 3)
 CAP = 3
@@ -96,16 +97,19 @@ def solve_tilts(cells: DataFrame, targets: DataFrame, cap: int = CAP, tolerance:
     """Add ``tilt`` to the targets: the root of each source's dual gradient.
 
     cells: (rank, x, size, n). A source at its cap has no finite root and gets
-    null (all rates are the cap); so does none with size zero, whose tilt is 0.
+    null (all rates are the cap); so does none with size zero, whose tilt is 0. Raises if
+    a source is not solved after ``max_steps``, which brackets halved that often do not need.
     """
     at_cap = F.col("target") >= F.col("source_size") * cap
     state = stored(targets.select(
         "rank", "target", F.lit(0.0).alias("tilt"), F.lit(None).cast("double").alias("low"),
         F.lit(None).cast("double").alias("high"), (at_cap | (F.col("source_size") == 0)).alias("done"),
         (at_cap & (F.col("source_size") > 0)).alias("full")))
-    for _ in range(max_steps):
+    for step in range(max_steps + 1):
         if state.where(~F.col("done")).isEmpty():
             break
+        if step == max_steps:
+            raise RuntimeError(f"targets of some sources are not met after {max_steps} steps")
         rate = _rate(F.col("tilt"), F.col("x"), cap)
         words = F.col("n") * F.col("size")
         sums = (cells.join(state.where(~F.col("done")), "rank").groupBy("rank")
@@ -123,11 +127,11 @@ def solve_tilts(cells: DataFrame, targets: DataFrame, cap: int = CAP, tolerance:
         inside = ((F.col("low").isNull() | (F.col("newton") > F.col("low")))
                   & (F.col("high").isNull() | (F.col("newton") < F.col("high"))) & (F.abs("newton") < 1e6))
         closed = F.col("low").isNotNull() & F.col("high").isNotNull()
-        step = (F.when(inside, F.col("newton")).when(closed, (F.col("low") + F.col("high")) / 2)
-                .otherwise(outward))
+        after = (F.when(inside, F.col("newton")).when(closed, (F.col("low") + F.col("high")) / 2)
+                 .otherwise(outward))
         close = F.abs("error") <= F.greatest(F.lit(2.0 / _UNIT), F.col("target") * tolerance)
-        ended = F.col("done") | F.coalesce(close, F.lit(True)) | F.coalesce(step == F.col("tilt"), F.lit(False))
-        state = stored(moved.select("rank", "target", F.when(ended, F.col("tilt")).otherwise(step).alias("tilt"),
+        ended = F.col("done") | F.coalesce(close, F.lit(True)) | F.coalesce(after == F.col("tilt"), F.lit(False))
+        state = stored(moved.select("rank", "target", F.when(ended, F.col("tilt")).otherwise(after).alias("tilt"),
                                     "low", "high", ended.alias("done"), "full"))
     return targets.join(state.select("rank", F.when(~F.col("full"), F.col("tilt")).alias("tilt")), "rank")
 
@@ -152,7 +156,7 @@ def _round_cells(cap: int):
 def plan_copies(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """Per (source, size): source_size, target, rate, base copies and the hash cut-off of one more.
 
-    ``sizes``: (doc_id, source, size), stored.
+    ``sizes``: rows with source, size and pick, stored.
     """
     cells = stored(sizes.groupBy("source", "size").agg(F.count("*").alias("n")))
     targets = source_targets(cells, weights, cap)
@@ -171,7 +175,7 @@ def plan_copies(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = C
     # Cells in which some documents get one more: the hash of the ups-th
     # smallest, searched in the slice that holds it.
     split = rounded.where((F.col("ups") > 0) & (F.col("ups") < F.col("n")))
-    own = sizes.select(F.col("source").alias("s"), F.col("size").alias("z"), _pick("doc_id").alias("pick"))
+    own = sizes.select(F.col("source").alias("s"), F.col("size").alias("z"), "pick")
     slices = F.ceil(F.col("n") / SLICE)
     sliced = (own.join(split.select("rank", "source", "size", "ups", slices.alias("slices")),
                        F.col("s").eqNullSafe(F.col("source")) & (F.col("z") == F.col("size")))
@@ -192,9 +196,24 @@ def plan_copies(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = C
         "source", "size", "source_size", "target", "rate", "base", cut.alias("cut"))
 
 
-def _pick(doc_id: str):
-    """A document's place in its cell: 62 bits of a hash of its id."""
-    return F.xxhash64(F.col(doc_id), F.lit("mix")).bitwiseAND(F.lit((1 << _HASH_BITS) - 1))
+def _picked(rows: DataFrame) -> DataFrame:
+    """Stored rows (.., _k1, _k2, _row) with a place of their own in a cell: 62 bits of a hash of the row and its
+    number among equal ones. Equal rows are as good as each other, so reruns agree in what they take."""
+    pick = F.xxhash64("_k1", "_k2", "_nth").bitwiseAND(F.lit((1 << _HASH_BITS) - 1))
+    return stored(numbered(rows, ["_k1", "_k2"], "_nth").withColumn("pick", pick).drop("_k1", "_k2", "_nth"))
+
+
+_RESULTS = ("size", "source_size", "target", "rate", "copies", "taken")
+
+
+def _taken(picked: DataFrame, weights: Sequence[int], cap: int) -> DataFrame:
+    """The rows of ``_picked`` with what their cell's plan says: ``_RESULTS`` beside their own columns."""
+    plan = plan_copies(picked, weights, cap).withColumnsRenamed({"source": "_source", "size": "_size"})
+    joined = picked.join(plan, picked["source"].eqNullSafe(F.col("_source")) & (picked["size"] == F.col("_size")))
+    copies = F.col("base") + (F.col("pick") <= F.col("cut")).cast("bigint")
+    own = [c for c in picked.columns if c not in ("size", "pick")]
+    return joined.select(*own, "size", "source_size", "target", "rate", copies.alias("copies"),
+                         (copies * F.col("size")).alias("taken"))
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
@@ -203,45 +222,33 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
 
     Sources are weighed 1, 2, 3, repeating, by code point, null last. A null
     text has size 0; documents of size 0 have rate 1 and take no words. A source
-    without words has target 0. Rows that repeat a doc_id within a cell (same
-    source and size) get the same copies. Columns named like the results are
-    replaced; an empty table gives an empty result.
+    without words has target 0. Rows that repeat an id, or have none, are documents of their
+    own; of rows that are equal in id, source and text it is not said which get the extra
+    copies. Columns named like the results are replaced; an empty table gives an empty result.
     """
-    results = ("size", "source_size", "target", "rate", "copies", "taken")
-    sizes = stored(with_size(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"),
-                                         F.col(text).alias("text"))).select("doc_id", "source", "size"))
-    plan = plan_copies(sizes, weights, cap)
-    kept = [c for c in docs.columns if c not in results]
-    sized = docs.withColumn("_words", F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("bigint"))
-    return attach(sized.select(*kept, "_words"), plan, kept, doc_id, source, "_words")
-
-
-def attach(docs: DataFrame, plan: DataFrame, kept: list[str], doc_id: str, source: str, size: str) -> DataFrame:
-    """Join the cells of a plan to documents that know their size."""
-    plan = plan.select(F.col("source").alias("_source"), F.col("size").alias("_size"),
-                       F.col("source_size").alias("_total"), F.col("target").alias("_target"),
-                       F.col("rate").alias("_rate"), F.col("base").alias("_base"), F.col("cut").alias("_cut"))
-    joined = docs.join(plan, F.col(source).eqNullSafe(F.col("_source")) & (F.col(size) == F.col("_size")))
-    copies = F.col("_base") + (_pick(doc_id) <= F.col("_cut")).cast("bigint")
-    return joined.select(*kept, F.col("_size").alias("size"), F.col("_total").alias("source_size"),
-                         F.col("_target").alias("target"), F.col("_rate").alias("rate"),
-                         copies.alias("copies"), (copies * F.col("_size")).alias("taken"))
+    size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("bigint")
+    whole = stored(docs.select(F.struct(*docs.columns).alias("_document"), F.col(source).alias("source"), size.alias("size"),
+                               *content_key(doc_id, source, text), F.monotonically_increasing_id().alias("_row")))
+    taken = _taken(_picked(whole.drop("_document")), weights, cap).drop("source")
+    kept = [F.col("_document").getField(c).alias(c) for c in docs.columns if c not in _RESULTS]
+    return whole.select("_document", "_row").join(taken, "_row").select(*kept, *_RESULTS)
 
 
 def mix_sizes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
               weights: Sequence[int] = WEIGHTS, cap: int = CAP) -> DataFrame:
-    """``mix`` without the texts: (doc_id, source, size, source_size, target, rate, copies, taken)."""
-    sizes = stored(with_size(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"),
-                                         F.col(text).alias("text"))).select("doc_id", "source", "size"))
-    return attach(sizes.withColumnRenamed("size", "_words"), plan_copies(sizes, weights, cap),
-                  ["doc_id", "source"], "doc_id", "source", "_words")
+    """``mix`` without the texts: (doc_id, source, size, source_size, target, rate, copies, taken); rows
+    are told apart by id, source and text."""
+    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.col(text).alias("text"))
+    narrow = stored(with_size(own).select("doc_id", "source", "size", *content_key("doc_id", "source", "text"),
+                                          F.monotonically_increasing_id().alias("_row")))
+    return _taken(_picked(narrow), weights, cap).select("doc_id", "source", *_RESULTS)
 
 
 def take_mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
              weights: Sequence[int] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """The rows of ``docs``, all columns, each as often as the mix takes it (not at all, up to ``cap`` times)."""
-    packed = docs.select(F.struct(*docs.columns).alias("_document"), F.col(doc_id).alias("_id"),
-                         F.col(text).alias("_text"), F.col(source).alias("_from"))
+    packed = docs.select(F.struct(*docs.columns).alias("_document"), F.col(doc_id).alias("_id"), F.col(text).alias("_text"),
+                         F.col(source).alias("_from"))
     mixed = mix(packed, "_id", "_text", "_from", weights, cap)
     return (mixed.where(F.col("copies") > 0)
             .select("_document", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")).select("_document.*"))
