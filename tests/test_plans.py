@@ -18,9 +18,15 @@ def optimized(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
-def test_no_python_udfs_or_cartesian_products(spark):
-    for name, q in QUERIES.items():
-        p = plan(q(spark, SF_SMALL))
+@pytest.fixture(scope="module")
+def built(spark):
+    """Every registered query's frame, built once."""
+    return {name: q(spark, SF_SMALL) for name, q in QUERIES.items()}
+
+
+def test_no_python_udfs_or_cartesian_products(built):
+    for name, df in built.items():
+        p = plan(df)
         for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
             assert bad not in p, (name, bad)
 
@@ -116,9 +122,8 @@ def _scans(df, table):
     return len(re.findall(rf"FileScan parquet .*?/{table}\.parquet", plan(df).split("== Initial Plan ==")[0]))
 
 
-def test_large_tables_are_scanned_once_and_nothing_is_cached(spark):
-    for name, q in QUERIES.items():
-        df = q(spark, SF_SMALL)
+def test_large_tables_are_scanned_once_and_nothing_is_cached(spark, built):
+    for name, df in built.items():
         assert _scans(df, "orders") <= 1 and _scans(df, "lineitem") <= 1, name
         assert "InMemoryRelation" not in plan(df) and "InMemoryTableScan" not in plan(df), name
     assert _scans(QUERIES["macro_fact"](spark, SF_SMALL), "lineitem") == 1
