@@ -47,3 +47,29 @@ def test_empty_and_native(spark):
     assert chat.format_chats(df).count() == 0
     plan = chat.format_chats(df)._jdf.queryExecution().executedPlan().toString()
     assert not any(w in plan for w in ("Python", "Pandas", "Cartesian", "NestedLoop"))
+
+
+def test_turns_without_numbers_in_bulk(spark, monkeypatch):
+    """A conversation whose turns share a number, or have none, is split like any other."""
+    nulls = [(1, None, "user", f"t{i}") for i in range(60)]
+    rows = nulls + [(2, t, r, x) for _, t, r, x in nulls] + [(2, 5, "user", "last")] + [(3, 7, "a", f"s{i}") for i in range(40)] + [(4, 0, "u", "same")] * 30
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(3)
+    results = []
+    for crowded in (1, 10 ** 6):
+        monkeypatch.setattr(chat, "CROWDED", crowded)
+        cells = [r["count"] for r in chat._turns(df, 8).groupBy("conv_id", "cell").count().collect()]
+        assert max(cells) <= 30 if crowded == 1 else max(cells) == 60
+        results.append(sorted(map(tuple, chat.format_chats(df, 8).collect())))
+    assert results[0] == results[1]
+    turns = {}
+    for conv, part, n, _ in results[0]:
+        assert n == 8 or part == max(p for c, p, *_ in results[0] if c == conv)
+        turns[conv] = turns.get(conv, 0) + n
+    assert turns == {2: 61, 3: 40, 4: 30}                # 1 is the beginning of 2
+
+
+def test_rows_do_not_depend_on_turn_numbers(spark):
+    for first in (0, 1022, -5000):
+        rows = [(1, first + 3 * i, "user", str(i)) for i in range(4)]
+        df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+        assert [(r.part, r.n_turns) for r in chat.format_chats(df).collect()] == [(0, 4)]

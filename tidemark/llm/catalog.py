@@ -157,9 +157,10 @@ WITH turns AS (
 ), maximal AS (
   SELECT conv_id FROM first WHERE turns NOT IN (SELECT turns FROM prefixes)
 )
-SELECT conv_id, CAST(coalesce(floor(turn / 1024), 0) AS BIGINT) AS part, count(*) AS n_turns,
-       string_agg('<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10), '' ORDER BY turn) AS text
-FROM turns WHERE conv_id IN (SELECT conv_id FROM maximal)
+SELECT conv_id, CAST(floor((pos - 1) / 1024) AS BIGINT) AS part, count(*) AS n_turns,
+       string_agg('<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10), '' ORDER BY pos) AS text
+FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos FROM turns) t
+WHERE conv_id IN (SELECT conv_id FROM maximal)
 GROUP BY ALL
 """
 

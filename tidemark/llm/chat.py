@@ -8,10 +8,12 @@ position-keyed hashes of its turns, 2 x 64 bits, so it can be computed in parts
 and combined. A conversation is dropped by an anti-join of its whole hash with
 the proper-prefix hashes of all.
 
-All in DataFrame functions. Work on a conversation is split into parts of
-``part`` turn numbers, so that a conversation with very many turns is spread
-over many tasks and rendered as several rows (part 0, 1, ...), whose texts in
-order are the whole; ordinary conversations have one row.
+All in DataFrame functions. Work on a conversation is split into cells: ranges of ``part``
+turn numbers, and where very many turns share a range (they repeat a number, or have
+none), its single numbers and ranges of the content hash. So a conversation with very
+many turns is spread over many tasks. It is rendered as several rows of ``part`` turns by
+their positions (part 0, 1, ...), whose texts in order are the whole; ordinary
+conversations have one row.
 """
 
 from __future__ import annotations
@@ -22,36 +24,53 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import stored
 
 PART = 1024
+_FIRST = -(1 << 62)           # the place of turns without a number: first
+
+
+CROWDED = 4                   # a range of turn numbers is split if it has so many times ``part`` turns
 
 
 def _turns(conversations: DataFrame, part: int) -> DataFrame:
+    """(conv_id, cell, turn, role, text, t1, t2); cells of a conversation are in the order of its turns."""
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
-    return (conversations.where(F.col("conv_id").isNotNull())
-            .select("conv_id", F.coalesce(F.floor(F.col("turn") / part), F.lit(0)).alias("part"), "turn",
+    rows = (conversations.where(F.col("conv_id").isNotNull())
+            .select("conv_id", F.coalesce(F.floor(F.col("turn") / part), F.lit(_FIRST)).alias("range"), "turn",
                     role.alias("role"), text.alias("text"),
                     F.xxhash64(role, text).alias("t1"), F.xxhash64(text, role).alias("t2")))
+    crowded = (rows.groupBy("conv_id", "range").agg(F.count("*").alias("n")).where(F.col("n") > CROWDED * part)
+               .select("conv_id", "range", F.lit(True).alias("crowded")))
+    split = F.coalesce(F.col("crowded"), F.lit(False))
+    number = F.when(split, F.coalesce(F.col("turn").cast("bigint"), F.lit(_FIRST))).otherwise(0)
+    cell = F.struct("range", number.alias("number"), F.when(split, F.shiftright("t1", 58)).otherwise(0).alias("hash"))
+    return rows.join(crowded, ["conv_id", "range"], "left").select("conv_id", cell.alias("cell"), "turn", "role", "text", "t1", "t2")
+
+
+def _positions(turns: DataFrame) -> DataFrame:
+    """Add pos, the place of each turn in its conversation (1, 2, ...)."""
+    earlier = Window.partitionBy("conv_id").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("conv_id", "cell").orderBy(F.col("turn").asc_nulls_first(), "t1", "t2")
+    sizes = turns.groupBy("conv_id", "cell").agg(F.count("*").alias("n"))
+    before = sizes.select("conv_id", "cell", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    placed = turns.join(before, ["conv_id", "cell"]).withColumn("pos", F.col("before") + F.row_number().over(within))
+    return placed.drop("before")
 
 
 def prefix_hashes(turns: DataFrame) -> DataFrame:
     """(conv_id, pos, h1, h2, p1, p2): hash of each turn and of the prefix that it ends."""
-    narrow = turns.select("conv_id", "part", "turn", "t1", "t2")
-    earlier = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    within = Window.partitionBy("conv_id", "part").orderBy(F.col("turn").asc_nulls_first(), "t1", "t2")
-    sizes = narrow.groupBy("conv_id", "part").agg(F.count("*").alias("n"))
-    before = sizes.select("conv_id", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    placed = (narrow.join(before, ["conv_id", "part"])
-              .withColumn("pos", F.col("before") + F.row_number().over(within))
-              .select("conv_id", "part", "turn", "pos", "t1", "t2",
-                      F.xxhash64("pos", "t1", "t2").alias("h1"), F.xxhash64("t2", "t1", "pos").alias("h2")))
+    narrow = turns.select("conv_id", "cell", "turn", "t1", "t2")
+    earlier = Window.partitionBy("conv_id").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("conv_id", "cell").orderBy("pos")
+    placed = _positions(narrow).select("conv_id", "cell", "pos", F.xxhash64("pos", "t1", "t2").alias("h1"),
+                                       F.xxhash64("t2", "t1", "pos").alias("h2"))
     running = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    marks = stored(placed.select("conv_id", "part", "pos", "h1", "h2",
+    marks = stored(placed.select("conv_id", "cell", "pos", "h1", "h2",
                                  F.expr("bit_xor(h1)").over(running).alias("l1"),
                                  F.expr("bit_xor(h2)").over(running).alias("l2")))
-    parts = marks.groupBy("conv_id", "part").agg(F.bit_xor("h1").alias("x1"), F.bit_xor("h2").alias("x2"))
-    carried = parts.select("conv_id", "part",
+    parts = marks.groupBy("conv_id", "cell").agg(F.bit_xor("h1").alias("x1"), F.bit_xor("h2").alias("x2"))
+    carried = parts.select("conv_id", "cell",
                            F.coalesce(F.expr("bit_xor(x1)").over(earlier), F.lit(0).cast("bigint")).alias("c1"),
                            F.coalesce(F.expr("bit_xor(x2)").over(earlier), F.lit(0).cast("bigint")).alias("c2"))
-    return marks.join(carried, ["conv_id", "part"]).select(
+    return marks.join(carried, ["conv_id", "cell"]).select(
         "conv_id", "pos", "h1", "h2",
         F.col("l1").bitwiseXOR(F.col("c1")).alias("p1"),
         F.col("l2").bitwiseXOR(F.col("c2")).alias("p2"))
@@ -73,17 +92,18 @@ def format_chats(conversations: DataFrame, part: int = PART, before: str = "<|",
                  end: str = "<|end|>\n") -> DataFrame:
     """(conv_id, part, n_turns, text): the maximal conversations as training text.
 
-    Each turn renders as ``before`` + role + ``after`` + text + ``end``; n_turns
-    counts the turns of the part. Null roles and texts are empty ones; null
+    Each turn renders as ``before`` + role + ``after`` + text + ``end``; a row holds
+    ``part`` turns by position, the last one of a conversation fewer, and n_turns counts
+    them. Null roles and texts are empty ones; null
     turns come first; turns that repeat a number are ordered by content hash,
     so repeated rows are turns like any other. Rows without a conv_id belong to no
     conversation and are left out. An empty table gives an empty result; columns
     besides the four are not read.
     """
     kept = maximal_conversations(conversations, part).select("conv_id")
-    turns = _turns(conversations, part).join(kept, "conv_id", "left_semi")
-    return (turns.groupBy("conv_id", "part")
-            .agg(F.sort_array(F.collect_list(F.struct("turn", "t1", "t2", "role", "text"))).alias("turns"))
+    turns = _positions(_turns(conversations, part).join(kept, "conv_id", "left_semi"))
+    return (turns.groupBy("conv_id", F.floor((F.col("pos") - 1) / part).alias("part"))
+            .agg(F.sort_array(F.collect_list(F.struct("pos", "role", "text"))).alias("turns"))
             .select("conv_id", "part", F.size("turns").cast("bigint").alias("n_turns"),
                     F.array_join(F.transform("turns", lambda t: F.concat(
                         F.lit(before), t["role"], F.lit(after), t["text"], F.lit(end))), "").alias("text")))
