@@ -37,6 +37,19 @@ def test_pre_tokens_are_those_of_the_library():
             want = [normal[i:j].encode() for _, (i, j) in own.pre_tokenizer.pre_tokenize_str(normal)]
             assert cut(text.encode().split()) == want == cut(text.encode().split())
     assert cut([b"a<|endoftext|>b"]) == [b"a<|endoftext|>b"]
+    # The short way for words of letters is that of the library.
+    letters = [chr(c) for c in range(0x250) if chr(c).isalpha()]
+    words = [f"{a}{b}{m}".encode() for a in letters for b in ("", "b", "Z", "é") for m in ("", ",", ".", "!", "-", "'s", "1")]
+    assert cut.plain and cut.marks and [cut._pre_tokens(w) for w in words] == [cut._by_library(w.decode()) for w in words]
+
+
+def test_table_of_words_starts_anew(monkeypatch):
+    monkeypatch.setattr(token_counts, "CACHE_WORDS", 5)
+    cut, whole = token_counts.Cutter(PATH), token_counts.Cutter(PATH)
+    rng = random.Random(4)
+    for _ in range(60):
+        words = ["".join(rng.choices("abé1,", k=rng.randint(1, 3))).encode() for _ in range(12)]
+        assert cut(words) == [p for w in words for p in whole._pre_tokens(w)]
 
 
 def test_rows_that_share_an_id(spark, documents):

@@ -35,6 +35,7 @@ FLUSH = 300_000       # distinct pre-tokens, or rows, that a task holds before p
 CACHE_WORDS = 200_000
 CACHE_LENGTH = 64
 SLICE = 50_000
+_LATIN_END = "\u0250" # letters before it are composed letters in every version of the character tables
 SAMPLE = 20_000
 LIMIT = 2048
 
@@ -61,19 +62,38 @@ class Cutter:
         self.normalise = own.normalizer.normalize_str if own.normalizer else str
         self.cut = own.pre_tokenizer.pre_tokenize_str
         self.special = [t.content for t in own.get_added_tokens_decoder().values()]
+        # Whether words of letters are one pre-token, in lower case, and a mark after them is another.
+        letters = "abcdefghijklmnopqrstuvwxyz"
+        self.plain = self._by_library(letters + letters.upper()) == ((letters * 2).encode(),)
+        self.marks = {m.encode() for m in ",.;:!?" if self.plain and self._by_library("ab" + m) == (b"ab", m.encode())}
         self.kept: dict[bytes, tuple[bytes, ...]] = {}
         self.passed = 0       # words not kept since the table was full
 
     def _pre_tokens(self, word: bytes) -> tuple[bytes, ...]:
+        if self.plain:
+            if word.isalpha():               # ASCII letters
+                return (word.lower(),)
+            if word[:-1].isalpha() and word[-1:] in self.marks:
+                return (word[:-1].lower(), word[-1:])
         text = word.decode()
+        if self.plain and text.isalpha() and max(text) < _LATIN_END:
+            low = text.lower()
+            if low.isalpha():
+                return (low.encode(),)
+        return self._by_library(text)
+
+    def _by_library(self, text: str) -> tuple[bytes, ...]:
         normal = self.normalise(text)
         if any(s in text or s in normal for s in self.special):
-            return (word,)
+            return (text.encode(),)
         return tuple(normal[i:j].encode() for _, (i, j) in self.cut(normal))
 
     def __call__(self, words: list[bytes]) -> list[bytes]:
         """The pre-tokens of words, in order."""
         new = {w: self._pre_tokens(w) for w in set(words).difference(self.kept)}
+        get = self.kept.get
+        found = [new[w] if w in new else get(w) for w in words] if new else map(self.kept.__getitem__, words)
+        out = list(chain.from_iterable(found))
         if len(self.kept) + len(new) <= CACHE_WORDS:
             self.kept.update((w, p) for w, p in new.items() if len(w) <= CACHE_LENGTH)
         else:
@@ -81,10 +101,7 @@ class Cutter:
             if self.passed > 8 * CACHE_WORDS:
                 self.kept.clear()
                 self.passed = 0
-        if not new:
-            return list(chain.from_iterable(map(self.kept.__getitem__, words)))
-        get = self.kept.get
-        return list(chain.from_iterable([new[w] if w in new else get(w) for w in words]))
+        return out
 
 
 @functools.lru_cache(maxsize=2)
