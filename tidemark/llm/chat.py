@@ -30,13 +30,17 @@ _FIRST = -(1 << 62)           # the place of turns without a number: first
 CROWDED = 4                   # a range of turn numbers is split if it has so many times ``part`` turns
 
 
+def _hashed(conversations: DataFrame) -> DataFrame:
+    """(conv_id, turn, role, text, t1, t2), with empty texts for nulls."""
+    role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
+    return conversations.select("conv_id", "turn", role.alias("role"), text.alias("text"),
+                                F.xxhash64(role, text).alias("t1"), F.xxhash64(text, role).alias("t2"))
+
+
 def _turns(conversations: DataFrame, part: int) -> DataFrame:
     """(conv_id, cell, turn, role, text, t1, t2); cells of a conversation are in the order of its turns."""
-    role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
-    rows = (conversations.where(F.col("conv_id").isNotNull())
-            .select("conv_id", F.coalesce(F.floor(F.col("turn") / part), F.lit(_FIRST)).alias("range"), "turn",
-                    role.alias("role"), text.alias("text"),
-                    F.xxhash64(role, text).alias("t1"), F.xxhash64(text, role).alias("t2")))
+    rows = _hashed(conversations.where(F.col("conv_id").isNotNull())).withColumn(
+        "range", F.coalesce(F.floor(F.col("turn") / part), F.lit(_FIRST)))
     crowded = (rows.groupBy("conv_id", "range").agg(F.count("*").alias("n")).where(F.col("n") > CROWDED * part)
                .select("conv_id", "range", F.lit(True).alias("crowded")))
     split = F.coalesce(F.col("crowded"), F.lit(False))
@@ -100,10 +104,17 @@ def format_chats(conversations: DataFrame, part: int = PART, before: str = "<|",
     conversation and are left out. An empty table gives an empty result; columns
     besides the four are not read.
     """
-    kept = maximal_conversations(conversations, part).select("conv_id")
-    turns = _positions(_turns(conversations, part).join(kept, "conv_id", "left_semi"))
-    return (turns.groupBy("conv_id", F.floor((F.col("pos") - 1) / part).alias("part"))
-            .agg(F.sort_array(F.collect_list(F.struct("pos", "role", "text"))).alias("turns"))
-            .select("conv_id", "part", F.size("turns").cast("bigint").alias("n_turns"),
-                    F.array_join(F.transform("turns", lambda t: F.concat(
-                        F.lit(before), t["role"], F.lit(after), t["text"], F.lit(end))), "").alias("text")))
+    kept = maximal_conversations(conversations, part).withColumnRenamed("n_turns", "all_turns")
+    rows = conversations.select("conv_id", "turn", "role", "text").join(kept, "conv_id")
+
+    def rendered(turns: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+        listed = turns.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*order, "role", "text"))).alias("turns"))
+        return listed.select(*keys, F.size("turns").cast("bigint").alias("n_turns"),
+                             F.array_join(F.transform("turns", lambda t: F.concat(
+                                 F.lit(before), t["role"], F.lit(after), t["text"], F.lit(end))), "").alias("text"))
+
+    # Ordinary conversations are one row; of longer ones the turns are numbered first. Both read one exchange.
+    one = rendered(_hashed(rows.where(F.col("all_turns") <= part)), ["conv_id"], ["turn", "t1", "t2"])
+    long = _positions(_turns(rows.where(F.col("all_turns") > part), part)).withColumn("part", F.floor((F.col("pos") - 1) / part))
+    several = rendered(long, ["conv_id", "part"], ["pos"])
+    return one.select("conv_id", F.lit(0).cast("bigint").alias("part"), "n_turns", "text").unionByName(several)
