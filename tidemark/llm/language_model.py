@@ -151,9 +151,14 @@ class LogBilinear:
         out = np.empty(len(token), np.float64)
         context = self.far[far] + self.near[near]
         group = self.classes[token]
+        # The classes are summed once per context that is met.
+        size = self.start + 1
+        pairs, which = np.unique(far.astype(np.int64) * size + near, return_inverse=True)
+        sums = np.concatenate([self.log_normaliser(self.far[p // size] + self.near[p % size])
+                               for p in np.split(pairs, range(CHUNK, len(pairs), CHUNK))]) if len(pairs) else np.empty(0)
         for at in range(0, len(token), CHUNK):
             c, g = context[at:at + CHUNK], group[at:at + CHUNK]
-            out[at:at + CHUNK] = np.einsum("ij,ij->i", c, self.output[g]) + self.bias[g] - self.log_normaliser(c)
+            out[at:at + CHUNK] = np.einsum("ij,ij->i", c, self.output[g]) + self.bias[g] - sums[which[at:at + CHUNK]]
         order = np.argsort(group, kind="stable")
         order = order[np.searchsorted(group[order], self.short + 2):]
         cuts = np.flatnonzero(np.diff(group[order])) + 1
@@ -236,6 +241,12 @@ def _contexts(ids: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
     return padded[:-2], padded[1:-1]
 
 
+def _rows(at: int, met: np.ndarray, rows: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """The rows ``met`` of the block that starts at ``at``, and their examples."""
+    return pa.record_batch([pa.array([at], pa.int32()), *[pa.array([a.tobytes()], pa.binary())
+                                                          for a in (met.astype(np.int16), rows, n)]], ["at", "met", "model", "n"])
+
+
 def fit(training: DataFrame, counts: Counts, words: list[tuple[bytes, int]]) -> LogBilinear:
     """Train on all texts; ``words`` are the vocabulary with its counts."""
     known = sum(n for _, n in words)
@@ -246,6 +257,7 @@ def fit(training: DataFrame, counts: Counts, words: list[tuple[bytes, int]]) ->
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = LogBilinear(*shared.value)
+        begin = own.packed()
         index = {w: i for i, w in enumerate(own.words)}
         rng = np.random.default_rng(23)
         squares = [np.zeros_like(p) for p in own.parameters()]
@@ -272,35 +284,33 @@ def fit(training: DataFrame, counts: Counts, words: list[tuple[bytes, int]]) ->
             if parts:
                 step()
         if np.any(weights):
-            packed = own.packed()
-            for at in range(0, len(packed), BLOCK):
-                n = weights[at:at + BLOCK]
-                met = np.flatnonzero(n)
+            # How far the rows that were touched have moved, in half the width, and by how many examples.
+            moved = (own.packed() - begin).astype(np.float16)
+            for at in range(0, len(moved), BLOCK):
+                met = np.flatnonzero(weights[at:at + BLOCK])
                 if len(met):
-                    rows = np.column_stack([packed[at + met] * n[met, None], n[met]]).astype(np.float32)
-                    yield pa.record_batch([pa.array([at], pa.int32()), pa.array([met.astype(np.int16).tobytes()], pa.binary()),
-                                           pa.array([rows.tobytes()], pa.binary())], ["at", "met", "model"])
+                    yield _rows(at, met, moved[at + met], weights[at + met].astype(np.float32))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for at, met, rows in zip(*(column.to_pylist() for column in batch.columns)):
+            for at, met, rows, n in zip(*(column.to_pylist() for column in batch.columns)):
                 total = sums.setdefault(at, np.zeros((BLOCK, DIMENSIONS + 2)))
-                total[np.frombuffer(met, np.int16)] += np.frombuffer(rows, np.float32).reshape(-1, DIMENSIONS + 2)
+                met, n = np.frombuffer(met, np.int16), np.frombuffer(n, np.float32).astype(np.float64)
+                total[met, :-1] += np.frombuffer(rows, np.float16).reshape(-1, DIMENSIONS + 1) * n[:, None]
+                total[met, -1] += n
         for at, total in sums.items():
             met = np.flatnonzero(total[:, -1])
-            mean = (total[met, :-1] / total[met, -1:]).astype(np.float32)
-            yield pa.record_batch([pa.array([at], pa.int32()), pa.array([met.astype(np.int16).tobytes()], pa.binary()),
-                                   pa.array([mean.tobytes()], pa.binary())], ["at", "met", "model"])
+            yield _rows(at, met, (total[met, :-1] / total[met, -1:]).astype(np.float32), total[met, -1].astype(np.float32))
 
-    schema = "at int, met binary, model binary"
+    schema = "at int, met binary, model binary, n binary"
     tasks = -(-counts.tokens // SHARD)
     trained = training.select("text").coalesce(max(1, tasks)).mapInArrow(train, schema)
     rows = model.packed()
     blocks = -(-len(rows) // BLOCK)
     for block in trained.repartition(min(blocks, 64), "at").mapInArrow(add, schema).collect():  # one row per block
         met = np.frombuffer(bytes(block.met), np.int16)
-        rows[block.at + met.astype(np.int64)] = np.frombuffer(bytes(block.model), np.float32).reshape(-1, DIMENSIONS + 1)
+        rows[block.at + met.astype(np.int64)] += np.frombuffer(bytes(block.model), np.float32).reshape(-1, DIMENSIONS + 1)
     model.unpack(rows)
     return model
 
