@@ -30,17 +30,17 @@ are shuffled and joined with the counts.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import id_remainder, stored, word_blocks
-from tidemark.llm.words import corpus_counts, document_rows, frequent_words
+from tidemark.llm.common import id_remainder, stored
+from tidemark.llm.words import corpus_counts, document_rows, frequent_words, words_of
 
 DIMENSIONS = 16
 HEAD = 1 << 18
@@ -50,7 +50,8 @@ SHORTLIST = 128       # words that are classes of their own
 NOISE = 64            # noise tokens of a step
 STEP = 8192           # examples of a step, fewer where there are few
 CHUNK = 8192          # examples scored at once
-PENDING = 1 << 18     # tokens that a task gathers before scoring them
+PIECE = 1 << 16       # scores computed at once: they stay in the cache
+PASS = 4_000_000      # tokens after which a task starts the next pass
 LEAST_STEPS, LEAST_STEP = 64, 128
 RATE = 0.1
 EPSILON = 1e-5
@@ -76,7 +77,7 @@ class LogBilinear:
     the class are ``inner`` and ``inner_bias``.
     """
 
-    def __init__(self, words: list[bytes], unigram: np.ndarray, shortlist: int | None = None):
+    def __init__(self, words: list[bytes] | pa.Array, unigram: np.ndarray, shortlist: int | None = None):
         self.words, self.unigram = words, unigram / unigram.sum()
         self.other, self.end, self.start = len(words), len(words) + 1, len(words) + 2
         self.short = min(len(words), SHORTLIST if shortlist is None else shortlist)
@@ -120,22 +121,27 @@ class LogBilinear:
     def train(self, far: np.ndarray, near: np.ndarray, token: np.ndarray, rng: np.random.Generator,
               squares: list[np.ndarray]) -> None:
         """One pass of noise-contrastive steps; ``squares`` are the running squared gradients."""
-        order = rng.permutation(len(token))
+        order = rng.permutation(np.arange(len(token), dtype=np.int32))
         step = min(STEP, max(LEAST_STEP, len(order) // LEAST_STEPS))
         tables = [(self.output, self.bias, squares[0], squares[4], self.of_class),
                   (self.inner, self.inner_bias, squares[1], squares[5], self.of_tail)]
         drawn = [(np.cumsum(q), np.log(NOISE * q).astype(np.float32)) for *_, q in tables]
+        scratch = np.empty((step, NOISE), np.float32)
+
+        def contrast(table, context, outputs, upto, log_noise):
+            noise = np.minimum(np.searchsorted(upto, rng.random(NOISE) * upto[-1], "right"), len(upto) - 1)
+            return _contrast(*table[:4], context, outputs, noise, log_noise, len(rows), scratch[:len(outputs)])
         for at in range(0, len(order), step):
             rows = order[at:at + step]
-            a, b, c = far[rows], near[rows], token[rows]
-            context = self.far[a] + self.near[b]
+            a, b, c = (x.take(rows) for x in (far, near, token))
+            context = self.far.take(a, 0)
+            context += self.near.take(b, 0)
+            g_context = contrast(tables[0], context, self.classes.take(c), *drawn[0])
             in_tail = np.flatnonzero((c >= self.short) & (c < self.other))
-            g_context = np.zeros_like(context)
-            for table, chosen, outputs, (upto, log_noise) in zip(
-                    tables, (slice(None), in_tail), (self.classes[c], c[in_tail] - self.short), drawn):
-                if len(outputs):
-                    noise = np.minimum(np.searchsorted(upto, rng.random(NOISE) * upto[-1], "right"), len(upto) - 1)
-                    g_context[chosen] += _contrast(*table[:4], context[chosen], outputs, noise, log_noise, len(rows))
+            if len(in_tail):
+                g_tail = contrast(tables[1], context.take(in_tail, 0), c.take(in_tail) - self.short, *drawn[1])
+                g_tail += g_context.take(in_tail, 0)
+                g_context[in_tail] = g_tail
             for p, index, s in ((self.near, b, squares[2]), (self.far, a, squares[3])):
                 _descend(p, s, *_sum_rows(index, g_context), len(rows))
 
@@ -149,79 +155,107 @@ class LogBilinear:
 
     def log_probabilities(self, far: np.ndarray, near: np.ndarray, token: np.ndarray) -> np.ndarray:
         out = np.empty(len(token), np.float64)
-        context = self.far[far] + self.near[near]
         group = self.classes[token]
         # The classes are summed once per context that is met.
         size = self.start + 1
         pairs, which = np.unique(far.astype(np.int64) * size + near, return_inverse=True)
-        sums = np.concatenate([self.log_normaliser(self.far[p // size] + self.near[p % size])
-                               for p in np.split(pairs, range(CHUNK, len(pairs), CHUNK))]) if len(pairs) else np.empty(0)
+        sums = np.empty(len(pairs))
+        for at in range(0, len(pairs), CHUNK):
+            p = pairs[at:at + CHUNK]
+            sums[at:at + CHUNK] = self.log_normaliser(self._context(p // size, p % size))
         for at in range(0, len(token), CHUNK):
-            c, g = context[at:at + CHUNK], group[at:at + CHUNK]
-            out[at:at + CHUNK] = np.einsum("ij,ij->i", c, self.output[g]) + self.bias[g] - sums[which[at:at + CHUNK]]
-        order = np.argsort(group, kind="stable")
-        order = order[np.searchsorted(group[order], self.short + 2):]
-        cuts = np.flatnonzero(np.diff(group[order])) + 1
+            part = slice(at, at + CHUNK)
+            c, g = self._context(far[part], near[part]), group[part]
+            out[part] = np.einsum("ij,ij->i", c, self.output.take(g, 0)) + self.bias.take(g) - sums.take(which[part])
+        ordered, order = _sorted(group)
+        order = order[np.searchsorted(ordered, self.short + 2):]
+        cuts = np.flatnonzero(np.diff(ordered[len(ordered) - len(order):])) + 1
         for rows in np.split(order, cuts) if len(order) else []:
             low = self.short + (group[rows[0]] - self.short - 2) * self.width
             members = slice(low - self.short, min(low + self.width, self.other) - self.short)
             vectors, biases = self.inner[members], self.inner_bias[members]
             for at in range(0, len(rows), CHUNK):
                 part = rows[at:at + CHUNK]
-                c, w = context[part], token[part] - low
-                out[part] += np.einsum("ij,ij->i", c, vectors[w]) + biases[w] - _log_sum(c, vectors, biases)
+                c, w = self._context(far.take(part), near.take(part)), token.take(part) - low
+                out[part] += np.einsum("ij,ij->i", c, vectors.take(w, 0)) + biases.take(w) - _log_sum(c, vectors, biases)
         return out
 
+    def _context(self, far: np.ndarray, near: np.ndarray) -> np.ndarray:
+        context = self.far.take(far, 0)
+        context += self.near.take(near, 0)
+        return context
+
 
 def _log_sum(context: np.ndarray, vectors: np.ndarray, biases: np.ndarray) -> np.ndarray:
-    # One product with the biases as a last column, in pieces that stay in the cache.
+    # One product with the biases as a last column, in pieces that stay in the cache; powers of two are faster than of e.
     base = biases.max()
-    table = np.column_stack([vectors, biases - base]).T.copy()
+    table = np.column_stack([vectors, biases - base]).T / np.float32(math.log(2))
     rows = np.column_stack([context, np.ones(len(context), np.float32)])
-    reach = math.sqrt(float((context * context).sum(1).max()) * float((vectors * vectors).sum(1).max()))
-    piece = max(16, (1 << 18) // table.shape[1])
-    ones, out = np.ones(table.shape[1], np.float32), np.empty(len(rows), np.float64)
+    reach = math.sqrt(float(np.einsum("ij,ij->i", context, context).max())
+                      * float(np.einsum("ij,ij->i", vectors, vectors).max()))
+    piece = max(16, PIECE // table.shape[1])
+    ones, out = np.ones(table.shape[1], np.float32), np.empty(len(rows), np.float32)
+    held, top = np.empty((piece, table.shape[1]), np.float32), np.zeros(len(rows), np.float32)
     for at in range(0, len(rows), piece):
-        scores = rows[at:at + piece] @ table
-        top = 0.0
+        part = slice(at, at + piece)
+        scores = np.matmul(rows[part], table, out=held[:len(rows[part])])
         if reach > 40:                          # else no sum can overflow or vanish
-            top = scores.max(1)
-            scores -= top[:, None]
-        out[at:at + piece] = np.log(np.exp(scores, out=scores) @ ones) + top
-    return out + base
+            scores.max(1, out=top[part])
+            scores -= top[part, None]
+        np.matmul(np.exp2(scores, out=scores), ones, out=out[part])
+    return (np.log2(out).astype(np.float64) + top) * math.log(2) + base
 
 
 def _contrast(vectors: np.ndarray, biases: np.ndarray, squares: np.ndarray, bias_squares: np.ndarray,
               context: np.ndarray, outputs: np.ndarray, noise: np.ndarray, log_noise: np.ndarray,
-              size: int) -> np.ndarray:
+              size: int, scratch: np.ndarray) -> np.ndarray:
     """A noise-contrastive step on a table of outputs; returns the gradient of the contexts."""
-    own, others = vectors[outputs], vectors[noise]
-    true = np.einsum("ij,ij->i", context, own) + biases[outputs] - log_noise[outputs]
-    false = context @ others.T + (biases[noise] - log_noise[noise])
+    own, others = vectors.take(outputs, 0), vectors[noise]
+    true = np.einsum("ij,ij->i", context, own) + biases.take(outputs) - log_noise.take(outputs)
     g_true = -1 / (1 + np.exp(np.clip(true, -30, 30)))
-    g_false = 1 / (1 + np.exp(np.clip(-false, -30, 30)))
-    g_context = g_true[:, None] * own + g_false @ others
-    index = np.concatenate([outputs, noise])
-    found, grads = _sum_rows(index, np.column_stack([
-        np.concatenate([g_true[:, None] * context, g_false.T @ context]), np.concatenate([g_true, g_false.sum(0)])]))
+    # The logistic function of the noise's scores, in place.
+    g_false = np.matmul(context, -others.T, out=scratch)
+    g_false += log_noise[noise] - biases[noise]
+    np.exp(np.clip(g_false, -30, 30, out=g_false), out=g_false)
+    g_false += 1
+    np.divide(1, g_false, out=g_false)
+    grads = np.empty((len(outputs) + len(noise), DIMENSIONS + 1), np.float32)
+    np.multiply(g_true[:, None], context, out=grads[:len(outputs), :-1])
+    np.matmul(g_false.T, context, out=grads[len(outputs):, :-1])
+    grads[:len(outputs), -1], grads[len(outputs):, -1] = g_true, g_false.sum(0)
+    found, grads = _sum_rows(np.concatenate([outputs, noise]), grads)
+    own *= g_true[:, None]
+    own += g_false @ others
     _descend(vectors, squares, found, grads[:, :-1], size)
     _descend(biases, bias_squares, found, grads[:, -1], size)
-    return g_context
+    return own
 
 
 def _descend(p: np.ndarray, squares: np.ndarray, rows: np.ndarray, grads: np.ndarray, size: int) -> None:
     grads = grads / size
-    s = squares[rows] + grads * grads
+    s = squares.take(rows, 0)
+    s += grads * grads
     squares[rows] = s
-    p[rows] -= RATE * grads / (np.sqrt(s) + EPSILON)
+    np.sqrt(s, out=s)
+    s += EPSILON
+    grads *= RATE
+    grads /= s
+    p[rows] = p.take(rows, 0) - grads
 
 
 def _sum_rows(index: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct values of ``index`` and the sums of their rows."""
-    order = np.argsort(index, kind="stable")
-    ordered = index[order]
+    ordered, order = _sorted(index)
     starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    return ordered[starts], np.add.reduceat(rows[order], starts, axis=0)
+    return ordered[starts], np.add.reduceat(rows.take(order, 0), starts, axis=0)
+
+
+def _sorted(index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Small numbers in order, and the places they had; equal ones keep theirs."""
+    # The places are the lower bits: sorting plain numbers is faster than a stable argsort.
+    keys = (index.astype(np.int64) << 32) + np.arange(len(index))
+    keys.sort()
+    return keys >> 32, keys & 0xFFFFFFFF
 
 
 def training_rows(docs: DataFrame, modulus: int = 5, held_out: int = 1) -> DataFrame:
@@ -235,10 +269,37 @@ def count_corpus(training: DataFrame) -> Counts:
     return Counts(table, texts, words + texts, types + (texts > 0))
 
 
-def _contexts(ids: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
-    """The tokens two before and one before each of ``ids``."""
-    padded = np.concatenate([[start, start], ids])
-    return padded[:-2], padded[1:-1]
+class Sequences:
+    """Examples (far, near, token) of the texts that ``words_of`` yields, called for one piece after the other."""
+
+    def __init__(self, model: LogBilinear):
+        self.end, self.start = model.end, model.start
+        self.before = [self.start, self.start]      # of the piece to come
+
+    def __call__(self, ids: np.ndarray, numbers: np.ndarray, whole: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``ids`` are the words; returns the examples, and how many each text has (its end is one)."""
+        sizes = numbers + whole
+        upto = np.cumsum(sizes)
+        if whole:
+            token = np.full(upto[-1], self.end, np.int32)
+            words = np.ones(len(token), bool)
+            words[upto - 1] = False
+            token[words] = ids
+        else:
+            token = ids.astype(np.int32)
+        padded = np.concatenate([self.before, token]).astype(np.int32)
+        far, near = padded[:-2].copy(), padded[1:-1].copy()
+        begins = upto[:-1]
+        near[begins] = far[begins] = self.start
+        seconds = begins[sizes[1:] > 1] + 1
+        far[seconds] = self.start
+        self.before = [self.start, self.start] if whole else padded[-2:].tolist()
+        return far, near, token, sizes
+
+
+def _places(words: pa.Array, of: pa.Array) -> np.ndarray:
+    """The place of each word in ``of``, ``len(of)`` for others."""
+    return pc.index_in(words, value_set=of).fill_null(len(of)).to_numpy()
 
 
 def _rows(at: int, met: np.ndarray, rows: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
@@ -251,41 +312,45 @@ def fit(training: DataFrame, counts: Counts, words: list[tuple[bytes, int]]) ->
     """Train on all texts; ``words`` are the vocabulary with its counts."""
     known = sum(n for _, n in words)
     unigram = np.array([n for _, n in words] + [counts.tokens - counts.texts - known, counts.texts], np.float64) + 0.5
-    model = LogBilinear([w for w, _ in words], unigram)
+    model = LogBilinear(pa.array([w for w, _ in words], pa.binary()), unigram)
 
     shared = training.sparkSession.sparkContext.broadcast((model.words, unigram))
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = LogBilinear(*shared.value)
-        begin = own.packed()
-        index = {w: i for i, w in enumerate(own.words)}
+        sequences = Sequences(own)
         rng = np.random.default_rng(23)
         squares = [np.zeros_like(p) for p in own.parameters()]
         weights = 0
         for batch in batches:
-            parts: list[np.ndarray] = []
+            parts: list[tuple[np.ndarray, ...]] = []
             size = 0
 
             def step():
                 nonlocal weights
                 far, near, token = (np.concatenate(x) for x in zip(*parts))
+                parts.clear()
                 own.train(far, near, token, rng, squares)
                 weights = weights + own.examples(far, near, token)
-                parts.clear()
-            for text in batch.column(0).cast(pa.binary()):
-                ids = [np.fromiter((index.get(w, own.other) for w in ws), np.int32, len(ws))
-                       for ws in word_blocks((text.as_py() or b"").lower())]
-                ids = np.concatenate([*ids, [own.end]]).astype(np.int32)
-                parts.append((*_contexts(ids, own.start), ids))
-                size += len(ids)
-                if size > 4_000_000:
+            for found, numbers, whole in words_of(batch.column(0), lower=True):
+                *examples, sizes = sequences(_places(found, own.words), numbers, whole)
+                at, ends = 0, np.cumsum(sizes) if whole else np.empty(0, np.int64)
+                # A pass ends with the text that exceeds its size.
+                while (last := np.searchsorted(ends, PASS - size + at, "right")) < len(ends):
+                    parts.append(tuple(x[at:ends[last]] for x in examples))
                     step()
-                    size = 0
+                    at, size = ends[last], 0
+                if at < len(examples[0]):
+                    parts.append(tuple(x[at:] for x in examples))
+                    size += len(examples[0]) - at
             if parts:
                 step()
         if np.any(weights):
             # How far the rows that were touched have moved, in half the width, and by how many examples.
-            moved = (own.packed() - begin).astype(np.float16)
+            squares.clear()
+            moved = own.packed()
+            moved -= LogBilinear(*shared.value).packed()
+            moved = moved.astype(np.float16)
             for at in range(0, len(moved), BLOCK):
                 met = np.flatnonzero(weights[at:at + BLOCK])
                 if len(met):
@@ -321,67 +386,33 @@ def score(docs: DataFrame, counts: Counts, model: LogBilinear, head: list[tuple[
     rest = counts.tokens - counts.texts + 0.5 * (counts.types - (counts.texts > 0)) - known + 0.5
     base_total = math.log10(counts.tokens + 0.5 * (counts.types + 1))
     shared = docs.sparkSession.sparkContext.broadcast({
-        "index": {w: i for i, (w, _) in enumerate(head)},
-        "log": np.log10(np.array([n for _, n in head] + [0], np.float64) + 0.5),
+        "words": pa.array([w for w, _ in head], pa.binary()),
+        "log": np.log10(np.array([n for _, n in head], np.float64) + 0.5),
         "model": model})
     texts = counts.texts
 
-    class Reader:
-        """Reads one text after the other; ``settle`` adds the model's scores of those that are read."""
-
-        def __init__(self):
-            kept = shared.value
-            self.get, self.logs, self.model = kept["index"].get, kept["log"], kept["model"]
-            self.size, self.log_rest, self.log_end = len(self.logs) - 1, math.log10(rest), math.log10(texts + 0.5)
-            self.scores, self.parts, self.owners, self.pending = [0.0], [], [], 0
-
-        def take(self, far: np.ndarray, near: np.ndarray, token: np.ndarray) -> None:
-            self.parts.append((far, near, token))
-            self.owners.append(len(self.scores) - 1)
-            self.pending += len(token)
-            if self.pending > PENDING:
-                self.work()
-
-        def work(self) -> None:
-            if self.parts:
-                far, near, token = (np.concatenate(x) for x in zip(*self.parts))
-                starts = np.cumsum([0] + [len(p[2]) for p in self.parts[:-1]])
-                sums = np.add.reduceat(self.model.log_probabilities(far, near, token), starts) / math.log(10)
-                for owner, value in zip(self.owners, sums):
-                    self.scores[owner] += float(value)
-                self.parts, self.owners, self.pending = [], [], 0
-
-        def settle(self, sums: list[dict]) -> None:
-            """``sums``: of the texts read to the end since the last call; one more may be under way."""
-            self.work()
-            for own, value in zip(sums, self.scores):
-                own["lm"] += value
-            self.scores = self.scores[len(sums):]
-
-        def __call__(self, data: bytes):
-            own = self.model
-            before = [own.start, own.start]
-            for words in word_blocks(data.lower()):
-                if not words:
-                    continue
-                at = np.fromiter((self.get(w, self.size) for w in words), np.int64, len(words))
-                token = np.minimum(at, own.other)
-                context = np.concatenate([before, token])
-                self.take(context[:-2], context[1:-1], token)
-                before = context[-2:]
-                in_head = at < self.size
-                head_logs = self.logs[at]
-                other = token == own.other
-                lm = float(head_logs[in_head & other].sum()) - self.log_rest * int(other.sum())
-                tail = Counter(words[i] for i in np.flatnonzero(~in_head))
-                yield {"n_tokens": len(words), "known": int(in_head.sum()), "lm": lm,
-                       "base": float(head_logs[in_head].sum())}, tail
-            self.take(*(np.array([x]) for x in (*before, own.end)))
-            yield {"n_tokens": 1, "known": int(texts > 0), "lm": 0.0, "base": self.log_end}, {}
-            self.scores.append(0.0)
+    def reader():
+        kept = shared.value
+        own, size, logs = kept["model"], len(kept["words"]), np.append(kept["log"], 0.0)
+        sequences, log_rest, log_end = Sequences(own), math.log10(rest), math.log10(texts + 0.5)
+
+        def read(words: pa.Array, numbers: np.ndarray, whole: bool):
+            at = _places(words, kept["words"])
+            far, near, token, sizes = sequences(np.minimum(at, own.other), numbers, whole)
+
+            def per_text(values: np.ndarray, of: np.ndarray) -> np.ndarray:
+                return np.bincount(of, values, len(numbers))
+            word_of, token_of = (np.repeat(np.arange(len(numbers)), n) for n in (numbers, sizes))
+            # The other words divide up their output by their counts; those outside the head are joined.
+            lm = per_text(np.where(at < own.other, 0.0, logs[at] - log_rest), word_of)
+            lm += per_text(own.log_probabilities(far, near, token) / math.log(10), token_of)
+            sums = {"n_tokens": sizes, "known": per_text(at < size, word_of) + int(whole and texts > 0), "lm": lm,
+                    "base": per_text(logs[at], word_of) + (log_end if whole else 0.0)}
+            return sums, np.flatnonzero(at == size)
+        return read
 
     fields = {"n_tokens": int, "known": int, "lm": float, "base": float}
-    parts = document_rows(docs, Reader, fields)
+    parts = document_rows(docs, reader, fields, lower=True)
     joined = parts.join(counts.table.withColumnRenamed("n", "c"), "word", "left")
     tail = F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)
     total = joined.groupBy("doc_id", "_k1", "_k2").agg(

@@ -6,23 +6,67 @@ A word is a run of bytes without white space (0x20, 0x09-0x0D).
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import content_key, word_blocks
+from tidemark.llm.common import _SPACE, content_key
 
-FLUSH = 300_000       # distinct words, or rows, that a task holds before passing them on
+FLUSH = 300_000       # distinct words that a task holds before passing them on
+TEXT = 1 << 22        # bytes of text that a task splits at once
+ROWS = 50_000         # rows of a batch that a task passes on
 _STEP = 1.02          # ratio of neighbouring frequency classes
 
 
 def _bytes(column: pa.Array) -> pa.Array:
-    return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary())
+    column = column.cast(pa.large_binary())
+    return pc.fill_null(column, b"") if column.null_count else column
+
+
+def _split(data: np.ndarray, ends: np.ndarray, lower: bool) -> tuple[pa.Array, np.ndarray]:
+    """The words of texts that lie one after the other in ``data``, and how many each has; text i ends at ``ends[i]``."""
+    if lower:
+        data = data | ((data - 65 < 26).view(np.uint8) << 5)
+    solid = (data != 0x20) & (data - 9 >= 5)
+    first = solid.copy()
+    first[1:] &= ~solid[:-1]
+    begins = np.concatenate([[0], ends[:-1]])
+    begins = begins[begins < len(data)]
+    first[begins] = solid[begins]
+    numbers = np.diff(np.searchsorted(np.flatnonzero(first), ends), prepend=0)
+    kept = data[solid]
+    offsets = np.append(np.flatnonzero(first[solid]), len(kept)).astype(np.int32)
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(kept)]
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, buffers), numbers
+
+
+def words_of(texts: pa.Array, lower: bool) -> Iterator[tuple[pa.Array, np.ndarray, bool]]:
+    """The words of texts in order, about ``TEXT`` bytes of text at a time; a null text is empty.
+
+    Yields (words, number of words of each text, True). A longer text comes alone
+    in pieces, cut at white space, of which all but the last say False.
+    """
+    texts = _bytes(texts)
+    if not len(texts):
+        return
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    held = texts.buffers()[2]
+    data = np.frombuffer(held, np.uint8) if held is not None and held.size else np.empty(0, np.uint8)
+    at = 0
+    while at < len(texts):
+        begin = offsets[at]
+        upto = max(at + 1, int(np.searchsorted(offsets, begin + TEXT, "right")) - 1)
+        if upto == at + 1:
+            while offsets[upto] - begin > TEXT and (found := _SPACE.search(held, begin + TEXT, offsets[upto])):
+                yield *_split(data[begin:found.start()], np.array([found.start() - begin]), lower), False
+                begin = found.start()
+        yield *_split(data[begin:offsets[upto]], offsets[at + 1:upto + 1] - begin, lower), True
+        at = upto
 
 
 def corpus_counts(texts: DataFrame, lower: bool) -> DataFrame:
@@ -31,21 +75,19 @@ def corpus_counts(texts: DataFrame, lower: bool) -> DataFrame:
     Tasks count before the shuffle, in tables of bounded size.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush():
-            out = pa.record_batch([pa.array(list(counts), pa.binary()),
-                                   pa.array(np.fromiter(counts.values(), np.int64, len(counts)))], ["word", "n"])
-            counts.clear()
-            for at in range(0, out.num_rows, 50_000):
-                yield out.slice(at, 50_000)
-        counts: Counter[bytes] = Counter()
+        counts = None
         for batch in batches:
-            for text in _bytes(batch.column(0)):
-                data = text.as_py() or b""
-                for words in word_blocks(data.lower() if lower else data):
-                    counts.update(words)
-                    if len(counts) > FLUSH:
-                        yield from flush()
-        yield from flush()
+            for words, _, _ in words_of(batch.column(0), lower):
+                found = pa.Table.from_arrays(words.value_counts().flatten(), ["word", "n"])
+                if counts is not None:
+                    both = pa.concat_tables([counts, found]).combine_chunks()
+                    found = both.group_by("word", use_threads=False).aggregate([("n", "sum")]).rename_columns(["word", "n"])
+                counts = found
+                if len(counts) > FLUSH:
+                    yield from counts.to_batches(ROWS)
+                    counts = None
+        if counts is not None:
+            yield from counts.to_batches(ROWS)
 
     counted = texts.select("text").mapInArrow(count, "word binary, n bigint")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
@@ -68,73 +110,42 @@ def frequent_words(counts: DataFrame, most: int) -> DataFrame:
     return counts.where(frequency >= bound) if bound is not None else counts.limit(0)
 
 
-def document_rows(docs: DataFrame, reader: Callable[[], Callable[[bytes], Iterator[tuple[dict, Counter]]]],
-                  fields: dict[str, type]) -> DataFrame:
+def document_rows(docs: DataFrame, reader: Callable[[], Callable], fields: dict[str, type], lower: bool) -> DataFrame:
     """Per document, its sums and its words that need a join.
 
     ``docs``: doc_id, text. ``reader()`` runs once per task and returns a function
-    from the bytes of a text to pairs of (sums by field, Counter of words to be
-    joined), one pair per block of text; if it has ``settle``, that may add to the
-    sums of the texts read to the end since its last call. Returns rows (doc_id, _k1, _k2, word, n,
+    from what ``words_of`` yields to the sums of each text by field, and which of
+    the words are to be joined. Returns rows (doc_id, _k1, _k2, word, n,
     rows, fields...): one row per document with its sums, rows = 1 and a word
-    that no text contains, and one row per word with sums 0. The keys (``content_key``)
-    tell documents that share a doc_id apart.
+    that no text contains (and one such row with rows = 0 per further piece of a long text),
+    and one row per word with sums 0. The keys (``content_key``) tell documents that share a doc_id apart.
     """
-    names = list(fields)
     schema = T.StructType(
         [docs.schema["doc_id"], T.StructField("_k1", T.LongType()), T.StructField("_k2", T.LongType()),
          T.StructField("word", T.BinaryType()),
          T.StructField("n", T.LongType()), T.StructField("rows", T.LongType())]
         + [T.StructField(k, T.DoubleType() if t is float else T.LongType()) for k, t in fields.items()])
+    kinds = {k: np.float64 if t is float else np.int64 for k, t in fields.items()}
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read = reader()
-        settle = getattr(read, "settle", None)
-        owners, lengths = [], []        # document and its number of rows here
-        words, counts = [], []          # of each row
-        ends, sums = [], []             # the rows that hold a document's sums
-
-        def flush(id_type):
-            if settle:
-                settle(sums)
-            at = np.repeat(np.arange(len(owners)), lengths)
-            ids = pa.array([o[0] for o in owners], id_type)
-            keys = [np.array([o[k] for o in owners], np.int64) for k in (1, 2)]
-            last = np.zeros(len(words), np.int64)
-            last[ends] = 1
-            columns = [ids.take(pa.array(at)), *[pa.array(k[at]) for k in keys], pa.array(words, pa.binary()),
-                       pa.array(np.array(counts, np.int64)), pa.array(last)]
-            for name in names:
-                values = np.zeros(len(words), np.float64 if fields[name] is float else np.int64)
-                values[ends] = [s[name] for s in sums]
-                columns.append(pa.array(values))
-            out = pa.record_batch(columns, schema.names)
-            for held in (owners, lengths, words, counts, ends, sums):
-                held.clear()
-            for start in range(0, out.num_rows, 50_000):
-                yield out.slice(start, 50_000)
-
         for batch in batches:
-            ids, first, second = (batch.column(c) for c in ("doc_id", "_k1", "_k2"))
-            for i, text in enumerate(_bytes(batch.column("text"))):
-                owner, own = (ids[i].as_py(), first[i].as_py(), second[i].as_py()), dict.fromkeys(names, 0)
-                owners.append(owner)
-                lengths.append(0)
-                for part, tail in read(text.as_py() or b""):
-                    for name, value in part.items():
-                        own[name] += value
-                    words += tail.keys()
-                    counts += tail.values()
-                    lengths[-1] += len(tail)
-                    if len(words) > FLUSH:
-                        yield from flush(ids.type)
-                        owners.append(owner)
-                        lengths.append(0)
-                ends.append(len(words))
-                sums.append(own)
-                words.append(b" %d" % (owner[1] & 0xFFFF))  # holds a space: no text's word
-                counts.append(0)
-                lengths[-1] += 1
-            yield from flush(ids.type)
+            at = 0
+            for words, numbers, whole in words_of(batch.column("text"), lower):
+                texts = batch.slice(at, len(numbers))
+                at += len(numbers) if whole else 0
+                sums, apart = read(words, numbers, whole)
+                keys = [texts.column(c) for c in ("doc_id", "_k1", "_k2")]
+                marks = pa.array([b" %d" % (k & 0xFFFF) for k in keys[1].to_pylist()], pa.binary())  # with a space: no text's word
+                yield pa.record_batch([*keys, marks, pa.array(np.zeros(len(texts), np.int64)),
+                                       pa.array(np.full(len(texts), int(whole))),
+                                       *[pa.array(sums[k].astype(kind)) for k, kind in kinds.items()]], schema.names)
+                owner = np.repeat(np.arange(len(numbers)), numbers)[apart]
+                found = pa.table([pa.array(owner), words.take(pa.array(apart))], ["owner", "word"])
+                found = found.group_by(["owner", "word"], use_threads=False).aggregate([([], "count_all")]).combine_chunks()
+                for part in found.to_batches(ROWS):
+                    owner, word, n = (part.column(c) for c in ("owner", "word", "count_all"))
+                    yield pa.record_batch([*[k.take(owner) for k in keys], word, n, pa.array(np.zeros(len(part), np.int64)),
+                                           *[pa.array(np.zeros(len(part), kind)) for kind in kinds.values()]], schema.names)
 
     return docs.select("doc_id", "text", *content_key("text")).mapInArrow(rows, schema)
